@@ -77,4 +77,4 @@ def q_area_top3_product(spark: SparkSession, sf: str) -> DataFrame:
                          tables.product_info(spark, sf), START_DATE, END_DATE, TASK_ID)
 
 
-__all__ = ["QUERIES", "SQL", "fmt_time", "ratio", "F"]
+from . import reg_sessions  # noqa: E402,F401  (register their queries)
