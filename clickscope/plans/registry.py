@@ -77,4 +77,4 @@ def q_area_top3_product(spark: SparkSession, sf: str) -> DataFrame:
                          tables.product_info(spark, sf), START_DATE, END_DATE, TASK_ID)
 
 
-from . import reg_ads, reg_misc, reg_pages, reg_sessions  # noqa: E402,F401  (register their queries)
+from . import reg_ads, reg_misc, reg_pages, reg_sessions, reg_stream  # noqa: E402,F401  (register their queries)
