@@ -38,7 +38,7 @@ rates AS (
 
 
 def _scoped(spark, sf):
-    return scans.date_range_scan(tables.user_visit_action(spark, sf), START_DATE, END_DATE)
+    return scans.scoped_actions(spark, sf, START_DATE, END_DATE)
 
 
 @register("page_pairs", with_ctes(["uva"], f"""WITH {_PAIRS}
@@ -72,4 +72,5 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id,
          AS convert_rate
 FROM rates"""))
 def q_page_convert_text(spark: SparkSession, sf: str) -> DataFrame:
-    return run_page_job(spark, tables.user_visit_action(spark, sf), FLOW, START_DATE, END_DATE, TASK_ID)
+    actions = tables.user_visit_action(spark, sf, START_DATE, END_DATE)
+    return run_page_job(spark, actions, FLOW, START_DATE, END_DATE, TASK_ID)

@@ -61,7 +61,7 @@ def _actions(spark, sf):
 
 
 def _sessions(spark, sf, p: SessionParams = AGE_PARAMS) -> DataFrame:
-    scoped = scans.date_range_scan(_actions(spark, sf), p.start_date, p.end_date)
+    scoped = scans.scoped_actions(spark, sf, p.start_date, p.end_date)
     return filter_sessions(sessions.with_user_info(sessions.session_aggregate(scoped), tables.user_info(spark, sf)), p)
 
 
@@ -82,7 +82,7 @@ SELECT date, user_id, session_id, page_id, {fmt_time('action_time')} AS action_t
        pay_product_ids, city_id, event_id
 FROM uva WHERE date BETWEEN '{SCAN_FROM}' AND '{SCAN_TO}'"""))
 def q_date_range_scan(spark: SparkSession, sf: str) -> DataFrame:
-    df = scans.date_range_scan(_actions(spark, sf), SCAN_FROM, SCAN_TO)
+    df = scans.scoped_actions(spark, sf, SCAN_FROM, SCAN_TO)
     return df.withColumn("action_time", dates.format_time("action_time"))
 
 
@@ -109,7 +109,7 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, {_DETAIL_SQL_COLS}
 FROM uva u WHERE u.date BETWEEN '2024-01-01' AND '2024-01-31'
   AND u.session_id IN (SELECT session_id FROM sess_u WHERE {_AGE})"""))
 def q_session_detail(spark: SparkSession, sf: str) -> DataFrame:
-    scoped = scans.date_range_scan(_actions(spark, sf), START_DATE, END_DATE)
+    scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
     return _detail_out(sessions.session_detail(scoped, _sessions(spark, sf), TASK_ID))
 
 
@@ -169,7 +169,7 @@ def q_session_random_extract(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CAST({TASK_ID} AS BIGINT) AS task_id, {_DETAIL_SQL_COLS}
 FROM uva u WHERE u.date BETWEEN '2024-01-01' AND '2024-01-31' AND u.session_id IN (SELECT session_id FROM picked)"""))
 def q_session_random_extract_detail(spark: SparkSession, sf: str) -> DataFrame:
-    scoped = scans.date_range_scan(_actions(spark, sf), START_DATE, END_DATE)
+    scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
     ext = sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID)
     return _detail_out(sessions.session_detail(scoped, ext, TASK_ID))
 
@@ -206,7 +206,7 @@ top_sess AS (
 
 
 def _detail(spark, sf) -> DataFrame:
-    scoped = scans.date_range_scan(_actions(spark, sf), START_DATE, END_DATE)
+    scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
     return sessions.session_detail(scoped, _sessions(spark, sf))
 
 
@@ -251,7 +251,7 @@ SELECT session_id,
        || '|stepLength=' || CAST(step_length AS VARCHAR) || '|startTime=' || {fmt_time('start_ts')} AS kv
 FROM sess"""))
 def q_session_kv_text(spark: SparkSession, sf: str) -> DataFrame:
-    scoped = scans.date_range_scan(_actions(spark, sf), START_DATE, END_DATE)
+    scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
     s = sessions.session_aggregate(scoped)
     return s.select("session_id", sessions.kv_text(s).alias("kv"))
 

@@ -38,8 +38,8 @@ SELECT u.city_id, c.city_name, c.area, u.click_product_id AS product_id
 FROM uva u JOIN city_info c ON u.city_id = c.city_id
 WHERE u.click_product_id IS NOT NULL AND u.date BETWEEN '2024-01-01' AND '2024-01-31'"""))
 def q_click_city_join(spark: SparkSession, sf: str) -> DataFrame:
-    return products.click_city_join(tables.user_visit_action(spark, sf), tables.city_info(spark, sf),
-                                    START_DATE, END_DATE)
+    actions = tables.user_visit_action(spark, sf, START_DATE, END_DATE)
+    return products.click_city_join(actions, tables.city_info(spark, sf), START_DATE, END_DATE)
 
 
 _AREA_CLICKS_SQL = """
@@ -54,8 +54,8 @@ area_clicks AS (
 
 @register("area_product_clicks", with_ctes(["uva", "city_info"], f"WITH {_AREA_CLICKS_SQL} SELECT * FROM area_clicks"))
 def q_area_product_clicks(spark: SparkSession, sf: str) -> DataFrame:
-    cc = products.click_city_join(tables.user_visit_action(spark, sf), tables.city_info(spark, sf),
-                                  START_DATE, END_DATE)
+    actions = tables.user_visit_action(spark, sf, START_DATE, END_DATE)
+    cc = products.click_city_join(actions, tables.city_info(spark, sf), START_DATE, END_DATE)
     return products.area_product_clicks(cc)
 
 
@@ -73,8 +73,9 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, area,
        product_id, city_infos, click_count, product_name, product_status
 FROM ranked WHERE rn <= 3"""))
 def q_area_top3_product(spark: SparkSession, sf: str) -> DataFrame:
-    return area_top3_job(tables.user_visit_action(spark, sf), tables.city_info(spark, sf),
-                         tables.product_info(spark, sf), START_DATE, END_DATE, TASK_ID)
+    actions = tables.user_visit_action(spark, sf, START_DATE, END_DATE)
+    return area_top3_job(actions, tables.city_info(spark, sf), tables.product_info(spark, sf), START_DATE, END_DATE,
+                         TASK_ID)
 
 
 from . import reg_ads, reg_misc, reg_pages, reg_sessions, reg_stream  # noqa: E402,F401  (register their queries)

@@ -20,6 +20,12 @@ def date_range_scan(actions: DataFrame, start_date: str | None, end_date: str |
     return actions.where(cond)
 
 
+def scoped_actions(spark, sf_dir: str, start_date: str | None, end_date: str | None) -> DataFrame:
+    """SRC-1 on the derived action table, with the bounds also pushed to the raw scan."""
+    from .tables import user_visit_action
+    return date_range_scan(user_visit_action(spark, sf_dir, start_date, end_date), start_date, end_date)
+
+
 def click_product_scan(actions: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
     """SRC-2: ``city_id, click_product_id`` of click rows in the date range (projection + filter at the scan)."""
     return (date_range_scan(actions, start_date, end_date)

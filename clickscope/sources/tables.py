@@ -30,9 +30,25 @@ def _k(props="props"):
     return F.get_json_object(F.col(props), "$.k").cast("bigint")
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The action fact table, one row per event (columns of ``USER_VISIT_ACTION``)."""
-    ev = read_table(spark, sf_dir, "events").withColumn("k", _k())
+def ts_date_range(ts_col: str, start_date: str | None, end_date: str | None):
+    """``start_date <= date(ts) <= end_date`` written on the raw timestamp, so parquet row groups are skipped
+    (a filter on the derived ``date`` text cannot be pushed into the scan)."""
+    cond = F.lit(True)
+    if start_date is not None:
+        cond = cond & (F.col(ts_col) >= F.to_timestamp_ntz(F.lit(start_date)))
+    if end_date is not None:
+        cond = cond & (F.col(ts_col) < F.to_timestamp_ntz(F.date_add(F.to_date(F.lit(end_date)), 1)))
+    return cond
+
+
+def user_visit_action(spark: SparkSession, sf_dir: str, start_date: str | None = None,
+                      end_date: str | None = None) -> DataFrame:
+    """The action fact table, one row per event (columns of ``USER_VISIT_ACTION``).
+
+    Date bounds (``yyyy-MM-dd``, inclusive) are applied to the raw ``ts`` before projection, so they reach
+    the parquet scan as pushed filters.
+    """
+    ev = read_table(spark, sf_dir, "events").where(ts_date_range("ts", start_date, end_date)).withColumn("k", _k())
     k = F.col("k")
     et = F.col("event_type")
     date = F.date_format(F.col("ts"), dates.FMT_DATE)
