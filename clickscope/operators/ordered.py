@@ -1,80 +1,102 @@
 """Previous row within a group by a total order (WIN-2, TOP-5), without putting a whole group in one task.
 
 A hash-partitioned ``lag() OVER (PARTITION BY g ORDER BY o)`` needs every row of a group in one task, so one
-hot group (a bot session) becomes one huge task. Here the rows are range-partitioned on ``(g, o)`` instead:
-a hot group is split across partitions by its order columns. Each partition is sorted and scanned once in
-Arrow batches; only the first row of a partition lacks its predecessor, which is the last row of the previous
-non-empty partition. Those boundary rows (one per partition) are joined back through a broadcast of at most
-``num_partitions`` rows.
+hot group (a bot session) becomes one huge task. Here rows are first cut into ``num_buckets`` contiguous
+ranges of the sort key ``(g, o)``: split points come from a bounded sample (at most ``sample_rows`` keys reach
+the driver) and the bucket of a row is a pure column expression (binary search written as nested ``CASE``
+over struct comparisons). A hot group therefore spans many buckets. The window then runs per
+``(bucket, g)``; only a group's first row inside a bucket may have its predecessor in an earlier bucket, and
+that predecessor is the last row of the previous non-empty bucket — one row per bucket, joined back through
+a broadcast of at most ``num_buckets`` rows.
+
+Because the bucket is a deterministic function of the row (fixed literals in the plan), every evaluation —
+including recomputation after a lost executor — assigns the same buckets. (Spark's own range partitioner
+samples with a seed tied to the RDD id, so two exchanges over the same data may cut differently.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+DEFAULT_SAMPLE_ROWS = 200_000
+MAX_BUCKETS = 4096
+
+
+def _literal(v, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(v, _dt.datetime):
+        return F.lit(v.isoformat(sep=" ")).cast(dtype)  # text → NTZ does not depend on any time zone
+    return F.lit(v).cast(dtype)
+
+
+def split_points(df: DataFrame, keys: list[str], num_buckets: int, sample_rows: int = DEFAULT_SAMPLE_ROWS,
+                 seed: int = 17) -> list[tuple]:
+    """Up to ``num_buckets - 1`` ascending, distinct key tuples cutting ``df`` into about equal ranges."""
+    if num_buckets <= 1:
+        return []
+    keyed = df.select(*keys).dropna()
+    total = keyed.count()
+    if total == 0:
+        return []
+    frac = min(1.0, sample_rows / total)
+    sample = keyed if frac >= 1.0 else keyed.sample(False, frac, seed)
+    rows = sorted(tuple(r) for r in sample.collect())  # bounded: about ``sample_rows`` tuples
+    m = min(num_buckets - 1, len(rows) - 1)
+    pts: list[tuple] = []
+    for i in range(1, m + 1):
+        p = rows[(i * len(rows)) // (m + 1)]
+        if not pts or p > pts[-1]:
+            pts.append(p)
+    return pts
 
-def _same(a, b):
-    return (a == b) | (a.isna() & b.isna())
+
+def bucket_of(keys: list[str], points: list[tuple], schema: T.StructType) -> Column:
+    """Index of the range holding ``struct(keys)``: bucket b holds ``points[b-1] <= key < points[b]``."""
+    key = F.struct(*[F.col(k) for k in keys])
+    lits = [F.struct(*[_literal(v, schema[k].dataType).alias(k) for k, v in zip(keys, p)]) for p in points]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < lits[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(points))
 
 
 def previous_in_order(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str],
-                      prefix: str = "prev_", num_partitions: int | None = None) -> DataFrame:
+                      prefix: str = "prev_", num_buckets: int | None = None,
+                      sample_rows: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
     """Add ``prefix + v`` = ``v`` of the preceding row of the same group (null on a group's first row).
 
-    ``order_cols`` must make the order total inside a group (end with a unique id), so recomputation after
-    a lost executor yields the same rows.
+    ``order_cols`` must make the order total inside a group (end with a unique id). Key columns should be
+    non-null (rows with null keys all fall into the bucket the comparisons send them to, deterministically).
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(n, MAX_BUCKETS))
     keys = [*group_cols, *order_cols]
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id()))
-
-    prev_fields = [T.StructField(prefix + v, df.schema[v].dataType, True) for v in value_cols]
-    out_schema = T.StructType([*ranged.schema.fields, *prev_fields, T.StructField("_head", T.BooleanType(), False)])
-
-    def scan(batches):
-        import pandas as pd
-
-        last = None  # last row of the previous batch in this partition
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            same = pd.Series(True, index=pdf.index)
-            for g in group_cols:
-                same &= _same(pdf[g], pdf[g].shift(1))
-            head = pd.Series(False, index=pdf.index)
-            for v in value_cols:
-                pdf[prefix + v] = pdf[v].shift(1).where(same, None)
-            if last is None:
-                head.iloc[0] = True
-            else:
-                first_same = all(_same(pd.Series([pdf[g].iloc[0]]), pd.Series([last[g]])).iloc[0]
-                                 for g in group_cols)
-                for v in value_cols:
-                    col = pdf[prefix + v].astype(object)
-                    col.iloc[0] = last[v] if first_same else None
-                    pdf[prefix + v] = col
-            pdf["_head"] = head
-            last = pdf.iloc[-1]
-            yield pdf[[f.name for f in out_schema.fields]]
-
-    scanned = ranged.mapInPandas(scan, out_schema)
-
-    # Last row of every non-empty partition, then the previous non-empty partition's last row for each pid.
-    last_of = ranged.groupBy("_pid").agg(
-        F.max_by(F.struct(*group_cols, *value_cols), F.struct(*keys)).alias("_tail"))
-    tails = (last_of.withColumn("_prev_tail", F.lag("_tail").over(Window.orderBy("_pid")))
-             .select("_pid", "_prev_tail"))
-    joined = scanned.join(F.broadcast(tails), "_pid", "left")
+    points = split_points(df, keys, n, sample_rows)
+    b = df.withColumn("_b", bucket_of(keys, points, df.schema))
+
+    w = Window.partitionBy("_b", *group_cols).orderBy(*order_cols)
+    lagged = b.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols],
+                      (F.row_number().over(w) == 1).alias("_head"))
+
+    # Last row of every non-empty bucket (partial aggregate per task), then each bucket's predecessor tail.
+    tails = b.groupBy("_b").agg(F.max_by(F.struct(*group_cols, *value_cols), F.struct(*keys)).alias("_tail"))
+    prev_tails = tails.select("_b", F.lag("_tail").over(Window.orderBy("_b")).alias("_prev_tail"))
+
+    joined = lagged.join(F.broadcast(prev_tails), "_b", "left")  # at most num_buckets rows
     same_group = F.lit(True)
     for g in group_cols:
         same_group = same_group & F.col(g).eqNullSafe(F.col("_prev_tail." + g))
     fixed = [F.when(F.col("_head"), F.when(same_group, F.col("_prev_tail." + v)))
              .otherwise(F.col(prefix + v)).alias(prefix + v) for v in value_cols]
-    return joined.select(*[c for c in df.columns], *fixed)
+    return joined.select(*df.columns, *fixed)
 
 
 def previous_in_order_hash(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import buckets, dates, text
 from ..functions.numbers import ratio_half_up
-from .joins import broadcast_if_bounded
+from .topn import group_top_n
 
 # Columns of the session-detail output (reference table ``session_detail``, without date and city).
 DETAIL_COLUMNS = ["user_id", "session_id", "page_id", "action_time", "search_keyword", "click_category_id",
@@ -105,27 +105,38 @@ def hour_quota(sessions: DataFrame, total: int) -> DataFrame:
 
 
 def random_extract(sessions: DataFrame, total: int, seed: str = "clickscope", task_id: int | None = None,
-                   date_hours_bound: int = 24 * 3660) -> DataFrame:
+                   date_hours_bound: int | None = None) -> DataFrame:
     """TOP-6 + WIN-6: stratified draw of about ``total`` sessions, proportional to sessions per hour.
 
     Inside an hour the draw is the first ``quota`` sessions ordered by ``md5(seed || session_id)``:
-    reproducible, uniform, and the same in any engine. The rank filter also carries the literal ``total``
-    (no hour can get more), so Spark keeps at most ``total`` rows per hour and map task before the shuffle.
+    reproducible, uniform, and the same in any engine. No hour can get more than ``total``, so ranking is a
+    group top-``total`` (partial limit before the shuffle, or salted two-stage for large totals): a hot hour
+    is never sorted whole in one task. The quota table has one row per date-hour; it is broadcast only with a
+    known bound (``date_hours_bound``, e.g. 24 × days of the task's date range), else AQE decides at runtime.
     """
     q = hour_quota(sessions, total).select("date", "hour", "quota")
-    q, _ = broadcast_if_bounded(q, date_hours_bound)
+    if date_hours_bound is not None:
+        q = F.broadcast(q)
     d, h = dates.date_and_hour("start_time")
     s = sessions.withColumn("date", d).withColumn("hour", h).join(q, ["date", "hour"])
-    w = Window.partitionBy("date", "hour").orderBy(F.md5(F.concat(F.lit(seed), F.col("session_id"))),
-                                                     F.col("session_id"))
-    picked = (s.withColumn("_rn", F.row_number().over(w))
-              .where((F.col("_rn") <= F.lit(total)) & (F.col("_rn") <= F.col("quota"))))
+    order = [F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id")]
+    picked = group_top_n(s, ["date", "hour"], order, total, "_rn", salt_col="session_id")
+    picked = picked.where(F.col("_rn") <= F.col("quota"))
     cols = ["session_id", "start_time", "search_keyword_list", "click_category_list"]
     if task_id is not None:
         cols = [F.lit(task_id).cast("bigint").alias("task_id"), *cols]
     return picked.select(*cols)
 
 
+def date_hours_in_range(start_date: str | None, end_date: str | None) -> int | None:
+    """24 × number of days in ``[start_date, end_date]``: a proven bound on the hour-quota table."""
+    import datetime as _dt
+    if start_date is None or end_date is None:
+        return None
+    days = (_dt.date.fromisoformat(end_date) - _dt.date.fromisoformat(start_date)).days + 1
+    return max(0, days) * 24
+
+
 def date_hour_counts(sessions: DataFrame) -> DataFrame:
     """AGG-4 as a table: ``date_hour (yyyy-MM-dd_HH), session_count``."""
     return sessions.groupBy(dates.date_hour("start_time").alias("date_hour")).agg(

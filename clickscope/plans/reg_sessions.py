@@ -162,7 +162,8 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, session_id, {fmt_time('start_ts')}
        nullif(array_to_string(cat_list, ','), '') AS click_category_ids
 FROM picked"""))
 def q_session_random_extract(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_output(sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID))
+    return sessions.session_output(sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID,
+                                  date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE)))
 
 
 @register("session_random_extract_detail", with_ctes(["uva", "user_info"], f"""{_EXTRACT_SQL}
@@ -170,7 +171,8 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, {_DETAIL_SQL_COLS}
 FROM uva u WHERE u.date BETWEEN '2024-01-01' AND '2024-01-31' AND u.session_id IN (SELECT session_id FROM picked)"""))
 def q_session_random_extract_detail(spark: SparkSession, sf: str) -> DataFrame:
     scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
-    ext = sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID)
+    ext = sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID,
+                                  date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE))
     return _detail_out(sessions.session_detail(scoped, ext, TASK_ID))
 
 

@@ -41,7 +41,8 @@ def run_session_job(actions: DataFrame, users: DataFrame, p: SessionParams, task
     detail = sessions.session_detail(scoped, sess)
     if cut_lineage:
         detail = detail.checkpoint(eager=True)
-    extract = sessions.random_extract(sess, extract_total, task_id=task_id)
+    extract = sessions.random_extract(sess, extract_total, task_id=task_id,
+                                      date_hours_bound=sessions.date_hours_in_range(p.start_date, p.end_date))
     top_cat = categories.top_categories(categories.category_counts(detail), top_n, task_id)
     top_sess = categories.top_sessions(detail, top_cat, top_n, task_id)
     return SessionJobResult(

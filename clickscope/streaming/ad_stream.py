@@ -47,8 +47,9 @@ TREND_KEYS = ["date", "hour", "minute", "ad_id"]
 
 class AdClickStream:
     def __init__(self, spark: SparkSession, root: str, threshold: int = ads.DEFAULT_THRESHOLD, top_n: int = 3,
-                 watermark: str | None = None, trend_window: str = "1 minute"):
+                 watermark: str | None = None, trend_window: str = "1 minute", broadcast_rows: int = 5_000_000):
         self.spark = spark
+        self.broadcast_rows = broadcast_rows
         self.root = root.rstrip("/")
         self.threshold = threshold
         self.top_n = top_n
@@ -79,7 +80,7 @@ class AdClickStream:
             return
         in_dates = F.col("date").isin(dates)
         listed = lt.read_append(self.blacklist_table, upto=batch_id - 1)
-        clicks = ads.filter_blacklisted(parsed, listed)
+        clicks = ads.filter_blacklisted(parsed, listed, self.broadcast_rows)
 
         delta = ads.user_ad_click_counts(clicks)
         lt.increment_upsert(self.counts, delta, batch_id)

@@ -43,3 +43,16 @@ def test_broadcast_only_when_bounded(spark):
     _, used = joins.broadcast_if_bounded(b, 100)
     assert not used
     assert rows_set(joins.broadcast_join(b, s, "k", max_rows=10), "id") == rows_set(b.join(s, "k"), "id")
+
+
+def test_salted_two_stage_top_n_equals_plain(spark):
+    from clickscope.operators.topn import group_top_n
+    b, _ = big_small(spark)
+    order = [F.desc("id"), F.asc("id")]
+    plain = rows_set(group_top_n(b, ["k"], order, 5), "k", "id", "rank")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        salted = group_top_n(b, ["k"], order, 5, salt_col="id", salts=7)
+        assert rows_set(salted, "k", "id", "rank") == plain
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
