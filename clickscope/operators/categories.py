@@ -43,14 +43,21 @@ def category_counts(actions: DataFrame) -> DataFrame:
 
 
 def category_counts_joined(actions: DataFrame) -> DataFrame:
-    """The reference's shape of the same result: SET-1 (union + distinct), three AGG-6 counts, three
-    left joins with missing → 0 (FN-22). Kept for parity; :func:`category_counts` is the one-shuffle form."""
-    ev = category_events(actions)
-    ids = ev.select("category_id").distinct()
-    click = ev.where("c = 1").groupBy("category_id").agg(F.count(F.lit(1)).alias("click_count"))
-    order = ev.where("o = 1").groupBy("category_id").agg(F.count(F.lit(1)).alias("order_count"))
-    pay = ev.where("p = 1").groupBy("category_id").agg(F.count(F.lit(1)).alias("pay_count"))
-    out = ids.join(click, "category_id", "left").join(order, "category_id", "left").join(pay, "category_id", "left")
+    """The reference's shape of the same result: SET-1 (union of the clicked, ordered and paid category ids,
+    then distinct), three AGG-6 counts, three left joins with missing → 0 (FN-22). Kept for parity;
+    :func:`category_counts` is the one-shuffle form."""
+    click = actions.where(action_type("click")).select(F.col("click_category_id").alias("category_id"))
+    order = actions.where(action_type("order")).select(
+        F.explode(text.csv_to_longs("order_category_ids")).alias("category_id"))
+    pay = actions.where(action_type("pay")).select(F.explode(text.csv_to_longs("pay_category_ids")).alias("category_id"))
+    ids = click.unionByName(order).unionByName(pay).distinct()
+
+    def counted(df, name):
+        return df.groupBy("category_id").agg(F.count(F.lit(1)).alias(name))
+
+    out = (ids.join(counted(click, "click_count"), "category_id", "left")
+           .join(counted(order, "order_count"), "category_id", "left")
+           .join(counted(pay, "pay_count"), "category_id", "left"))
     return out.select("category_id", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
                                        for c in ("click_count", "order_count", "pay_count")])
 

@@ -78,4 +78,12 @@ def q_area_top3_product(spark: SparkSession, sf: str) -> DataFrame:
                          TASK_ID)
 
 
+@register("area_top3_product_sql", SQL["area_top3_product"])
+def q_area_top3_product_sql(spark: SparkSession, sf: str) -> DataFrame:
+    from .area_sql import area_top3_sql
+    actions = tables.user_visit_action(spark, sf, START_DATE, END_DATE)
+    return area_top3_sql(spark, actions, tables.city_info(spark, sf), tables.product_info(spark, sf), START_DATE,
+                         END_DATE, TASK_ID)
+
+
 from . import reg_ads, reg_misc, reg_pages, reg_sessions, reg_stream  # noqa: E402,F401  (register their queries)
