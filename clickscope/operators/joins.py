@@ -39,11 +39,19 @@ def _salt_range(n: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")
 
 
+def salt(n: int, salt_col: str | None = None, seed: int = 7) -> Column:
+    """Salt in ``[0, n)``: a hash of a unique column when there is one (the same value on every recomputation,
+    so a retried stage is not indeterminate), else ``rand(seed)``."""
+    if salt_col is not None:
+        return F.pmod(F.xxhash64(F.col(salt_col)), F.lit(n)).cast("int")
+    return F.floor(F.rand(seed) * n).cast("int")
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, n: int = 10, seed: int = 7,
-                how: str = "inner") -> DataFrame:
-    """JOIN-12: random salt 0..n-1 on ``big``; ``small`` copied once per salt value (``sequence``, not random,
-    so every salt finds its match: decision D24). Equal to ``big.join(small, key, how)`` for inner/left."""
-    b = big.withColumn("_salt", F.floor(F.rand(seed) * n).cast("int"))
+                how: str = "inner", salt_col: str | None = None) -> DataFrame:
+    """JOIN-12: salt 0..n-1 on ``big``; ``small`` copied once per salt value (``sequence``, not random, so
+    every salt finds its match: decision D24). Equal to ``big.join(small, key, how)`` for inner/left."""
+    b = big.withColumn("_salt", salt(n, salt_col, seed))
     s = small.select("*", _salt_range(n))
     return b.join(s, [key, "_salt"], how).drop("_salt")
 
@@ -59,7 +67,7 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.1, seed: int = 9, top:
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, fraction: float = 0.1, seed: int = 9,
-              top: int = 1, n_salts: int = 100, how: str = "inner") -> DataFrame:
+              top: int = 1, n_salts: int = 100, how: str = "inner", salt_col: str | None = None) -> DataFrame:
     """JOIN-11: split the sampled hot keys off ``left``, join them salted against ``right`` copied ``n_salts``
     times, join the rest plainly, union both parts (SET-2). Same rows as ``left.join(right, key, how)``
     for ``how`` in inner/left."""
@@ -68,20 +76,21 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, fraction: float = 0.1
     left_rest = left.join(hot, key, "left_anti")
     right_hot = right.join(hot, key, "left_semi")
     right_rest = right.join(hot, key, "left_anti")
-    part_hot = salted_join(left_hot, right_hot, key, n_salts, seed, how)
+    part_hot = salted_join(left_hot, right_hot, key, n_salts, seed, how, salt_col)
     part_rest = left_rest.join(right_rest, key, how)
     return part_hot.unionByName(part_rest)
 
 
 def salted_agg(df: DataFrame, keys: list[str], n: int = 10, seed: int = 11,
-               count_col: str = "cnt", sum_cols: dict[str, str] | None = None) -> DataFrame:
+               count_col: str = "cnt", sum_cols: dict[str, str] | None = None,
+               salt_col: str | None = None) -> DataFrame:
     """AGG-10/11: two-stage aggregate; stage 1 groups by ``keys + salt``, stage 2 by ``keys``.
 
     ``sum_cols`` maps output name → input column. Stage 2 sums the partial counts (the reference's commented
     SQL used ``count`` there, which is wrong).
     """
     sum_cols = sum_cols or {}
-    salted = df.withColumn("_salt", F.floor(F.rand(seed) * n).cast("int"))
+    salted = df.withColumn("_salt", salt(n, salt_col, seed))
     stage1 = salted.groupBy(*keys, "_salt").agg(
         F.count(F.lit(1)).alias(count_col), *[F.sum(c).alias(o) for o, c in sum_cols.items()])
     return stage1.groupBy(*keys).agg(

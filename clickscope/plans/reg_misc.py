@@ -25,13 +25,13 @@ def _join_sides(spark, sf):
 @register("salted_join", _JOIN_SQL)
 def q_salted_join(spark: SparkSession, sf: str) -> DataFrame:
     a, u = _join_sides(spark, sf)
-    return joins.salted_join(a, u, "user_id", n=8)
+    return joins.salted_join(a, u, "user_id", n=8, salt_col="event_id")
 
 
 @register("skew_join", _JOIN_SQL)
 def q_skew_join(spark: SparkSession, sf: str) -> DataFrame:
     a, u = _join_sides(spark, sf)
-    return joins.skew_join(a, u, "user_id", fraction=0.1, seed=9, top=3, n_salts=16)
+    return joins.skew_join(a, u, "user_id", fraction=0.1, seed=9, top=3, n_salts=16, salt_col="event_id")
 
 
 @register("broadcast_join", with_ctes(["uva", "city_info"], """
@@ -46,7 +46,8 @@ SELECT city_id, page_id, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS event
 FROM uva GROUP BY city_id, page_id"""))
 def q_salted_agg(spark: SparkSession, sf: str) -> DataFrame:
     a = tables.user_visit_action(spark, sf)
-    out = joins.salted_agg(a, ["city_id", "page_id"], n=8, sum_cols={"event_id_sum": "event_id"})
+    out = joins.salted_agg(a, ["city_id", "page_id"], n=8, sum_cols={"event_id_sum": "event_id"},
+                           salt_col="event_id")
     return out.withColumn("event_id_sum", F.col("event_id_sum").cast("bigint"))
 
 

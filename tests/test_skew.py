@@ -19,6 +19,7 @@ def test_salted_join_equals_plain(spark):
     assert rows_set(joins.salted_join(b, s, "k", n=8), "id", "k", "name") == plain
     left = rows_set(b.join(s, "k", "left"), "id", "k", "name")
     assert rows_set(joins.salted_join(b, s, "k", n=5, how="left"), "id", "k", "name") == left
+    assert rows_set(joins.salted_join(b, s, "k", n=6, salt_col="id"), "id", "k", "name") == plain
 
 
 def test_skew_join_equals_plain(spark):
