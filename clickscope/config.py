@@ -45,8 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder (cluster file system) for sink tables, stream checkpoints and lineage cuts."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
-    return root.rstrip("/")
+    """Shared folder (cluster file system) for sink tables, stream checkpoints and lineage cuts.
+
+    Taken from the session's ``spark.checkpoint.dir``; a session without one (a local test) gets its own.
+    """
+    return ensure_checkpoint_dir(spark).rstrip("/")
