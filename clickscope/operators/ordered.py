@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_SAMPLE_ROWS = 200_000
+DEFAULT_SAMPLE_ROWS = 200_000   # upper bound on keys sent to the driver
+SAMPLES_PER_BUCKET = 256        # enough for even cuts; the sample is min(both) keys
 MAX_BUCKETS = 4096
 
 
@@ -32,18 +33,22 @@ def _literal(v, dtype: T.DataType) -> Column:
     return F.lit(v).cast(dtype)
 
 
-def split_points(df: DataFrame, keys: list[str], num_buckets: int, sample_rows: int = DEFAULT_SAMPLE_ROWS,
-                 seed: int = 17) -> list[tuple]:
-    """Up to ``num_buckets - 1`` ascending, distinct key tuples cutting ``df`` into about equal ranges."""
-    if num_buckets <= 1:
-        return []
+def sample_keys(df: DataFrame, keys: list[str], num_buckets: int, sample_rows: int = DEFAULT_SAMPLE_ROWS,
+                seed: int = 17) -> list[tuple]:
+    """A sorted Bernoulli sample of the key tuples, at most about ``min(sample_rows, 256 × buckets)`` of them."""
     keyed = df.select(*keys).dropna()
     total = keyed.count()
     if total == 0:
         return []
-    frac = min(1.0, sample_rows / total)
+    frac = min(1.0, min(sample_rows, SAMPLES_PER_BUCKET * num_buckets) / total)
     sample = keyed if frac >= 1.0 else keyed.sample(False, frac, seed)
-    rows = sorted(tuple(r) for r in sample.collect())  # bounded: about ``sample_rows`` tuples
+    return sorted(tuple(r) for r in sample.collect())  # bounded, see above
+
+
+def points_from_sample(rows: list[tuple], num_buckets: int) -> list[tuple]:
+    """Up to ``num_buckets - 1`` ascending, distinct cut keys at even quantiles of the sample."""
+    if num_buckets <= 1 or len(rows) < 2:
+        return []
     m = min(num_buckets - 1, len(rows) - 1)
     pts: list[tuple] = []
     for i in range(1, m + 1):
@@ -53,6 +58,25 @@ def split_points(df: DataFrame, keys: list[str], num_buckets: int, sample_rows:
     return pts
 
 
+def split_points(df: DataFrame, keys: list[str], num_buckets: int, sample_rows: int = DEFAULT_SAMPLE_ROWS,
+                 seed: int = 17) -> list[tuple]:
+    """Cut keys splitting ``df`` into about ``num_buckets`` equal ranges of ``keys``."""
+    if num_buckets <= 1:
+        return []
+    return points_from_sample(sample_keys(df, keys, num_buckets, sample_rows, seed), num_buckets)
+
+
+def has_hot_group(rows: list[tuple], n_group_cols: int, num_buckets: int) -> bool:
+    """True when some group holds more than one bucket's share of the sampled keys."""
+    if not rows:
+        return False
+    counts: dict = {}
+    for r in rows:
+        g = r[:n_group_cols]
+        counts[g] = counts.get(g, 0) + 1
+    return max(counts.values()) > len(rows) / max(1, num_buckets)
+
+
 def bucket_of(keys: list[str], points: list[tuple], schema: T.StructType) -> Column:
     """Index of the range holding ``struct(keys)``: bucket b holds ``points[b-1] <= key < points[b]``."""
     key = F.struct(*[F.col(k) for k in keys])
@@ -69,17 +93,24 @@ def bucket_of(keys: list[str], points: list[tuple], schema: T.StructType) -> Col
 
 def previous_in_order(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str],
                       prefix: str = "prev_", num_buckets: int | None = None,
-                      sample_rows: int = DEFAULT_SAMPLE_ROWS) -> DataFrame:
+                      sample_rows: int = DEFAULT_SAMPLE_ROWS, strategy: str = "auto") -> DataFrame:
     """Add ``prefix + v`` = ``v`` of the preceding row of the same group (null on a group's first row).
 
     ``order_cols`` must make the order total inside a group (end with a unique id). Key columns should be
     non-null (rows with null keys all fall into the bucket the comparisons send them to, deterministically).
+    ``strategy``: ``'range'`` always buckets; ``'hash'`` is the plain window; ``'auto'`` buckets only when the
+    key sample shows a group larger than one bucket's share (otherwise the plain window is already safe).
     """
+    if strategy == "hash":
+        return previous_in_order_hash(df, group_cols, order_cols, value_cols, prefix)
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = max(1, min(n, MAX_BUCKETS))
     keys = [*group_cols, *order_cols]
-    points = split_points(df, keys, n, sample_rows)
+    sample = sample_keys(df, keys, n, sample_rows)
+    if strategy == "auto" and not has_hot_group(sample, len(group_cols), n):
+        return previous_in_order_hash(df, group_cols, order_cols, value_cols, prefix)
+    points = points_from_sample(sample, n)
     b = df.withColumn("_b", bucket_of(keys, points, df.schema))
 
     w = Window.partitionBy("_b", *group_cols).orderBy(*order_cols)

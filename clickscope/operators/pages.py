@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio_half_up
-from .ordered import previous_in_order, previous_in_order_hash
+from .ordered import previous_in_order
 
 
 def flow_pairs(flow: list[int]) -> list[tuple[int, str]]:
@@ -18,16 +18,16 @@ def parse_flow(text: str) -> list[int]:
     return [int(x) for x in text.split(",") if x.strip() != ""]
 
 
-def page_pairs(actions: DataFrame, strategy: str = "range") -> DataFrame:
+def page_pairs(actions: DataFrame, strategy: str = "auto") -> DataFrame:
     """WIN-2 + TOP-5: every action with the page of the action before it in its session.
 
-    Order inside a session: ``action_time`` then ``event_id`` (D5). ``strategy='range'`` splits a hot session
-    over tasks (see :mod:`.ordered`); ``'hash'`` is the plain window. Output: ``session_id, prev_page_id,
-    page_id, action_time, event_id`` for actions that have a predecessor.
+    Order inside a session: ``action_time`` then ``event_id`` (D5). ``strategy``: ``'auto'`` (range buckets
+    when a sampled session is hot, see :mod:`.ordered`), ``'range'`` (always), ``'hash'`` (plain window).
+    Output: ``session_id, prev_page_id, page_id, action_time, event_id`` for actions that have a predecessor.
     """
     base = actions.select("session_id", "page_id", "action_time", "event_id")
-    fn = previous_in_order if strategy == "range" else previous_in_order_hash
-    with_prev = fn(base, ["session_id"], ["action_time", "event_id"], ["page_id"])
+    with_prev = previous_in_order(base, ["session_id"], ["action_time", "event_id"], ["page_id"],
+                                  strategy=strategy)
     return (with_prev.where(F.col("prev_page_id").isNotNull())
             .select("session_id", "prev_page_id", "page_id", "action_time", "event_id"))
 

@@ -47,6 +47,14 @@ def q_page_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pages.page_pairs(_scoped(spark, sf)).withColumn("action_time", dates.format_time("action_time"))
 
 
+@register("page_pairs_range", with_ctes(["uva"], f"""WITH {_PAIRS}
+SELECT session_id, prev_page_id, page_id, {fmt_time('action_time')} AS action_time, event_id FROM pairs"""))
+def q_page_pairs_range(spark: SparkSession, sf: str) -> DataFrame:
+    """The range-bucket path forced (what ``auto`` picks when a session is hot)."""
+    return pages.page_pairs(_scoped(spark, sf), strategy="range").withColumn(
+        "action_time", dates.format_time("action_time"))
+
+
 @register("page_pairs_hash", with_ctes(["uva"], f"""WITH {_PAIRS}
 SELECT session_id, prev_page_id, page_id, {fmt_time('action_time')} AS action_time, event_id FROM pairs"""))
 def q_page_pairs_hash(spark: SparkSession, sf: str) -> DataFrame:

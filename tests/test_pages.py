@@ -52,10 +52,14 @@ def test_range_lag_equals_hash_lag_with_hot_group(spark):
         rows.append(action(sid, rnd.randrange(5000), i, page_id=rnd.randrange(10)))
     acts = actions_df(spark, rows).select("session_id", "page_id", "action_time", "event_id")
     a = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=7,
-                                  sample_rows=500)
+                                  sample_rows=500, strategy="range")
+    sample = ordered.sample_keys(acts, ["session_id", "action_time", "event_id"], 7, 500)
+    assert ordered.has_hot_group(sample, 1, 7)
+    auto = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=7,
+                                     sample_rows=500)
     b = ordered.previous_in_order_hash(acts, ["session_id"], ["action_time", "event_id"], ["page_id"])
     cols = ["event_id", "prev_page_id"]
-    assert rows_set(a, *cols) == rows_set(b, *cols)
+    assert rows_set(a, *cols) == rows_set(b, *cols) == rows_set(auto, *cols)
     # the hot session is cut into several buckets
     pts = ordered.split_points(acts, ["session_id", "action_time", "event_id"], 7, 500)
     b = acts.select(ordered.bucket_of(["session_id", "action_time", "event_id"], pts, acts.schema).alias("b"),
@@ -66,7 +70,8 @@ def test_range_lag_equals_hash_lag_with_hot_group(spark):
 def test_range_lag_single_partition_and_empty(spark):
     rows = [action("x", i, i, page_id=i % 3) for i in range(10)]
     acts = actions_df(spark, rows).select("session_id", "page_id", "action_time", "event_id")
-    a = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=1)
+    a = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=1,
+                                  strategy="range")
     assert rows_set(a, "event_id", "prev_page_id") == [(i, None if i == 0 else (i - 1) % 3) for i in range(10)]
     empty = acts.where("false")
     assert ordered.previous_in_order(empty, ["session_id"], ["action_time", "event_id"], ["page_id"]).count() == 0
