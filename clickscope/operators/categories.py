@@ -100,5 +100,9 @@ def top_sessions(actions: DataFrame, top_cats: DataFrame, n: int = 10, task_id:
 
 def top_session_detail(actions: DataFrame, top_sess: DataFrame) -> DataFrame:
     """JOIN-6: action rows of the top sessions; a session on top in several categories is repeated once per
-    category (inner join, as the reference). Use ``distinct`` sessions first for one copy."""
-    return top_sess.select("category_id", "session_id").join(actions, "session_id", "inner")
+    category (inner join, as the reference). Use ``distinct`` sessions first for one copy.
+
+    ``top_sess`` has at most (top categories × top sessions) rows, so it is broadcast and the action table is
+    read without a shuffle.
+    """
+    return actions.join(F.broadcast(top_sess.select("category_id", "session_id")), "session_id", "inner")

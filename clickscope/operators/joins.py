@@ -70,14 +70,17 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, fraction: float = 0.1
               top: int = 1, n_salts: int = 100, how: str = "inner", salt_col: str | None = None) -> DataFrame:
     """JOIN-11: split the sampled hot keys off ``left``, join them salted against ``right`` copied ``n_salts``
     times, join the rest plainly, union both parts (SET-2). Same rows as ``left.join(right, key, how)``
-    for ``how`` in inner/left."""
-    hot = F.broadcast(hot_keys(left, key, fraction, seed, top).select(key))
-    left_hot = left.join(hot, key, "left_semi")
-    left_rest = left.join(hot, key, "left_anti")
-    right_hot = right.join(hot, key, "left_semi")
-    right_rest = right.join(hot, key, "left_anti")
-    part_hot = salted_join(left_hot, right_hot, key, n_salts, seed, how, salt_col)
-    part_rest = left_rest.join(right_rest, key, how)
+    for ``how`` in inner/left.
+
+    The hot keys (at most ``top`` values) come to the driver once and split both sides with literal ``IN``
+    filters, so the sample is not recomputed per branch.
+    """
+    hot = [r[0] for r in hot_keys(left, key, fraction, seed, top).collect()]  # at most ``top`` values
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.col(key).isin(hot)
+    part_hot = salted_join(left.where(is_hot), right.where(is_hot), key, n_salts, seed, how, salt_col)
+    part_rest = left.where(~is_hot | F.col(key).isNull()).join(right.where(~is_hot), key, how)
     return part_hot.unionByName(part_rest)
 
 

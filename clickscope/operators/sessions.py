@@ -78,9 +78,18 @@ def session_stats(sessions: DataFrame, task_id: int, visit_buckets=buckets.VISIT
     return counts.select(*out)
 
 
-def session_detail(actions: DataFrame, sessions: DataFrame, task_id: int | None = None) -> DataFrame:
-    """JOIN-2 / JOIN-3: action rows of the given sessions (``left_semi``: no duplication, no session columns)."""
-    d = actions.join(sessions.select("session_id"), "session_id", "left_semi")
+def session_detail(actions: DataFrame, sessions: DataFrame, task_id: int | None = None,
+                   sessions_bound: int | None = None) -> DataFrame:
+    """JOIN-2 / JOIN-3: action rows of the given sessions (``left_semi``: no duplication, no session columns).
+
+    ``sessions_bound``: a proven maximum number of sessions (e.g. the random-extract total); then the session
+    ids are broadcast and the action table is not shuffled. Without it the join is left to AQE (a hot session
+    on the action side is split by AQE's skew handling).
+    """
+    ids = sessions.select("session_id")
+    if sessions_bound is not None:
+        ids = F.broadcast(ids)
+    d = actions.join(ids, "session_id", "left_semi")
     cols = [*DETAIL_COLUMNS, "event_id"]
     if task_id is not None:
         cols = [F.lit(task_id).cast("bigint").alias("task_id"), *cols]

@@ -173,7 +173,7 @@ def q_session_random_extract_detail(spark: SparkSession, sf: str) -> DataFrame:
     scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
     ext = sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID,
                                   date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE))
-    return _detail_out(sessions.session_detail(scoped, ext, TASK_ID))
+    return _detail_out(sessions.session_detail(scoped, ext, TASK_ID, sessions_bound=EXTRACT_TOTAL))
 
 
 # ------------------------------------------------------------ categories (on the filtered sessions' detail)

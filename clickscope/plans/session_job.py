@@ -50,7 +50,7 @@ def run_session_job(actions: DataFrame, users: DataFrame, p: SessionParams, task
         stats=sessions.session_stats(sess, task_id, visit_buckets, step_buckets),
         detail=detail.select("task_id", *sessions.DETAIL_COLUMNS) if "task_id" in detail.columns else detail,
         extract=extract,
-        extract_detail=sessions.session_detail(scoped, extract, task_id),
+        extract_detail=sessions.session_detail(scoped, extract, task_id, sessions_bound=extract_total),
         top_categories=top_cat,
         top_sessions=top_sess,
         top_session_detail=categories.top_session_detail(detail, top_sess),

@@ -41,10 +41,22 @@ class LogTable:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols, BATCH).parquet(self.path))
 
-    def read_log(self, upto: int | None = None, where=None) -> DataFrame:
-        """All batch rows (``batch_id <= upto`` when given). Partition columns keep their declared types."""
+    def read_log(self, upto: int | None = None, where=None, partitions: dict | None = None) -> DataFrame:
+        """All batch rows (``batch_id <= upto`` when given). Partition columns keep their declared types.
+
+        ``partitions`` (``{"date": [...]}`` on the first partition column) lists only those directories, so
+        a stream batch does not enumerate the whole table.
+        """
+        path = self.path
+        reader = self.spark.read.schema(self.full_schema)
+        if partitions:
+            (col, values), = partitions.items()
+            if not values:
+                return self.spark.createDataFrame([], self.full_schema)
+            path = f"{self.path}/{col}={{{','.join(str(v) for v in values)}}}"
+            reader = reader.option("basePath", self.path)
         try:
-            df = self.spark.read.schema(self.full_schema).parquet(self.path)
+            df = reader.parquet(path)
         except AnalysisException:
             df = self.spark.createDataFrame([], self.full_schema)
         if upto is not None:
@@ -60,9 +72,9 @@ def increment_upsert(table: LogTable, delta: DataFrame, batch_id: int) -> None:
 
 
 def read_increment(table: LogTable, keys: list[str], value_cols: list[str], upto: int | None = None,
-                   where=None) -> DataFrame:
+                   where=None, partitions: dict | None = None) -> DataFrame:
     """Current totals per key: sum of every batch's delta (partial sums per task, one shuffle)."""
-    return table.read_log(upto, where).groupBy(*keys).agg(
+    return table.read_log(upto, where, partitions).groupBy(*keys).agg(
         *[F.sum(c).cast("bigint").alias(c) for c in value_cols])
 
 

@@ -72,28 +72,34 @@ class AdClickStream:
             batch.unpersist()
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        lt.append_rows(self.rejects, adlog.parse_ad_log_rejects(batch), batch_id)
+        rejects = adlog.parse_ad_log_rejects(batch)
+        if not rejects.isEmpty():
+            lt.append_rows(self.rejects, rejects, batch_id)
         parsed = adlog.parse_ad_log(batch)
-        # The dates of one micro-batch: a handful of values, used as literal partition filters.
+        # The dates of one micro-batch: a handful of values, used to list only those partitions.
         dates = sorted(r[0] for r in parsed.select("date").distinct().collect())
         if not dates:
             return
-        in_dates = F.col("date").isin(dates)
+        only = {"date": dates}
         listed = lt.read_append(self.blacklist_table, upto=batch_id - 1)
-        clicks = ads.filter_blacklisted(parsed, listed, self.broadcast_rows)
-
-        delta = ads.user_ad_click_counts(clicks)
-        lt.increment_upsert(self.counts, delta, batch_id)
-        totals = (lt.read_increment(self.counts, COUNT_KEYS, ["click_count"], upto=batch_id, where=in_dates)
-                  .join(delta.select(*COUNT_KEYS), COUNT_KEYS, "left_semi"))
-        new_users = ads.blacklist_from_counts(totals, self.threshold).join(listed, "user_id", "left_anti")
-        lt.append_rows(self.blacklist_table, new_users, batch_id)
-
-        lt.increment_upsert(self.stat, ads.ad_stat(clicks), batch_id)
-        stat_now = lt.read_increment(self.stat, STAT_KEYS, ["click_count"], upto=batch_id, where=in_dates)
-        touched = clicks.select("date", "province").distinct()
-        top = ads.province_top(stat_now, self.top_n).join(touched, ["date", "province"], "left_semi")
-        lt.replace_group(self.top, top, batch_id)
+        # Both are read by several steps below; keep them for the length of this batch only.
+        clicks = ads.filter_blacklisted(parsed, listed, self.broadcast_rows).persist()
+        delta = ads.user_ad_click_counts(clicks).persist()
+        try:
+            lt.increment_upsert(self.counts, delta, batch_id)
+            totals = (lt.read_increment(self.counts, COUNT_KEYS, ["click_count"], upto=batch_id, partitions=only)
+                      .join(delta.select(*COUNT_KEYS), COUNT_KEYS, "left_semi"))
+            new_users = ads.blacklist_from_counts(totals, self.threshold).join(listed, "user_id", "left_anti")
+            lt.append_rows(self.blacklist_table, new_users, batch_id)
+
+            lt.increment_upsert(self.stat, ads.ad_stat(clicks), batch_id)
+            stat_now = lt.read_increment(self.stat, STAT_KEYS, ["click_count"], upto=batch_id, partitions=only)
+            touched = clicks.select("date", "province").distinct()
+            top = ads.province_top(stat_now, self.top_n).join(touched, ["date", "province"], "left_semi")
+            lt.replace_group(self.top, top, batch_id)
+        finally:
+            delta.unpersist()
+            clicks.unpersist()
 
     def start_main(self, source: DataFrame, trigger: dict | None = None, name: str = "ad_main"):
         w = (source.writeStream.foreachBatch(self.process_batch)

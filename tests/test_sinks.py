@@ -45,3 +45,12 @@ def test_append_and_compact(spark, tmp_root):
     snap = lt.LogTable(spark, f"{tmp_root}/inc2-snap", SCHEMA, ("date",))
     lt.compact_increment(inc, ["date", "k"], ["v"], 2, snap)
     assert rows_set(lt.read_increment(snap, ["date", "k"], ["v"])) == [("d", "a", 6)]
+
+
+def test_read_selected_partitions(spark, tmp_root):
+    t = lt.LogTable(spark, f"{tmp_root}/sel", SCHEMA, ("date",))
+    lt.increment_upsert(t, spark.createDataFrame([("20240101", "a", 1), ("20240102", "b", 2)], SCHEMA), 0)
+    got = lt.read_increment(t, ["date", "k"], ["v"], partitions={"date": ["20240102", "20240109"]})
+    assert rows_set(got) == [("20240102", "b", 2)]
+    assert lt.read_increment(t, ["date", "k"], ["v"], partitions={"date": ["20240109"]}).count() == 0
+    assert lt.read_increment(t, ["date", "k"], ["v"], partitions={"date": []}).count() == 0
