@@ -49,3 +49,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     Taken from the session's ``spark.checkpoint.dir``; a session without one (a local test) gets its own.
     """
     return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def materialize(df):
+    """Cut lineage for an intermediate read several times: ``checkpoint()`` into the shared checkpoint folder
+    (survives executor loss, unlike a cache or ``localCheckpoint``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

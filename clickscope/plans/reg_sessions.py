@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checks.oracle_sql import fmt_time, ratio, with_ctes
+from ..config import materialize
 from ..functions import buckets, dates
 from ..operators import categories, sessions
 from ..operators.filters import filter_sessions
@@ -162,7 +163,9 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, session_id, {fmt_time('start_ts')}
        nullif(array_to_string(cat_list, ','), '') AS click_category_ids
 FROM picked"""))
 def q_session_random_extract(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_output(sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID,
+    # The sessions feed both the hour quotas and the draw: materialize them once.
+    return sessions.session_output(sessions.random_extract(materialize(_sessions(spark, sf)), EXTRACT_TOTAL,
+                                                           task_id=TASK_ID,
                                   date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE)))
 
 
@@ -171,7 +174,7 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, {_DETAIL_SQL_COLS}
 FROM uva u WHERE u.date BETWEEN '2024-01-01' AND '2024-01-31' AND u.session_id IN (SELECT session_id FROM picked)"""))
 def q_session_random_extract_detail(spark: SparkSession, sf: str) -> DataFrame:
     scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
-    ext = sessions.random_extract(_sessions(spark, sf), EXTRACT_TOTAL, task_id=TASK_ID,
+    ext = sessions.random_extract(materialize(_sessions(spark, sf)), EXTRACT_TOTAL, task_id=TASK_ID,
                                   date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE))
     return _detail_out(sessions.session_detail(scoped, ext, TASK_ID, sessions_bound=EXTRACT_TOTAL))
 
@@ -231,7 +234,7 @@ def q_top10_category(spark: SparkSession, sf: str) -> DataFrame:
 @register("top10_session", with_ctes(["uva", "user_info"], f"""{_DETAIL_CTE}
 SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, session_id, click_count FROM top_sess"""))
 def q_top10_session(spark: SparkSession, sf: str) -> DataFrame:
-    d = _detail(spark, sf)
+    d = materialize(_detail(spark, sf))  # read by the category ranking and the session ranking
     return categories.top_sessions(d, categories.top_categories(categories.category_counts(d), 10), 10, TASK_ID)
 
 
@@ -239,7 +242,7 @@ def q_top10_session(spark: SparkSession, sf: str) -> DataFrame:
 SELECT t.category_id, {_DETAIL_SQL_COLS.replace('u.', 'u.')}
 FROM top_sess t JOIN d u ON t.session_id = u.session_id"""))
 def q_top10_session_detail(spark: SparkSession, sf: str) -> DataFrame:
-    d = _detail(spark, sf)
+    d = materialize(_detail(spark, sf))  # read three times below
     top = categories.top_sessions(d, categories.top_categories(categories.category_counts(d), 10), 10)
     out = categories.top_session_detail(d, top)
     return _detail_out(out.select("category_id", *_DETAIL_COLS, "action_time"))

@@ -1,5 +1,6 @@
-"""Session analysis, composed from the operators. ``detail`` is reused by several outputs, so a job run
-cuts its lineage once (``checkpoint`` into the shared checkpoint folder) instead of recomputing the scan."""
+"""Session analysis, composed from the operators. The filtered sessions and their action rows feed several
+outputs, so the job cuts their lineage once (``checkpoint`` into the shared checkpoint folder) instead of
+recomputing the scan, the session aggregate and the semi join for every output."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..config import materialize
 from ..functions import buckets
 from ..operators import categories, sessions
 from ..operators.filters import filter_sessions
@@ -32,15 +34,15 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, p: SessionParams) ->
 
 
 def run_session_job(actions: DataFrame, users: DataFrame, p: SessionParams, task_id: int,
-                    extract_total: int = 100, top_n: int = 10, cut_lineage: bool = False,
+                    extract_total: int = 100, top_n: int = 10, cut_lineage: bool = True,
                     visit_buckets=buckets.VISIT_BUCKETS, step_buckets=buckets.STEP_BUCKETS) -> SessionJobResult:
     scoped = date_range_scan(actions, p.start_date, p.end_date)
     sess = filter_sessions(sessions.with_user_info(sessions.session_aggregate(scoped), users), p)
     if cut_lineage:
-        sess = sess.checkpoint(eager=True)
+        sess = materialize(sess)
     detail = sessions.session_detail(scoped, sess)
     if cut_lineage:
-        detail = detail.checkpoint(eager=True)
+        detail = materialize(detail)
     extract = sessions.random_extract(sess, extract_total, task_id=task_id,
                                       date_hours_bound=sessions.date_hours_in_range(p.start_date, p.end_date))
     top_cat = categories.top_categories(categories.category_counts(detail), top_n, task_id)
