@@ -17,7 +17,8 @@ _DEFS = [
     "CREATE OR REPLACE TEMPORARY FUNCTION remove_random_prefix(v STRING) RETURNS STRING "
     "RETURN regexp_replace(v, '^[0-9]+_', '')",
     "CREATE OR REPLACE TEMPORARY FUNCTION half_up_ratio(n BIGINT, d BIGINT) RETURNS DOUBLE "
-    "RETURN CASE WHEN d <> 0 THEN floor((cast(n AS DOUBLE) * 200.0D + cast(d AS DOUBLE)) / (cast(d AS DOUBLE) * 2.0D)) / 100.0D END",
+    "RETURN CASE WHEN d <> 0 THEN "
+    "floor((cast(n AS DOUBLE) * 200.0D + cast(d AS DOUBLE)) / (cast(d AS DOUBLE) * 2.0D)) / 100.0D END",
 ]
 
 

@@ -49,7 +49,8 @@ def category_counts_joined(actions: DataFrame) -> DataFrame:
     click = actions.where(action_type("click")).select(F.col("click_category_id").alias("category_id"))
     order = actions.where(action_type("order")).select(
         F.explode(text.csv_to_longs("order_category_ids")).alias("category_id"))
-    pay = actions.where(action_type("pay")).select(F.explode(text.csv_to_longs("pay_category_ids")).alias("category_id"))
+    pay = actions.where(action_type("pay")).select(
+        F.explode(text.csv_to_longs("pay_category_ids")).alias("category_id"))
     ids = click.unionByName(order).unionByName(pay).distinct()
 
     def counted(df, name):

@@ -14,12 +14,14 @@ from ..params import SessionParams
 from ..sources import scans, tables
 from .registry import END_DATE, START_DATE, TASK_ID, register
 
-# Parameters of the registered session queries (FIXTURES.md: age 10-50; extract total 1500 so that hour quotas bind).
+# Parameters of the registered session queries
+# (FIXTURES.md: age 10-50; extract total 1500 so that hour quotas bind)..
 AGE_PARAMS = SessionParams(start_date=START_DATE, end_date=END_DATE, start_age=10, end_age=50)
 ALL_PARAMS = SessionParams(start_date=START_DATE, end_date=END_DATE, start_age=10, end_age=50,
                            professionals=["BUILDING", "MACHINERY", "HOUSEHOLD"],
                            cities=[f"city{i}" for i in range(0, 25, 2)], sex="female",
-                           keywords=["kw1", "kw3", "kw5", "kw7"], category_ids=[str(i) for i in range(0, 100, 3)])
+                           keywords=["kw1", "kw3", "kw5", "kw7"],
+                           category_ids=[str(i) for i in range(0, 100, 3)])
 EXTRACT_TOTAL = 1500
 SCAN_FROM, SCAN_TO = "2024-01-05", "2024-01-20"
 HOURS_FACTOR = 1200

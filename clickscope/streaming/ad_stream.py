@@ -38,16 +38,20 @@ TOP_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("province",
                            T.StructField("click_count", _L)])
 TREND_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("hour", _S), T.StructField("minute", _S),
                              T.StructField("ad_id", _L), T.StructField("click_count", _L)])
+WINDOW_SCHEMA = T.StructType([T.StructField("window_start", _S), T.StructField("window_end", _S),
+                              T.StructField("ad_id", _L), T.StructField("click_count", _L)])
 REJECT_SCHEMA = T.StructType([T.StructField("value", _S)])
 
 COUNT_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
 TREND_KEYS = ["date", "hour", "minute", "ad_id"]
+WINDOW_KEYS = ["window_start", "ad_id"]
 
 
 class AdClickStream:
     def __init__(self, spark: SparkSession, root: str, threshold: int = ads.DEFAULT_THRESHOLD, top_n: int = 3,
-                 watermark: str | None = None, trend_window: str = "1 minute", broadcast_rows: int = 5_000_000):
+                 watermark: str | None = None, trend_window: str = "1 minute", trend_slide: str | None = None,
+                 broadcast_rows: int = 5_000_000):
         self.spark = spark
         self.broadcast_rows = broadcast_rows
         self.root = root.rstrip("/")
@@ -55,12 +59,14 @@ class AdClickStream:
         self.top_n = top_n
         self.watermark = watermark
         self.trend_window = trend_window
+        self.trend_slide = trend_slide  # e.g. window 60 s sliding 3 s; None = tumbling windows
         t = lambda name, schema, parts=("date",): lt.LogTable(spark, f"{self.root}/{name}", schema, parts)  # noqa
         self.counts = t("ad_user_click_count", COUNT_SCHEMA)
         self.blacklist_table = t("ad_blacklist", BLACKLIST_SCHEMA, ())
         self.stat = t("ad_stat", STAT_SCHEMA)
         self.top = t("ad_province_top3", TOP_SCHEMA)
         self.trend = t("ad_click_trend", TREND_SCHEMA)
+        self.trend_windows = t("ad_click_trend_window", WINDOW_SCHEMA, ())
         self.rejects = t("rejects", REJECT_SCHEMA, ())
 
     # ------------------------------------------------------------------ main query
@@ -111,11 +117,22 @@ class AdClickStream:
         clicks = adlog.parse_ad_log(source).withColumn("ts", F.col("ts").cast("timestamp"))
         if self.watermark:
             clicks = clicks.withWatermark("ts", self.watermark)
-        return clicks.groupBy(F.window("ts", self.trend_window).alias("w"), "ad_id").agg(
+        if self.trend_slide:
+            win = F.window("ts", self.trend_window, self.trend_slide)
+        else:
+            win = F.window("ts", self.trend_window)
+        return clicks.groupBy(win.alias("w"), "ad_id").agg(
             F.count(F.lit(1)).alias("click_count"))
 
     def _write_trend(self, batch: DataFrame, batch_id: int) -> None:
         start = F.col("w.start").cast("timestamp_ntz")
+        if self.trend_slide:
+            # Sliding windows overlap, so they are keyed by their exact start (second precision).
+            end = F.col("w.end").cast("timestamp_ntz")
+            rows = batch.select(F.date_format(start, "yyyyMMddHHmmss").alias("window_start"),
+                                F.date_format(end, "yyyyMMddHHmmss").alias("window_end"), "ad_id", "click_count")
+            lt.replace_upsert(self.trend_windows, rows, batch_id)
+            return
         rows = batch.select(F.date_format(start, "yyyyMMdd").alias("date"), F.date_format(start, "HH").alias("hour"),
                             F.date_format(start, "mm").alias("minute"), "ad_id", "click_count")
         lt.replace_upsert(self.trend, rows, batch_id)
@@ -141,6 +158,10 @@ class AdClickStream:
     def click_trend(self) -> DataFrame:
         return lt.read_replace(self.trend, TREND_KEYS, ["click_count"])
 
+    def click_trend_windows(self) -> DataFrame:
+        """Sliding-window counts (when ``trend_slide`` is set)."""
+        return lt.read_replace(self.trend_windows, WINDOW_KEYS, ["window_end", "click_count"])
+
     def rejected_lines(self) -> DataFrame:
         return lt.read_append(self.rejects)
 

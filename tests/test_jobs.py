@@ -47,3 +47,16 @@ def test_ad_batch_job(spark):
     assert total == kept <= clicks.count()
     assert r.province_top3.groupBy("date", "province").count().where("count > 3").count() == 0
     assert r.click_trend.count() > 0 and r.user_click_count.count() > 0
+
+
+def test_cli_runs_jobs(spark, tmp_root):
+    import pyarrow.parquet as pq
+
+    from clickscope.plans import cli
+    out = f"{tmp_root}/cli"
+    cli.main(["area", "--sf-dir", SF, "--task-id", "4", "--out", out,
+              "--params", '{"startDate":["2024-01-01"],"endDate":["2024-01-31"]}'])
+    cli.main(["page", "--sf-dir", SF, "--task-id", "5", "--out", out, "--params", '{"targetPageFlow":["1,2,3"]}'])
+    assert spark.read.parquet(f"{out}/area_top3_product").where("task_id = 4").count() > 0
+    assert spark.read.parquet(f"{out}/page_split_convert_rate").first()["convert_rate"].startswith("1_2=")
+    assert pq is not None

@@ -64,3 +64,14 @@ def test_trend_with_watermark(spark, tmp_root):
     job = AdClickStream(spark, f"{tmp_root}/wm", threshold=10_000, watermark="10 minutes")
     run_available(job, src, main=False)
     assert rows_set(job.click_trend()) == [("20240101", "10", "00", 1, 6), ("20240101", "10", "01", 1, 6)]
+
+
+def test_trend_sliding_window(spark, tmp_root):
+    src = f"{tmp_root}/ssrc"
+    _write(src, "a.txt", [line(i, "P", "C", 1, 1) for i in (0, 10, 40)])
+    job = AdClickStream(spark, f"{tmp_root}/slide", threshold=10_000, trend_window="60 seconds",
+                        trend_slide="30 seconds")
+    run_available(job, src, main=False)
+    got = {r["window_start"]: r["click_count"] for r in job.click_trend_windows().collect()}
+    # clicks at 10:00:00, :10, :40 in 60 s windows sliding by 30 s
+    assert got == {"20240101095930": 2, "20240101100000": 3, "20240101100030": 1}
