@@ -90,3 +90,25 @@ def test_sql_functions_registered(spark):
     r = spark.sql("SELECT concat_long_string(3, 'x', ':') a, json_field('{\"k\": 1}', 'k') b, "
                   "remove_random_prefix('3_ab') c, half_up_ratio(3, 200) d").first()
     assert tuple(r) == ("3:x", "1", "ab", 0.02)
+
+
+def test_remaining_helpers(spark):
+    t1 = F.lit("2024-01-02 03:04:05")
+    row = spark.range(1).select(
+        dates.parse_time(t1).alias("pt"), dates.parse_time(F.lit("bad")).alias("bad"),
+        dates.parse_datekey(F.lit("20240102")).alias("dk"), dates.parse_datekey(F.lit("2024")).alias("dk_bad"),
+        dates.date_hour(dates.parse_time(t1)).alias("dh"), dates.format_second(dates.parse_time(t1)).alias("sec"),
+        dates.before(dates.parse_time(t1), dates.parse_time(F.lit("2024-01-02 03:04:06"))).alias("b"),
+        dates.after(dates.parse_time(t1), dates.parse_time(F.lit("2024-01-02 03:04:06"))).alias("a"),
+        (dates.yesterday() < dates.today()).alias("y"),
+        text.is_empty(F.lit("")).alias("e1"), text.is_empty(F.lit(None).cast("string")).alias("e2"),
+        text.is_not_empty(F.lit("x")).alias("ne"),
+        numbers.to_long(F.lit(" 42 ")).alias("l"), numbers.to_long(F.lit("4x")).alias("lbad"),
+        numbers.round_half_up(F.lit(2.345), 2).alias("r"),
+    ).first()
+    assert row["pt"] == dt.datetime(2024, 1, 2, 3, 4, 5) and row["bad"] is None
+    assert row["dk"] == dt.date(2024, 1, 2) and row["dk_bad"] is None
+    assert row["dh"] == "2024-01-02_03" and row["sec"] == "20240102030405"
+    assert row["b"] is True and row["a"] is False and row["y"] is True
+    assert row["e1"] and row["e2"] and row["ne"]
+    assert row["l"] == 42 and row["lbad"] is None and row["r"] == 2.35
