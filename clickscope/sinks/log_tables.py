@@ -10,11 +10,18 @@ writes are idempotent. What "upsert" means is decided when reading:
 * append (SNK-1/2): all rows.
 
 Reads can stop at a batch (``upto``) so a batch computes from the state before itself, and partition columns
-(``date``) prune whole directories. ``compact`` folds old batches into one snapshot batch.
+(``date``) prune whole directories.
+
+Compaction (``compact_*``) folds all batches ``<= upto`` of some dates into one batch per date, in place:
+the table is registered in the catalog at its location and the folded rows replace the date's partition with
+``INSERT OVERWRITE … PARTITION (date = d, batch_id)``; the fold is first cut from its source with
+``checkpoint()``. Folding again gives the same rows, so a replayed compaction is harmless.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +42,17 @@ class LogTable:
     def full_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType(), False)])
 
+    def register(self) -> str:
+        """Catalog table over this location (needed for partition overwrite); returns its name."""
+        name = "clickscope_log_" + hashlib.md5(self.path.encode()).hexdigest()[:16]
+        parts = [*self.partition_cols, BATCH]
+        data = [f for f in self.schema.fields if f.name not in self.partition_cols]
+        cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in data]
+        cols += [f"`{c}` {self.full_schema[c].dataType.simpleString()}" for c in parts]
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols)}) USING parquet "
+                       f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{self.path}'")
+        return name
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         (df.select(*cols, F.lit(int(batch_id)).cast("bigint").alias(BATCH))
@@ -113,6 +131,45 @@ def read_append(table: LogTable, upto: int | None = None, where=None) -> DataFra
     return table.read_log(upto, where).select(*[f.name for f in table.schema.fields])
 
 
-def compact_increment(table: LogTable, keys: list[str], value_cols: list[str], upto: int, into: LogTable) -> None:
-    """Fold batches ``<= upto`` of an increment table into one snapshot batch of ``into`` (a new path)."""
-    increment_upsert(into, read_increment(table, keys, value_cols, upto), upto)
+def _compact(table: LogTable, fold, dates: list[str], upto: int) -> None:
+    """Replace the batches ``<= upto`` of each date in ``dates`` (first partition column) by ``fold(log)`` as
+    batch ``upto``; later batches are written back unchanged."""
+    from ..config import materialize
+
+    if not table.partition_cols or upto < 0:
+        return
+    name = table.register()
+    part = table.partition_cols[0]
+    data_cols = [f.name for f in table.schema.fields if f.name not in table.partition_cols]
+    for d in dates:
+        log = table.read_log(None, partitions={part: [d]})
+        older = log.where(F.col(BATCH) <= F.lit(int(upto)))
+        newer = log.where(F.col(BATCH) > F.lit(int(upto))).select(*data_cols, BATCH)  # kept as they are
+        folded = fold(older).select(*data_cols, F.lit(int(upto)).cast("bigint").alias(BATCH))
+        folded = materialize(folded.unionByName(newer))
+        view = f"{name}_fold"
+        folded.createOrReplaceTempView(view)
+        table.spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({part} = '{d}', {BATCH}) "
+                        f"SELECT {', '.join(data_cols)}, {BATCH} FROM {view}")
+
+
+def compact_increment(table: LogTable, keys: list[str], value_cols: list[str], dates: list[str], upto: int) -> None:
+    """Fold an increment table: one row per key with the summed values."""
+    _compact(table, lambda log: log.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in value_cols]),
+             dates, upto)
+
+
+def compact_replace(table: LogTable, keys: list[str], value_cols: list[str], dates: list[str], upto: int) -> None:
+    """Fold a replace table: the latest value per key."""
+    def fold(log):
+        latest = F.max_by(F.struct(*value_cols), F.col(BATCH)).alias("_v")
+        return log.groupBy(*keys).agg(latest).select(*keys, *[F.col("_v." + c).alias(c) for c in value_cols])
+    _compact(table, fold, dates, upto)
+
+
+def compact_group(table: LogTable, group_keys: list[str], dates: list[str], upto: int) -> None:
+    """Fold a replace-group table: the rows of each group's latest batch."""
+    def fold(log):
+        last = log.groupBy(*group_keys).agg(F.max(BATCH).alias(BATCH))
+        return log.join(last, [*group_keys, BATCH], "left_semi")
+    _compact(table, fold, dates, upto)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import materialize
 from ..operators import ads
 from ..sinks import log_tables as lt
 from ..sources import adlog
@@ -51,9 +52,10 @@ WINDOW_KEYS = ["window_start", "ad_id"]
 class AdClickStream:
     def __init__(self, spark: SparkSession, root: str, threshold: int = ads.DEFAULT_THRESHOLD, top_n: int = 3,
                  watermark: str | None = None, trend_window: str = "1 minute", trend_slide: str | None = None,
-                 broadcast_rows: int = 5_000_000):
+                 broadcast_rows: int = 5_000_000, compact_every: int = 50):
         self.spark = spark
         self.broadcast_rows = broadcast_rows
+        self.compact_every = compact_every  # fold the touched dates' batches every this many batches
         self.root = root.rstrip("/")
         self.threshold = threshold
         self.top_n = top_n
@@ -87,15 +89,24 @@ class AdClickStream:
         if not dates:
             return
         only = {"date": dates}
+        if self._compaction_due(batch_id):
+            # Fold everything before this batch for the dates it touches: each date keeps at most
+            # ``compact_every`` batch directories, however long the stream runs.
+            lt.compact_increment(self.counts, COUNT_KEYS, ["click_count"], dates, batch_id - 1)
+            lt.compact_increment(self.stat, STAT_KEYS, ["click_count"], dates, batch_id - 1)
+            lt.compact_group(self.top, ["date", "province"], dates, batch_id - 1)
         listed = lt.read_append(self.blacklist_table, upto=batch_id - 1)
-        # Both are read by several steps below; keep them for the length of this batch only.
-        clicks = ads.filter_blacklisted(parsed, listed, self.broadcast_rows).persist()
+        # The filtered clicks feed every step below. They are cut from the blacklist files with a checkpoint:
+        # this batch appends to that table, and a plan still reading it would be refreshed (and re-filtered)
+        # by the write.
+        clicks = materialize(ads.filter_blacklisted(parsed, listed, self.broadcast_rows))
         delta = ads.user_ad_click_counts(clicks).persist()
         try:
             lt.increment_upsert(self.counts, delta, batch_id)
             totals = (lt.read_increment(self.counts, COUNT_KEYS, ["click_count"], upto=batch_id, partitions=only)
                       .join(delta.select(*COUNT_KEYS), COUNT_KEYS, "left_semi"))
-            new_users = ads.blacklist_from_counts(totals, self.threshold).join(listed, "user_id", "left_anti")
+            # Listed users' clicks were filtered above, so they cannot reach the threshold again here.
+            new_users = ads.blacklist_from_counts(totals, self.threshold)
             lt.append_rows(self.blacklist_table, new_users, batch_id)
 
             lt.increment_upsert(self.stat, ads.ad_stat(clicks), batch_id)
@@ -105,7 +116,9 @@ class AdClickStream:
             lt.replace_group(self.top, top, batch_id)
         finally:
             delta.unpersist()
-            clicks.unpersist()
+
+    def _compaction_due(self, batch_id: int) -> bool:
+        return bool(self.compact_every) and batch_id > 0 and batch_id % self.compact_every == 0
 
     def start_main(self, source: DataFrame, trigger: dict | None = None, name: str = "ad_main"):
         w = (source.writeStream.foreachBatch(self.process_batch)
@@ -135,6 +148,9 @@ class AdClickStream:
             return
         rows = batch.select(F.date_format(start, "yyyyMMdd").alias("date"), F.date_format(start, "HH").alias("hour"),
                             F.date_format(start, "mm").alias("minute"), "ad_id", "click_count")
+        if self._compaction_due(batch_id):
+            dates = sorted(r[0] for r in rows.select("date").distinct().collect())  # the batch's few dates
+            lt.compact_replace(self.trend, TREND_KEYS, ["click_count"], dates, batch_id - 1)
         lt.replace_upsert(self.trend, rows, batch_id)
 
     def start_trend(self, source: DataFrame, trigger: dict | None = None, name: str = "ad_trend"):

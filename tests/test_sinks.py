@@ -39,12 +39,30 @@ def test_append_and_compact(spark, tmp_root):
     lt.append_rows(t, spark.createDataFrame([("d", "a", 1)], SCHEMA), 0)
     lt.append_rows(t, spark.createDataFrame([("d", "b", 1)], SCHEMA), 1)
     assert rows_set(lt.read_append(t)) == [("d", "a", 1), ("d", "b", 1)]
+
+
+
+def test_compaction_in_place(spark, tmp_root):
+    import os
     inc = lt.LogTable(spark, f"{tmp_root}/inc2", SCHEMA, ("date",))
+    for i in range(4):
+        lt.increment_upsert(inc, spark.createDataFrame([("d", "a", i + 1), ("e", "b", 1)], SCHEMA), i)
+    before = rows_set(lt.read_increment(inc, ["date", "k"], ["v"]))
+    lt.compact_increment(inc, ["date", "k"], ["v"], ["d"], 2)
+    lt.compact_increment(inc, ["date", "k"], ["v"], ["d"], 2)  # a replayed compaction changes nothing
+    assert sorted(os.listdir(f"{tmp_root}/inc2/date=d")) == ["batch_id=2", "batch_id=3"]
+    assert len([x for x in os.listdir(f"{tmp_root}/inc2/date=e") if x.startswith("batch_id")]) == 4
+    assert rows_set(lt.read_increment(inc, ["date", "k"], ["v"])) == before == [("d", "a", 10), ("e", "b", 4)]
+    rep = lt.LogTable(spark, f"{tmp_root}/rep2", SCHEMA, ("date",))
     for i in range(3):
-        lt.increment_upsert(inc, spark.createDataFrame([("d", "a", i + 1)], SCHEMA), i)
-    snap = lt.LogTable(spark, f"{tmp_root}/inc2-snap", SCHEMA, ("date",))
-    lt.compact_increment(inc, ["date", "k"], ["v"], 2, snap)
-    assert rows_set(lt.read_increment(snap, ["date", "k"], ["v"])) == [("d", "a", 6)]
+        lt.replace_upsert(rep, spark.createDataFrame([("d", "a", 10 * i)], SCHEMA), i)
+    lt.compact_replace(rep, ["date", "k"], ["v"], ["d"], 2)
+    assert rows_set(lt.read_replace(rep, ["date", "k"], ["v"])) == [("d", "a", 20)]
+    grp = lt.LogTable(spark, f"{tmp_root}/grp2", SCHEMA, ("date",))
+    lt.replace_group(grp, spark.createDataFrame([("d", "a", 1), ("d", "b", 2)], SCHEMA), 0)
+    lt.replace_group(grp, spark.createDataFrame([("d", "c", 3)], SCHEMA), 1)
+    lt.compact_group(grp, ["date"], ["d"], 1)
+    assert rows_set(lt.read_group(grp, ["date"])) == [("d", "c", 3)]
 
 
 def test_read_selected_partitions(spark, tmp_root):

@@ -75,3 +75,17 @@ def test_trend_sliding_window(spark, tmp_root):
     got = {r["window_start"]: r["click_count"] for r in job.click_trend_windows().collect()}
     # clicks at 10:00:00, :10, :40 in 60 s windows sliding by 30 s
     assert got == {"20240101095930": 2, "20240101100000": 3, "20240101100030": 1}
+
+
+def test_compaction_keeps_results(spark, tmp_root):
+    lines = [[line(10 * b + i, "P", "C", (b + i) % 4, i % 3) for i in range(6)] for b in range(7)]
+    plain = AdClickStream(spark, f"{tmp_root}/nocompact", threshold=4, compact_every=0)
+    comp = AdClickStream(spark, f"{tmp_root}/compact", threshold=4, compact_every=3)
+    for b, ls in enumerate(lines):
+        plain.process_batch(batch(spark, ls), b)
+        comp.process_batch(batch(spark, ls), b)
+    comp.process_batch(batch(spark, lines[6]), 6)  # replay of the last batch
+    for reader in ("ad_stat", "user_click_count", "blacklist", "province_top3"):
+        assert rows_set(getattr(comp, reader)()) == rows_set(getattr(plain, reader)()), reader
+    dirs = [x for x in os.listdir(f"{tmp_root}/compact/ad_stat/date=20240101") if x.startswith("batch_id")]
+    assert len(dirs) <= 3
