@@ -127,3 +127,17 @@ def test_session_detail_is_semi_join(spark):
 
 def test_buckets_cover_hours():
     assert buckets.scaled(buckets.STEP_BUCKETS, 1) == buckets.STEP_BUCKETS
+
+
+def test_aggregates_invariant_to_partitioning(spark):
+    # D3: the reference's accumulator kept only the first finished task; a real aggregate must not care
+    rows = [action(f"s{i % 37}", (i * 7) % 2000, i, user_id=i % 37, keyword=f"kw{i % 5}",
+                   click=(i % 11) if i % 3 == 0 else None, order="1,2" if i % 4 == 0 else None)
+            for i in range(500)]
+    acts = actions_df(spark, rows)
+    results = []
+    for n in (1, 2, 8):
+        a = acts.repartition(n)
+        st = sessions.session_stats(sessions.session_aggregate(a), 1)
+        results.append((rows_set(st), rows_set(categories.category_counts(a))))
+    assert results[0] == results[1] == results[2]
