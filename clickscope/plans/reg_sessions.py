@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..checks.oracle_sql import fmt_time, ratio, with_ctes
 from ..config import materialize
@@ -262,5 +261,3 @@ def q_session_kv_text(spark: SparkSession, sf: str) -> DataFrame:
     s = sessions.session_aggregate(scoped)
     return s.select("session_id", sessions.kv_text(s).alias("kv"))
 
-
-__all__ = ["F"]

@@ -11,7 +11,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..checks.oracle_sql import with_ctes
 from ..config import checkpoint_root
@@ -66,5 +65,3 @@ SELECT date, user_id, ad_id, count(*) AS click_count FROM ad_clicks GROUP BY dat
 def q_stream_user_click_count(spark: SparkSession, sf: str) -> DataFrame:
     return _replay(spark, sf, False).user_click_count()
 
-
-__all__ = ["F"]

@@ -50,8 +50,6 @@ def test_ad_batch_job(spark):
 
 
 def test_cli_runs_jobs(spark, tmp_root):
-    import pyarrow.parquet as pq
-
     from clickscope.plans import cli
     out = f"{tmp_root}/cli"
     cli.main(["area", "--sf-dir", SF, "--task-id", "4", "--out", out,
@@ -59,4 +57,3 @@ def test_cli_runs_jobs(spark, tmp_root):
     cli.main(["page", "--sf-dir", SF, "--task-id", "5", "--out", out, "--params", '{"targetPageFlow":["1,2,3"]}'])
     assert spark.read.parquet(f"{out}/area_top3_product").where("task_id = 4").count() > 0
     assert spark.read.parquet(f"{out}/page_split_convert_rate").first()["convert_rate"].startswith("1_2=")
-    assert pq is not None
