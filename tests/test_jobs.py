@@ -57,3 +57,20 @@ def test_cli_runs_jobs(spark, tmp_root):
     cli.main(["page", "--sf-dir", SF, "--task-id", "5", "--out", out, "--params", '{"targetPageFlow":["1,2,3"]}'])
     assert spark.read.parquet(f"{out}/area_top3_product").where("task_id = 4").count() > 0
     assert spark.read.parquet(f"{out}/page_split_convert_rate").first()["convert_rate"].startswith("1_2=")
+
+
+def test_cli_ads_stream(spark, tmp_root):
+    import os
+
+    from clickscope.plans import cli
+    src = f"{tmp_root}/log"
+    os.makedirs(src)
+    with open(f"{src}/a.txt", "w") as f:
+        f.write("1704103200000 P C 1 7\n1704103201000 P C 1 7\n1704103202000 P C 2 7\nnot a line\n")
+    out = f"{tmp_root}/ads"
+    cli.main(["ads", "--source", src, "--out", out, "--threshold", "2", "--available-now"])
+    from clickscope.streaming.ad_stream import AdClickStream
+    job = AdClickStream(spark, out, threshold=2)
+    assert sorted(r[0] for r in job.blacklist().collect()) == [1]
+    assert sum(r["click_count"] for r in job.ad_stat().collect()) == 3
+    assert job.click_trend().count() == 1 and job.rejected_lines().count() == 1
