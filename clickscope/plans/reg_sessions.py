@@ -223,7 +223,8 @@ def q_category_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("category_counts_joined", with_ctes(["uva", "user_info"], f"{_DETAIL_CTE} SELECT * FROM cc"))
 def q_category_counts_joined(spark: SparkSession, sf: str) -> DataFrame:
-    return categories.category_counts_joined(_detail(spark, sf))
+    # The reference's shape reads the detail in six branches: materialize it once.
+    return categories.category_counts_joined(materialize(_detail(spark, sf)))
 
 
 @register("top10_category", with_ctes(["uva", "user_info"], f"""{_DETAIL_CTE}
