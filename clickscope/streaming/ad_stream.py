@@ -138,6 +138,14 @@ class AdClickStream:
             F.count(F.lit(1)).alias("click_count"))
 
     def _write_trend(self, batch: DataFrame, batch_id: int) -> None:
+        # The batch comes out of a stateful aggregation; keep it so the plan runs once even when read twice.
+        batch = batch.persist()
+        try:
+            self._write_trend_rows(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write_trend_rows(self, batch: DataFrame, batch_id: int) -> None:
         start = F.col("w.start").cast("timestamp_ntz")
         if self.trend_slide:
             # Sliding windows overlap, so they are keyed by their exact start (second precision).
