@@ -152,7 +152,7 @@ def date_hour_counts(sessions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("session_count"))
 
 
-def kv_text(sessions: DataFrame) -> Column:
+def kv_text() -> Column:
     """The reference's ``k=v|k=v`` session record (legacy text boundary only; plans use columns)."""
     def part(k, v):
         return F.concat(F.lit(k + "="), F.coalesce(v.cast("string"), F.lit("")))

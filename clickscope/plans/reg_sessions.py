@@ -260,5 +260,5 @@ FROM sess"""))
 def q_session_kv_text(spark: SparkSession, sf: str) -> DataFrame:
     scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
     s = sessions.session_aggregate(scoped)
-    return s.select("session_id", sessions.kv_text(s).alias("kv"))
+    return s.select("session_id", sessions.kv_text().alias("kv"))
 
