@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..checks.oracle_sql import with_ctes
 from ..config import checkpoint_root
@@ -65,3 +66,19 @@ SELECT date, user_id, ad_id, count(*) AS click_count FROM ad_clicks GROUP BY dat
 def q_stream_user_click_count(spark: SparkSession, sf: str) -> DataFrame:
     return _replay(spark, sf, False).user_click_count()
 
+
+@register("stream_resume", with_ctes(["ad_clicks"], _TREND))
+def q_stream_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-2: process the log up to its middle click, stop, append the rest to the source, restart on the same
+    checkpoints. Minutes that span the cut must come out whole, so the trend's state has to be resumed."""
+    root = f"{checkpoint_root(spark)}/clickscope-stream/{uuid.uuid4().hex}"
+    lines = tables.ad_log_lines(spark, sf)
+    cut = lines.approxQuantile("event_id", [0.5], 0.0)[0]
+    first = lines.where(F.col("event_id") <= cut)
+    rest = lines.where(F.col("event_id") > cut)
+    first.repartitionByRange(3, "event_id").select("value").write.text(f"{root}/source")
+    run_available(AdClickStream(spark, f"{root}/out", threshold=THRESHOLD), f"{root}/source", 1, main=False)
+    rest.repartitionByRange(3, "event_id").select("value").write.mode("append").text(f"{root}/source")
+    resumed = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD)
+    run_available(resumed, f"{root}/source", 1, main=False)
+    return resumed.click_trend()
