@@ -84,3 +84,28 @@ def test_salted_top_n_equals_plain(spark, rows, n):
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert salted == plain
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 90000)), min_size=4, max_size=40),
+       st.integers(1, 3))
+def test_stream_blacklist_independent_of_batching(spark, clicks, n_batches):
+    """SURVEY §4.3: the listed users do not depend on where the micro-batches are cut."""
+    import tempfile
+
+    from clickscope.operators import ads
+    from clickscope.sources import adlog
+    from clickscope.streaming.ad_stream import AdClickStream
+
+    ms0 = 1704067200000
+    clicks = sorted(clicks, key=lambda c: c[2])
+    lines = [f"{ms0 + s * 1000} P C {u} {a}" for u, a, s in clicks]
+    job = AdClickStream(spark, tempfile.mkdtemp(prefix="prop-", dir="/tmp"), threshold=2)
+    size = -(-len(lines) // n_batches)
+    for b in range(n_batches):
+        part = lines[b * size:(b + 1) * size]
+        if part:
+            job.process_batch(spark.createDataFrame([(x,) for x in part], "value string"), b)
+    whole = adlog.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string"))
+    expect = rows_set(ads.blacklist_from_counts(ads.user_ad_click_counts(whole), 2))
+    assert rows_set(job.blacklist()) == expect
