@@ -74,3 +74,19 @@ def test_cli_ads_stream(spark, tmp_root):
     assert sorted(r[0] for r in job.blacklist().collect()) == [1]
     assert sum(r["click_count"] for r in job.ad_stat().collect()) == 3
     assert job.click_trend().count() == 1 and job.rejected_lines().count() == 1
+
+
+def test_partitioned_fact_prunes_dates(spark, tmp_root):
+    import contextlib
+    import io
+
+    from clickscope.sources import scans
+    path = f"{tmp_root}/uva"
+    scans.write_fact_partitioned(tables.user_visit_action(spark, SF), path)
+    df = scans.date_range_scan(spark.read.parquet(path), "2024-01-05", "2024-01-06")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-05" in plan
+    assert df.count() == tables.user_visit_action(spark, SF, "2024-01-05", "2024-01-06").count()
