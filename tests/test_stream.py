@@ -89,3 +89,15 @@ def test_compaction_keeps_results(spark, tmp_root):
         assert rows_set(getattr(comp, reader)()) == rows_set(getattr(plain, reader)()), reader
     dirs = [x for x in os.listdir(f"{tmp_root}/compact/ad_stat/date=20240101") if x.startswith("batch_id")]
     assert len(dirs) <= 3
+
+
+def test_ad_log_stream_falls_back_to_files(spark, tmp_root):
+    import pytest
+
+    from clickscope.sources.external import ad_log_stream
+    src = f"{tmp_root}/fallback"
+    os.makedirs(src)
+    df = ad_log_stream(spark, brokers="localhost:9", topics="ads", path=src)
+    assert df.isStreaming and df.columns == ["value"]
+    with pytest.raises(Exception):
+        ad_log_stream(spark)
