@@ -7,6 +7,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import materialize
 from ..functions import buckets
@@ -50,7 +51,7 @@ def run_session_job(actions: DataFrame, users: DataFrame, p: SessionParams, task
     return SessionJobResult(
         sessions=sess,
         stats=sessions.session_stats(sess, task_id, visit_buckets, step_buckets),
-        detail=detail.select("task_id", *sessions.DETAIL_COLUMNS) if "task_id" in detail.columns else detail,
+        detail=detail.select(F.lit(task_id).cast("bigint").alias("task_id"), *sessions.DETAIL_COLUMNS),
         extract=extract,
         extract_detail=sessions.session_detail(scoped, extract, task_id, sessions_bound=extract_total),
         top_categories=top_cat,

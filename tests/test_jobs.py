@@ -23,6 +23,7 @@ def test_session_job_with_lineage_cut(spark):
     assert r.top_categories.count() <= 10
     assert r.top_sessions.count() <= 100
     assert r.detail.count() >= n
+    assert r.detail.columns[0] == "task_id" and r.detail.select("task_id").distinct().first()[0] == 3
     assert r.extract_detail.count() >= r.extract.count()
     assert r.top_session_detail.count() >= r.top_sessions.count()
 
