@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 
 
 def write_result(df: DataFrame, path: str, partition_by_task: bool = True) -> None:
-    """SNK-1: write a job output; with ``task_id`` partitions, re-running a task overwrites only that task."""
+    """SNK-1: write a job output; with ``task_id`` partitions, re-running a task overwrites only that task.
+
+    An empty output writes no partition (no files): read such a table back with an explicit schema.
+    """
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by_task and "task_id" in df.columns:
         w = w.partitionBy("task_id")

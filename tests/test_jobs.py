@@ -96,7 +96,7 @@ def test_partitioned_fact_prunes_dates(spark, tmp_root):
 def test_cli_session_job(spark, tmp_root):
     from clickscope.plans import cli
     out = f"{tmp_root}/cli_sess"
-    cli.main(["session", "--sf-dir", SF, "--task-id", "6", "--out", out, "--extract-total", "50",
+    cli.main(["session", "--sf-dir", SF, "--task-id", "6", "--out", out, "--extract-total", "3000",
               "--params", '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":["10"],"endAge":["50"]}'])
     for t in ("session_aggr_stat", "session_random_extract", "session_detail", "top10_category", "top10_session"):
         assert spark.read.parquet(f"{out}/{t}").where("task_id = 6").count() > 0, t
