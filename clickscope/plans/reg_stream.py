@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..checks.oracle_sql import with_ctes
 from ..config import checkpoint_root
 from ..streaming.ad_stream import AdClickStream, run_available
-from ..sources import tables
+from ..sources import adlog, tables
 from .reg_ads import THRESHOLD, _TREND
 from .registry import register
 
@@ -82,3 +82,31 @@ def q_stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     resumed = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD)
     run_available(resumed, f"{root}/source", 1, main=False)
     return resumed.click_trend()
+
+
+# The log cut into three micro-batches by day of month (days 1-10, 11-20, 21-31): each cut is appended to the
+# source and processed by its own ``availableNow`` run on the same checkpoints, so batch boundaries are exact.
+_DAY_CUTS = ("CASE WHEN CAST(substr(date, 7, 2) AS INT) <= 10 THEN 0 "
+             "WHEN CAST(substr(date, 7, 2) AS INT) <= 20 THEN 1 ELSE 2 END")
+
+
+@register("stream_ad_stat_batches", with_ctes(["ad_clicks"], f"""
+WITH g AS (SELECT *, {_DAY_CUTS} AS grp FROM ad_clicks),
+crossing AS (
+  SELECT user_id, min(grp) AS first_grp FROM (
+    SELECT user_id, grp FROM g GROUP BY date, user_id, ad_id, grp HAVING count(*) >= {THRESHOLD})
+  GROUP BY user_id),
+kept AS (
+  SELECT g.* FROM g LEFT JOIN crossing c ON g.user_id = c.user_id
+  WHERE c.first_grp IS NULL OR g.grp <= c.first_grp)
+SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY 1, 2, 3, 4"""))
+def q_stream_ad_stat_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-3/4/5 across batches: a user listed in one batch loses their clicks from the next batch on."""
+    root = f"{checkpoint_root(spark)}/clickscope-stream/{uuid.uuid4().hex}"
+    clicks = tables.ad_clicks(spark, sf).withColumn("_grp", F.expr(_DAY_CUTS))
+    job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD)
+    for grp in range(3):
+        part = clicks.where(F.col("_grp") == grp)
+        adlog.format_ad_log(part).write.mode("append").text(f"{root}/source")
+        run_available(job, f"{root}/source", None, main=True, trend=False)  # one batch: this cut
+    return job.ad_stat()
