@@ -109,3 +109,16 @@ def test_stream_blacklist_independent_of_batching(spark, clicks, n_batches):
     whole = adlog.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string"))
     expect = rows_set(ads.blacklist_from_counts(ads.user_ad_click_counts(whole), 2))
     assert rows_set(job.blacklist()) == expect
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u1", "u2"]), st.sampled_from(["d1", "d2"]), st.integers(0, 30),
+                          st.integers(0, 9)), min_size=1, max_size=150), st.integers(2, 7))
+def test_range_bucket_lag_two_group_columns(spark, rows, buckets):
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(u, d, t0 + dt.timedelta(seconds=s), i, p) for i, (u, d, s, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, "u string, d string, t timestamp_ntz, id long, p long")
+    a = ordered.previous_in_order(df, ["u", "d"], ["t", "id"], ["p"], num_buckets=buckets, sample_rows=30,
+                                  strategy="range")
+    b = ordered.previous_in_order_hash(df, ["u", "d"], ["t", "id"], ["p"])
+    assert rows_set(a, "id", "prev_p") == rows_set(b, "id", "prev_p")
