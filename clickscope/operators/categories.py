@@ -99,11 +99,14 @@ def top_sessions(actions: DataFrame, top_cats: DataFrame, n: int = 10, task_id:
     return top.select(*cols)
 
 
-def top_session_detail(actions: DataFrame, top_sess: DataFrame) -> DataFrame:
+def top_session_detail(actions: DataFrame, top_sess: DataFrame, distinct: bool = False) -> DataFrame:
     """JOIN-6: action rows of the top sessions; a session on top in several categories is repeated once per
-    category (inner join, as the reference). Use ``distinct`` sessions first for one copy.
+    category (inner join, as the reference). ``distinct=True`` gives each session's rows once, without
+    ``category_id``.
 
     ``top_sess`` has at most (top categories × top sessions) rows, so it is broadcast and the action table is
     read without a shuffle.
     """
+    if distinct:
+        return actions.join(F.broadcast(top_sess.select("session_id").distinct()), "session_id", "left_semi")
     return actions.join(F.broadcast(top_sess.select("category_id", "session_id")), "session_id", "inner")

@@ -116,6 +116,10 @@ def test_top_sessions_per_category(spark):
     assert len(got) == 10 and got[0] == ("s11", 4) and got[-1][1] == 2
     det = categories.top_session_detail(acts, ts)
     assert det.count() == sum(c for _, c in got)
+    # a session on top in two categories: repeated per category, once with distinct=True
+    two = ts.unionByName(ts.where(F.col("session_id") == got[0][0]).withColumn("category_id", F.lit(99).cast("bigint")))
+    assert categories.top_session_detail(acts, two).count() == det.count() + got[0][1]
+    assert categories.top_session_detail(acts, two, distinct=True).count() == det.count()
 
 
 def test_session_detail_is_semi_join(spark):
