@@ -101,3 +101,14 @@ def test_ad_log_stream_falls_back_to_files(spark, tmp_root):
     assert df.isStreaming and df.columns == ["value"]
     with pytest.raises(Exception):
         ad_log_stream(spark)
+
+
+def test_console_sink_runs(spark, tmp_root):
+    from clickscope.sources import adlog
+    from clickscope.sources.external import text_stream
+    from clickscope.streaming.ad_stream import console_sink
+    src = f"{tmp_root}/console"
+    _write(src, "a.txt", [line(0, "P", "C", 1, 1)])
+    q = console_sink(adlog.parse_ad_log(text_stream(spark, src)), {"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
