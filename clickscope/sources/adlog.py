@@ -47,6 +47,17 @@ def parse_ad_log_rejects(lines: DataFrame, value_col: str = "value") -> DataFram
     return lines.where(~F.coalesce(_valid(parts), F.lit(False)))
 
 
+def batch_summary(lines: DataFrame, value_col: str = "value") -> tuple[int, list[str]]:
+    """One pass over a (small, cached) micro-batch: number of rejected lines and the sorted distinct dates
+    (``yyyyMMdd``) of the well-formed ones. The date list is bounded by the batch's time span."""
+    parts = _fields(F.col(value_col))
+    ok = F.coalesce(_valid(parts), F.lit(False))
+    date = F.date_format(dates.from_epoch_millis(parts[F_TS]), dates.FMT_DATEKEY)
+    row = lines.agg(F.sum(F.when(ok, 0).otherwise(1)).alias("bad"),
+                    F.array_sort(F.collect_set(F.when(ok, date))).alias("dates")).first()
+    return int(row["bad"] or 0), list(row["dates"] or [])
+
+
 def format_ad_log(clicks: DataFrame) -> DataFrame:
     """Inverse of :func:`parse_ad_log`: typed clicks → one ``value`` text column."""
     return clicks.select(F.concat_ws(" ", dates.epoch_millis("ts").cast("string"), "province", "city",

@@ -80,12 +80,11 @@ class AdClickStream:
             batch.unpersist()
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        rejects = adlog.parse_ad_log_rejects(batch)
-        if not rejects.isEmpty():
-            lt.append_rows(self.rejects, rejects, batch_id)
+        # One pass: rejected lines, and the batch's dates (a handful, used to list only those partitions).
+        n_rejects, dates = adlog.batch_summary(batch)
+        if n_rejects:
+            lt.append_rows(self.rejects, adlog.parse_ad_log_rejects(batch), batch_id)
         parsed = adlog.parse_ad_log(batch)
-        # The dates of one micro-batch: a handful of values, used to list only those partitions.
-        dates = sorted(r[0] for r in parsed.select("date").distinct().collect())
         if not dates:
             return
         only = {"date": dates}

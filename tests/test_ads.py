@@ -59,3 +59,10 @@ def test_click_trend_minutes(spark):
             (60, "20240101", "P", "C", 1, 1, 3)]
     got = rows_set(ads.click_trend(clicks(spark, rows)))
     assert got == [("20240101", "09", "00", 1, 2), ("20240101", "09", "01", 1, 1)]
+
+
+def test_batch_summary(spark):
+    lines = spark.createDataFrame([("1704067207000 P C 3 4",), ("1704153607000 P C 3 4",), ("bad",),
+                                   ("1704067207000 P C x 4",)], "value string")
+    assert adlog.batch_summary(lines) == (2, ["20240101", "20240102"])
+    assert adlog.batch_summary(lines.where("false")) == (0, [])
