@@ -152,3 +152,29 @@ def test_crash_mid_batch_then_restart_is_exactly_once(spark, tmp_root):
     run_available(clean, src, 1, trend=False)
     for reader in ("ad_stat", "user_click_count", "blacklist", "province_top3"):
         assert rows_set(getattr(resumed, reader)()) == rows_set(getattr(clean, reader)()), reader
+
+
+def test_trend_crash_then_restart_keeps_full_minutes(spark, tmp_root):
+    src = f"{tmp_root}/tcrash_src"
+    for f, rng in (("a.txt", range(0, 50)), ("b.txt", range(50, 100)), ("c.txt", range(100, 150))):
+        _write(src, f, [line(i, "P", "C", 1, i % 2) for i in rng])
+
+    class CrashTrendOnce(AdClickStream):
+        crashed = False
+
+        def _write_trend_rows(self, batch_df, batch_id):
+            super()._write_trend_rows(batch_df, batch_id)
+            if batch_id == 1 and not CrashTrendOnce.crashed:
+                CrashTrendOnce.crashed = True
+                raise RuntimeError("executor lost after the write")
+
+    import pytest
+    root = f"{tmp_root}/tcrash"
+    with pytest.raises(Exception):
+        run_available(CrashTrendOnce(spark, root, threshold=10_000), src, 1, main=False)
+    resumed = AdClickStream(spark, root, threshold=10_000)
+    run_available(resumed, src, 1, main=False)
+    clean = AdClickStream(spark, f"{tmp_root}/tclean", threshold=10_000)
+    run_available(clean, src, 1, main=False)
+    assert rows_set(resumed.click_trend()) == rows_set(clean.click_trend())
+    assert sum(r["click_count"] for r in resumed.click_trend().collect()) == 150
