@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 DEFAULT_SAMPLE_ROWS = 200_000   # upper bound on keys sent to the driver
 SAMPLES_PER_BUCKET = 256        # enough for even cuts; the sample is min(both) keys
 MAX_BUCKETS = 4096
+BUCKETS_PER_TASK = 4            # several buckets per task even out the range partitioner's coarse cuts
 
 
 def _literal(v, dtype: T.DataType) -> Column:
@@ -66,15 +67,15 @@ def split_points(df: DataFrame, keys: list[str], num_buckets: int, sample_rows:
     return points_from_sample(sample_keys(df, keys, num_buckets, sample_rows, seed), num_buckets)
 
 
-def has_hot_group(rows: list[tuple], n_group_cols: int, num_buckets: int) -> bool:
-    """True when some group holds more than one bucket's share of the sampled keys."""
+def has_hot_group(rows: list[tuple], n_group_cols: int, tasks: int) -> bool:
+    """True when some group holds more than one task's share of the sampled keys."""
     if not rows:
         return False
     counts: dict = {}
     for r in rows:
         g = r[:n_group_cols]
         counts[g] = counts.get(g, 0) + 1
-    return max(counts.values()) > len(rows) / max(1, num_buckets)
+    return max(counts.values()) > len(rows) / max(1, tasks)
 
 
 def bucket_of(keys: list[str], points: list[tuple], schema: T.StructType) -> Column:
@@ -99,19 +100,23 @@ def previous_in_order(df: DataFrame, group_cols: list[str], order_cols: list[str
     ``order_cols`` must make the order total inside a group (end with a unique id). Key columns should be
     non-null (rows with null keys all fall into the bucket the comparisons send them to, deterministically).
     ``strategy``: ``'range'`` always buckets; ``'hash'`` is the plain window; ``'auto'`` buckets only when the
-    key sample shows a group larger than one bucket's share (otherwise the plain window is already safe).
+    key sample shows a group larger than one task's share (otherwise the plain window is already safe).
     """
     if strategy == "hash":
         return previous_in_order_hash(df, group_cols, order_cols, value_cols, prefix)
     spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = num_buckets or BUCKETS_PER_TASK * tasks
     n = max(1, min(n, MAX_BUCKETS))
     keys = [*group_cols, *order_cols]
     sample = sample_keys(df, keys, n, sample_rows)
-    if strategy == "auto" and not has_hot_group(sample, len(group_cols), n):
+    if strategy == "auto" and not has_hot_group(sample, len(group_cols), tasks):
         return previous_in_order_hash(df, group_cols, order_cols, value_cols, prefix)
     points = points_from_sample(sample, n)
-    b = df.withColumn("_b", bucket_of(keys, points, df.schema))
+    # Shuffle by the bucket id itself (range partitioning on an integer in [0, n)): equal-sized buckets land a
+    # few per task. Hashing (bucket, group) instead could pile several pieces of a hot group into one reducer.
+    # Which task gets a bucket does not matter for the result, only the bucket id does.
+    b = df.withColumn("_b", bucket_of(keys, points, df.schema)).repartitionByRange(min(tasks, n), "_b")
 
     w = Window.partitionBy("_b", *group_cols).orderBy(*order_cols)
     lagged = b.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols],
