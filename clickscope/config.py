@@ -35,13 +35,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root; only when the session names none (tests) create one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint root; only when the session names none (tests) create one.
+
+    ``spark.checkpoint.dir`` cannot be changed on a running session, so a missing folder is given to the
+    SparkContext (``setCheckpointDir``) and read back from there.
+    """
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="clickscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="clickscope-ckpt-"))
+        root = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
