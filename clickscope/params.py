@@ -25,8 +25,8 @@ TARGET_PAGE_FLOW = "targetPageFlow"
 
 
 def param_value(param_map: Column, name: str) -> Column:
-    """SRC-6: first element of ``param_map[name]``; missing → null."""
-    return F.element_at(F.element_at(param_map, F.lit(name)), 1)
+    """SRC-6: first element of ``param_map[name]``; missing key or empty list → null (also under ANSI mode)."""
+    return F.try_element_at(F.try_element_at(param_map, F.lit(name)), F.lit(1))
 
 
 def task_params(tasks: DataFrame, task_id: int) -> DataFrame:

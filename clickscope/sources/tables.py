@@ -27,7 +27,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _k(props="props"):
-    return F.get_json_object(F.col(props), "$.k").cast("bigint")
+    return F.get_json_object(F.col(props), "$.k").try_cast("bigint")  # a malformed value → null, not a failed job
 
 
 def ts_date_range(ts_col: str, start_date: str | None, end_date: str | None):

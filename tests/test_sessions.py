@@ -76,9 +76,11 @@ def test_task_params_table(spark):
     from clickscope.schemas import TASK
     tasks = spark.createDataFrame([(1, "t", None, None, None, "session", None,
                                     '{"startAge":["10"],"endAge":["50"]}'),
-                                   (2, "bad", None, None, None, "page", None, "not json")], TASK)
+                                   (2, "bad", None, None, None, "page", None, "not json"),
+                                   (3, "empty", None, None, None, "page", None,
+                                    '{"startAge":[],"endAge":["7"]}')], TASK)
     got = {r["task_id"]: (r["startAge"], r["endAge"]) for r in task_params_table(tasks).collect()}
-    assert got == {1: ("10", "50"), 2: (None, None)}
+    assert got == {1: ("10", "50"), 2: (None, None), 3: (None, "7")}
     assert task_params(tasks, 1).first()["params"]["startAge"] == ["10"]
 
 
