@@ -32,7 +32,7 @@ def overlaps(arr, values, element_type: str = "string") -> Column:
     """FLT-2, list field: any element equals any parameter value; null/empty field fails."""
     if values is None:
         return F.lit(True)
-    lits = F.array(*[F.lit(v).cast(element_type) for v in values]) if values else F.array().cast(
+    lits = F.array(*[F.lit(v).try_cast(element_type) for v in values]) if values else F.array().cast(
         f"array<{element_type}>")
     return F.coalesce(F.arrays_overlap(_c(arr), lits), F.lit(False))
 

@@ -59,6 +59,7 @@ def test_filter_null_rules(spark):
     assert ids(SessionParams(professionals=["x", "y"])) == ["a", "c"]   # FLT-2 null field fails
     assert ids(SessionParams(keywords=["kw1", "kw2"])) == ["a"]         # empty list fails
     assert ids(SessionParams(category_ids=["1"])) == ["a"]
+    assert ids(SessionParams(category_ids=["x1", "1"])) == ["a"]       # a non-numeric id matches nothing
     assert ids(SessionParams(sex="female")) == ["c"]                    # FLT-3
     assert ids(SessionParams(keywords=[])) == []
 
