@@ -10,7 +10,6 @@ import __spark_entry__ as E
 from clickscope.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"stream_blacklist", "stream_trend"}
 
 
 @pytest.fixture(scope="module")
