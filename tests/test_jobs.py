@@ -100,3 +100,25 @@ def test_cli_session_job(spark, tmp_root):
               "--params", '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":["10"],"endAge":["50"]}'])
     for t in ("session_aggr_stat", "session_random_extract", "session_detail", "top10_category", "top10_session"):
         assert spark.read.parquet(f"{out}/{t}").where("task_id = 6").count() > 0, t
+
+
+def test_checkpoint_root_without_conf_never_sets_core_conf(spark):
+    from clickscope import config
+
+    class NoCheckpointConf:
+        def __init__(self, conf):
+            self.conf = conf
+
+        def get(self, key, default=None):
+            return default if key == "spark.checkpoint.dir" else self.conf.get(key, default)
+
+        def set(self, key, value):
+            raise AssertionError("core conf set at runtime: " + key)
+
+    class View:
+        def __init__(self, s):
+            self.conf = NoCheckpointConf(s.conf)
+            self.sparkContext = s.sparkContext
+
+    root = config.checkpoint_root(View(spark))
+    assert root and root.rstrip("/") == spark.sparkContext.getCheckpointDir().rstrip("/")
