@@ -110,3 +110,27 @@ def q_stream_ad_stat_batches(spark: SparkSession, sf: str) -> DataFrame:
         adlog.format_ad_log(part).write.mode("append").text(f"{root}/source")
         run_available(job, f"{root}/source", None, main=True, trend=False)  # one batch: this cut
     return job.ad_stat()
+
+
+# Each day cut at noon: batch 0 = all mornings, batch 1 = all afternoons. Every (date, province) top-3 group is
+# written by batch 0 and rewritten by batch 1 (replace-group across batches), and users listed in batch 0 lose
+# their afternoon clicks.
+@register("stream_province_top3_batches", with_ctes(["ad_clicks"], f"""
+WITH g AS (SELECT *, CASE WHEN hour(ts) < 12 THEN 0 ELSE 1 END AS grp FROM ad_clicks),
+listed0 AS (
+  SELECT DISTINCT user_id FROM (
+    SELECT user_id FROM g WHERE grp = 0 GROUP BY date, user_id, ad_id HAVING count(*) >= {THRESHOLD})),
+kept AS (SELECT * FROM g WHERE grp = 0 OR user_id NOT IN (SELECT user_id FROM listed0)),
+prov AS (SELECT date, province, ad_id, count(*) AS click_count FROM kept GROUP BY 1, 2, 3)
+SELECT date, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS rn FROM prov)
+WHERE rn <= 3"""))
+def q_stream_province_top3_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """STR-6 / SNK-5 across batches: top-3 groups rewritten by the second batch, blacklist feedback applied."""
+    root = f"{checkpoint_root(spark)}/clickscope-stream/{uuid.uuid4().hex}"
+    clicks = tables.ad_clicks(spark, sf).withColumn("_grp", F.when(F.hour("ts") < 12, 0).otherwise(1))
+    job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD)
+    for grp in range(2):
+        adlog.format_ad_log(clicks.where(F.col("_grp") == grp)).write.mode("append").text(f"{root}/source")
+        run_available(job, f"{root}/source", None, main=True, trend=False)  # one batch: this cut
+    return job.province_top3()
