@@ -122,3 +122,18 @@ def test_range_bucket_lag_two_group_columns(spark, rows, buckets):
                                   strategy="range")
     b = ordered.previous_in_order_hash(df, ["u", "d"], ["t", "id"], ["p"])
     assert rows_set(a, "id", "prev_p") == rows_set(b, "id", "prev_p")
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**10), st.sampled_from(["AFRICA", "MIDDLE-EAST", "x"]),
+                          st.sampled_from(["NATION1", "c"]), st.integers(0, 10**6), st.integers(0, 99)),
+                min_size=1, max_size=60))
+def test_ad_log_format_parse_roundtrip(spark, rows):
+    from clickscope.sources import adlog
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(t0 + dt.timedelta(seconds=s), p, c, u, a) for s, p, c, u, a in rows]
+    clicks = spark.createDataFrame(data, "ts timestamp_ntz, province string, city string, user_id long, ad_id long")
+    back = adlog.parse_ad_log(adlog.format_ad_log(clicks))
+    cols = ["ts", "province", "city", "user_id", "ad_id"]
+    assert rows_set(back, *cols) == rows_set(clicks, *cols)
+    assert adlog.parse_ad_log_rejects(adlog.format_ad_log(clicks)).count() == 0
