@@ -122,3 +122,12 @@ def test_checkpoint_root_without_conf_never_sets_core_conf(spark):
 
     root = config.checkpoint_root(View(spark))
     assert root and root.rstrip("/") == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_random_extract_small_total_vanishes(spark):
+    """Total 100 over 30 days gives 3 per day, and every hour's share floors to 0 (FIXTURES.md §2)."""
+    from clickscope.operators import sessions
+    from clickscope.sources import scans
+    sess = sessions.session_aggregate(scans.scoped_actions(spark, "/root/testdata/sf0.01", "2024-01-01", "2024-01-31"))
+    assert sessions.random_extract(sess, 100).count() == 0
+    assert sessions.random_extract(sess, 3000).count() > 0
