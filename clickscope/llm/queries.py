@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, kd_shards, mixing
-from .common import cut, utf8_size, word_count
+from . import decontaminate, exact_dedup, kd_shards, mixing, quality, warc
+from .common import cut, shared_folder, utf8_size, word_count
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -95,3 +95,50 @@ SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256
 @register("op8_exact_dedup", OP8_SQL)
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf))
+
+
+# ---------------------------------------------------------------- 4 WARC
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages),
+d AS (SELECT *, sha1(payload) AS hexed FROM p),
+digits AS (
+  SELECT page_id, payload, first_id,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+           ((CAST('0x' || substr(hexed, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT)
+             >> CAST(5 * (7 - i % 8) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest
+  FROM d)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM digits"""
+
+
+@register("op4_warc", OP4_SQL)
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    mono, single = shared_folder(spark, "warc-mono"), shared_folder(spark, "warc")
+    warc.write_monolithic(warc.records(pages, min_revisit_bytes=0), mono)
+    warc.normalise(spark, mono, single)
+    found = warc.indexed(warc.read_archives(spark, single).drop("payload"), warc.read_index(spark, single))
+    return warc.resolve_revisits(cut(found), pages.schema["page_id"].dataType.simpleString())
+
+
+# ---------------------------------------------------------------- 7 quality
+
+@register("op7_compression_quality")
+def op7_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    model = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+# ---------------------------------------------------------------- 9 decontamination
+
+@register("op9_pigeonhole")
+def op9_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.matches(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
