@@ -6,8 +6,8 @@ terms are that difference, the mean compression ratio and the log length, with t
 very repetitive texts leave little for either dictionary to show).
 
 Fitting uses a bounded sample: ``DICT_ROWS`` labelled rows per class give dictionary pieces (at most ``PIECES`` pieces
-of ``PIECE`` bytes at hashed places of the whole text) and up to ``CALIBRATION_ROWS`` other rows calibrate; the sample
-is taken in the order of a hash of the id. What reaches the driver is bounded by these numbers. Scoring covers every
+of ``PIECE`` bytes at hashed places of the whole text) and up to ``CALIBRATION_ROWS`` rows of the other
+half of the ids calibrate; the halves and the sample are taken by a hash of the id. What reaches the driver is bounded by these numbers. Scoring covers every
 row and whole texts.
 
 Defined cases: null and empty texts get the calibrated score of length 0; a null label is no label; an id labelled
@@ -85,19 +85,27 @@ def _terms(x: np.ndarray) -> np.ndarray:
     return np.column_stack([d, r, n, d * d, r * r, d * r, d * n, r * n])
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[list[float], list[float], list[float]]:
-    """Logistic regression by Newton steps on scaled terms."""
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[list[float], list[float], list[float]]:
+    """Logistic regression on scaled terms: Newton steps, halved until the penalised loss falls."""
     t = _terms(x)
     mean, scale = t.mean(0), t.std(0) + 1e-9
     a = np.column_stack([(t - mean) / scale, np.ones(len(t))])
     w = np.zeros(a.shape[1])
-    for _ in range(40):
+
+    def loss(v):
+        z = a @ v
+        return np.logaddexp(0, z).sum() - y @ z + ridge / 2 * v @ v
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        hess = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + ridge * np.eye(len(w))
+        hess = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w))
         step = np.linalg.solve(hess, a.T @ (y - p) - ridge * w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        size, before = 1.0, loss(w)
+        while size > 1e-6 and loss(w + size * step) > before:
+            size /= 2
+        if size <= 1e-6 or np.abs(step).max() < 1e-8:
             break
+        w += size * step
     return mean.tolist(), scale.tolist(), w.tolist()
 
 
@@ -118,26 +126,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .groupBy(ident.alias("id")).agg(F.max(label_col).cast("int").alias("y"))
              .withColumn("order", F.xxhash64("id")))
     texts = docs.select(ident.alias("id"), F.col(quoted(text_col)).alias("text"))
-    samples, sampled = [], {}
+    samples = []
+    for_dict = F.pmod(F.xxhash64("order"), F.lit(2)) == 0
     for y in (1, 0):
         # at most 2 * dict_rows ids (some may have no document): a bounded broadcast
-        ids = known.where(F.col("y") == y).orderBy("order", "id").limit(2 * dict_rows).select("id")
+        ids = known.where((F.col("y") == y) & for_dict).orderBy("order", "id").limit(2 * dict_rows).select("id")
         got = (texts.join(F.broadcast(ids), "id")
                .select("id", _pieces("text").alias("p")).orderBy(F.xxhash64("id"), "id").limit(dict_rows).collect())
-        sampled[y] = got
         samples.append([bytes(p) for r in got for p in r.p])
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not samples[0] or not samples[1]:
         total = sum(counts.values())
         return Model(b"", b"", [], [], [], counts.get(1, 0) / total if total else 0.5)
     model = Model(train_dictionary(samples[0]), train_dictionary(samples[1]), [], [], [])
-    # rows beside those in the dictionaries, natural class shares; all rows where that leaves too few
-    ids = known.orderBy(F.xxhash64("order"), "id").limit(calibration_rows).select("id", "y")
-    feats = (texts.join(F.broadcast(ids), "id").select("id", "y", _features(model)("text").alias("x")).collect())
-    used = {r.id for got in sampled.values() for r in got}
-    rest = [r for r in feats if r.id not in used]
-    if min(sum(r.y == y for r in rest) for y in (0, 1)) < 30:
-        rest = feats
+    # the other half of the labelled rows calibrates, with its natural class shares
+    ids = known.where(~for_dict).orderBy("order", "id").limit(calibration_rows).select("id", "y")
+    rest = texts.join(F.broadcast(ids), "id").select("id", "y", _features(model)("text").alias("x")).collect()
     if len({r.y for r in rest}) < 2:
         return Model(b"", b"", [], [], [], counts.get(1, 0) / sum(counts.values()))
     rest.sort(key=lambda r: r.id)
