@@ -49,8 +49,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .select("h", "sha", "best", "group_size",
                        F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share both content hashes")))
                        .otherwise(F.lit(True)).cast("boolean").alias("one_text")))
-    slim = rows.select("doc_id", "points", "h", "sha")
-    joined = slim.join(members.where("one_text"), ["h", "sha"], "left")
+    # one key column of its own: both sides are then exchanged for the join, which AQE needs to split a hot group
+    slim = rows.select("doc_id", "points", F.concat("h", "sha").alias("key"), "sha")
+    members = members.where("one_text").select(F.concat("h", "sha").alias("key"), "best", "group_size")
+    joined = slim.join(members, "key", "left")
     grouped = F.col("group_size").isNotNull()
     keep_id = F.when(grouped, F.col("best.id")).otherwise(F.col("doc_id"))
     is_kept = F.when(grouped, F.col("doc_id").eqNullSafe(F.col("best.id")) & (-F.col("points") == F.col("best.neg")))

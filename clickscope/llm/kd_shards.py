@@ -60,19 +60,24 @@ def _key(dim: Column, low: Column, width: Column, h: Column) -> Column:
     return F.shiftleft(scaled, KEY_BITS - VALUE_BITS) + h
 
 
-def _tree_frame(spark, splits: list[Split]) -> DataFrame:
-    rows = [(s.node, s.dim, s.low, s.width, s.cut) for s in splits]
-    return spark.createDataFrame(rows, "t_node long, t_dim int, t_low double, t_width double, t_cut long")
+def _with_node_values(rows: DataFrame, node: str, values: list[tuple], schema: str, how: str = "inner") -> DataFrame:
+    """Add per-node values (node number first). At the root they are literals; below, one broadcast row per open node,
+    so at most one per shard."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    if [v[0] for v in values] == [1]:
+        types = [x.split()[1] for x in schema.split(", ")]
+        return rows.select("*", *[F.lit(v).cast(t).alias(n) for v, t, n in zip(values[0], types, names, strict=True)])
+    t = rows.sparkSession.createDataFrame(values, schema)
+    return rows.join(F.broadcast(t), F.col(node) == F.col(names[0]), how)
 
 
 def _descend(rows: DataFrame, splits: list[Split], node: str, dims: str, h: str) -> DataFrame:
     """Move rows from a split node to its child; rows of finished nodes stay."""
-    t = _tree_frame(rows.sparkSession, splits)
     cols = [F.col(quoted(c)) for c in rows.columns if c != node]
     value = F.element_at(F.col(dims), F.col("t_dim") + 1)
     right = (_key(value, F.col("t_low"), F.col("t_width"), F.col(h)) >= F.col("t_cut")).cast("bigint")
-    # one row per shard at most: bounded by the number of shards
-    joined = rows.join(F.broadcast(t), F.col(node) == F.col("t_node"), "left")
+    joined = _with_node_values(rows, node, [(s.node, s.dim, s.low, s.width, s.cut) for s in splits],
+                               "t_node long, t_dim int, t_low double, t_width double, t_cut long", "left")
     return joined.select(*cols, F.coalesce(F.col("t_node") * 2 + right, F.col(node)).alias(node))
 
 
@@ -115,12 +120,11 @@ def _weighted_cuts(rows, splits, node, dims, weight, h) -> list[Split]:
     by_node = Window.partitionBy(node).orderBy("bin")
     for step in range(PASSES):
         shift = KEY_BITS - PASS_BITS * (step + 1)
-        t = rows.sparkSession.createDataFrame(
-            [(s.node, s.dim, s.low, s.width, start[s.node], float(goal[s.node] - passed[s.node])) for s, _ in splits],
-            "t_node long, t_dim int, t_low double, t_width double, t_start long, t_goal double")
+        values = [(s.node, s.dim, s.low, s.width, start[s.node], float(goal[s.node] - passed[s.node])) for s, _ in splits]
+        valued = _with_node_values(rows, node, values, "t_node long, t_dim int, t_low double, t_width double, "
+                                   "t_start long, t_goal double")
         value = F.element_at(F.col(dims), F.col("t_dim") + 1)
-        # one row per open node: bounded by the number of shards
-        keyed = rows.join(F.broadcast(t), F.col(node) == F.col("t_node")).select(
+        keyed = valued.select(
             node, weight, "t_goal",
             F.shiftright(_key(value, F.col("t_low"), F.col("t_width"), F.col(h)) - F.col("t_start"), shift).alias("bin"))
         bins = (keyed.where((F.col("bin") >= 0) & (F.col("bin") < (1 << PASS_BITS)))
@@ -184,8 +188,7 @@ def kd_shards(docs: DataFrame, leaves: int | None = 8, target_bytes: int | None
     for splits in levels:
         rows = _descend(rows, splits, node, dm, h)
     numbers = sorted(leaf_numbers(levels, leaves).items())
-    t = docs.sparkSession.createDataFrame(numbers, "t_node long, t_shard int")
-    rows = rows.join(F.broadcast(t), F.col(node) == F.col("t_node")).withColumn("shard", F.col("t_shard"))
+    rows = _with_node_values(rows, node, numbers, "t_node long, t_shard int").withColumn("shard", F.col("t_shard"))
     rows = rows.withColumn(key, F.lit(0))
     slot = "slot"
     rows = rows.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in ("size", "text_crc32")],

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, kd_shards, mixing, quality, warc
+from . import decontaminate, exact_dedup, kd_shards, mixing, quality, surrogates, token_counts, warc
 from .common import cut, shared_folder, utf8_size, word_count
 
+PII_KEY = b"registered query"  # jobs pass a secret of their own
+
 QUERIES: dict = {}
 SQL: dict = {}
 
@@ -142,3 +144,20 @@ def op7_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
 @register("op9_pigeonhole")
 def op9_pigeonhole(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.matches(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+# ---------------------------------------------------------------- 2 personal data
+
+@register("op2_surrogates")
+def op2_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("doc_id", "text")
+    return surrogates.replace_entities(docs, key=PII_KEY, found_col="n_replaced")
+
+
+# ---------------------------------------------------------------- 5 token counts
+
+@register("op5_section_tokens")
+def op5_section_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers as tokenizer_files
+    ranks = token_counts.read_ranks(tokenizer_files.path("byte_bpe_50k.tiktoken"))
+    return token_counts.section_tokens(spark, documents(spark, sf), ranks, tokenizer_files.PATTERN)
