@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, kd_shards, mixing, quality, surrogates, token_counts, warc
+from . import decontaminate, exact_dedup, kd_shards, mixing, near_dups, quality, surrogates, token_counts, warc
 from .common import cut, shared_folder, utf8_size, word_count
 
 PII_KEY = b"registered query"  # jobs pass a secret of their own
@@ -161,3 +161,12 @@ def op5_section_tokens(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers as tokenizer_files
     ranks = token_counts.read_ranks(tokenizer_files.path("byte_bpe_50k.tiktoken"))
     return token_counts.section_tokens(spark, documents(spark, sf), ranks, tokenizer_files.PATTERN)
+
+
+# ---------------------------------------------------------------- 6 near duplicates
+
+@register("op6_odd_sketch")
+def op6_odd_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    out = near_dups.near_dups(documents(spark, sf), words=3, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
