@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, kd_shards, mixing, near_dups, quality, surrogates, token_counts, warc
+import corpus_pipeline
+
+from . import decontaminate, exact_dedup, kd_shards, mixing, near_dups, quality, suffix_dedup, surrogates, token_counts, warc
 from .common import cut, shared_folder, utf8_size, word_count
 
 PII_KEY = b"registered query"  # jobs pass a secret of their own
@@ -170,3 +172,17 @@ def op6_odd_sketch(spark: SparkSession, sf: str) -> DataFrame:
     out = near_dups.near_dups(documents(spark, sf), words=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+# ---------------------------------------------------------------- 10 substring dedup
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf), length=100)
+
+
+# ---------------------------------------------------------------- pipeline
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
