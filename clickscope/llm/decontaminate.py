@@ -2,8 +2,9 @@
 
 A test item of m normalised characters may occur in a document with up to ``k = floor(rate * m)`` edits. It is cut into
 k + 1 pieces; at least one of them must then occur unchanged. All pieces go into one Aho-Corasick automaton, every
-document is scanned whole, and each hit's window is verified with Myers' bit-parallel distance (one machine integer of
-m bits per step). Hits of one item whose windows overlap are verified once, over their union.
+document is scanned whole, and each hit is verified with Myers' bit-parallel distance (one integer of m bits per
+step). The pieces are made by halving, item and budget together, so a hit is verified on the pair of pieces it belongs
+to, then on wider ranges, and on the whole item only if all of them stay within their budgets.
 
 Items are read in blocks of ``BLOCK_CHARS`` characters chosen by a hash of the id, so the automaton that goes to the
 executors is bounded; documents are scanned once per block. Items longer than ``SEGMENT`` characters are cut into
@@ -42,9 +43,17 @@ def segments(text: str, longest: int = SEGMENT) -> list[str]:
     return [text[len(text) * i // n:len(text) * (i + 1) // n] for i in range(n)] if text else []
 
 
-def pieces(m: int, k: int) -> list[tuple[int, int]]:
-    """k + 1 non-empty ranges that tile m characters."""
-    return [(m * i // (k + 1), m * (i + 1) // (k + 1)) for i in range(k + 1)]
+def pieces(a: int, b: int, k: int, above: tuple = ()) -> list[tuple[int, int, tuple]]:
+    """The k + 1 pieces of range a … b, each with the ranges (a, b, budget) it is nested in, smallest first.
+
+    A range with budget k is halved into budgets that sum to k - 1: within k edits in all, one half stays in its own.
+    """
+    if k == 0:
+        return [(a, b, above)]
+    left = (k - 1) // 2
+    mid = a + (b - a) * (left + 1) // (k + 1)
+    above = ((a, b, k), *above)
+    return pieces(a, mid, left, above) + pieces(mid, b, k - 1 - left, above)
 
 
 def myers(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
@@ -81,13 +90,12 @@ class Matcher:
     """Search of one block of items in whole texts."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
-        self.parts, where = [], {}
+        self.parts, self.masks, where = [], {}, {}
         for item_id, text in items:
             for p in segments(normal(text)):
-                k = int(rate * len(p))
-                self.parts.append((item_id, p, k, masks_of(p), masks_of(p[::-1])))
-                for a, b in pieces(len(p), k):
-                    where.setdefault(p[a:b], []).append((len(self.parts) - 1, b))
+                self.parts.append((item_id, p))
+                for a, b, above in pieces(0, len(p), int(rate * len(p))):
+                    where.setdefault(p[a:b], []).append((len(self.parts) - 1, a, b, above))
         self.auto = ahocorasick.Automaton()
         for piece, places in where.items():
             self.auto.add_word(piece, places)
@@ -95,47 +103,51 @@ class Matcher:
             self.auto.make_automaton()
         self.any = bool(where)
 
+    def _masks(self, part: int, a: int, b: int, back: bool = False) -> dict[str, int]:
+        key = part, a, b, back
+        if key not in self.masks:
+            text = self.parts[part][1][a:b]
+            self.masks[key] = masks_of(text[::-1] if back else text)
+        return self.masks[key]
+
     def search(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, start, end) of the best place of every item within its budget."""
         if not text or not self.any:
             return []
         doc = normal(text)
-        starts: dict[int, list[int]] = {}
+        found: dict[int, tuple[int, int, int]] = {}
         for end, places in self.auto.iter(doc):
-            for part, b in places:
-                starts.setdefault(part, []).append(end + 1 - b)
+            for part, a, b, above in places:
+                old = found.get(part)
+                if old and (old[0] == 0 or old[1] <= end <= old[2]):
+                    continue
+                got = self._verify(doc, part, end + 1 - (b - a), a, above)
+                if got and (old is None or got < old):
+                    found[part] = got
         best: dict = {}
-        for part, at in starts.items():
-            item_id, p, k, fwd, back = self.parts[part]
-            m = len(p)
-            if any(s >= 0 and doc.startswith(p, s) for s in at):
-                s = min(s for s in at if s >= 0 and doc.startswith(p, s))
-                found = (0, s, s + m)
-            else:
-                found = None
-                for lo, hi in self._windows(sorted(at), m, k, len(doc)):
-                    d, e = myers(fwd, m, doc[lo:hi])
-                    if d <= k and (found is None or d < found[0]):
-                        d2, back_by = myers(back, m, doc[lo:lo + e][::-1][:m + k])
-                        found = (d, lo + e - back_by, lo + e)
-            if found and (item_id not in best or found < best[item_id]):
-                best[item_id] = found
-        return [(i, d, s, e) for i, (d, s, e) in sorted(best.items(), key=lambda x: (x[0] is None, x[0] or 0))]
-
-    @staticmethod
-    def _windows(starts: list[int], m: int, k: int, n: int):
-        lo = hi = None
-        for s in starts:
-            a, b = max(0, s - k), min(n, s + m + k)
-            if lo is None:
-                lo, hi = a, b
-            elif a <= hi:
-                hi = max(hi, b)
-            else:
-                yield lo, hi
-                lo, hi = a, b
-        if lo is not None:
-            yield lo, hi
+        for part, got in found.items():
+            item_id = self.parts[part][0]
+            if item_id not in best or got < best[item_id]:
+                best[item_id] = got
+        return [(i, *got) for i, got in sorted(best.items(), key=lambda x: (x[0] is None, x[0] or 0))]
+
+    def _verify(self, doc: str, part: int, at: int, a: int, above: tuple) -> tuple[int, int, int] | None:
+        """Widen an exact piece hit through its nested ranges; each must stay within its own budget."""
+        p = self.parts[part][1]
+        start, m = at - a, len(p)
+        if start >= 0 and doc.startswith(p, start):
+            return 0, start, start + m
+        k = above[-1][2] if above else 0
+        if not above:
+            return None
+        for lo, hi, budget in above:
+            first = max(0, start + lo - budget)
+            d, e = myers(self._masks(part, lo, hi), hi - lo, doc[first:start + hi + budget])
+            if d > budget:
+                return None
+        upto = first + e
+        _, back = myers(self._masks(part, 0, m, True), m, doc[first:upto][::-1][:m + k])
+        return d, upto - back, upto
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:

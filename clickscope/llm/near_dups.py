@@ -2,16 +2,17 @@
 
 1. Every text becomes its set of word shingles (64-bit hashes). Texts with the same set form one class; everything
    below runs on classes, so exact copies are never paired.
-2. 128 MinHash samples per class give 32 bands of 4, and are folded into an odd sketch: sample i flips one of 512 bits,
-   so the XOR of two sketches has at most two bits per differing sample. ``odd_limit`` is the population count that a
-   pair at the threshold exceeds with probability below 1e-6.
+2. 128 MinHash samples per class give the bands (as many rows each as keep the odds of a missed pair below 1e-6), and
+   are folded into an odd sketch: sample i flips one of 512 bits, so the XOR of two sketches has at most two bits per
+   differing sample. ``odd_limit`` is the population count that a pair at the threshold exceeds with probability below
+   1e-6. A second parity bitmap folds the whole set; it refutes pairs without any error.
 3. Buckets (classes with an equal band) of two or more classes are kept, one of those with the same members. Buckets
    are dealt in blocks of about ``BLOCK`` classes that share the bucket's first class.
 4. First pass: each block yields only a spanning forest of the pairs that its sketches admit (fewer edges than members,
    whatever the group's size); these are confirmed on the full sets, and confirmed links joined to components.
 5. Second pass: members whose component is not the bucket's largest meet all others of the bucket, in blocks; admitted
    pairs across components are confirmed too. After it, every admitted pair of a bucket lies in one component or has
-   been refuted on the full sets, so no link is lost beyond the odds of the bands (1 - J**4)**32 and of the limit.
+   been refuted on the full sets, so no link is lost beyond these odds.
 
 Words are runs of other than ASCII white space, A-Z lower-cased. Defined cases: null and blank texts have the empty
 set and are linked with nothing; a text with fewer words than a shingle is one shingle of all its words; rows that
@@ -32,15 +33,14 @@ from pyspark.sql import functions as F
 from .common import cut, fresh, quoted
 from .components import components
 
-SAMPLES, ROWS, BITS = 128, 4, 512
-BANDS = SAMPLES // ROWS
+SAMPLES, BITS, PARITY = 128, 512, 2048
 BLOCK = 512
 CACHE = 500_000
 _rng = np.random.default_rng(20240229)
 _MUL = (_rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32) | np.uint32(1))[:, None]
 _ADD = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)[:, None]
 _SALT = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) | np.uint64(1)
-_BAND = _rng.integers(0, 1 << 63, BANDS, dtype=np.uint64)
+_BAND = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -90,18 +90,34 @@ def min_samples(s: np.ndarray) -> np.ndarray:
     return best
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    rows = samples.astype(np.uint64).reshape(BANDS, ROWS)
-    acc = _BAND.copy()
-    for j in range(ROWS):
-        acc = _mix(acc + rows[:, j])
+def rows_per_band(threshold: float, risk: float = 1e-6) -> int:
+    """The most rows per band with which a pair at the threshold shares no band with probability below ``risk``."""
+    return max((r for r in range(1, 9) if (1 - threshold ** r) ** (SAMPLES // r) < risk), default=1)
+
+
+def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
+    bands = SAMPLES // rows
+    cells = samples[:bands * rows].astype(np.uint64).reshape(bands, rows)
+    acc = _BAND[:bands].copy()
+    for j in range(rows):
+        acc = _mix(acc + cells[:, j])
     return acc.view(np.int64)
 
 
+def _fold(bits: np.ndarray, size: int) -> bytes:
+    return np.packbits((np.bincount(bits.astype(np.int64), minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
 def odd_sketch(samples: np.ndarray) -> bytes:
     """Parity bitmap: sample i flips the bit that its value and number hash to."""
     at = _mix(samples.astype(np.uint64) * _SALT + np.arange(SAMPLES, dtype=np.uint64)) & np.uint64(BITS - 1)
-    return np.packbits((np.bincount(at.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+    return _fold(at, BITS)
+
+
+def parity(s: np.ndarray) -> bytes:
+    """Parity bitmap of the whole set: each shingle flips one bit, so an XOR never has more bits than the sets differ
+    in, and a pair above the threshold's difference is refuted without error."""
+    return _fold(s & np.uint64(PARITY - 1), PARITY)
 
 
 def odd_limit(threshold: float, risk: float = 1e-6) -> int:
@@ -119,7 +135,7 @@ def similarity(xor_bits: int) -> float:
     return max(0.0, 1 + BITS / (4 * SAMPLES) * math.log(max(1 - 2 * xor_bits / BITS, 1e-9)))
 
 
-def sketches(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, words: int, per_band: int, id_col: str, text_col: str) -> DataFrame:
     """``row_key, doc_id, n_shingles, c (set key), bands, sketch`` per row."""
     text = F.col(quoted(text_col))
     ident = F.col(quoted(id_col))
@@ -137,8 +153,8 @@ def sketches(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
                 m = min_samples(s) if len(s) else None
                 n.append(len(s))
                 c.append(set_key(s))
-                bands.append(band_keys(m) if m is not None else [])
-                odd.append(odd_sketch(m) if m is not None else b"")
+                bands.append(band_keys(m, per_band) if m is not None else [])
+                odd.append(odd_sketch(m) + parity(s) if m is not None else b"")
             cols = [pa.array(x, f.type) for x, f in zip((n, c, bands, odd), out, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("doc_id"), *cols],
                                              names=["row_key", "doc_id", *out.names])
@@ -204,7 +220,16 @@ def _groups(batches, keys: list[str]):
 
 def _matrix(t: pa.Table) -> np.ndarray:
     col = t.column("sketch").combine_chunks()
-    return np.frombuffer(b"".join(col.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint64).reshape(-1, (BITS + PARITY) // 64)
+
+
+def admitted(sk: np.ndarray, n: np.ndarray, i: int, limit: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(population counts of the odd sketches, mask): pairs of row i that both bitmaps and the sizes admit."""
+    bits = np.bitwise_count(sk ^ sk[i])
+    d = bits[:, :BITS // 64].sum(axis=1, dtype=np.int64)
+    differ = bits[:, BITS // 64:].sum(axis=1, dtype=np.int64)
+    most = (n + n[i]) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    return d, (d <= limit) & (differ <= most) & (np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i]) - 1e-9)
 
 
 def forest(sk: np.ndarray, n: np.ndarray, limit: int, threshold: float) -> list[tuple[int, int]]:
@@ -218,8 +243,8 @@ def forest(sk: np.ndarray, n: np.ndarray, limit: int, threshold: float) -> list[
         if near[i] <= limit:
             edges.append((int(parent[i]), i))
         left[i] = False
-        d = np.bitwise_count(sk ^ sk[i]).sum(axis=1).astype(np.int64)
-        ok = left & (d <= limit) & (np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])) & (d < near)
+        d, fits = admitted(sk, n, i, limit, threshold)
+        ok = left & fits & (d < near)
         near[ok], parent[ok] = d[ok], i
     return edges
 
@@ -285,12 +310,9 @@ def cross_pairs(members: DataFrame, limit: int, threshold: float) -> DataFrame:
             c, sk, n = np.array(t.column("c").to_pylist(), object), _matrix(t), t.column("n_shingles").to_numpy()
             _, root = np.unique(np.array(t.column("root").to_pylist(), object), return_inverse=True)
             is_query = t.column("query").to_numpy()
-            ti = np.flatnonzero(~is_query)
             for i in np.flatnonzero(is_query):
-                d = np.bitwise_count(sk[ti] ^ sk[i]).sum(axis=1)
-                ok = ((d <= limit) & (root[ti] != root[i])
-                      & (np.minimum(n[ti], n[i]) >= threshold * np.maximum(n[ti], n[i])))
-                out += [(c[i], c[j]) for j in ti[ok]]
+                _, fits = admitted(sk, n, i, limit, threshold)
+                out += [(c[i], c[j]) for j in np.flatnonzero(fits & ~is_query & (root != root[i]))]
                 if len(out) > 10_000:
                     yield _pairs(out)
                     out = []
@@ -316,7 +338,7 @@ def near_dups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     document (id and text) of a component that a deduplicated corpus keeps.
     """
     threshold, limit = percent / 100, odd_limit(percent / 100)
-    rows = cut(sketches(docs, words, id_col, text_col))
+    rows = cut(sketches(docs, words, rows_per_band(threshold), id_col, text_col))
     winner = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
                             F.col("row_key").alias("row_key"))).alias("best")
     classes = cut(rows.where("n_shingles > 0").groupBy("c").agg(

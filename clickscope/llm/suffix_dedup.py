@@ -35,7 +35,7 @@ from .gsaca import lcp_array, suffix_array
 
 GRAM = 32
 PIECE = 1 << 21          # bytes that are hashed at a time
-GROUP = 2048             # contexts of one gram that are sorted in one task
+GROUP = 8192             # contexts of one gram that are sorted in one task (a quarter of a gigabyte at worst)
 _rng = np.random.default_rng(77)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -107,8 +107,9 @@ def order_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def occurrences(rows: DataFrame, length: int) -> DataFrame:
-    """``h, ctx, id, spot, covered`` per anchor; ``spot`` = tie and position. Of occurrences with equal gram and context
-    in one batch, those after the first are known to be covered."""
+    """``h, ctx, id, spot`` per anchor; ``spot`` = tie and position. Of occurrences with equal gram and context in one
+    batch, those after the first are known to be covered: their context is null and their gram, no longer needed, a hash
+    of the place, as a common gram would pile them up in one task."""
     side = length - GRAM
 
     def run(batches):
@@ -132,31 +133,32 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
             h, c, who, spot = h[o], c[o], who[o], spot[o]
             same = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
             twin = np.concatenate([[False], (who[1:] == who[:-1]) & (spot[1:] == spot[:-1])])  # a repeated row
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, c, who, spot, same & ~twin)],
-                                             names=["h", "ctx", "id", "spot", "covered"])
+            known = same & ~twin
+            place = ((who.view(np.uint64) * _ODD) ^ spot.view(np.uint64)) * _ODD
+            h = np.where(known, place.view(np.int64), h)
+            cols = [pa.array(h), pa.array(c, mask=known), pa.array(who), pa.array(spot)]
+            yield pa.RecordBatch.from_arrays(cols, names=["h", "ctx", "id", "spot"])
 
-    return rows.select("id", "tie", "text").mapInArrow(run, "h bigint, ctx bigint, id bigint, spot bigint, "
-                                                            "covered boolean")
+    return rows.select("id", "tie", "text").mapInArrow(run, "h bigint, ctx bigint, id bigint, spot bigint")
 
 
 def repeated(occ: DataFrame) -> DataFrame:
-    """The occurrences whose gram occurs more than once. The join key of covered rows is moved aside, as their fate is
-    known and a common gram would pile them up."""
-    often = occ.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("h").alias("often"))
-    aside = F.when(F.col("covered"), F.xxhash64("id", "spot")).otherwise(F.col("h"))
-    j = occ.withColumn("key", aside).join(often, F.col("key") == F.col("often"), "left")
-    return j.where(F.col("covered") | F.col("often").isNotNull()).select("h", "ctx", "id", "spot", "covered")
+    """The occurrences whose gram occurs more than once, and the covered ones."""
+    often = (occ.where("ctx is not null").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+             .select(F.col("h").alias("often")))
+    j = occ.join(often, F.col("h") == F.col("often"), "left")
+    return j.where(F.col("ctx").isNull() | F.col("often").isNotNull()).select("h", "ctx", "id", "spot")
 
 
 def text_tasks(rep: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(covered spots ``id, spot``; context tasks ``id, spot, h, c``): of equal contexts the first stands for all."""
-    live = rep.where(~F.col("covered"))
+    live = rep.where("ctx is not null")
     classes = live.groupBy("h", "ctx").agg(F.min(F.struct("id", "spot")).alias("first"),
                                            F.count(F.lit(1)).alias("n"))
     firsts = (classes.where("n > 1").select(F.struct("h", "ctx").alias("hc"), "first"))
     later = (live.withColumn("hc", F.struct("h", "ctx")).join(firsts, "hc")
              .where((F.col("id") != F.col("first.id")) | (F.col("spot") != F.col("first.spot"))).select("id", "spot"))
-    known = rep.where("covered").select("id", "spot")
+    known = rep.where("ctx is null").select("id", "spot")
     several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("h").alias("h2"), "c")
     tasks = (classes.join(several, F.col("h") == F.col("h2"))
              .select(F.col("first.id").alias("id"), F.col("first.spot").alias("spot"), "h", "c"))
@@ -249,6 +251,18 @@ def _breaks(sides: list[bytes]) -> list[int]:
     return sorted(out)
 
 
+def may_match(group: list[tuple[bytes, bytes]], length: int) -> list[int]:
+    """Numbers of the contexts that share half of the bytes beside the gram, on either side, with another one. A window
+    of ``length`` bytes around the gram reaches that far on one side at least, so the others can't match."""
+    half = (length - GRAM + 1) // 2
+    count: dict = {}
+    keys = [tuple((w, s[:half]) for w, s in enumerate(g) if len(s) >= half) for g in group]
+    for ks in keys:
+        for k in ks:
+            count[k] = count.get(k, 0) + 1
+    return [i for i, ks in enumerate(keys) if any(count[k] > 1 for k in ks)]
+
+
 def covered_ranges(group: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int] | None]:
     """For contexts (reversed left side, right side) of one gram in order of occurrence: the bytes before and after the
     gram's start that are covered by a string which an earlier context has too, or None."""
@@ -311,8 +325,10 @@ def sorted_groups(ctx: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         def done(rows):
-            got = covered_ranges([(r[2][::-1], r[3]) for r in rows], length)
-            return [(r[0], r[1], *g) for r, g in zip(rows, got, strict=True) if g]
+            sides = [(r[2][::-1], r[3]) for r in rows]
+            some = may_match(sides, length)
+            got = covered_ranges([sides[i] for i in some], length) if some else []
+            return [(*rows[i][:2], *g) for i, g in zip(some, got, strict=True) if g]
 
         held, last, out = [], None, []
         for batch in batches:
