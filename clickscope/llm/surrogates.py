@@ -66,7 +66,8 @@ PATTERNS = [
 DIGIT_PATTERNS = re.compile("|".join(f"(?P<t{i}_{t}>{p.replace('?P<quoted>', f'?P<q{i}>')})"
                                      for i, (t, p) in enumerate(PATTERNS)))
 PERSON = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME}){{0,2}})")
-_MARKS = re.compile(r"[0-9@]|(?i:password|passwd|pwd|token|secret|api)")
+_MARKS = "@0123456789"
+_SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "api")
 _CHEAP_TITLES = tuple(TITLES)
 
 
@@ -75,7 +76,12 @@ def spans(text: str | None) -> list[tuple[int, int, str, str]]:
     out: list[tuple[int, int, str, str]] = []
     if not text:
         return out
-    if _MARKS.search(text):
+    # plain searches first: the patterns need a digit, an @, or the name of a secret with = or :
+    marked = any(ch in text for ch in _MARKS)
+    if not marked and ("=" in text or ":" in text):
+        low = text.lower()
+        marked = any(w in low for w in _SECRET_WORDS)
+    if marked:
         for m in DIGIT_PATTERNS.finditer(text):
             group = m.lastgroup if m.lastgroup.startswith("t") else next(
                 g for g, v in m.groupdict().items() if g.startswith("t") and v is not None)
@@ -218,7 +224,7 @@ def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", found_
     found, h, pairs, n = fresh(docs, "found", "text_hash", "pairs", "n_found")
     rows = docs.withColumn(found, _found(text))
     touched = rows.where(F.size(found) > 0).withColumn(h, F.md5(text.cast("binary")))
-    each = touched.select(F.col(h).alias("h"), F.explode(found).alias("e")).select("h", "e.*").distinct()
+    each = cut(touched.select(F.col(h).alias("h"), F.explode(found).alias("e")).select("h", "e.*").distinct())
     known = assign(each, key)
     mapping = (each.join(known, ["kind", "value"])
                .groupBy("h").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(pairs)))

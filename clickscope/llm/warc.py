@@ -251,13 +251,15 @@ def indexed(parsed: DataFrame, index: DataFrame) -> DataFrame:
 
 def resolve_revisits(recs: DataFrame, id_type: str = "bigint") -> DataFrame:
     """One row per record: the full payload's size and digest, and for revisits the page that holds the payload."""
-    resp = (recs.where("record_type = 'response'").groupBy(F.col("record_id").alias("r_id"))
+    resp = (recs.where("record_type = 'response'").groupBy("record_id")
             .agg(F.first("page_id", ignorenulls=True).alias("r_page"), F.first("payload_bytes").alias("r_bytes"),
                  F.first("payload_digest").alias("r_digest")))
-    j = recs.withColumn("rev_id", F.when(F.col("record_type") == "revisit", F.col("refers_to_id")))
-    j = j.join(resp, F.col("rev_id") == F.col("r_id"), "left")
-    rev = F.col("rev_id").isNotNull()
-    return j.select(F.col("page_id").cast(id_type).alias("page_id"),
-                    F.when(rev, F.col("r_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-                    F.when(rev, F.col("r_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-                    "record_type", F.when(rev, F.col("r_page").cast(id_type)).alias("refers_to"))
+    # keys of their own on both sides: exchanged for the join, so that AQE can split a payload with many revisits
+    resp = resp.select(F.concat("record_id", F.lit("")).alias("key"), "r_page", "r_bytes", "r_digest")
+    rev = (recs.where("record_type = 'revisit'").withColumn("key", F.concat("refers_to_id", F.lit("")))
+           .join(resp, "key", "left"))
+    page = F.col("page_id").cast(id_type).alias("page_id")
+    return (recs.where("record_type = 'response'")
+            .select(page, "payload_bytes", "payload_digest", "record_type", F.lit(None).cast(id_type).alias("refers_to"))
+            .unionByName(rev.select(page, F.col("r_bytes").alias("payload_bytes"), F.col("r_digest").alias(
+                "payload_digest"), "record_type", F.col("r_page").cast(id_type).alias("refers_to"))))
