@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +37,16 @@ def cut(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def free_finished_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished plans, after a lineage cut whose result doesn't need them.
+
+    The cleaner acts on plans that neither Python nor the JVM holds any more, as often as the JVM collects its garbage
+    (every half hour by default), which is too seldom for a job whose next step shuffles whole texts.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession, kind: str) -> str:
     """A new folder name under the shared root (``spark.checkpoint.dir``)."""
     return f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, quoted
+from .common import cut, free_finished_shuffles, fresh, quoted
 from .components import components
 
 SAMPLES, BITS, PARITY = 128, 512, 2048
@@ -345,8 +345,11 @@ def near_dups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
         winner, F.count(F.lit(1)).alias("members"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     members = cut(buckets(classes).join(classes.select("c", "n_shingles", "sketch"), "c"))
+    free_finished_shuffles(docs.sparkSession)
     wanted = (members.select("c").distinct().join(classes.select("c", F.col("best.row_key").alias("row_key")), "c"))
     sets = cut(shingle_sets(docs, wanted, words, id_col, text_col))
+    del wanted
+    free_finished_shuffles(docs.sparkSession)
     links = cut(confirmed(forest_pairs(members, limit, threshold), sets, percent))
     labels = components(links)
     placed = members.join(labels, members["c"] == labels["node"], "left").drop("node")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, quoted, shared_folder
+from .common import cut, free_finished_shuffles, quoted, shared_folder
 from .gsaca import lcp_array, suffix_array
 
 GRAM = 32
@@ -136,6 +136,8 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
             known = same & ~twin
             place = ((who.view(np.uint64) * _ODD) ^ spot.view(np.uint64)) * _ODD
             h = np.where(known, place.view(np.int64), h)
+            by_doc = np.argsort(o)  # back in document order, which the shuffle compresses better
+            h, c, known, who, spot = h[by_doc], c[by_doc], known[by_doc], who[by_doc], spot[by_doc]
             cols = [pa.array(h), pa.array(c, mask=known), pa.array(who), pa.array(spot)]
             yield pa.RecordBatch.from_arrays(cols, names=["h", "ctx", "id", "spot"])
 
@@ -147,7 +149,8 @@ def repeated(occ: DataFrame) -> DataFrame:
     often = (occ.where("ctx is not null").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
              .select(F.col("h").alias("often")))
     j = occ.join(often, F.col("h") == F.col("often"), "left")
-    return j.where(F.col("ctx").isNull() | F.col("often").isNotNull()).select("h", "ctx", "id", "spot")
+    return j.where(F.col("ctx").isNull() | F.col("often").isNotNull()).select("often", "ctx", "id", "spot").toDF(
+        "h", "ctx", "id", "spot")
 
 
 def text_tasks(rep: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -378,11 +381,16 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     if length < GRAM + 1:
         raise ValueError(f"length must exceed {GRAM}")
     rows = order_columns(docs, id_col, text_col)
-    rep = cut(repeated(occurrences(rows, length)))
-    spots, tasks = text_tasks(rep)
     spark = docs.sparkSession
+    staged = shared_folder(spark, "suffix-dedup-grams")  # Parquet packs these rows better than a checkpoint does
+    repeated(occurrences(rows, length)).write.parquet(staged)
+    rep = spark.read.schema("h long, ctx long, id long, spot long").parquet(staged)
+    free_finished_shuffles(spark)
+    spots, tasks = text_tasks(rep)
     folder = shared_folder(spark, "suffix-dedup")
     meet_texts(rows, spots, tasks, length).write.parquet(folder)
+    del rep, spots, tasks
+    free_finished_shuffles(spark)
     met = spark.read.schema(MET).parquet(folder)
     opened = met.where("tasks is not null")
     ctx = contexts(opened, length)
