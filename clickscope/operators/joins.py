@@ -35,6 +35,15 @@ def broadcast_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     return left.join(r, on, how)
 
 
+SALTABLE = ("inner", "left", "left_outer", "left_semi", "left_anti")
+
+
+def _check_how(how: str) -> None:
+    """Copies of the right side would come out once per salt in a right or full join."""
+    if how not in SALTABLE:
+        raise ValueError(f"a salted join must be one of {SALTABLE}")
+
+
 def _salt_range(n: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")
 
@@ -51,6 +60,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n: int = 10, seed: i
                 how: str = "inner", salt_col: str | None = None) -> DataFrame:
     """JOIN-12: salt 0..n-1 on ``big``; ``small`` copied once per salt value (``sequence``, not random, so
     every salt finds its match: decision D24). Equal to ``big.join(small, key, how)`` for inner/left."""
+    _check_how(how)
     b = big.withColumn("_salt", salt(n, salt_col, seed))
     s = small.select("*", _salt_range(n))
     return b.join(s, [key, "_salt"], how).drop("_salt")
@@ -75,6 +85,7 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, fraction: float = 0.1
     The hot keys (at most ``top`` values) come to the driver once and split both sides with literal ``IN``
     filters, so the sample is not recomputed per branch.
     """
+    _check_how(how)
     hot = [r[0] for r in hot_keys(left, key, fraction, seed, top).collect()]  # at most ``top`` values
     if not hot:
         return left.join(right, key, how)

@@ -25,8 +25,9 @@ TARGET_PAGE_FLOW = "targetPageFlow"
 
 
 def param_value(param_map: Column, name: str) -> Column:
-    """SRC-6: first element of ``param_map[name]``; missing key or empty list → null (also under ANSI mode)."""
-    return F.try_element_at(F.try_element_at(param_map, F.lit(name)), F.lit(1))
+    """SRC-6: first element of ``param_map[name]``; missing key, empty list or empty text → null (also under ANSI
+    mode)."""
+    return F.nullif(F.try_element_at(F.try_element_at(param_map, F.lit(name)), F.lit(1)), F.lit(""))
 
 
 def task_params(tasks: DataFrame, task_id: int) -> DataFrame:
@@ -73,8 +74,8 @@ class SessionParams:
         def first(name):
             v = raw.get(name)
             if isinstance(v, list):
-                return v[0] if v else None
-            return v
+                v = v[0] if v else None
+            return None if v == "" else v  # an empty parameter is an unset one
 
         def as_int(v):
             return None if v is None else int(v)

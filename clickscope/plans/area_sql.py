@@ -1,46 +1,42 @@
-"""J3 written as Spark SQL text, the way the reference states it, over temp views.
+"""J3 as one Spark SQL statement over named arguments, to show the SQL-level functions of
+:mod:`clickscope.functions.sql_functions` (``concat_long_string``, ``json_field``) at work (UDF-1, UDF-2, UDAF-1).
 
-It uses the SQL-level functions of :mod:`clickscope.functions.sql_functions` (``concat_long_string``,
-``json_field``) and ``listagg(DISTINCT …)`` for ``group_concat_distinct`` (UDF-1, UDF-2, UDAF-1). Catalyst
-produces the same kind of plan as the DataFrame form.
+The inputs are passed as DataFrames, so no view stays behind in the caller's session, and the area levels are a map
+argument.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.sql_functions import register_sql_functions
+from ..operators.products import DEFAULT_AREA_LEVELS, DEFAULT_LEVEL
+
+STATEMENT = """
+WITH per_area AS (
+  SELECT c.area, a.click_product_id AS product_id, count(*) AS click_count,
+         listagg(DISTINCT c.city, ',') WITHIN GROUP (ORDER BY c.city) AS city_infos
+  FROM {actions} a
+  JOIN (SELECT city_id, area, concat_long_string(city_id, city_name, ':') AS city FROM {cities}) c USING (city_id)
+  WHERE a.click_product_id IS NOT NULL AND a.date BETWEEN :first_day AND :last_day
+  GROUP BY c.area, a.click_product_id),
+placed AS (
+  SELECT s.*, p.product_name, p.extend_info,
+         row_number() OVER (PARTITION BY s.area ORDER BY s.click_count DESC, s.product_id) AS place
+  FROM per_area s JOIN {products} p USING (product_id))
+SELECT CAST(:task AS BIGINT) AS task_id, area, coalesce(try_element_at(:levels, area), :other_level) AS area_level,
+       product_id, city_infos, click_count, product_name,
+       CASE json_field(extend_info, 'product_status') WHEN '0' THEN 'Self' ELSE 'Third Party' END AS product_status
+FROM placed WHERE place <= :n
+"""
 
 
 def area_top3_sql(spark: SparkSession, actions: DataFrame, cities: DataFrame, product_table: DataFrame,
-                  start_date: str, end_date: str, task_id: int, n: int = 3) -> DataFrame:
+                  start_date: str, end_date: str, task_id: int, n: int = 3, area_levels: dict | None = None,
+                  other_level: str = DEFAULT_LEVEL) -> DataFrame:
     register_sql_functions(spark)
-    actions.createOrReplaceTempView("user_visit_action")
-    cities.createOrReplaceTempView("city_info")
-    product_table.createOrReplaceTempView("product_info")
-    spark.sql(f"""
-        SELECT /*+ BROADCAST(c) */ c.city_id, c.city_name, c.area, a.click_product_id AS product_id,
-               concat_long_string(c.city_id, c.city_name, ':') AS city_info
-        FROM user_visit_action a JOIN city_info c ON a.city_id = c.city_id
-        WHERE a.click_product_id IS NOT NULL AND a.date >= '{start_date}' AND a.date <= '{end_date}'
-    """).createOrReplaceTempView("tmp_click_product_basic")
-    spark.sql("""
-        SELECT area, product_id, count(*) AS click_count,
-               listagg(DISTINCT city_info, ',') WITHIN GROUP (ORDER BY city_info) AS city_infos
-        FROM tmp_click_product_basic GROUP BY area, product_id
-    """).createOrReplaceTempView("tmp_area_product_click_count")
-    spark.sql("""
-        SELECT t.area, t.product_id, t.click_count, t.city_infos, p.product_name,
-               IF(json_field(p.extend_info, 'product_status') = '0', 'Self', 'Third Party') AS product_status
-        FROM tmp_area_product_click_count t JOIN product_info p ON t.product_id = p.product_id
-    """).createOrReplaceTempView("tmp_area_fullprod_click_count")
-    return spark.sql(f"""
-        SELECT CAST({int(task_id)} AS BIGINT) AS task_id, area,
-               CASE WHEN area IN ('AFRICA', 'AMERICA') THEN 'A Level'
-                    WHEN area IN ('ASIA', 'EUROPE') THEN 'B Level'
-                    ELSE 'D Level' END AS area_level,
-               product_id, city_infos, click_count, product_name, product_status
-        FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS rank
-              FROM tmp_area_fullprod_click_count) t
-        WHERE rank <= {int(n)}
-    """)
+    levels = F.create_map(*[F.lit(x) for kv in (area_levels or DEFAULT_AREA_LEVELS).items() for x in kv])
+    return spark.sql(STATEMENT, args={"first_day": start_date, "last_day": end_date, "task": int(task_id), "n": int(n),
+                                      "levels": levels, "other_level": other_level},
+                     actions=actions, cities=cities, products=product_table)

@@ -75,7 +75,9 @@ class LogTable:
             reader = reader.option("basePath", self.path)
         try:
             df = reader.parquet(path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # only a table that nobody has written yet reads as empty
+                raise
             df = self.spark.createDataFrame([], self.full_schema)
         if upto is not None:
             df = df.where(F.col(BATCH) <= F.lit(int(upto)))

@@ -14,6 +14,8 @@ from ..functions import dates
 # Field positions of one log line.
 F_TS, F_PROVINCE, F_CITY, F_USER, F_AD = 0, 1, 2, 3, 4
 N_FIELDS = 5
+# Epoch milliseconds of the years 1970 to 9999; a line outside them is a reject, as no date can be made of it.
+MAX_EPOCH_MS = 253_402_300_799_999
 
 
 def _fields(value: Column) -> Column:
@@ -22,7 +24,7 @@ def _fields(value: Column) -> Column:
 
 def _valid(parts: Column) -> Column:
     return ((F.size(parts) == N_FIELDS)
-            & parts[F_TS].try_cast("bigint").isNotNull()
+            & parts[F_TS].try_cast("bigint").between(0, MAX_EPOCH_MS)
             & parts[F_USER].try_cast("bigint").isNotNull()
             & parts[F_AD].try_cast("bigint").isNotNull())
 
@@ -42,7 +44,7 @@ def parse_ad_log(lines: DataFrame, value_col: str = "value", keep: tuple[str, ..
 
 
 def parse_ad_log_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Lines :func:`parse_ad_log` refuses (wrong field count or non-numeric time/user/ad)."""
+    """Lines :func:`parse_ad_log` refuses (wrong field count, non-numeric time/user/ad, or a time out of range)."""
     parts = _fields(F.col(value_col))
     return lines.where(~F.coalesce(_valid(parts), F.lit(False)))
 

@@ -1,8 +1,7 @@
 """External sources: JDBC tables (SRC-4), Kafka (SRC-8, SRC-9) and the file stream used in their place.
 
-Nothing here opens a connection by itself; the readers are declared and run on the executors. Where a
-connector is not on the class path (Kafka here), :func:`ad_log_stream` falls back to a text-file stream with
-the same ``value`` column, which is also what the tests replay.
+Nothing here opens a connection by itself; the readers are declared and run on the executors. The Kafka connector is
+not on the class path here, so the tests replay text files, which have the same ``value`` column.
 """
 
 from __future__ import annotations
@@ -25,12 +24,12 @@ def jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = Non
 
 
 def kafka_stream(spark: SparkSession, brokers: str, topics: str, starting_offsets: str = "latest",
-                 fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 fail_on_data_loss: bool = True, max_offsets_per_trigger: int | None = None) -> DataFrame:
     """SRC-8/9: Kafka topics (CSV list) as a ``value`` text column.
 
     Resume is owned by the query's ``checkpointLocation``: the first run starts at ``starting_offsets``
     (``earliest``/``latest``, the reference's ``auto.offset.reset``), later runs continue from the committed
-    offsets, and ``failOnDataLoss=false`` continues from the earliest retained offset when stored ones are gone.
+    offsets. Stored offsets that are gone stop the query unless ``fail_on_data_loss=False`` allows the gap.
     """
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("subscribe", topics)
          .option("startingOffsets", starting_offsets).option("failOnDataLoss", str(fail_on_data_loss).lower()))
@@ -48,17 +47,12 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def ad_log_stream(spark: SparkSession, *, brokers: str | None = None, topics: str | None = None,
-                  path: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ad log as a ``value`` stream: Kafka when brokers are given and the connector is on the class path,
-    else the text files under ``path``."""
-    if brokers and topics:
-        try:
-            return kafka_stream(spark, brokers, topics)
-        except Exception as e:  # noqa: BLE001 - "Failed to find data source: kafka" without the connector
-            if path is None:
-                raise
-            if "kafka" not in str(e).lower():
-                raise
-    if path is None:
-        raise ValueError("no Kafka brokers/topics and no file path for the ad log stream")
-    return text_stream(spark, path, max_files_per_trigger)
+                  path: str | None = None, max_files_per_trigger: int | None = None, **kafka) -> DataFrame:
+    """The ad log as a ``value`` stream: from Kafka (``brokers`` and ``topics``; further options of
+    :func:`kafka_stream`) or from the text files under ``path``. Exactly one of them is named; neither stands in for
+    the other."""
+    if bool(brokers and topics) == bool(path):
+        raise ValueError("name either Kafka brokers and topics, or a file path, for the ad log stream")
+    if path:
+        return text_stream(spark, path, max_files_per_trigger)
+    return kafka_stream(spark, brokers, topics, **kafka)

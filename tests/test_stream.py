@@ -91,16 +91,27 @@ def test_compaction_keeps_results(spark, tmp_root):
     assert len(dirs) <= 3
 
 
-def test_ad_log_stream_falls_back_to_files(spark, tmp_root):
+def test_ad_log_stream_names_one_source(spark, tmp_root):
     import pytest
 
     from clickscope.sources.external import ad_log_stream
-    src = f"{tmp_root}/fallback"
+    src = f"{tmp_root}/one-source"
     os.makedirs(src)
-    df = ad_log_stream(spark, brokers="localhost:9", topics="ads", path=src)
+    df = ad_log_stream(spark, path=src)
     assert df.isStreaming and df.columns == ["value"]
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError):
         ad_log_stream(spark)
+    with pytest.raises(ValueError):
+        ad_log_stream(spark, brokers="localhost:9", topics="ads", path=src)
+
+
+def test_line_with_an_impossible_time_is_a_reject(spark):
+    from clickscope.sources import adlog
+    lines = spark.createDataFrame([("99999999999999999 P C 1 2",), ("-5 P C 1 2",), ("1704103200000 P C 1 2",)],
+                                  "value string")
+    assert adlog.parse_ad_log(lines).count() == 1
+    assert adlog.parse_ad_log_rejects(lines).count() == 2
+    assert adlog.batch_summary(lines) == (2, ["20240101"])
 
 
 def test_console_sink_runs(spark, tmp_root):
