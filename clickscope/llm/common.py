@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,8 +44,10 @@ def free_finished_shuffles(spark: SparkSession) -> None:
     The cleaner acts on plans that neither Python nor the JVM holds any more, as often as the JVM collects its garbage
     (every half hour by default), which is too seldom for a job whose next step shuffles whole texts.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python's references go first; the JVM notices them a moment later
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def shared_folder(spark: SparkSession, kind: str) -> str:
