@@ -55,7 +55,7 @@ class AdClickStream:
                  broadcast_rows: int = 5_000_000, compact_every: int = 50):
         self.spark = spark
         self.broadcast_rows = broadcast_rows
-        self.compact_every = compact_every  # fold the touched dates' batches every this many batches
+        self.compact_every = compact_every  # fold crowded dates every this many batches
         self.root = root.rstrip("/")
         self.threshold = threshold
         self.top_n = top_n
@@ -89,11 +89,7 @@ class AdClickStream:
             return
         only = {"date": dates}
         if self._compaction_due(batch_id):
-            # Fold everything before this batch for the dates it touches: each date keeps at most
-            # ``compact_every`` batch directories, however long the stream runs.
-            lt.compact_increment(self.counts, COUNT_KEYS, ["click_count"], dates, batch_id - 1)
-            lt.compact_increment(self.stat, STAT_KEYS, ["click_count"], dates, batch_id - 1)
-            lt.compact_group(self.top, ["date", "province"], dates, batch_id - 1)
+            self._compact_main(batch_id - 1)
         listed = lt.read_append(self.blacklist_table, upto=batch_id - 1)
         # The filtered clicks feed every step below. They are cut from the blacklist files with a checkpoint:
         # this batch appends to that table, and a plan still reading it would be refreshed (and re-filtered)
@@ -116,6 +112,18 @@ class AdClickStream:
         finally:
             delta.unpersist()
 
+    def _compact_main(self, upto: int) -> None:
+        """Fold every date (or table without dates) that has ``compact_every`` batch directories. Together with the
+        batches until the next fold, none keeps more than twice as many, late dates included."""
+        many = self.compact_every
+        lt.compact_increment(self.counts, COUNT_KEYS, ["click_count"], self.counts.crowded(upto, many), upto)
+        lt.compact_increment(self.stat, STAT_KEYS, ["click_count"], self.stat.crowded(upto, many), upto)
+        lt.compact_group(self.top, ["date", "province"], self.top.crowded(upto, many), upto)
+        if self.blacklist_table.crowded(upto, many):
+            lt.compact_distinct(self.blacklist_table, ["all"], upto)
+        if self.rejects.crowded(upto, many):
+            lt.compact_append(self.rejects, ["all"], upto)
+
     def _compaction_due(self, batch_id: int) -> bool:
         return bool(self.compact_every) and batch_id > 0 and batch_id % self.compact_every == 0
 
@@ -151,12 +159,14 @@ class AdClickStream:
             end = F.col("w.end").cast("timestamp_ntz")
             rows = batch.select(F.date_format(start, "yyyyMMddHHmmss").alias("window_start"),
                                 F.date_format(end, "yyyyMMddHHmmss").alias("window_end"), "ad_id", "click_count")
+            if self._compaction_due(batch_id) and self.trend_windows.crowded(batch_id - 1, self.compact_every):
+                lt.compact_replace(self.trend_windows, WINDOW_KEYS, ["window_end", "click_count"], ["all"], batch_id - 1)
             lt.replace_upsert(self.trend_windows, rows, batch_id)
             return
         rows = batch.select(F.date_format(start, "yyyyMMdd").alias("date"), F.date_format(start, "HH").alias("hour"),
                             F.date_format(start, "mm").alias("minute"), "ad_id", "click_count")
         if self._compaction_due(batch_id):
-            dates = sorted(r[0] for r in rows.select("date").distinct().collect())  # the batch's few dates
+            dates = self.trend.crowded(batch_id - 1, self.compact_every)
             lt.compact_replace(self.trend, TREND_KEYS, ["click_count"], dates, batch_id - 1)
         lt.replace_upsert(self.trend, rows, batch_id)
 
