@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import time
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,18 @@ def free_finished_shuffles(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Queries run inside drop their shuffle files when they end (a retry within a query still has them)."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession, kind: str) -> str:
     """A new folder name under the shared root (``spark.checkpoint.dir``)."""
     return f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"

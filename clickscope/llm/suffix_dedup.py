@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_finished_shuffles, quoted, shared_folder
+from .common import cut, quoted, shared_folder, shuffles_freed
 from .gsaca import lcp_array, suffix_array
 
 GRAM = 32
@@ -383,14 +383,13 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     rows = order_columns(docs, id_col, text_col)
     spark = docs.sparkSession
     staged = shared_folder(spark, "suffix-dedup-grams")  # Parquet packs these rows better than a checkpoint does
-    repeated(occurrences(rows, length)).write.parquet(staged)
+    with shuffles_freed(spark):
+        repeated(occurrences(rows, length)).write.parquet(staged)
     rep = spark.read.schema("h long, ctx long, id long, spot long").parquet(staged)
-    free_finished_shuffles(spark)
     spots, tasks = text_tasks(rep)
     folder = shared_folder(spark, "suffix-dedup")
-    meet_texts(rows, spots, tasks, length).write.parquet(folder)
-    del rep, spots, tasks
-    free_finished_shuffles(spark)
+    with shuffles_freed(spark):
+        meet_texts(rows, spots, tasks, length).write.parquet(folder)
     met = spark.read.schema(MET).parquet(folder)
     opened = met.where("tasks is not null")
     ctx = contexts(opened, length)
