@@ -94,6 +94,11 @@ def date_and_hour(c) -> tuple[Column, Column]:
     return F.date_format(_c(c), FMT_DATE), F.date_format(_c(c), "HH")
 
 
+def hour_index(c) -> Column:
+    """Hours from 1970-01-01 00:00 to a wall-clock time, counted by calendar so that no time zone enters."""
+    return F.unix_date(to_ntz(c).cast("date")) * F.lit(24) + F.hour(to_ntz(c))
+
+
 def minute_parts(c) -> tuple[Column, Column, Column]:
     """FN-21: date (``yyyyMMdd``), hour and minute as zero-padded text."""
     return F.date_format(_c(c), FMT_DATEKEY), F.date_format(_c(c), "HH"), F.date_format(_c(c), "mm")

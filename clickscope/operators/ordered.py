@@ -1,142 +1,41 @@
 """Previous row within a group by a total order (WIN-2, TOP-5), without putting a whole group in one task.
 
 A hash-partitioned ``lag() OVER (PARTITION BY g ORDER BY o)`` needs every row of a group in one task, so one
-hot group (a bot session) becomes one huge task. Here rows are first cut into ``num_buckets`` contiguous
-ranges of the sort key ``(g, o)``: split points come from a bounded sample (at most ``sample_rows`` keys reach
-the driver) and the bucket of a row is a pure column expression (binary search written as nested ``CASE``
-over struct comparisons). A hot group therefore spans many buckets. The window then runs per
-``(bucket, g)``; only a group's first row inside a bucket may have its predecessor in an earlier bucket, and
-that predecessor is the last row of the previous non-empty bucket — one row per bucket, joined back through
-a broadcast of at most ``num_buckets`` rows.
-
-Because the bucket is a deterministic function of the row (fixed literals in the plan), every evaluation —
-including recomputation after a lost executor — assigns the same buckets. (Spark's own range partitioner
-samples with a seed tied to the RDD id, so two exchanges over the same data may cut differently.)
+hot group (a bot session) becomes one huge task. Here a group is cut into chunks by a column expression that
+never decreases along the order (the hour of the row's time, say). The window runs per (group, chunk); only the
+first row of a chunk has its predecessor elsewhere, and that predecessor is the last row of the group's previous
+chunk. Those last rows come from one partial aggregate over the same input (one row per group and chunk), so the
+work is one window pass and one aggregate pass, whatever the sizes and the skew: no sample, no count, no driver.
+
+The chunk is a plain function of the row, so every evaluation, including recomputation after a lost executor,
+cuts alike.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_SAMPLE_ROWS = 200_000   # upper bound on keys sent to the driver
-SAMPLES_PER_BUCKET = 256        # enough for even cuts; the sample is min(both) keys
-MAX_BUCKETS = 4096
-BUCKETS_PER_TASK = 4            # several buckets per task even out the range partitioner's coarse cuts
-
-
-def _literal(v, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.TimestampNTZType) and isinstance(v, _dt.datetime):
-        return F.lit(v.isoformat(sep=" ")).cast(dtype)  # text → NTZ does not depend on any time zone
-    return F.lit(v).cast(dtype)
-
-
-def sample_keys(df: DataFrame, keys: list[str], num_buckets: int, sample_rows: int = DEFAULT_SAMPLE_ROWS,
-                seed: int = 17) -> list[tuple]:
-    """A sorted Bernoulli sample of the key tuples, at most about ``min(sample_rows, 256 × buckets)`` of them."""
-    keyed = df.select(*keys).dropna()
-    total = keyed.count()
-    if total == 0:
-        return []
-    frac = min(1.0, min(sample_rows, SAMPLES_PER_BUCKET * num_buckets) / total)
-    sample = keyed if frac >= 1.0 else keyed.sample(False, frac, seed)
-    return sorted(tuple(r) for r in sample.collect())  # bounded, see above
-
-
-def points_from_sample(rows: list[tuple], num_buckets: int) -> list[tuple]:
-    """Up to ``num_buckets - 1`` ascending, distinct cut keys at even quantiles of the sample."""
-    if num_buckets <= 1 or len(rows) < 2:
-        return []
-    m = min(num_buckets - 1, len(rows) - 1)
-    pts: list[tuple] = []
-    for i in range(1, m + 1):
-        p = rows[(i * len(rows)) // (m + 1)]
-        if not pts or p > pts[-1]:
-            pts.append(p)
-    return pts
-
-
-def split_points(df: DataFrame, keys: list[str], num_buckets: int, sample_rows: int = DEFAULT_SAMPLE_ROWS,
-                 seed: int = 17) -> list[tuple]:
-    """Cut keys splitting ``df`` into about ``num_buckets`` equal ranges of ``keys``."""
-    if num_buckets <= 1:
-        return []
-    return points_from_sample(sample_keys(df, keys, num_buckets, sample_rows, seed), num_buckets)
-
-
-def has_hot_group(rows: list[tuple], n_group_cols: int, tasks: int) -> bool:
-    """True when some group holds more than one task's share of the sampled keys."""
-    if not rows:
-        return False
-    counts: dict = {}
-    for r in rows:
-        g = r[:n_group_cols]
-        counts[g] = counts.get(g, 0) + 1
-    return max(counts.values()) > len(rows) / max(1, tasks)
-
-
-def bucket_of(keys: list[str], points: list[tuple], schema: T.StructType) -> Column:
-    """Index of the range holding ``struct(keys)``: bucket b holds ``points[b-1] <= key < points[b]``."""
-    key = F.struct(*[F.col(k) for k in keys])
-    lits = [F.struct(*[_literal(v, schema[k].dataType).alias(k) for k, v in zip(keys, p)]) for p in points]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < lits[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(points))
 
 
 def previous_in_order(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str],
-                      prefix: str = "prev_", num_buckets: int | None = None,
-                      sample_rows: int = DEFAULT_SAMPLE_ROWS, strategy: str = "auto") -> DataFrame:
+                      chunk: Column, prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + v`` = ``v`` of the preceding row of the same group (null on a group's first row).
 
-    ``order_cols`` must make the order total inside a group (end with a unique id). Key columns should be
-    non-null (rows with null keys all fall into the bucket the comparisons send them to, deterministically).
-    ``strategy``: ``'range'`` always buckets; ``'hash'`` is the plain window; ``'auto'`` buckets only when the
-    key sample shows a group larger than one task's share (otherwise the plain window is already safe).
+    ``order_cols`` must make the order total inside a group (end with a unique id). ``chunk`` must not decrease
+    along that order, nulls first; it decides how finely a group is spread, never the result. Null groups form one
+    group. The key is one struct, so null fields compare equal and the window's partitioning serves the join too.
     """
-    if strategy == "hash":
-        return previous_in_order_hash(df, group_cols, order_cols, value_cols, prefix)
-    spark = df.sparkSession
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n = num_buckets or BUCKETS_PER_TASK * tasks
-    n = max(1, min(n, MAX_BUCKETS))
-    keys = [*group_cols, *order_cols]
-    sample = sample_keys(df, keys, n, sample_rows)
-    if strategy == "auto" and not has_hot_group(sample, len(group_cols), tasks):
-        return previous_in_order_hash(df, group_cols, order_cols, value_cols, prefix)
-    points = points_from_sample(sample, n)
-    # Shuffle by the bucket id itself (range partitioning on an integer in [0, n)): equal-sized buckets land a
-    # few per task. Hashing (bucket, group) instead could pile several pieces of a hot group into one reducer.
-    # Which task gets a bucket does not matter for the result, only the bucket id does.
-    b = df.withColumn("_b", bucket_of(keys, points, df.schema)).repartitionByRange(min(tasks, n), "_b")
-
-    w = Window.partitionBy("_b", *group_cols).orderBy(*order_cols)
-    lagged = b.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols],
-                      (F.row_number().over(w) == 1).alias("_head"))
-
-    # Last row of every non-empty bucket (partial aggregate per task), then each bucket's predecessor tail.
-    tails = b.groupBy("_b").agg(F.max_by(F.struct(*group_cols, *value_cols), F.struct(*keys)).alias("_tail"))
-    prev_tails = tails.select("_b", F.lag("_tail").over(Window.orderBy("_b")).alias("_prev_tail"))
-
-    joined = lagged.join(F.broadcast(prev_tails), "_b", "left")  # at most num_buckets rows
-    same_group = F.lit(True)
-    for g in group_cols:
-        same_group = same_group & F.col(g).eqNullSafe(F.col("_prev_tail." + g))
-    fixed = [F.when(F.col("_head"), F.when(same_group, F.col("_prev_tail." + v)))
-             .otherwise(F.col(prefix + v)).alias(prefix + v) for v in value_cols]
+    keyed = df.withColumn("_key", F.struct(*group_cols, chunk.alias("_chunk")))
+    w = Window.partitionBy("_key").orderBy(*order_cols)
+    lagged = keyed.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols],
+                          (F.row_number().over(w) == 1).alias("_head"))
+
+    last = F.max_by(F.struct(*value_cols), F.struct(*order_cols))
+    tails = keyed.groupBy("_key").agg(last.alias("_last"))
+    across = Window.partitionBy(*[F.col("_key")[g] for g in group_cols]).orderBy(F.col("_key")["_chunk"])
+    before = tails.select("_key", F.lag("_last").over(across).alias("_before"))
+
+    joined = lagged.join(before.where(F.col("_before").isNotNull()), "_key", "left")
+    fixed = [F.when(F.col("_head"), F.col("_before")[v]).otherwise(F.col(prefix + v)).alias(prefix + v)
+             for v in value_cols]
     return joined.select(*df.columns, *fixed)
-
-
-def previous_in_order_hash(df: DataFrame, group_cols: list[str], order_cols: list[str], value_cols: list[str],
-                           prefix: str = "prev_") -> DataFrame:
-    """Plain window form, for comparison and for data with no hot groups."""
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols])

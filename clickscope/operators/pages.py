@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..functions.numbers import ratio_half_up
 from .ordered import previous_in_order
 
@@ -18,16 +19,17 @@ def parse_flow(text: str) -> list[int]:
     return [int(x) for x in text.split(",") if x.strip() != ""]
 
 
-def page_pairs(actions: DataFrame, strategy: str = "auto") -> DataFrame:
+def page_pairs(actions: DataFrame, chunk: Column | None = None) -> DataFrame:
     """WIN-2 + TOP-5: every action with the page of the action before it in its session.
 
-    Order inside a session: ``action_time`` then ``event_id`` (D5). ``strategy``: ``'auto'`` (range buckets
-    when a sampled session is hot, see :mod:`.ordered`), ``'range'`` (always), ``'hash'`` (plain window).
+    Order inside a session: ``action_time`` then ``event_id`` (D5). A session is cut by ``chunk`` (default: the hour
+    of the action, see :mod:`.ordered`), so a session that holds a third of a month's rows still spreads over some
+    700 window groups; the cut never changes the result.
     Output: ``session_id, prev_page_id, page_id, action_time, event_id`` for actions that have a predecessor.
     """
     base = actions.select("session_id", "page_id", "action_time", "event_id")
-    with_prev = previous_in_order(base, ["session_id"], ["action_time", "event_id"], ["page_id"],
-                                  strategy=strategy)
+    cut = dates.hour_index("action_time") if chunk is None else chunk
+    with_prev = previous_in_order(base, ["session_id"], ["action_time", "event_id"], ["page_id"], cut)
     return (with_prev.where(F.col("prev_page_id").isNotNull())
             .select("session_id", "prev_page_id", "page_id", "action_time", "event_id"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..checks.oracle_sql import fmt_time, ratio, with_ctes
 from ..functions import dates
@@ -50,16 +51,17 @@ def q_page_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @register("page_pairs_range", with_ctes(["uva"], f"""WITH {_PAIRS}
 SELECT session_id, prev_page_id, page_id, {fmt_time('action_time')} AS action_time, event_id FROM pairs"""))
 def q_page_pairs_range(spark: SparkSession, sf: str) -> DataFrame:
-    """The range-bucket path forced (what ``auto`` picks when a session is hot)."""
-    return pages.page_pairs(_scoped(spark, sf), strategy="range").withColumn(
-        "action_time", dates.format_time("action_time"))
+    """Sessions cut by minute: nearly every pair crosses a chunk."""
+    minute = dates.hour_index("action_time") * F.lit(60) + F.minute("action_time")
+    return pages.page_pairs(_scoped(spark, sf), minute).withColumn("action_time", dates.format_time("action_time"))
 
 
 @register("page_pairs_hash", with_ctes(["uva"], f"""WITH {_PAIRS}
 SELECT session_id, prev_page_id, page_id, {fmt_time('action_time')} AS action_time, event_id FROM pairs"""))
 def q_page_pairs_hash(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.page_pairs(_scoped(spark, sf), strategy="hash").withColumn(
-        "action_time", dates.format_time("action_time"))
+    """Sessions cut by day: few pairs cross a chunk."""
+    day = F.to_date("action_time")
+    return pages.page_pairs(_scoped(spark, sf), day).withColumn("action_time", dates.format_time("action_time"))
 
 
 @register("page_split_pv", with_ctes(["uva"], f"WITH {_PAIRS} SELECT page_pair, pv FROM split_pv"))

@@ -1,7 +1,9 @@
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from clickscope.functions import dates
 from clickscope.operators import ordered, pages
 from helpers import action, actions_df, rows_set
 
@@ -43,35 +45,46 @@ def test_duplicate_pair_in_flow_counted_once(spark):
     assert rows_set(split) == [("1_2", 1)]
 
 
-def test_range_lag_equals_hash_lag_with_hot_group(spark):
-    # one session holds most rows and spans every range partition
+def plain_lag(df, groups, order, value):
+    w = Window.partitionBy(*groups).orderBy(*order)
+    return df.withColumn("prev_" + value, F.lag(value).over(w))
+
+
+def test_chunked_lag_equals_window_with_hot_group(spark):
+    # one session holds most rows and spans many chunks; sessions, times and pages may be null
     rnd = random.Random(3)
     rows = []
     for i in range(3000):
-        sid = "hot" if rnd.random() < 0.8 else f"s{rnd.randrange(40)}"
-        rows.append(action(sid, rnd.randrange(5000), i, page_id=rnd.randrange(10)))
-    acts = actions_df(spark, rows).select("session_id", "page_id", "action_time", "event_id")
-    a = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=7,
-                                  sample_rows=500, strategy="range")
-    sample = ordered.sample_keys(acts, ["session_id", "action_time", "event_id"], 7, 500)
-    assert ordered.has_hot_group(sample, 1, 7)
-    auto = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=7,
-                                     sample_rows=500)
-    b = ordered.previous_in_order_hash(acts, ["session_id"], ["action_time", "event_id"], ["page_id"])
-    cols = ["event_id", "prev_page_id"]
-    assert rows_set(a, *cols) == rows_set(b, *cols) == rows_set(auto, *cols)
-    # the hot session is cut into several buckets
-    pts = ordered.split_points(acts, ["session_id", "action_time", "event_id"], 7, 500)
-    b = acts.select(ordered.bucket_of(["session_id", "action_time", "event_id"], pts, acts.schema).alias("b"),
-                    "session_id")
-    assert b.where(F.col("session_id") == "hot").select("b").distinct().count() >= 3
-
-
-def test_range_lag_single_partition_and_empty(spark):
-    rows = [action("x", i, i, page_id=i % 3) for i in range(10)]
+        sid = "hot" if rnd.random() < 0.8 else rnd.choice([None, *[f"s{k}" for k in range(40)]])
+        rows.append(action(sid, rnd.randrange(500_000), i, page_id=rnd.choice([None, *range(9)])))
+    acts = actions_df(spark, rows).select("session_id", "page_id", "event_id",
+                                          F.when(F.col("event_id") % 50 != 0, F.col("action_time")).alias("action_time"))
+    expect = [(e, p) for e, p in plain_lag(acts, ["session_id"], ["action_time", "event_id"], "page_id")
+              .select("event_id", "prev_page_id").collect()]
+    hour, day = dates.hour_index("action_time"), F.to_date("action_time")
+    for chunk in (hour, day, F.lit(1)):
+        got = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], chunk)
+        assert sorted(got.select("event_id", "prev_page_id").collect(), key=str) == sorted(expect, key=str)
+    # the hot session is cut into many window groups
+    assert acts.where(F.col("session_id") == "hot").select(hour).distinct().count() > 100
+
+
+def test_chunked_lag_plan_and_empty(spark):
+    rows = [action("x", i * 1800, i, page_id=i % 3) for i in range(10)]
     acts = actions_df(spark, rows).select("session_id", "page_id", "action_time", "event_id")
-    a = ordered.previous_in_order(acts, ["session_id"], ["action_time", "event_id"], ["page_id"], num_buckets=1,
-                                  strategy="range")
-    assert rows_set(a, "event_id", "prev_page_id") == [(i, None if i == 0 else (i - 1) % 3) for i in range(10)]
-    empty = acts.where("false")
-    assert ordered.previous_in_order(empty, ["session_id"], ["action_time", "event_id"], ["page_id"]).count() == 0
+    args = (["session_id"], ["action_time", "event_id"], ["page_id"], dates.hour_index("action_time"))
+    a = ordered.previous_in_order(acts, *args)
+    assert rows_set(a.where("event_id > 0"), "event_id", "prev_page_id") == [(i, (i - 1) % 3) for i in range(1, 10)]
+    assert a.where("event_id = 0").first()["prev_page_id"] is None
+    assert ordered.previous_in_order(acts.where("false"), *args).count() == 0
+
+
+def test_hour_index_is_calendar_time(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'1970-01-02 03:59:59' AS t UNION ALL SELECT TIMESTAMP_NTZ'1969-12-31 23:00:00'")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert sorted(r[0] for r in df.select(dates.hour_index("t")).collect()) == [-1, 27]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

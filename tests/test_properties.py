@@ -5,6 +5,7 @@ from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clickscope.functions import numbers, text
@@ -62,14 +63,14 @@ events = st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", "c"]
 
 @settings(max_examples=4, deadline=None)
 @given(events, st.integers(1, 9))
-def test_range_bucket_lag_equals_window(spark, rows, buckets):
+def test_chunked_lag_equals_window(spark, rows, seconds):
     t0 = dt.datetime(2024, 1, 1)
     data = [(g, t0 + dt.timedelta(seconds=s), i, p) for i, (g, s, p) in enumerate(rows)]
     df = spark.createDataFrame(data, "g string, t timestamp_ntz, id long, p long")
-    a = ordered.previous_in_order(df, ["g"], ["t", "id"], ["p"], num_buckets=buckets, sample_rows=40,
-                                  strategy="range")
-    b = ordered.previous_in_order_hash(df, ["g"], ["t", "id"], ["p"])
-    assert rows_set(a, "id", "prev_p") == rows_set(b, "id", "prev_p")
+    chunk = F.floor(F.second("t") / F.lit(seconds))
+    a = ordered.previous_in_order(df, ["g"], ["t", "id"], ["p"], chunk)
+    b = df.withColumn("prev_p", F.lag("p").over(Window.partitionBy("g").orderBy("t", "id")))
+    assert sorted(a.select("id", "prev_p").collect(), key=str) == sorted(b.select("id", "prev_p").collect(), key=str)
 
 
 @settings(max_examples=4, deadline=None)
@@ -114,14 +115,14 @@ def test_stream_blacklist_independent_of_batching(spark, clicks, n_batches):
 @settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["u1", "u1", "u2"]), st.sampled_from(["d1", "d2"]), st.integers(0, 30),
                           st.integers(0, 9)), min_size=1, max_size=150), st.integers(2, 7))
-def test_range_bucket_lag_two_group_columns(spark, rows, buckets):
+def test_chunked_lag_two_group_columns(spark, rows, seconds):
     t0 = dt.datetime(2024, 1, 1)
     data = [(u, d, t0 + dt.timedelta(seconds=s), i, p) for i, (u, d, s, p) in enumerate(rows)]
     df = spark.createDataFrame(data, "u string, d string, t timestamp_ntz, id long, p long")
-    a = ordered.previous_in_order(df, ["u", "d"], ["t", "id"], ["p"], num_buckets=buckets, sample_rows=30,
-                                  strategy="range")
-    b = ordered.previous_in_order_hash(df, ["u", "d"], ["t", "id"], ["p"])
-    assert rows_set(a, "id", "prev_p") == rows_set(b, "id", "prev_p")
+    chunk = F.floor(F.second("t") / F.lit(seconds))
+    a = ordered.previous_in_order(df, ["u", "d"], ["t", "id"], ["p"], chunk)
+    b = df.withColumn("prev_p", F.lag("p").over(Window.partitionBy("u", "d").orderBy("t", "id")))
+    assert sorted(a.select("id", "prev_p").collect(), key=str) == sorted(b.select("id", "prev_p").collect(), key=str)
 
 
 @settings(max_examples=4, deadline=None)
