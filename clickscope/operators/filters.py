@@ -44,21 +44,28 @@ def equal(c, value) -> Column:
     return F.coalesce(_c(c) == F.lit(value), F.lit(False))
 
 
-def session_predicate(p: SessionParams) -> Column:
+def _hit(sessions: DataFrame, flag: str, list_col: str, values, element_type: str) -> Column:
+    """FLT-2 on a list field: by the aggregate's flag where it was computed, else by the list."""
+    if values is not None and flag in sessions.columns:
+        return F.coalesce(F.col(flag), F.lit(False))
+    return overlaps(list_col, values, element_type)
+
+
+def session_predicate(sessions: DataFrame, p: SessionParams) -> Column:
     """FLT-4: the conjunction over the optional parameters (columns of the session aggregate)."""
     preds = [
         between("age", p.start_age, p.end_age),
         in_list("professional", p.professionals),
         in_list("city", p.cities),
         equal("sex", p.sex),
-        overlaps("search_keyword_list", p.keywords, "string"),
-        overlaps("click_category_list", p.category_ids, "bigint"),
+        _hit(sessions, "keyword_hit", "search_keyword_list", p.keywords, "string"),
+        _hit(sessions, "category_hit", "click_category_list", p.category_ids, "bigint"),
     ]
     return reduce(lambda a, b: a & b, preds)
 
 
 def filter_sessions(sessions: DataFrame, p: SessionParams) -> DataFrame:
-    return sessions.where(session_predicate(p))
+    return sessions.where(session_predicate(sessions, p)).drop("keyword_hit", "category_hit")
 
 
 def action_type(kind: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import buckets, dates, text
 from ..functions.numbers import ratio_half_up
+from .filters import overlaps
 from .topn import group_top_n
 
 # Columns of the session-detail output (reference table ``session_detail``, without date and city).
@@ -15,26 +16,55 @@ DETAIL_COLUMNS = ["user_id", "session_id", "page_id", "action_time", "search_key
                   "pay_product_ids"]
 
 
-def session_aggregate(actions: DataFrame) -> DataFrame:
-    """AGG-1: one row per session.
+def session_measures(actions: DataFrame, keywords: list[str] | None = None,
+                     category_ids: list[str] | None = None) -> DataFrame:
+    """AGG-1 without its lists: one row of fixed size per session, so a hot session costs one small partial row per
+    map task. Visit length is whole seconds between first and last action, step length the number of actions.
 
-    ``search_keyword_list`` / ``click_category_list`` are exact distinct sorted arrays (D6); visit length is
-    whole seconds between first and last action, step length the number of actions. All parts aggregate
-    map-side, so a hot session costs one partial row per map task.
+    With ``keywords`` / ``category_ids`` (FLT-2 on a list field) the columns ``keyword_hit`` / ``category_hit`` tell
+    whether any action of the session has one of them.
     """
+    hits = [F.bool_or(overlaps(F.array(c), values, kind)).alias(name)
+            for name, c, values, kind in (("keyword_hit", "search_keyword", keywords, "string"),
+                                          ("category_hit", "click_category_id", category_ids, "bigint"))
+            if values is not None]
     agg = actions.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
-        F.array_sort(F.collect_set("search_keyword")).alias("search_keyword_list"),
-        F.array_sort(F.collect_set("click_category_id")).alias("click_category_list"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
+        *hits,
     )
-    return agg.select(
-        "session_id", "user_id", "search_keyword_list", "click_category_list",
-        dates.seconds_between("end_time", "start_time").alias("visit_length"),
-        "step_length", "start_time",
-    )
+    return agg.select("session_id", "user_id", dates.seconds_between("end_time", "start_time").alias("visit_length"),
+                      "step_length", "start_time", *[c for c in ("keyword_hit", "category_hit") if c in agg.columns])
+
+
+def with_lists(sessions: DataFrame, actions: DataFrame, restrict: bool = True) -> DataFrame:
+    """Add ``search_keyword_list`` / ``click_category_list``: exact distinct sorted arrays (D6), empty without values.
+
+    The distinct (session, value) rows are formed first, over all tasks, and only they are gathered, so repeated values
+    of a hot session never meet in one task. Rows without session id form one session, as in the aggregate.
+    ``restrict`` first keeps the actions of ``sessions`` (few of many); pass False when they are all sessions of
+    ``actions``.
+    """
+    if restrict:
+        wanted = sessions.select(F.col("session_id").alias("_wanted"))
+        actions = actions.join(wanted, F.col("session_id").eqNullSafe(F.col("_wanted")), "left_semi")
+    values = F.array(F.struct(F.col("search_keyword").alias("kw"), F.lit(None).cast("bigint").alias("cat")),
+                     F.struct(F.lit(None).cast("string").alias("kw"), F.col("click_category_id").alias("cat")))
+    distinct = (actions.select("session_id", F.explode(values).alias("v")).select("session_id", "v.*")
+                .where(F.col("kw").isNotNull() | F.col("cat").isNotNull()).distinct())
+    lists = distinct.groupBy(F.col("session_id").alias("_of")).agg(
+        F.array_sort(F.collect_list("kw")).alias("search_keyword_list"),
+        F.array_sort(F.collect_list("cat")).alias("click_category_list"))
+    empty = {"search_keyword_list": "array<string>", "click_category_list": "array<bigint>"}
+    return sessions.join(lists, F.col("session_id").eqNullSafe(F.col("_of")), "left").select(
+        *sessions.columns, *[F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in empty.items()])
+
+
+def session_aggregate(actions: DataFrame) -> DataFrame:
+    """AGG-1: one row per session, its lists included."""
+    return with_lists(session_measures(actions), actions, restrict=False)
 
 
 def with_user_info(sessions: DataFrame, users: DataFrame) -> DataFrame:
@@ -114,7 +144,7 @@ def hour_quota(sessions: DataFrame, total: int) -> DataFrame:
 
 
 def random_extract(sessions: DataFrame, total: int, seed: str = "clickscope", task_id: int | None = None,
-                   date_hours_bound: int | None = None) -> DataFrame:
+                   date_hours_bound: int | None = None, actions: DataFrame | None = None) -> DataFrame:
     """TOP-6 + WIN-6: stratified draw of about ``total`` sessions, proportional to sessions per hour.
 
     Inside an hour the draw is the first ``quota`` sessions ordered by ``md5(seed || session_id)``:
@@ -122,6 +152,8 @@ def random_extract(sessions: DataFrame, total: int, seed: str = "clickscope", ta
     group top-``total`` (partial limit before the shuffle, or salted two-stage for large totals): a hot hour
     is never sorted whole in one task. The quota table has one row per date-hour; it is broadcast only with a
     known bound (``date_hours_bound``, e.g. 24 × days of the task's date range), else AQE decides at runtime.
+    The keyword and category lists are those of ``sessions`` if it has them; with ``actions`` they are built for the
+    drawn sessions only; without either they are left out.
     """
     q = hour_quota(sessions, total).select("date", "hour", "quota")
     if date_hours_bound is not None:
@@ -131,7 +163,10 @@ def random_extract(sessions: DataFrame, total: int, seed: str = "clickscope", ta
     order = [F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id")]
     picked = group_top_n(s, ["date", "hour"], order, total, "_rn", salt_col="session_id")
     picked = picked.where(F.col("_rn") <= F.col("quota"))
-    cols = ["session_id", "start_time", "search_keyword_list", "click_category_list"]
+    if actions is not None:
+        picked = with_lists(picked.select("session_id", "start_time"), actions)
+    lists = [c for c in ("search_keyword_list", "click_category_list") if c in picked.columns]
+    cols = ["session_id", "start_time", *lists]
     if task_id is not None:
         cols = [F.lit(task_id).cast("bigint").alias("task_id"), *cols]
     return picked.select(*cols)

@@ -37,7 +37,7 @@ def run_session(spark, args) -> None:
     p = _params(spark, args)
     r = run_session_job(tables.user_visit_action(spark, args.sf_dir, p.start_date, p.end_date),
                         tables.user_info(spark, args.sf_dir), p, args.task_id, extract_total=args.extract_total)
-    outs = {"session_aggr_stat": r.stats, "session_random_extract": r.extract, "session_detail": r.detail,
+    outs = {"session_aggr_stat": r.stats, "session_random_extract": r.extract, "session_detail": r.session_detail,
             "top10_category": r.top_categories, "top10_session": r.top_sessions}
     for name, df in outs.items():
         write_result(df, f"{args.out}/{name}")

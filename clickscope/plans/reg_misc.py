@@ -127,5 +127,5 @@ SELECT strftime(min_t, '%Y-%m-%d_%H') AS date_hour, count(*) AS session_count
 FROM (SELECT session_id, min(action_time) AS min_t FROM uva
       WHERE date BETWEEN '2024-01-01' AND '2024-01-31' GROUP BY session_id) GROUP BY 1"""))
 def q_date_hour_counts(spark: SparkSession, sf: str) -> DataFrame:
-    s = sessions.session_aggregate(scans.scoped_actions(spark, sf, START_DATE, END_DATE))
+    s = sessions.session_measures(scans.scoped_actions(spark, sf, START_DATE, END_DATE))
     return sessions.date_hour_counts(s)

@@ -8,10 +8,10 @@ from ..checks.oracle_sql import fmt_time, ratio, with_ctes
 from ..config import materialize
 from ..functions import buckets, dates
 from ..operators import categories, sessions
-from ..operators.filters import filter_sessions
 from ..params import SessionParams
 from ..sources import scans, tables
 from .registry import END_DATE, START_DATE, TASK_ID, register
+from .session_job import filtered_sessions
 
 # Parameters of the registered session queries
 # (FIXTURES.md: age 10-50; extract total 1500 so that hour quotas bind)..
@@ -63,8 +63,20 @@ def _actions(spark, sf):
 
 
 def _sessions(spark, sf, p: SessionParams = AGE_PARAMS) -> DataFrame:
+    return filtered_sessions(scans.scoped_actions(spark, sf, p.start_date, p.end_date), tables.user_info(spark, sf), p)
+
+
+def _sessions_out(spark, sf, p: SessionParams, restrict: bool = True) -> DataFrame:
+    """The filtered sessions with their lists, as text."""
     scoped = scans.scoped_actions(spark, sf, p.start_date, p.end_date)
-    return filter_sessions(sessions.with_user_info(sessions.session_aggregate(scoped), tables.user_info(spark, sf)), p)
+    return sessions.session_output(sessions.with_lists(_sessions(spark, sf, p), scoped, restrict))
+
+
+def _extract(spark, sf, actions: DataFrame | None = None) -> DataFrame:
+    # Two columns of the sessions feed both the hour quotas and the draw: written once.
+    sess = materialize(_sessions(spark, sf).select("session_id", "start_time"))
+    return sessions.random_extract(sess, EXTRACT_TOTAL, task_id=TASK_ID, actions=actions,
+                                   date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE))
 
 
 _DETAIL_COLS = ["user_id", "session_id", "page_id", "search_keyword", "click_category_id", "click_product_id",
@@ -90,19 +102,19 @@ def q_date_range_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("session_aggregate", with_ctes(["uva", "user_info"], f"WITH {_SESS} SELECT {_SESS_OUT} FROM sess_u"))
 def q_session_aggregate(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_output(_sessions(spark, sf, SessionParams(start_date=START_DATE, end_date=END_DATE)))
+    return _sessions_out(spark, sf, SessionParams(start_date=START_DATE, end_date=END_DATE), restrict=False)
 
 
 @register("session_filter_age", with_ctes(["uva", "user_info"],
                                           f"WITH {_SESS} SELECT {_SESS_OUT} FROM sess_u WHERE {_AGE}"))
 def q_session_filter_age(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_output(_sessions(spark, sf, AGE_PARAMS))
+    return _sessions_out(spark, sf, AGE_PARAMS)
 
 
 @register("session_filter_all", with_ctes(["uva", "user_info"],
                                           f"WITH {_SESS} SELECT {_SESS_OUT} FROM sess_u WHERE {_ALL}"))
 def q_session_filter_all(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_output(_sessions(spark, sf, ALL_PARAMS))
+    return _sessions_out(spark, sf, ALL_PARAMS)
 
 
 @register("session_detail", with_ctes(["uva", "user_info"], f"""
@@ -164,10 +176,7 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, session_id, {fmt_time('start_ts')}
        nullif(array_to_string(cat_list, ','), '') AS click_category_ids
 FROM picked"""))
 def q_session_random_extract(spark: SparkSession, sf: str) -> DataFrame:
-    # The sessions feed both the hour quotas and the draw: materialize them once.
-    return sessions.session_output(sessions.random_extract(materialize(_sessions(spark, sf)), EXTRACT_TOTAL,
-                                                           task_id=TASK_ID,
-                                  date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE)))
+    return sessions.session_output(_extract(spark, sf, scans.scoped_actions(spark, sf, START_DATE, END_DATE)))
 
 
 @register("session_random_extract_detail", with_ctes(["uva", "user_info"], f"""{_EXTRACT_SQL}
@@ -175,9 +184,7 @@ SELECT CAST({TASK_ID} AS BIGINT) AS task_id, {_DETAIL_SQL_COLS}
 FROM uva u WHERE u.date BETWEEN '2024-01-01' AND '2024-01-31' AND u.session_id IN (SELECT session_id FROM picked)"""))
 def q_session_random_extract_detail(spark: SparkSession, sf: str) -> DataFrame:
     scoped = scans.scoped_actions(spark, sf, START_DATE, END_DATE)
-    ext = sessions.random_extract(materialize(_sessions(spark, sf)), EXTRACT_TOTAL, task_id=TASK_ID,
-                                  date_hours_bound=sessions.date_hours_in_range(START_DATE, END_DATE))
-    return _detail_out(sessions.session_detail(scoped, ext, TASK_ID, sessions_bound=EXTRACT_TOTAL))
+    return _detail_out(sessions.session_detail(scoped, _extract(spark, sf), TASK_ID, sessions_bound=EXTRACT_TOTAL))
 
 
 # ------------------------------------------------------------ categories (on the filtered sessions' detail)
@@ -236,7 +243,9 @@ def q_top10_category(spark: SparkSession, sf: str) -> DataFrame:
 @register("top10_session", with_ctes(["uva", "user_info"], f"""{_DETAIL_CTE}
 SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, session_id, click_count FROM top_sess"""))
 def q_top10_session(spark: SparkSession, sf: str) -> DataFrame:
-    d = materialize(_detail(spark, sf))  # read by the category ranking and the session ranking
+    # read by the category ranking and the session ranking, which need four columns
+    d = materialize(_detail(spark, sf).select("session_id", "click_category_id", "order_category_ids",
+                                              "pay_category_ids"))
     return categories.top_sessions(d, categories.top_categories(categories.category_counts(d), 10), 10, TASK_ID)
 
 

@@ -98,6 +98,12 @@ def test_cli_session_job(spark, tmp_root):
     out = f"{tmp_root}/cli_sess"
     cli.main(["session", "--sf-dir", SF, "--task-id", "6", "--out", out, "--extract-total", "3000",
               "--params", '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":["10"],"endAge":["50"]}'])
+    ext = spark.read.parquet(f"{out}/session_random_extract")
+    assert [f.dataType.simpleString() for f in ext.schema.fields if f.name != "task_id"] == ["string"] * 4
+    # session_detail holds the rows of the drawn and of the top sessions, no others
+    det = spark.read.parquet(f"{out}/session_detail").select("session_id").distinct()
+    stored = ext.select("session_id").union(spark.read.parquet(f"{out}/top10_session").select("session_id")).distinct()
+    assert sorted(map(tuple, det.collect())) == sorted(map(tuple, stored.collect()))
     for t in ("session_aggr_stat", "session_random_extract", "session_detail", "top10_category", "top10_session"):
         assert spark.read.parquet(f"{out}/{t}").where("task_id = 6").count() > 0, t
 

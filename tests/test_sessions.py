@@ -64,6 +64,26 @@ def test_filter_null_rules(spark):
     assert ids(SessionParams(keywords=[])) == []
 
 
+def test_filter_flags_equal_filter_on_lists(spark):
+    # the flags of the aggregate decide as the lists do, and the filter itself needs no lists
+    rows = [action("a", 0, 1, keyword="kw1"), action("a", 1, 2, click=7), action("b", 0, 3, keyword="kw2"),
+            action("c", 0, 4, click=8), action("d", 0, 5), action(None, 0, 6, keyword="kw1", click=7)]
+    acts = actions_df(spark, rows)
+    lists = sessions.session_aggregate(acts)
+    traits = [F.lit(20).alias("age"), *[F.lit("x").alias(c) for c in ("professional", "city", "sex")]]
+    for kw, cats in ((["kw1"], None), (None, ["7", "bad"]), (["kw1", "kw2"], ["7"]), ([], None), (["none"], ["8"])):
+        p = SessionParams(keywords=kw, category_ids=cats)
+        flagged = filters.filter_sessions(sessions.session_measures(acts, kw, cats).select("*", *traits), p)
+        by_list = filters.filter_sessions(lists.select("*", *traits), p)
+        key = lambda d: sorted((r[0] for r in d.select("session_id").collect()), key=str)
+        assert key(flagged) == key(by_list), (kw, cats)
+        assert "collect_" not in flagged._jdf.queryExecution().optimizedPlan().toString()
+    some = sessions.session_measures(acts).where("session_id IN ('a', 'd')")
+    got = {r["session_id"]: (r["search_keyword_list"], r["click_category_list"])
+           for r in sessions.with_lists(some, acts).collect()}
+    assert got == {"a": (["kw1"], [7]), "d": ([], [])}
+
+
 def test_params_from_json():
     p = SessionParams.from_json('{"startAge":["10"],"endAge":["50"],"startDate":["2015-12-18"],'
                                 '"professionals":["a,b"],"targetPageFlow":["1,2,3"]}')
