@@ -20,16 +20,19 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, quoted
+from .common import cut, fresh, gapless_rank, quoted
 
 MAX_ROUNDS = 30
+LISTED = 4096  # values of a format that one row lists
+_DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 
 # Titles and the gender they tell (f, m, or n where they don't), per language
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "n", "Prof": "n", "Herr": "m", "Herrn": "m",
@@ -112,22 +115,25 @@ def _stream(key: bytes, *parts) -> Iterator[int]:
         n += 1
 
 
-def _reshape(s: str, r: Iterator[int]) -> str:
-    """Digits to digits, Latin letters to letters of the same case, the rest as it is."""
-    out = []
+def _shape(s: str) -> list[Sequence[str]]:
+    """The choices for each character: digits to digits, Latin letters to letters of the same case, the rest stays."""
+    out: list[Sequence[str]] = []
     for ch in s:
         if ch.isdigit():
-            out.append(str(next(r) % 10))
+            out.append(_DIGITS)
         elif "a" <= ch <= "z":
-            out.append(chr(97 + next(r) % 26))
+            out.append(_LOWER)
         elif "A" <= ch <= "Z":
-            out.append(chr(65 + next(r) % 26))
+            out.append(_LOWER.upper())
         elif ch.isalpha():
-            letter = "aeiou"[next(r) % 5]
-            out.append(letter.upper() if ch.isupper() else letter)
+            out.append("AEIOU" if ch.isupper() else "aeiou")
         else:
-            out.append(ch)
-    return "".join(out)
+            out.append([ch])
+    return out
+
+
+def _draw(slots: list[Sequence[str]], r: Iterator[int]) -> str:
+    return "".join(x[next(r) % len(x)] if len(x) > 1 else x[0] for x in slots)
 
 
 def luhn(digits: str) -> int:
@@ -143,46 +149,83 @@ def script_of(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 or 0x1F00 <= c < 0x2000 else "latin"
 
 
-def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    r = _stream(key, kind, value, attempt)
+def _with_check_digit(number: str) -> str:
+    """Ends in the digit that satisfies the check (the last character is a digit)."""
+    return next(c for c in (number[:-1] + d for d in _DIGITS) if luhn(re.sub(r"\D", "", c)) == 0)
+
+
+def slots_of(key: bytes, kind: str, value: str, longer: int = 0) -> list[Sequence[str]]:
+    """The format of a value's surrogates: the choices for each place, ``longer`` places more than the value has.
+
+    Names get syllables as further places, IP addresses any octets (and no more than that), the rest digits.
+    """
+    more: list[Sequence[str]] = [_DIGITS] * longer
     if kind == "email":
         user, _, host = value.partition("@")
         labels = host.split(".")
         # the host's surrogate depends on the host only, so that colleagues stay colleagues
         h = _stream(key, "host", host, 0)
-        return f"{_reshape(user, r)}@{'.'.join([_reshape(x, h) for x in labels[:-1]] + labels[-1:])}"
+        return [*_shape(user), *more, [f"@{'.'.join([_draw(_shape(x), h) for x in labels[:-1]] + labels[-1:])}"]]
     if kind == "ip":
+        if longer > 1:
+            raise ValueError("all IPv4 addresses are taken: as originals of the corpus or as surrogates")
         low, high = {1: 0, 2: 10, 3: 100}, {1: 9, 2: 99, 3: 255}
-        return ".".join(str(low[len(x)] + next(r) % (high[len(x)] - low[len(x)] + 1)) for x in value.split("."))
+        octets = [range(256) if longer else range(low[len(x)], high[len(x)] + 1) for x in value.split(".")]
+        return [x for o in octets for x in ([str(i) for i in o], ["."])][:-1]
     if kind == "phone":
         m = re.match(r"\+\d{1,3}(?=\D)", value)
         head = m.group() if m else ""
-        return head + _reshape(value[len(head):], r)
-    if kind == "card":
-        new = _reshape(value, r)
-        old_digits = re.sub(r"\D", "", value)
-        if luhn(old_digits) == 0:
-            at = max(i for i, ch in enumerate(new) if ch.isdigit())
-            new = next(c for c in (new[:at] + str(d) + new[at + 1:] for d in range(10))
-                       if luhn(re.sub(r"\D", "", c)) == 0)
-        return new
+        return [[head], *_shape(value[len(head):]), *more]
+    if kind == "card" and luhn(re.sub(r"\D", "", value)) == 0:
+        return [*_shape(value[:-1]), *more, ["0"]]  # the check digit follows from the others
     if kind == "iban":
-        return value[:2] + _reshape(value[2:], r)
+        return [[value[:2]], *_shape(value[2:]), *more]
     if kind == "secret":
         m = re.match(r"AKIA|gh[pousr]_|sk-|xox[abp]-", value)
         head = m.group() if m else ""
         if not head and re.fullmatch(r"[0-9a-f]+", value):
-            return "".join("0123456789abcdef"[next(r) % 16] for _ in value)
-        return head + _reshape(value[len(head):], r)
+            return ["0123456789abcdef"] * (len(value) + longer)
+        return [[head], *_shape(value[len(head):]), *more]
     if kind.startswith("given_"):
         script = script_of(value)
-        names = GIVEN[script, kind[-1]].split()
-        return names[next(r) % len(names)] + ("" if attempt == 0 else SYLLABLES[script][next(r) % len(
-            SYLLABLES[script])] * min(attempt, 3))
+        return [GIVEN[script, kind[-1]].split(), *[SYLLABLES[script]] * longer]
     if kind == "surname":
         syl = SYLLABLES[script_of(value)]
-        return "".join(syl[next(r) % len(syl)] for _ in range(3 + attempt // 4)).capitalize()
-    return _reshape(value, r)
+        return [[x.capitalize() for x in syl], *[syl] * (2 + longer)]
+    return [*_shape(value), *more]
+
+
+def _finished(kind: str, value: str, drawn: str) -> str:
+    return _with_check_digit(drawn) if kind == "card" and luhn(re.sub(r"\D", "", value)) == 0 else drawn
+
+
+def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
+    """A draw from the value's format; names get more syllables with the attempts, so they never run out."""
+    longer = attempt if kind.startswith("given_") else attempt // 4 if kind == "surname" else 0
+    return _finished(kind, value, _draw(slots_of(key, kind, value, longer), _stream(key, kind, value, attempt)))
+
+
+def format_of(key: bytes, kind: str, value: str, longer: int) -> tuple[str, int]:
+    """A name for the format, equal for values that share it, and the number of its values."""
+    slots = slots_of(key, kind, value, longer)
+    checked = kind == "card" and luhn(re.sub(r"\D", "", value)) == 0
+    name = hashlib.md5("\x1e".join([str(checked), *("\x1f".join(x) for x in slots)]).encode()).hexdigest()
+    return name, math.prod(len(x) for x in slots)
+
+
+def nth_of_format(key: bytes, kind: str, value: str, longer: int, n: int) -> str:
+    """The n-th value of the format of ``value`` in a keyed order; n below the format's size gives different values."""
+    slots = slots_of(key, kind, value, longer)
+    name, size = format_of(key, kind, value, longer)
+    r = _stream(key, "order", kind, name)
+    step, start = (sum(next(r) << 16 * i for i in range(size.bit_length() // 16 + 2)) % size for _ in range(2))
+    while math.gcd(step, size) != 1:
+        step += 1
+    at, out = (start + n * step) % size, []
+    for x in slots:
+        at, i = divmod(at, len(x))
+        out.append(x[i])
+    return _finished(kind, value, "".join(out))
 
 
 def _found(text: Column) -> Column:
@@ -212,10 +255,58 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         if judged.where("again").isEmpty():
             return state.drop("attempt")
         kept = judged.where(~F.col("again")).drop("again")
-        redrawn = (judged.where("again").select("kind", "value", F.lit(n).alias("attempt"))
-                   .withColumn("surrogate", _drawn(key)))
-        state = cut(kept.unionByName(redrawn))
-    raise RuntimeError("surrogates still collide: a format has fewer values than the corpus has entities")
+        redrawn = judged.where("again").select("kind", "value", F.lit(n).alias("attempt"))
+        if n < MAX_ROUNDS:
+            state = cut(kept.unionByName(redrawn.withColumn("surrogate", _drawn(key))))
+    return _filled(cut(kept.select("kind", "value", "surrogate")), cut(redrawn.select("kind", "value")), key)
+
+
+def _filled(kept: DataFrame, left: DataFrame, key: bytes) -> DataFrame:
+    """``kept`` and the values ``left``, which get the free values of their formats by rank.
+
+    Values stay without a surrogate for many draws only where their format is nearly full. As many values of a format
+    are listed as can be taken or needed (or all, if it has no more); those that are no surrogate or original yet are
+    matched with the values left, by distributed ranks. Where there are fewer of them, the format is full and the
+    values over get one place more. Formats may overlap, so equal picks leave one and the others go on.
+    """
+    values = cut(kept.select("kind", "value").unionByName(left))
+    left = left.withColumn("longer", F.lit(0))
+
+    @F.pandas_udf("struct<format:string,size:bigint,turn:string>")
+    def formats(kind: pd.Series, value: pd.Series, longer: pd.Series) -> pd.DataFrame:
+        rows = [format_of(key, *x) for x in zip(kind, value, longer, strict=True)]
+        turn = [hmac.new(key, f"turn\x1f{v}".encode(), hashlib.sha256).hexdigest() for v in value]
+        return pd.DataFrame([(f, min(n, 1 << 62), t) for (f, n), t in zip(rows, turn, strict=True)],
+                            columns=["format", "size", "turn"])
+
+    @F.pandas_udf("string")
+    def nth(kind: pd.Series, value: pd.Series, longer: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([nth_of_format(key, k, v, int(m), int(i))
+                          for k, v, m, i in zip(kind, value, longer, n, strict=True)], dtype="object")
+
+    while not left.isEmpty():
+        named = cut(left.withColumn("f", formats("kind", "value", "longer")).select("kind", "value", "longer", "f.*")
+                    .withColumn("format", F.concat_ws("|", "kind", "format")))
+        bound = values.groupBy("kind").agg((2 * F.count(F.lit(1))).alias("bound"))
+        listed = (named.groupBy("kind", "format").agg(F.min(F.struct("value", "longer", "size")).alias("s"))
+                  .join(F.broadcast(bound), "kind")
+                  .select("kind", "format", "s.value", "s.longer", F.least("s.size", "bound").alias("upto"))
+                  .withColumn("first", F.explode(F.sequence(F.lit(0), F.col("upto") - 1, F.lit(LISTED)))))
+        listed = (listed.repartition("format", "first")
+                  .withColumn("n", F.explode(F.sequence("first", F.least(F.col("first") + LISTED, "upto") - 1)))
+                  .select("kind", "format", nth("kind", "value", "longer", "n").alias("value")).distinct())
+        taken = kept.select("kind", F.col("surrogate").alias("value")).unionByName(values)
+        free = listed.join(taken, ["kind", "value"], "left_anti").withColumn("turn", F.md5("value"))
+        free, asked = (gapless_rank(x.withColumn("c", F.lit(0)).withColumn("d", F.substring("turn", 1, 3)),
+                                    "format", "c", "d", [F.col("turn"), F.col("value")], "rank") for x in (free, named))
+        picked = cut(asked.select("kind", "value", "longer", "format", "rank")
+                     .join(free.select("format", "rank", F.col("value").alias("surrogate")), ["format", "rank"], "left"))
+        once = Window.partitionBy("kind", "surrogate").orderBy("value")
+        placed = picked.where("surrogate IS NOT NULL").withColumn("rn", F.row_number().over(once))
+        full = picked.where("surrogate IS NULL").withColumn("longer", F.col("longer") + 1)
+        kept = cut(kept.unionByName(placed.where("rn = 1").select("kind", "value", "surrogate")))
+        left = cut(full.unionByName(placed.where("rn > 1").drop("rn")).select("kind", "value", "longer"))
+    return kept
 
 
 def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", found_col: str | None = None) -> DataFrame:

@@ -139,6 +139,21 @@ def test_surrogates_stay_distinct(spark):
     assert not {r.surrogate for r in out} & {r.value for r in out}
 
 
+def test_surrogates_of_many_names_and_full_formats(spark):
+    syl = [a + b for a in "bcdfghjklmnprstvwz" for b in "aeiou"]
+    names = ["".join(x).capitalize() for x in itertools.islice(itertools.product(syl, syl), 2000)]
+    mails = [f"{i}@mail.org" for i in range(10, 100)]  # 90 of 100 values
+    full = [f"{c}@post.org" for c in "abcdefghijklmnopqrstuvwxyz"]  # 26 of 26
+    ents = [("given_m", n) for n in names] + [("given_n", n) for n in ("Άλκης", "Νίκη", "Πάρης", "Ρέα", "Φοίβος")]
+    ents += [("email", m) for m in mails + full] + [("secret", "======")]
+    out = surrogates.assign(spark.createDataFrame(ents, "kind string, value string"), b"k2").collect()
+    new = {(r.kind, r.value): r.surrogate for r in out}
+    assert len(new) == len(out) == len(ents) and len({(r.kind, r.surrogate) for r in out}) == len(out)
+    assert not {(r.kind, r.surrogate) for r in out} & set(ents)
+    assert all(len(new["email", m]) == len(m) for m in mails + full)  # no format is longer than it must be
+    assert len(new["secret", "======"]) == 7
+
+
 # ---------------------------------------------------------------- 3
 
 def test_kd_shards(spark, docs, messy):
