@@ -70,21 +70,32 @@ DIGIT_PATTERNS = re.compile("|".join(f"(?P<t{i}_{t}>{p.replace('?P<quoted>', f'?
                                      for i, (t, p) in enumerate(PATTERNS)))
 PERSON = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME}){{0,2}})")
 _MARKS = "@0123456789"
+_ANY_DIGIT = re.compile(r"\d")
 _SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "api")
+_ANY_SECRET_WORD = re.compile(f"(?i:{'|'.join(_SECRET_WORDS)})")  # also the letters that only (?i) equates, as in apı
+_SECRET_HEADS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxa-", "xoxb-", "xoxp-")
+_HEADED_SECRET = re.compile(PATTERNS[1][1])
 _CHEAP_TITLES = tuple(TITLES)
 
 
+def _marked(text: str) -> bool:
+    """Plain searches that tell whether ``PATTERNS`` can match: they need a decimal digit of any script, an @, the
+    head of a secret, or the name of a secret with = or :."""
+    if any(ch in text for ch in _MARKS) or not text.isascii() and _ANY_DIGIT.search(text):
+        return True
+    if "=" in text or ":" in text:
+        low = text.lower()
+        if any(w in low for w in _SECRET_WORDS) or not text.isascii() and _ANY_SECRET_WORD.search(text):
+            return True
+    return any(x in text for x in _SECRET_HEADS) and _HEADED_SECRET.search(text) is not None
+
+
 def spans(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normalised value) of the entities, left to right, without overlaps."""
     out: list[tuple[int, int, str, str]] = []
     if not text:
         return out
-    # plain searches first: the patterns need a digit, an @, or the name of a secret with = or :
-    marked = any(ch in text for ch in _MARKS)
-    if not marked and ("=" in text or ":" in text):
-        low = text.lower()
-        marked = any(w in low for w in _SECRET_WORDS)
-    if marked:
+    if _marked(text):
         for m in DIGIT_PATTERNS.finditer(text):
             group = m.lastgroup if m.lastgroup.startswith("t") else next(
                 g for g, v in m.groupdict().items() if g.startswith("t") and v is not None)
