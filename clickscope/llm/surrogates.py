@@ -5,7 +5,10 @@ secrets, names after a title). A surrogate is drawn from an HMAC of (type, norma
 digits, letters stay letters of the same case, separators, country codes, key prefixes and top-level domains stay, IP
 octets stay in range, card numbers that satisfy the check digit still do. Given names are drawn from lists by gender
 (from the title) and script, surnames are built from syllables of the script; every part of a name has its own
-surrogate, so "Ms Ada Moss" and "Ms Moss" still agree.
+surrogate, so "Ms Ada Moss" and "Ms Moss" still agree. Names may be of any length, with initials and particles (which
+stay), over any white space but an empty line; the parts of a name found after a title are replaced wherever else they
+stand in the same text, also without the title. Not detected: names that never follow one of ``TITLES`` in their text,
+parts in another spelling or case, suffixes such as Jr, and names in scripts without capitals.
 
 Coreference holds across the corpus because a surrogate depends on the value only. Distinctness is checked across the
 corpus: in rounds, values that share a surrogate with another value, or whose surrogate is an original value of the
@@ -18,10 +21,12 @@ get equal replacements; an empty table gives an empty result; all columns of the
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import math
 import re
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -68,7 +73,22 @@ PATTERNS = [
 ]
 DIGIT_PATTERNS = re.compile("|".join(f"(?P<t{i}_{t}>{p.replace('?P<quoted>', f'?P<q{i}>')})"
                                      for i, (t, p) in enumerate(PATTERNS)))
-PERSON = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.? (?P<name>{_NAME}(?: {_NAME}){{0,2}})")
+TITLE = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?(?=\s)")
+_NEXT_WORD = re.compile(rf"(\s*)({_NAME})(\.?)")
+_WORD = re.compile(rf"(?<!\w){_NAME}(?!\w)")
+_PARAGRAPH = re.compile(r"\n\s*\n")
+# Lower-case words inside names, words after which a full stop ends no sentence, what follows a name,
+# titles that are given names too, and words that start sentences
+PARTICLES = set("van von der den dem de del della dello di da do dos das du des la le las los ter ten te zu zum zur af "
+                "av bin ibn bint ben al el y e ap ди де ван фон".split())
+ABBREVIATED = {"St", "Ste", "Wm", "Chas", "Geo", "Jas", "Jos", "Thos"}
+SUFFIXES = {"Jr", "Sr", "II", "III", "IV", "PhD", "MD", "Esq"}
+NAMES_TOO = {"Don", "Doña"}
+STARTERS = set("A An The This That These Those In On At By For From To Of With And But Or So If When While As After "
+               "Before He She It They We You I His Her Its Their Our My Your There Here Not No Yes Is Was Are Were What "
+               "Who Why How Where Der Die Das Ein Eine Er Sie Es Wir Ihr Und Aber In Im Am Auf Mit Von Nach Le La Les "
+               "Un Une Il Elle Ils Nous Vous Et Mais Dans El Los Las Una Y Pero En В Во На Он Она Они Мы Вы И Но А Я "
+               "Ο Η Το Οι Τα Και Στο Στη".split())
 _MARKS = "@0123456789"
 _ANY_DIGIT = re.compile(r"\d")
 _SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "api")
@@ -90,6 +110,90 @@ def _marked(text: str) -> bool:
     return any(x in text for x in _SECRET_HEADS) and _HEADED_SECRET.search(text) is not None
 
 
+def _name_after(text: str, pos: int) -> tuple[list[tuple[int, int, bool]], str | None, int]:
+    """(start, end, is an initial) of the parts of the name at ``pos``, a further title before it, and its end.
+
+    A name is a row of capitalised words, initials and particles; it ends at a lower-case word, at punctuation (a full
+    stop after an initial is none), at an empty line, and at a word that starts sentences on a new line or behind a full
+    stop.
+    """
+    parts: list[tuple[int, int, bool]] = []
+    title, end, stop = None, pos, False
+    while m := _NEXT_WORD.match(text, pos):
+        gap, w, dot = m.groups()
+        if not gap and not stop or _PARAGRAPH.search(gap):
+            break
+        if w in TITLES and w not in NAMES_TOO:
+            if parts:
+                break
+            title, stop = w, bool(dot)
+        elif w[0].isupper():
+            initial = len(w) == 1
+            starts = w in STARTERS and not (initial and dot) and (gap and stop or "\n" in gap)
+            if parts and (w in SUFFIXES or starts):
+                break
+            owner = re.search("['’]s$", w) is not None
+            stop = bool(dot) and (initial or w in ABBREVIATED)
+            end = m.end(2) - 2 * owner
+            parts.append((m.start(2), end, initial))
+            if owner or dot and not stop:
+                break
+        elif w in PARTICLES and not dot:
+            stop = False
+        else:
+            break
+        pos = m.end()
+    return parts, title, end
+
+
+def _persons(text: str) -> list[tuple[int, int, str, str]]:
+    """The parts of names after a title, and every other occurrence of these parts in the text, under one kind each.
+
+    The kind comes from the first name of several parts that has the word; a name of one part is a surname.
+    """
+    names, upto = [], 0
+    for m in TITLE.finditer(text):
+        if m.start() >= upto:
+            parts, title, upto = _name_after(text, m.end())
+            if parts:
+                names.append((parts, TITLES[title if title and TITLES[title] != "n" else m.group("title")]))
+    kinds: dict[str, str] = {}
+    out: dict[tuple[int, int], str] = {}
+    for parts, gender in sorted(names, key=lambda x: len(x[0]) == 1):
+        last = max((i for i, x in enumerate(parts) if not x[2]), default=-1)
+        for i, (a, b, initial) in enumerate(parts):
+            w = text[a:b]
+            out[a, b] = "initial" if initial else kinds.setdefault(w, "surname" if i == last else f"given_{gender}")
+    for w in STARTERS & kinds.keys():
+        del kinds[w]
+    if kinds:
+        for m in _WORD.finditer(text):
+            for a, b in _known_parts(m.group(), m.start(), kinds):
+                out.setdefault((a, b), kinds[text[a:b]])
+    return _disjoint([(a, b, kind, text[a:b]) for (a, b), kind in out.items()])
+
+
+def _known_parts(word: str, at: int, kinds: dict[str, str]) -> Iterator[tuple[int, int]]:
+    """Places of known name parts: the whole word, or what lies between its hyphens and apostrophes."""
+    if word in kinds:
+        yield at, at + len(word)
+    elif re.search("['’-]", word):
+        head = re.sub("['’]s$", "", word)
+        if head in kinds:
+            yield at, at + len(head)
+        else:
+            yield from ((at + m.start(), at + m.end()) for m in re.finditer("[^'’-]+", word) if m.group() in kinds)
+
+
+def _disjoint(found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Left to right; of overlapping spans the first and longest stays."""
+    out: list[tuple[int, int, str, str]] = []
+    for x in sorted(found, key=lambda x: (x[0], -x[1])):
+        if not out or out[-1][1] <= x[0]:
+            out.append(x)
+    return out
+
+
 def spans(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normalised value) of the entities, left to right, without overlaps."""
     out: list[tuple[int, int, str, str]] = []
@@ -104,16 +208,12 @@ def spans(text: str | None) -> list[tuple[int, int, str, str]]:
             a, b = m.span(f"q{i}") if inner is not None else m.span()
             out.append((a, b, kind, text[a:b].lower() if kind == "email" else text[a:b]))
     if any(t in text for t in _CHEAP_TITLES):
-        for m in PERSON.finditer(text):
-            at = m.start("name")
-            words = m.group("name").split(" ")
-            upto = next((i for i, w in enumerate(words) if not w[0].isupper()), len(words))
-            gender = TITLES[m.group("title")]
-            for i, w in enumerate(words[:upto]):
-                kind = "surname" if i == upto - 1 else f"given_{gender}"
-                if not any(a < at + len(w) and at < b for a, b, _, _ in out):
-                    out.append((at, at + len(w), kind, w))
-                at += len(w) + 1
+        taken = sorted(out)
+        starts = [x[0] for x in taken]
+        for a, b, kind, w in _persons(text):
+            at = bisect.bisect_left(starts, b)  # the entities before it end in order, as they don't overlap
+            if not at or taken[at - 1][1] <= a:
+                out.append((a, b, kind, w))
     return sorted(out)
 
 
@@ -165,6 +265,19 @@ def _with_check_digit(number: str) -> str:
     return next(c for c in (number[:-1] + d for d in _DIGITS) if luhn(re.sub(r"\D", "", c)) == 0)
 
 
+def _other_initial(key: bytes, letter: str) -> str:
+    """A keyed shift within the alphabet; never the letter itself, different for different letters, marks stay."""
+    base, *marks = unicodedata.normalize("NFD", letter)
+    for first, n in (("A", 26), ("А", 32), ("Α", 17), ("Σ", 7)):
+        i = ord(base) - ord(first)
+        if 0 <= i < n:
+            base = chr(ord(first) + (i + 1 + next(_stream(key, "initial", first)) % (n - 1)) % n)
+            break
+    else:
+        base = "AEIOU"[next(_stream(key, "initial", base)) % 5]
+    return unicodedata.normalize("NFC", base + "".join(marks))
+
+
 def slots_of(key: bytes, kind: str, value: str, longer: int = 0) -> list[Sequence[str]]:
     """The format of a value's surrogates: the choices for each place, ``longer`` places more than the value has.
 
@@ -212,6 +325,8 @@ def _finished(kind: str, value: str, drawn: str) -> str:
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """A draw from the value's format; names get more syllables with the attempts, so they never run out."""
+    if kind == "initial":
+        return _other_initial(key, value)
     longer = attempt if kind.startswith("given_") else attempt // 4 if kind == "surname" else 0
     return _finished(kind, value, _draw(slots_of(key, kind, value, longer), _stream(key, kind, value, attempt)))
 
@@ -254,14 +369,17 @@ def _drawn(key: bytes) -> Column:
 
 
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """Distinct (kind, value) → surrogate; no two values of a kind share one, none equals an original value."""
+    """Distinct (kind, value) → surrogate; no two values of a kind share one, none equals an original value.
+
+    Initials are apart: an alphabet has no letters to spare, so they are shifted within it.
+    """
     state = cut(entities.select("kind", "value").distinct().withColumn("attempt", F.lit(0))
                 .withColumn("surrogate", _drawn(key)))
     originals = state.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("taken"))
     by = Window.partitionBy("kind", "surrogate").orderBy("attempt", "value")
     for n in range(1, MAX_ROUNDS + 1):
         judged = (state.withColumn("rn", F.row_number().over(by)).join(originals, ["kind", "surrogate"], "left")
-                  .withColumn("again", (F.col("rn") > 1) | F.col("taken").isNotNull())
+                  .withColumn("again", ((F.col("rn") > 1) | F.col("taken").isNotNull()) & (F.col("kind") != "initial"))
                   .select("kind", "value", "attempt", "surrogate", "again"))
         if judged.where("again").isEmpty():
             return state.drop("attempt")
