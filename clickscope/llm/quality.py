@@ -11,8 +11,8 @@ half of the ids calibrate; the halves and the sample are taken by a hash of the
 row and whole texts.
 
 Defined cases: null and empty texts get the calibrated score of length 0; a null label is no label; an id labelled
-more than once counts with its largest label; without labels of both classes every score is the share of label 1
-(0.5 without labels); repeated rows score alike; an empty table gives an empty result.
+more than once counts with its largest label; a label without a document is not used; without labels of both classes
+every score is the share of label 1 (0.5 without labels), and ``keep_good`` keeps every row; repeated rows score alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted
+from .common import cut, fresh, quoted
 
 DICT_ROWS, CALIBRATION_ROWS = 1500, 6000
 DICT_BYTES, PIECE, PIECES, LEVEL = 112 * 1024, 512, 8, 3
@@ -126,11 +126,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .groupBy(ident.alias("id")).agg(F.max(label_col).cast("int").alias("y"))
              .withColumn("order", F.xxhash64("id")))
     texts = docs.select(ident.alias("id"), F.col(quoted(text_col)).alias("text"))
+    # the samples are limited among the ids that have a document
+    present = texts.groupBy("id").agg(F.max(F.coalesce(F.length("text") > 0, F.lit(False))).alias("filled"))
+    known = cut(known.join(present, "id"))
     samples = []
     for_dict = F.pmod(F.xxhash64("order"), F.lit(2)) == 0
     for y in (1, 0):
-        # at most 2 * dict_rows ids (some may have no document): a bounded broadcast
-        ids = known.where((F.col("y") == y) & for_dict).orderBy("order", "id").limit(2 * dict_rows).select("id")
+        # at most 2 * dict_rows ids: a bounded broadcast
+        ids = known.where((F.col("y") == y) & for_dict & F.col("filled")).orderBy("order", "id").limit(2 * dict_rows).select("id")
         got = (texts.join(F.broadcast(ids), "id")
                .select("id", _pieces("text").alias("p")).orderBy(F.xxhash64("id"), "id").limit(dict_rows).collect())
         samples.append([bytes(p) for r in got for p in r.p])
@@ -181,6 +184,8 @@ def score(docs: DataFrame, model: Model, out: str = "score", text_col: str = "te
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, with their columns."""
+    """The rows of ``docs`` that score at least ``threshold``, with their columns; all if the model is a constant."""
+    if model.constant is not None:  # nothing was learnt to reject rows by
+        return docs
     (s,) = fresh(docs, "score")
     return score(docs, model, s).where(F.col(s) >= threshold).drop(s)

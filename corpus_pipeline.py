@@ -23,7 +23,7 @@ SHARDS = 8
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier accepts."""
+    """Documents that the compression classifier accepts; all if there are no labels to fit it on."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, model, QUALITY_THRESHOLD)
 

@@ -390,6 +390,28 @@ def test_quality_without_both_classes(spark, docs):
     assert quality.fit(docs, ones).constant == 1.0
 
 
+def test_quality_labels_mostly_without_document(spark):
+    r = random.Random(4)
+    words = ["river", "stone", "and", "the", "light", "over", "green", "hill"]
+    text = lambda y: " ".join(r.choice(words) if y else r.choice(words).upper() + "!!" for _ in range(60))
+    rows = [(i * 50, text(i % 2), i % 2) for i in range(400)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    lab = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") / 50 % 2).cast("int").alias("quality"))
+    model = quality.fit(d, lab, dict_rows=20, calibration_rows=60)
+    assert model.constant is None
+    right = {i for i, _, y in rows if y}
+    kept = {x.doc_id for x in quality.keep_good(d, model).collect()}
+    assert len(kept ^ right) <= 4
+
+
+def test_quality_constant_keeps_all(spark, docs):
+    for y in (0, 1):
+        one = spark.createDataFrame([(i, y) for i in range(20)], "doc_id long, quality int")
+        assert quality.keep_good(docs, quality.fit(docs, one)).count() == docs.count()
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.keep_good(docs, quality.fit(docs, none)).count() == docs.count()
+
+
 # ---------------------------------------------------------------- 8
 
 def test_exact_groups(spark, docs, messy):
