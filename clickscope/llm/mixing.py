@@ -59,15 +59,16 @@ def source_targets(docs: DataFrame, key: str, size: str, weights=(3, 1, 2), shar
 
 def mix(docs: DataFrame, size: Column | None = None, source_col: str = "source", id_col: str = "doc_id",
         weights=(3, 1, 2), share: float = 1.5, max_repeat: float = 2.0, seed: str = "mix-1",
-        size_out: str = "size", hash_digits: int = HASH_DIGITS) -> DataFrame:
-    """All columns of ``docs`` plus ``size`` (named ``size_out``), ``source_size``, ``target`` and ``copies``.
+        size_out: str = "size", hash_digits: int = HASH_DIGITS, source_size_out: str = "source_size",
+        target_out: str = "target", copies_out: str = "copies") -> DataFrame:
+    """All columns of ``docs`` plus ``size``, ``source_size``, ``target`` and ``copies``, named by the ``_out`` names.
 
     ``size`` is the column expression that is balanced (default: words of ``text``). Input columns with the names of
     the added ones are replaced.
     """
     size = word_count(F.col("text")) if size is None else size
     key, sz, cls, sub, h, pos = fresh(docs, "src", "size", "class", "sub", "hash", "pos")
-    added = {size_out.lower(), "source_size", "target", "copies"}
+    added = {c.lower() for c in (size_out, source_size_out, target_out, copies_out)}
     kept = [c for c in docs.columns if c.lower() not in added]
     ident = F.col(quoted(id_col)).cast("string")
     rows = (docs.withColumn(key, nonnull_key(F.col(quoted(source_col)))).withColumn(sz, size)
@@ -87,15 +88,14 @@ def mix(docs: DataFrame, size: Column | None = None, source_col: str = "source",
          / F.lit(float(1 << 52)))
     crossed = F.floor(F.col(pos) * expect + u) - F.floor((F.col(pos) - 1) * expect + u)
     return out.select(*[F.col(quoted(c)) for c in kept], F.col(sz).alias(size_out),
-                      F.col(names[0]).alias("source_size"), F.col(names[1]).alias("target"),
-                      F.least(crossed, F.ceil(F.lit(float(max_repeat)))).cast("int").alias("copies"))
+                      F.col(names[0]).alias(source_size_out), F.col(names[1]).alias(target_out),
+                      F.least(crossed, F.ceil(F.lit(float(max_repeat)))).cast("int").alias(copies_out))
 
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: the columns of ``docs``, every document as often as it was drawn."""
-    copies, size = fresh(docs, "copies", "drawn_size")
-    hidden = docs.select("*", F.lit(0).alias(copies))
-    drawn = mix(hidden, size_out=size, **how)
-    drawn = drawn.where(F.col("copies") > 0)
+    size, source_size, target, copies, each = fresh(docs, "drawn_size", "source_size", "target", "copies", "each")
+    drawn = mix(docs, size_out=size, source_size_out=source_size, target_out=target, copies_out=copies, **how)
+    drawn = drawn.where(F.col(copies) > 0)
     cols = [F.col(quoted(c)) for c in docs.columns]
-    return (drawn.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*cols))
+    return drawn.withColumn(each, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*cols)

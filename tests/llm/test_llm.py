@@ -102,6 +102,16 @@ def test_mix_targets_and_copies(spark, docs, messy):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def test_mixed_rows_keep_columns_of_any_name(docs):
+    own = {c: F.concat(F.lit(c), F.col("doc_id")) for c in ("copies", "Target", "source_size", "_copies", "_size")}
+    drawn = mixing.mixed_rows(docs.withColumns(own))
+    assert drawn.columns == [*docs.columns, *own]
+    out = drawn.collect()
+    assert out and all(r[c] == f"{c}{r.doc_id}" for r in out for c in own)
+    count = lambda rows: collections.Counter(r.doc_id for r in rows)
+    assert count(out) == count(mixing.mixed_rows(docs).collect())
+
+
 # ---------------------------------------------------------------- 2
 
 def test_surrogates_keep_type_format_and_coreference(spark, docs):
