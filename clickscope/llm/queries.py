@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, kd_shards, mixing, near_dups, quality, suffix_dedup, surrogates, token_counts, warc
+from . import (decontaminate, exact_dedup, kd_shards, mixing, near_dups, pieces, quality, ranked_search, spelling,
+               suffix_dedup, surrogates, token_counts, warc)
 from .common import cut, shared_folder, utf8_size, word_count
 
 PII_KEY = b"registered query"  # jobs pass a secret of their own
@@ -181,6 +182,101 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf), length=100)
 
 
+# ---------------------------------------------------------------- 11 spelling variants
+
+# crc32 bit by bit over the hex digits of the UTF-8 bytes, least bit of each byte first
+OP11_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run
+  FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= 6 GROUP BY 1, 2),
+digits AS (SELECT run, k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hexed FROM counted),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(hexed) * 4), lambda i:
+      (CAST('0x' || substr(hexed, CAST(1 + 2 * (i // 8) AS BIGINT), 2) AS BIGINT) >> CAST(i % 8 AS BIGINT)) & 1)),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) AS h
+  FROM digits),
+noisy AS (
+  SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+                                       || substr(run, CAST(h % length(run) + 2 AS BIGINT))
+                 ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM noisy WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+longer AS (SELECT DISTINCT c.word AS a, c.n AS an, w.word AS b, w.n AS bn FROM cuts c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM cuts x JOIN cuts y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION ALL SELECT a, b, bn FROM longer UNION ALL SELECT b, a, an FROM longer),
+ranked AS (
+  SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS rn FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other_n >= 5 * w.n THEN r.other END AS form,
+         CASE WHEN r.other_n >= 5 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.rn = 1),
+chain(word, root) AS (
+  SELECT word, form FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root AND f.form IS NOT NULL),
+ends AS (SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root AND f.form IS NULL)
+SELECT f.word, f.form, coalesce(e.root, f.word) AS root, f.n, f.n_near, f.form_n
+FROM formed f LEFT JOIN ends e ON e.word = f.word"""
+
+
+@register("op11_letter_trees", OP11_SQL)
+def op11_letter_trees(spark: SparkSession, sf: str) -> DataFrame:
+    words = spelling.count_words(documents(spark, sf), min_length=6, min_count=5, drop_every=199)
+    return spelling.forms(words, ratio=5).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+# ---------------------------------------------------------------- 12 ranked search
+
+OP12_SQL = """
+WITH folded AS (
+  SELECT doc_id, row_number() OVER () AS d,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+found AS (SELECT doc_id, d, unnest(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+          FROM folded),
+tf AS (SELECT doc_id, d, t, count(*) AS tf FROM found GROUP BY 1, 2, 3),
+docs AS (SELECT doc_id, d, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY 1, 2),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+sized AS (SELECT doc_id, d, 10 + (90 * n * n_docs) // n_terms AS m FROM docs, total),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+  FROM benchmark),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY t, n_docs),
+scores AS (
+  SELECT i.item_id, f.doc_id, f.d, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * s.m))) AS BIGINT) AS score
+  FROM items i JOIN tf f USING (t) JOIN weights w USING (t) JOIN sized s ON s.d = f.d GROUP BY 1, 2, 3),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@register("op12_rmq_search", OP12_SQL)
+def op12_rmq_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(spark, documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"), k=10)
+
+
+# ---------------------------------------------------------------- 13 SentencePiece
+
+@register("op13_merge_rounds")
+def op13_merge_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers as tokenizer_files
+    model = pieces.read_model(tokenizer_files.path("piece_bpe_32k.model"))
+    coded = pieces.decode(pieces.encode(documents(spark, sf).select("doc_id", "text"), model).drop("text"), model)
+    return coded.select("doc_id", pieces.n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 # ---------------------------------------------------------------- pipeline
 
 QUERIES["pipeline"] = corpus_pipeline.run
