@@ -430,6 +430,8 @@ def n_ids(packed: Column) -> Column:
 def unpack(packed: Column) -> Column:
     """Packed ids as an array of integers."""
     at = F.sequence(F.lit(0), F.greatest(n_ids(packed) - 1, F.lit(0)))
-    number = lambda i: F.conv(F.hex(F.reverse(F.substring(packed, (4 * i + 1).cast("int"), F.lit(4)))), 16, 10)
+    digits = F.hex(packed)
+    byte = lambda i, k: F.substring(digits, (8 * i + 2 * k + 1).cast("int"), F.lit(2))
+    number = lambda i: F.conv(F.concat(*[byte(i, k) for k in (3, 2, 1, 0)]), 16, 10)
     return F.when(n_ids(packed) == 0, F.array().cast("array<bigint>")).otherwise(
         F.transform(at, lambda i: number(i).cast("bigint")))
