@@ -37,8 +37,8 @@ from .common import quoted, shared_folder
 BREAKS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 FOLD = bytes(0x20 if b in set(BREAKS) else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 SCALE, LOW, SPAN = 1_000_000_000, 10, 90  # score resolution; a document's m is LOW + SPAN * (its length / the mean)
-CHUNK = 1 << 21        # postings that a task indexes at once (one document more at most)
-CHUNK_DOCS = 1 << 16
+CHUNK = 1 << 20        # postings that a task indexes at once (one document more at most)
+CHUNK_DOCS = 1 << 15
 LEAF = 16              # documents of an interval that is scored whole
 WIDTH = 64             # intervals taken at once
 BLOCK_CHARS = 4_000_000
@@ -100,26 +100,19 @@ def staged_rows(docs: DataFrame, numbers: dict[bytes, int], id_col: str, text_co
 
 # ------------------------------------------------------------------ index of one chunk
 
-def _argmax_levels(values: np.ndarray, longest: int) -> list[np.ndarray]:
-    """Sparse table: level k holds, for every i, the position of the maximum of values[i : i + 2**k]."""
-    levels = [np.arange(len(values), dtype=np.int32)]
-    half = 1
-    while 2 * half <= longest:
-        a, b = levels[-1][:-half], levels[-1][half:]
-        levels.append(np.where(values[a] >= values[b], a, b))
-        half *= 2
-    return levels
-
-
 class RangeMax:
-    """Positions of range maxima in constant time, for many ranges at once."""
+    """Sparse table: positions of range maxima in constant time, for many ranges at once. Level k holds, for every i, the
+    position of the maximum of values[i : i + 2**k]."""
 
     def __init__(self, values: np.ndarray, longest: int):
         self.values = values
-        levels = _argmax_levels(values, max(longest, 1))
-        self.table = np.zeros((len(levels), len(values)), np.int32)
-        for k, level in enumerate(levels):
-            self.table[k, :len(level)] = level
+        self.table = np.zeros((max(longest, 1).bit_length(), len(values)), np.int32)
+        self.table[0] = np.arange(len(values))
+        for k in range(1, len(self.table)):
+            half = 1 << (k - 1)
+            a = self.table[k - 1, :len(values) - 2 * half + 1]
+            b = self.table[k - 1, half:len(values) - half + 1]
+            self.table[k, :len(a)] = np.where(values[a] >= values[b], a, b)
         self.log = np.zeros(max(longest, 1) + 1, np.int8)
         self.log[1:] = np.floor(np.log2(np.arange(1, len(self.log)))).astype(np.int8)
 
