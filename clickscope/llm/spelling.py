@@ -6,7 +6,7 @@ adds one. So per pair of lengths (l, l) and (l, l + 1) a range search finds all
 comparing the letters in order confirms them.
 
 1. ``count_words`` counts the words (runs of Latin letters) of all whole texts; partial counts before the shuffle.
-2. A k-d tree for every length is fitted on a bounded sample of words (``SAMPLE`` words of smallest hash): it only decides
+2. A k-d tree for every length is fitted on a bounded sample of words (about ``SAMPLE`` words, by hash): it only decides
    which *cell* a word lies in, never which pairs are found. Every word goes to its cell, and as a probe to each cell of
    its own and the next length whose box lies within one edit. Cells with more than ``CELL`` words are dealt into
    chunks by hash, homes by probes, so that no task holds more.
@@ -186,17 +186,19 @@ class Cells:
 
 
 def fit_cells(words: DataFrame) -> dict[int, Cells]:
-    """Cells of the lengths that have more words than one cell holds. To the driver go ``SAMPLE`` words and one count per
-    length."""
+    """Cells of the lengths that have more words than one cell holds. To the driver go about ``SAMPLE`` words and one count
+    per length."""
     sizes = words.groupBy(F.char_length("word").alias("l")).agg(F.count(F.lit(1)).alias("k"))
     counts = {r["l"]: r["k"] for r in sizes.where(F.col("k") > CELL).collect()}
     if not counts:
         return {}
-    sample = words.where(F.char_length("word").isin(*counts)).orderBy(F.xxhash64("word"), "word").limit(SAMPLE)
+    share = min(1.0, SAMPLE / sum(counts.values()))
+    sample = words.where(F.char_length("word").isin(*counts)
+                         & (F.pmod(F.xxhash64("word"), F.lit(1 << 40)) < int(share * (1 << 40))))
     by_length: dict[int, list[str]] = {}
     for r in sample.select("word").collect():
         by_length.setdefault(len(r["word"]), []).append(r["word"])
-    return {k: Cells(vectors(*letters(w)), counts[k]) for k, w in by_length.items()}
+    return {k: Cells(vectors(*letters(sorted(w))), counts[k]) for k, w in by_length.items()}
 
 
 # ------------------------------------------------------------------ routing and searching
