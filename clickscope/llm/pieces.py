@@ -41,8 +41,8 @@ from .common import quoted
 
 MARK = "▁"
 NO_RANK = np.iinfo(np.int32).max
-CACHE_CHARS = 1 << 24  # characters of different words that a task keeps encoded
-SLICE_CHARS = 1 << 22  # characters (or ids) that are worked on at once, one longer text aside
+CACHE_CHARS = 1 << 22  # characters of different words that a task keeps encoded
+SLICE_CHARS = 1 << 20  # characters (or ids) that are worked on at once, one longer text aside
 # Kinds of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
