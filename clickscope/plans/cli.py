@@ -7,6 +7,8 @@
         --params '{"startDate":[…],"endDate":[…]}' --out OUT
     python -m clickscope.plans.cli ads     --source DIR_OF_LOG_FILES --out OUT [--threshold 100] [--available-now]
     python -m clickscope.plans.cli ads     --brokers HOST:PORT --topics T --out OUT
+    python -m clickscope.plans.cli ads     --log SEGMENT_LOG --group G [--starting-offsets earliest] --out OUT \
+        [--window "60 minutes" --slide "10 seconds"] [--listing click]
 
 ``--tasks PATH`` reads the parameters from a task table (parquet with the ``task`` schema) instead of
 ``--params``. Outputs are parquet tables under ``OUT/<table>`` partitioned by ``task_id``.
@@ -65,13 +67,16 @@ def run_area(spark, args) -> None:
 def run_ads(spark, args) -> None:
     from ..sources.external import ad_log_stream
     from ..streaming.ad_stream import AdClickStream
-    job = AdClickStream(spark, args.out, threshold=args.threshold, watermark=args.watermark)
+    job = AdClickStream(spark, args.out, threshold=args.threshold, watermark=args.watermark or None,
+                        trend_window=args.window, trend_slide=args.slide, listing=args.listing)
     trigger = {"availableNow": True} if args.available_now else None
 
     def src():
-        return ad_log_stream(spark, brokers=args.brokers, topics=args.topics, path=args.source)
+        return ad_log_stream(spark, brokers=args.brokers, topics=args.topics, path=args.source, log=args.log,
+                             group=args.group, starting_offsets=args.starting_offsets,
+                             fail_on_data_loss=not args.allow_data_loss)
 
-    queries = [job.start_main(src(), trigger), job.start_trend(src(), trigger)]
+    queries = [job.start_main(src(), trigger), job.start_trend(src(), trigger), job.start_rejects(src(), trigger)]
     for q in queries:
         q.awaitTermination()
 
@@ -86,7 +91,14 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--extract-total", type=int, default=100)
     ap.add_argument("--threshold", type=int, default=100)
-    ap.add_argument("--watermark")
+    ap.add_argument("--watermark", default="60 minutes", help="empty: keep every minute in the state")
+    ap.add_argument("--window", default="1 minute")
+    ap.add_argument("--slide")
+    ap.add_argument("--listing", choices=["batch", "click"], default="batch")
+    ap.add_argument("--log")
+    ap.add_argument("--group")
+    ap.add_argument("--starting-offsets", default="latest")
+    ap.add_argument("--allow-data-loss", action="store_true")
     ap.add_argument("--source")
     ap.add_argument("--brokers")
     ap.add_argument("--topics")

@@ -12,31 +12,19 @@ writes are idempotent. What "upsert" means is decided when reading:
 Reads can stop at a batch (``upto``) so a batch computes from the state before itself, and partition columns
 (``date``) prune whole directories.
 
-Compaction (``compact_*``) folds the batches ``<= upto`` of some dates into one batch beside the log:
-
-1. the folded rows go to ``<path>__folds/<date>/batch_id=<upto>/``;
-2. a mark ``<path>__marks/part=<date>/upto=<n>/`` makes them valid;
-3. only then the files that they stand for are deleted.
-
-Readers take, per date, the fold of the latest mark and the batches after it. A failure before step 2 leaves an
-unmarked fold, which nobody reads and a retry rewrites; one after it leaves files that readers pass over and the next
-compaction deletes. Every write names its overwrite mode, so the session's ``partitionOverwriteMode`` doesn't matter.
-A query planned before a compaction must be planned anew, as its files may be gone; a state before the last fold can
-no longer be read (``upto`` below it).
+Running totals live in the streaming query's state (:mod:`clickscope.streaming.ad_state`); no batch reads these tables. They
+grow by the changed rows of each batch; a table for readers alone is written from the state (``AdState.publish``) or from
+one read of the log, under a path of its own.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 BATCH = "batch_id"
-NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # directory name of a null partition value
-MARK_SCHEMA = "valid boolean, part string, upto bigint"
 
 
 class LogTable:
@@ -51,38 +39,18 @@ class LogTable:
     def full_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType(), False)])
 
-    @property
-    def folds(self) -> str:
-        return self.path + "__folds"
-
-    @property
-    def marks(self) -> str:
-        return self.path + "__marks"
-
-    def _part(self):
-        """Directory value of the first partition column; tables without one are a single part."""
-        if not self.partition_cols:
-            return F.lit("all")
-        return F.coalesce(F.col(self.partition_cols[0]).cast("string"), F.lit(NULL_PART))
-
-    def write(self, df: DataFrame, batch_id: int, path: str | None = None) -> None:
+    def write(self, df: DataFrame, batch_id: int) -> None:
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         (df.select(*cols, F.lit(int(batch_id)).cast("bigint").alias(BATCH))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partition_cols, BATCH).parquet(path or self.path))
+         .partitionBy(*self.partition_cols, BATCH).parquet(self.path))
 
-    def mark(self, parts: list[str], upto: int) -> None:
-        """Make the folds ``upto`` of ``parts`` valid."""
-        (self.spark.createDataFrame([(True, p, int(upto)) for p in parts], MARK_SCHEMA)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("part", "upto").parquet(self.marks))
-
-    def _read(self, root: str, schema, col: str | None, values: list[str] | None) -> DataFrame | None:
-        """The rows under ``root``; only the directories of ``values`` when given; None if there are none."""
-        reader, path = self.spark.read.schema(schema), root
+    def _read(self, col: str | None, values: list[str] | None) -> DataFrame | None:
+        """The table's rows; only the directories of ``values`` when given; None if there are none."""
+        reader, path = self.spark.read.schema(self.full_schema), self.path
         if values is not None:
-            path = f"{root}/{col}={{{','.join(str(v) for v in values)}}}"
-            reader = reader.option("basePath", root)
+            path = f"{path}/{col}={{{','.join(str(v) for v in values)}}}"
+            reader = reader.option("basePath", self.path)
         try:
             return reader.parquet(path)
         except AnalysisException as e:
@@ -90,82 +58,22 @@ class LogTable:
                 raise
             return None
 
-    def last_folds(self, upto: int | None = None, values: list[str] | None = None) -> DataFrame | None:
-        """``_part, _fold``: the latest valid fold (``<= upto`` when given) of each part; None if there is no mark."""
-        marks = self._read(self.marks, MARK_SCHEMA, "part", values)
-        if marks is None:
-            return None
-        if upto is not None:
-            marks = marks.where(F.col("upto") <= F.lit(int(upto)))
-        return marks.groupBy(F.coalesce("part", F.lit(NULL_PART)).alias("_part")).agg(F.max("upto").alias("_fold"))
-
     def read_log(self, upto: int | None = None, where=None, partitions: dict | None = None) -> DataFrame:
-        """The rows of the last folds and of all batches after them (``batch_id <= upto`` when given). Partition columns
-        keep their declared types.
+        """The rows of all batches (``batch_id <= upto`` when given). Partition columns keep their declared types.
 
         ``partitions`` (``{"date": [...]}`` on the first partition column) lists only those directories, so
-        a stream batch does not enumerate the whole table.
+        a reader does not enumerate the whole table.
         """
         (col, values), = (partitions or {None: None}).items()
-        empty = self.spark.createDataFrame([], self.full_schema)
-        if values is not None and not values:
-            return empty
-        df = self._read(self.path, self.full_schema, col, values)
-        df = empty if df is None else df
-        last = self.last_folds(upto, values if self.partition_cols else None)
-        if last is not None:
-            cols = df.columns
-            later = (df.withColumn("_part", self._part()).join(last, "_part", "left")
-                     .where(F.col("_fold").isNull() | (F.col(BATCH) > F.col("_fold"))).select(*cols))
-            folded = self._read(self.folds, self.full_schema, col, values)
-            df = later
-            if folded is not None:
-                valid = last.withColumnRenamed("_fold", BATCH)
-                df = df.unionByName(folded.withColumn("_part", self._part())
-                                    .join(valid, ["_part", BATCH], "left_semi").select(*cols))
+        df = None if values is not None and not values else self._read(col, values)
+        if df is None:
+            df = self.spark.createDataFrame([], self.full_schema)
         if upto is not None:
             df = df.where(F.col(BATCH) <= F.lit(int(upto)))
         if where is not None:
             df = df.where(where)
         return df
 
-    def _directories(self, root: str, part_col: str | None, number: str) -> list[tuple[str, int, object]]:
-        """(part, number, path) of every ``<part_col>=…/<number>=…`` directory; a listing, no file is read."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        at = path(f"{root}/{part_col}=*/{number}=*" if part_col else f"{root}/{number}=*")
-        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at) or []
-        out = []
-        for status in found:
-            p = status.getPath()
-            part = unquote(p.getParent().getName().split("=", 1)[1]) if part_col else "all"
-            out.append((part, int(p.getName().split("=", 1)[1]), p))
-        return out
-
-    def crowded(self, upto: int, limit: int) -> list[str]:
-        """Parts with at least ``limit`` batch directories ``<= upto``."""
-        count: dict[str, int] = {}
-        for part, batch, _ in self._directories(self.path, self._part_col(), BATCH):
-            if batch <= upto:
-                count[part] = count.get(part, 0) + 1
-        return sorted(p for p, n in count.items() if n >= limit)
-
-    def _part_col(self) -> str | None:
-        if len(self.partition_cols) > 1:
-            raise ValueError("compaction knows tables with at most one partition column")
-        return self.partition_cols[0] if self.partition_cols else None
-
-    def drop_folded(self, parts: list[str]) -> None:
-        """Delete the batches, folds and marks of ``parts`` that the latest valid fold stands for."""
-        last = self.last_folds(values=parts)
-        if last is None:
-            return
-        fold = {r["_part"]: r["_fold"] for r in last.collect()}  # one row per part in ``parts``
-        for root, col, number, spare in ((self.path, self._part_col(), BATCH, 0),
-                                         (self.folds, self._part_col(), BATCH, 1), (self.marks, "part", "upto", 1)):
-            for part, n, p in self._directories(root, col, number):
-                if part in fold and n <= fold[part] - spare:
-                    p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
 
 def increment_upsert(table: LogTable, delta: DataFrame, batch_id: int) -> None:
     """SNK-3: ``value = value + delta`` per key (stored as the batch's delta rows)."""
@@ -212,54 +120,3 @@ def append_rows(table: LogTable, rows: DataFrame, batch_id: int) -> None:
 
 def read_append(table: LogTable, upto: int | None = None, where=None) -> DataFrame:
     return table.read_log(upto, where).select(*[f.name for f in table.schema.fields])
-
-
-def _compact(table: LogTable, fold, parts: list[str], upto: int) -> None:
-    """Fold the batches ``<= upto`` of each part (value of the partition column; ignored without one) by ``fold(log)``.
-
-    Parts that already have a valid fold ``>= upto`` are left alone, so a replay changes nothing.
-    """
-    col = table._part_col()
-    parts = [str(p) for p in parts] if col else ["all"]
-    if upto < 0 or not parts:
-        return
-    last = table.last_folds(values=parts)
-    done = {r["_part"] for r in last.where(F.col("_fold") >= F.lit(int(upto))).collect()} if last is not None else set()
-    todo = [p for p in parts if p not in done]
-    if todo:
-        log = table.read_log(upto, partitions={col: todo} if col else None)
-        table.write(fold(log), upto, table.folds)
-        table.mark(todo, upto)
-    table.drop_folded(parts)
-
-
-def compact_increment(table: LogTable, keys: list[str], value_cols: list[str], dates: list[str], upto: int) -> None:
-    """Fold an increment table: one row per key with the summed values."""
-    _compact(table, lambda log: log.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in value_cols]),
-             dates, upto)
-
-
-def compact_replace(table: LogTable, keys: list[str], value_cols: list[str], dates: list[str], upto: int) -> None:
-    """Fold a replace table: the latest value per key."""
-    def fold(log):
-        latest = F.max_by(F.struct(*value_cols), F.col(BATCH)).alias("_v")
-        return log.groupBy(*keys).agg(latest).select(*keys, *[F.col("_v." + c).alias(c) for c in value_cols])
-    _compact(table, fold, dates, upto)
-
-
-def compact_group(table: LogTable, group_keys: list[str], dates: list[str], upto: int) -> None:
-    """Fold a replace-group table: the rows of each group's latest batch."""
-    def fold(log):
-        last = log.groupBy(*group_keys).agg(F.max(BATCH).alias(BATCH))
-        return log.join(last, [*group_keys, BATCH], "left_semi")
-    _compact(table, fold, dates, upto)
-
-
-def compact_append(table: LogTable, parts: list[str], upto: int) -> None:
-    """Fold an append table: all rows, in one batch."""
-    _compact(table, lambda log: log, parts, upto)
-
-
-def compact_distinct(table: LogTable, parts: list[str], upto: int) -> None:
-    """Fold a table of which only the distinct rows matter."""
-    _compact(table, lambda log: log.select(*[f.name for f in table.schema.fields]).distinct(), parts, upto)

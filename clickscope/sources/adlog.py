@@ -49,18 +49,28 @@ def parse_ad_log_rejects(lines: DataFrame, value_col: str = "value") -> DataFram
     return lines.where(~F.coalesce(_valid(parts), F.lit(False)))
 
 
-def batch_summary(lines: DataFrame, value_col: str = "value") -> tuple[int, list[str]]:
-    """One pass over a (small, cached) micro-batch: number of rejected lines and the sorted distinct dates
-    (``yyyyMMdd``) of the well-formed ones. The date list is bounded by the batch's time span."""
-    parts = _fields(F.col(value_col))
-    ok = F.coalesce(_valid(parts), F.lit(False))
-    date = F.date_format(dates.from_epoch_millis(parts[F_TS]), dates.FMT_DATEKEY)
-    row = lines.agg(F.sum(F.when(ok, 0).otherwise(1)).alias("bad"),
-                    F.array_sort(F.collect_set(F.when(ok, date))).alias("dates")).first()
-    return int(row["bad"] or 0), list(row["dates"] or [])
+OBSERVED = "ad_log"
+
+
+def observed(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """``lines`` with their number and the number of rejects counted in passing, under the name ``ad_log``: a streaming
+    query shows them per batch in ``progress.observedMetrics``, without a job of their own."""
+    ok = F.coalesce(_valid(_fields(F.col(value_col))), F.lit(False))
+    return lines.observe(OBSERVED, F.count(F.lit(1)).alias("lines"), F.count(F.when(~ok, 1)).alias("rejects"))
+
+
+def observed_counts(query) -> tuple[int, int]:
+    """(lines, rejects) of the batches that a streaming query still remembers."""
+    rows = [p.observedMetrics.get(OBSERVED) for p in query.recentProgress]
+    return sum(r["lines"] for r in rows if r), sum(r["rejects"] for r in rows if r)
+
+
+def log_line(clicks: DataFrame) -> Column:
+    """The text line of a typed click."""
+    return F.concat_ws(" ", dates.epoch_millis("ts").cast("string"), "province", "city",
+                       F.col("user_id").cast("string"), F.col("ad_id").cast("string"))
 
 
 def format_ad_log(clicks: DataFrame) -> DataFrame:
     """Inverse of :func:`parse_ad_log`: typed clicks → one ``value`` text column."""
-    return clicks.select(F.concat_ws(" ", dates.epoch_millis("ts").cast("string"), "province", "city",
-                                     F.col("user_id").cast("string"), F.col("ad_id").cast("string")).alias("value"))
+    return clicks.select(log_line(clicks).alias("value"))

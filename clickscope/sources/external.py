@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .segment_log import segment_stream
+
 
 def jdbc_table(spark: SparkSession, url: str, table: str, user: str | None = None, password: str | None = None,
                driver: str | None = None, partition_column: str | None = None, lower: int | None = None,
@@ -47,12 +49,15 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def ad_log_stream(spark: SparkSession, *, brokers: str | None = None, topics: str | None = None,
-                  path: str | None = None, max_files_per_trigger: int | None = None, **kafka) -> DataFrame:
-    """The ad log as a ``value`` stream: from Kafka (``brokers`` and ``topics``; further options of
-    :func:`kafka_stream`) or from the text files under ``path``. Exactly one of them is named; neither stands in for
-    the other."""
-    if bool(brokers and topics) == bool(path):
-        raise ValueError("name either Kafka brokers and topics, or a file path, for the ad log stream")
+                  path: str | None = None, log: str | None = None, max_files_per_trigger: int | None = None,
+                  group: str | None = None, starting_offsets: str = "latest", fail_on_data_loss: bool = True) -> DataFrame:
+    """The ad log as a stream with a ``value`` column: from Kafka (``brokers`` and ``topics``), from a segment log (``log``,
+    with the offsets of ``group``) or from the text files under ``path``. Exactly one of them is named; none stands in
+    for another."""
+    if bool(brokers and topics) + bool(path) + bool(log) != 1:
+        raise ValueError("name either Kafka brokers and topics, or a segment log, or a file path, for the ad log stream")
     if path:
         return text_stream(spark, path, max_files_per_trigger)
-    return kafka_stream(spark, brokers, topics, **kafka)
+    if log:
+        return segment_stream(spark, log, starting_offsets, group, fail_on_data_loss)
+    return kafka_stream(spark, brokers, topics, starting_offsets, fail_on_data_loss)

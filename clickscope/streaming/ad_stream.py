@@ -1,21 +1,20 @@
 """Real-time ad click statistics (J4, STR-1 … STR-10) on Structured Streaming.
 
-Two queries read the same log stream (Kafka, or a text-file stream in its place):
-
-* **main** (``foreachBatch``, STR-3/4/5/6/8/9): per micro-batch, in this order —
-  drop clicks of listed users (blacklist as of the batch start, JOIN-9) → add the batch's
-  (date, user, ad) counts (SNK-3) → list users whose stored total reached the threshold, if not listed yet
-  (D14) → add the batch's (date, province, city, ad) counts to ``ad_stat`` (STR-5) → re-rank the touched
-  (date, province) groups and replace their top-n (STR-6, SNK-5).
-  Every table is a batch-tagged log (:mod:`clickscope.sinks.log_tables`) and each step reads only batches
-  ``<= batch_id``, so a retried batch rewrites identical files: exactly-once results over an at-least-once
-  ``foreachBatch``. Reads are pruned to the dates present in the batch.
-* **trend** (STR-7/10): a stateful streaming aggregation ``groupBy(window(ts, '1 minute'), ad_id).count()``
-  in update mode, written as replace-upserts. Each minute holds its full count (D23). A watermark bounds the
-  state (D13); without one the state keeps every minute.
-
-Recovery (STR-2): both queries keep offsets and state under ``<root>/_checkpoints``; restarting with the same
-root continues where they stopped.
+Queries over the same log stream (segment log, Kafka, or text files in their place):
+
+* **main** (STR-3/4/5/6): blacklist, running totals and province top-n in keyed state, :mod:`.ad_state`;
+* **rejects** (SRC-10): the lines that are no clicks, appended as text. Their number is also counted by the main query
+  itself, in passing;
+* **trend** (STR-7/10): clicks per (minute, ad), a streaming aggregation in update mode, written as replace-upserts. Each minute
+  holds its full count (D23). The watermark bounds the state (D13): minutes that ended longer ago than that are final. With
+  ``trend_slide`` the state holds one count per slide and ad (a *pane*); windows are combined from panes when they are
+  read (:mod:`clickscope.operators.panes`), so no click is copied into the windows that cover it.
+
+Result tables are batch-tagged (:mod:`clickscope.sinks.log_tables`): a retried batch rewrites identical files, so results are
+exactly once over an at-least-once ``foreachBatch``.
+
+Recovery (STR-2): the queries keep offsets and state under ``<root>/_checkpoints``; restarting with the same root
+continues where they stopped.
 """
 
 from __future__ import annotations
@@ -24,112 +23,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import materialize
-from ..operators import ads
+from ..operators import ads, panes
 from ..sinks import log_tables as lt
 from ..sources import adlog
+from .ad_state import AdState, finished
 
 _S, _L = T.StringType(), T.LongType()
-COUNT_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("user_id", _L), T.StructField("ad_id", _L),
-                             T.StructField("click_count", _L)])
-BLACKLIST_SCHEMA = T.StructType([T.StructField("user_id", _L)])
-STAT_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("province", _S), T.StructField("city", _S),
-                            T.StructField("ad_id", _L), T.StructField("click_count", _L)])
-TOP_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("province", _S), T.StructField("ad_id", _L),
-                           T.StructField("click_count", _L)])
 TREND_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("hour", _S), T.StructField("minute", _S),
                              T.StructField("ad_id", _L), T.StructField("click_count", _L)])
-WINDOW_SCHEMA = T.StructType([T.StructField("window_start", _S), T.StructField("window_end", _S),
-                              T.StructField("ad_id", _L), T.StructField("click_count", _L)])
-REJECT_SCHEMA = T.StructType([T.StructField("value", _S)])
+PANE_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("pane", _L), T.StructField("ad_id", _L),
+                            T.StructField("click_count", _L)])
 
-COUNT_KEYS = ["date", "user_id", "ad_id"]
-STAT_KEYS = ["date", "province", "city", "ad_id"]
 TREND_KEYS = ["date", "hour", "minute", "ad_id"]
-WINDOW_KEYS = ["window_start", "ad_id"]
+PANE_KEYS = ["date", "pane", "ad_id"]
+WATERMARK = "60 minutes"
 
 
 class AdClickStream:
     def __init__(self, spark: SparkSession, root: str, threshold: int = ads.DEFAULT_THRESHOLD, top_n: int = 3,
-                 watermark: str | None = None, trend_window: str = "1 minute", trend_slide: str | None = None,
-                 broadcast_rows: int = 5_000_000, compact_every: int = 50):
+                 watermark: str | None = WATERMARK, trend_window: str = "1 minute", trend_slide: str | None = None,
+                 listing: str = "batch"):
         self.spark = spark
-        self.broadcast_rows = broadcast_rows
-        self.compact_every = compact_every  # fold crowded dates every this many batches
         self.root = root.rstrip("/")
-        self.threshold = threshold
-        self.top_n = top_n
-        self.watermark = watermark
+        self.watermark = watermark  # None keeps every minute in the state, for logs that are far out of order
         self.trend_window = trend_window
-        self.trend_slide = trend_slide  # e.g. window 60 s sliding 3 s; None = tumbling windows
-        t = lambda name, schema, parts=("date",): lt.LogTable(spark, f"{self.root}/{name}", schema, parts)  # noqa
-        self.counts = t("ad_user_click_count", COUNT_SCHEMA)
-        self.blacklist_table = t("ad_blacklist", BLACKLIST_SCHEMA, ())
-        self.stat = t("ad_stat", STAT_SCHEMA)
-        self.top = t("ad_province_top3", TOP_SCHEMA)
-        self.trend = t("ad_click_trend", TREND_SCHEMA)
-        self.trend_windows = t("ad_click_trend_window", WINDOW_SCHEMA, ())
-        self.rejects = t("rejects", REJECT_SCHEMA, ())
-
-    # ------------------------------------------------------------------ main query
-    def process_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select("value").persist()
-        try:
-            self._process(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        # One pass: rejected lines, and the batch's dates (a handful, used to list only those partitions).
-        n_rejects, dates = adlog.batch_summary(batch)
-        if n_rejects:
-            lt.append_rows(self.rejects, adlog.parse_ad_log_rejects(batch), batch_id)
-        parsed = adlog.parse_ad_log(batch)
-        if not dates:
-            return
-        only = {"date": dates}
-        if self._compaction_due(batch_id):
-            self._compact_main(batch_id - 1)
-        listed = lt.read_append(self.blacklist_table, upto=batch_id - 1)
-        # The filtered clicks feed every step below. They are cut from the blacklist files with a checkpoint:
-        # this batch appends to that table, and a plan still reading it would be refreshed (and re-filtered)
-        # by the write.
-        clicks = materialize(ads.filter_blacklisted(parsed, listed, self.broadcast_rows))
-        delta = ads.user_ad_click_counts(clicks).persist()
-        try:
-            lt.increment_upsert(self.counts, delta, batch_id)
-            totals = (lt.read_increment(self.counts, COUNT_KEYS, ["click_count"], upto=batch_id, partitions=only)
-                      .join(delta.select(*COUNT_KEYS), COUNT_KEYS, "left_semi"))
-            # Listed users' clicks were filtered above, so they cannot reach the threshold again here.
-            new_users = ads.blacklist_from_counts(totals, self.threshold)
-            lt.append_rows(self.blacklist_table, new_users, batch_id)
-
-            lt.increment_upsert(self.stat, ads.ad_stat(clicks), batch_id)
-            stat_now = lt.read_increment(self.stat, STAT_KEYS, ["click_count"], upto=batch_id, partitions=only)
-            touched = clicks.select("date", "province").distinct()
-            top = ads.province_top(stat_now, self.top_n).join(touched, ["date", "province"], "left_semi")
-            lt.replace_group(self.top, top, batch_id)
-        finally:
-            delta.unpersist()
-
-    def _compact_main(self, upto: int) -> None:
-        """Fold every date (or table without dates) that has ``compact_every`` batch directories. Together with the
-        batches until the next fold, none keeps more than twice as many, late dates included."""
-        many = self.compact_every
-        lt.compact_increment(self.counts, COUNT_KEYS, ["click_count"], self.counts.crowded(upto, many), upto)
-        lt.compact_increment(self.stat, STAT_KEYS, ["click_count"], self.stat.crowded(upto, many), upto)
-        lt.compact_group(self.top, ["date", "province"], self.top.crowded(upto, many), upto)
-        if self.blacklist_table.crowded(upto, many):
-            lt.compact_distinct(self.blacklist_table, ["all"], upto)
-        if self.rejects.crowded(upto, many):
-            lt.compact_append(self.rejects, ["all"], upto)
-
-    def _compaction_due(self, batch_id: int) -> bool:
-        return bool(self.compact_every) and batch_id > 0 and batch_id % self.compact_every == 0
-
-    def start_main(self, source: DataFrame, trigger: dict | None = None, name: str = "ad_main"):
-        w = (source.writeStream.foreachBatch(self.process_batch)
-             .option("checkpointLocation", f"{self.root}/_checkpoints/{name}"))
+        self.trend_slide = trend_slide  # e.g. window 60 min sliding 10 s; None = tumbling windows
+        self.main = AdState(spark, self.root, threshold, top_n, listing)
+        self.trend = lt.LogTable(spark, f"{self.root}/ad_click_trend", TREND_SCHEMA, ("date",))
+        self.trend_panes = lt.LogTable(spark, f"{self.root}/ad_click_pane", PANE_SCHEMA, ("date",))
+
+    def _checkpoint(self, name: str) -> str:
+        return f"{self.root}/_checkpoints/{name}"
+
+    # ------------------------------------------------------------------ main query and rejects
+    def start_main(self, source: DataFrame, trigger: dict | None = None):
+        return self.main.start(source, trigger)
+
+    def start_rejects(self, source: DataFrame, trigger: dict | None = None):
+        w = (adlog.parse_ad_log_rejects(source).select("value").writeStream.format("text")
+             .option("path", f"{self.root}/rejects").option("checkpointLocation", self._checkpoint("rejects")))
         return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
     # ------------------------------------------------------------------ trend query
@@ -137,66 +69,61 @@ class AdClickStream:
         clicks = adlog.parse_ad_log(source).withColumn("ts", F.col("ts").cast("timestamp"))
         if self.watermark:
             clicks = clicks.withWatermark("ts", self.watermark)
-        if self.trend_slide:
-            win = F.window("ts", self.trend_window, self.trend_slide)
-        else:
-            win = F.window("ts", self.trend_window)
-        return clicks.groupBy(win.alias("w"), "ad_id").agg(
-            F.count(F.lit(1)).alias("click_count"))
+        win = F.window("ts", self.trend_slide or self.trend_window)
+        return clicks.groupBy(win.alias("w"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
 
     def _write_trend(self, batch: DataFrame, batch_id: int) -> None:
-        # The batch comes out of a stateful aggregation; keep it so the plan runs once even when read twice.
-        batch = batch.persist()
-        try:
-            self._write_trend_rows(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _write_trend_rows(self, batch: DataFrame, batch_id: int) -> None:
         start = F.col("w.start").cast("timestamp_ntz")
+        date = F.date_format(start, "yyyyMMdd").alias("date")
         if self.trend_slide:
-            # Sliding windows overlap, so they are keyed by their exact start (second precision).
-            end = F.col("w.end").cast("timestamp_ntz")
-            rows = batch.select(F.date_format(start, "yyyyMMddHHmmss").alias("window_start"),
-                                F.date_format(end, "yyyyMMddHHmmss").alias("window_end"), "ad_id", "click_count")
-            if self._compaction_due(batch_id) and self.trend_windows.crowded(batch_id - 1, self.compact_every):
-                lt.compact_replace(self.trend_windows, WINDOW_KEYS, ["window_end", "click_count"], ["all"], batch_id - 1)
-            lt.replace_upsert(self.trend_windows, rows, batch_id)
-            return
-        rows = batch.select(F.date_format(start, "yyyyMMdd").alias("date"), F.date_format(start, "HH").alias("hour"),
-                            F.date_format(start, "mm").alias("minute"), "ad_id", "click_count")
-        if self._compaction_due(batch_id):
-            dates = self.trend.crowded(batch_id - 1, self.compact_every)
-            lt.compact_replace(self.trend, TREND_KEYS, ["click_count"], dates, batch_id - 1)
-        lt.replace_upsert(self.trend, rows, batch_id)
+            rows = batch.select(date, F.unix_seconds(F.col("w.start")).alias("pane"), "ad_id", "click_count")
+            lt.replace_upsert(self.trend_panes, rows, batch_id)
+        else:
+            rows = batch.select(date, F.date_format(start, "HH").alias("hour"), F.date_format(start, "mm").alias("minute"),
+                                "ad_id", "click_count")
+            lt.replace_upsert(self.trend, rows, batch_id)
 
     def start_trend(self, source: DataFrame, trigger: dict | None = None, name: str = "ad_trend"):
+        if self.trend_slide:
+            panes.per_window(self.trend_window, self.trend_slide)  # a window is a whole number of slides
         w = (self.trend_frame(source).writeStream.outputMode("update").foreachBatch(self._write_trend)
-             .option("checkpointLocation", f"{self.root}/_checkpoints/{name}"))
+             .option("checkpointLocation", self._checkpoint(name)))
         return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
     # ------------------------------------------------------------------ result tables
     def user_click_count(self) -> DataFrame:
-        return lt.read_increment(self.counts, COUNT_KEYS, ["click_count"])
+        return self.main.user_click_count()
 
     def blacklist(self) -> DataFrame:
-        return lt.read_append(self.blacklist_table)
+        return self.main.blacklist()
 
     def ad_stat(self) -> DataFrame:
-        return lt.read_increment(self.stat, STAT_KEYS, ["click_count"])
+        return self.main.ad_stat()
 
     def province_top3(self) -> DataFrame:
-        return lt.read_group(self.top, ["date", "province"])
+        return self.main.province_top3()
 
     def click_trend(self) -> DataFrame:
         return lt.read_replace(self.trend, TREND_KEYS, ["click_count"])
 
+    def panes(self) -> DataFrame:
+        """Counts per slide and ad (when ``trend_slide`` is set): ``pane`` (its start in epoch seconds), ``ad_id``."""
+        return lt.read_replace(self.trend_panes, PANE_KEYS, ["click_count"]).drop("date")
+
+    def click_trend_runs(self) -> DataFrame:
+        """Sliding windows with equal neighbours as one row: ``ad_id, first_start, last_start`` (epoch seconds),
+        ``click_count``."""
+        return panes.window_runs(self.panes(), "pane", ["ad_id"], "click_count", self.trend_window, self.trend_slide)
+
     def click_trend_windows(self) -> DataFrame:
-        """Sliding-window counts (when ``trend_slide`` is set)."""
-        return lt.read_replace(self.trend_windows, WINDOW_KEYS, ["window_end", "click_count"])
+        """Sliding-window counts: ``window_start, window_end`` (yyyyMMddHHmmss), ``ad_id, click_count``."""
+        w = panes.windows(self.click_trend_runs(), self.trend_window, self.trend_slide)
+        text = lambda c: F.date_format(F.timestamp_seconds(c).cast("timestamp_ntz"), "yyyyMMddHHmmss")
+        return w.select(text("window_start").alias("window_start"), text("window_end").alias("window_end"), "ad_id",
+                        "click_count")
 
     def rejected_lines(self) -> DataFrame:
-        return lt.read_append(self.rejects)
+        return self.spark.read.schema("value string").text(f"{self.root}/rejects")
 
 
 def console_sink(df: DataFrame, trigger: dict | None = None):
@@ -204,19 +131,26 @@ def console_sink(df: DataFrame, trigger: dict | None = None):
     return df.writeStream.format("console").trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+def run_now(job: AdClickStream, source, main: bool = True, trend: bool = True, rejects: bool = False) -> list:
+    """Process what the source has now (``availableNow``) and stop; returns the finished queries. ``source()`` gives a new
+    reader of the log for each query."""
+    now = {"availableNow": True}
+    starts = [(main, job.start_main), (trend, job.start_trend), (rejects, job.start_rejects)]
+    return [finished(q) for q in [start(source(), now) for wanted, start in starts if wanted]]
+
+
 def run_available(job: AdClickStream, source_path: str, max_files_per_trigger: int | None = None,
                   main: bool = True, trend: bool = True) -> None:
-    """Process everything in ``source_path`` now (``availableNow``) and stop: the test/replay driver."""
+    """Process every text file in ``source_path`` now and stop."""
     from ..sources.external import text_stream
+    run_now(job, lambda: text_stream(job.spark, source_path, max_files_per_trigger), main, trend, rejects=main)
+
 
-    queries = []
-    if main:
-        queries.append(job.start_main(text_stream(job.spark, source_path, max_files_per_trigger),
-                                      {"availableNow": True}))
-    if trend:
-        queries.append(job.start_trend(text_stream(job.spark, source_path, max_files_per_trigger),
-                                       {"availableNow": True}))
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+def run_segments(job: AdClickStream, path: str, group: str | None = None, main: bool = True, trend: bool = False) -> list:
+    """Process what the segment log under ``path`` has now, as one batch of each query, and commit its end for ``group``."""
+    from ..sources import segment_log
+    queries = run_now(job, lambda: segment_log.segment_stream(job.spark, path, "earliest", group), main, trend)
+    if group:
+        for q in queries:
+            segment_log.commit_progress(q, path, group)
+    return queries

@@ -61,8 +61,7 @@ def test_click_trend_minutes(spark):
     assert got == [("20240101", "09", "00", 1, 2), ("20240101", "09", "01", 1, 1)]
 
 
-def test_batch_summary(spark):
-    lines = spark.createDataFrame([("1704067207000 P C 3 4",), ("1704153607000 P C 3 4",), ("bad",),
-                                   ("1704067207000 P C x 4",)], "value string")
-    assert adlog.batch_summary(lines) == (2, ["20240101", "20240102"])
-    assert adlog.batch_summary(lines.where("false")) == (0, [])
+def test_rejects_are_the_lines_that_are_no_clicks(spark):
+    lines = spark.createDataFrame([("1704103200000 P C 1 2",), ("bad",), ("1704189600000 P C 1 2",), (None,)], "value string")
+    assert adlog.parse_ad_log(adlog.observed(lines)).count() == 2
+    assert adlog.parse_ad_log_rejects(adlog.observed(lines)).count() == 2

@@ -36,7 +36,7 @@ def test_replace_and_group(spark, tmp_root):
     assert rows_set(lt.read_group(g, ["date"])) == [("d1", "c", 9), ("d2", "x", 3)]
 
 
-def test_append_and_compact(spark, tmp_root):
+def test_append(spark, tmp_root):
     t = lt.LogTable(spark, f"{tmp_root}/app", SCHEMA, ())
     lt.append_rows(t, spark.createDataFrame([("d", "a", 1)], SCHEMA), 0)
     lt.append_rows(t, spark.createDataFrame([("d", "b", 1)], SCHEMA), 1)
@@ -44,30 +44,6 @@ def test_append_and_compact(spark, tmp_root):
 
 
 
-def test_compaction_beside_the_log(spark, tmp_root):
-    import os
-    inc = lt.LogTable(spark, f"{tmp_root}/inc2", SCHEMA, ("date",))
-    for i in range(4):
-        lt.increment_upsert(inc, spark.createDataFrame([("d", "a", i + 1), ("e", "b", 1)], SCHEMA), i)
-    before = rows_set(lt.read_increment(inc, ["date", "k"], ["v"]))
-    lt.compact_increment(inc, ["date", "k"], ["v"], ["d"], 2)
-    lt.compact_increment(inc, ["date", "k"], ["v"], ["d"], 2)  # a replayed compaction changes nothing
-    assert sorted(os.listdir(f"{tmp_root}/inc2/date=d")) == ["batch_id=3"]
-    assert sorted(os.listdir(f"{tmp_root}/inc2__folds/date=d")) == ["batch_id=2"]
-    assert len([x for x in os.listdir(f"{tmp_root}/inc2/date=e") if x.startswith("batch_id")]) == 4
-    assert rows_set(lt.read_increment(inc, ["date", "k"], ["v"])) == before == [("d", "a", 10), ("e", "b", 4)]
-    rep = lt.LogTable(spark, f"{tmp_root}/rep2", SCHEMA, ("date",))
-    for i in range(3):
-        lt.replace_upsert(rep, spark.createDataFrame([("d", "a", 10 * i)], SCHEMA), i)
-    lt.compact_replace(rep, ["date", "k"], ["v"], ["d"], 2)
-    assert rows_set(lt.read_replace(rep, ["date", "k"], ["v"])) == [("d", "a", 20)]
-    grp = lt.LogTable(spark, f"{tmp_root}/grp2", SCHEMA, ("date",))
-    lt.replace_group(grp, spark.createDataFrame([("d", "a", 1), ("d", "b", 2)], SCHEMA), 0)
-    lt.replace_group(grp, spark.createDataFrame([("d", "c", 3)], SCHEMA), 1)
-    lt.compact_group(grp, ["date"], ["d"], 1)
-    assert rows_set(lt.read_group(grp, ["date"])) == [("d", "c", 3)]
-
-
 def test_read_selected_partitions(spark, tmp_root):
     t = lt.LogTable(spark, f"{tmp_root}/sel", SCHEMA, ("date",))
     lt.increment_upsert(t, spark.createDataFrame([("20240101", "a", 1), ("20240102", "b", 2)], SCHEMA), 0)
@@ -77,58 +53,21 @@ def test_read_selected_partitions(spark, tmp_root):
     assert lt.read_increment(t, ["date", "k"], ["v"], partitions={"date": []}).count() == 0
 
 
-def _log(spark, path, batches=5):
-    t = lt.LogTable(spark, path, SCHEMA, ("date",))
-    for i in range(batches):
-        lt.increment_upsert(t, spark.createDataFrame([("d", "a", i + 1), ("e", "b", 1), (None, "n", 1)], SCHEMA), i)
-    return t
-
-
-TOTALS = [("d", "a", 15), ("e", "b", 5), (None, "n", 5)]
-
-
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
-@pytest.mark.parametrize("step", ["fold", "mark", "drop"])
-def test_failure_inside_compaction_keeps_totals(spark, tmp_root, monkeypatch, mode, step):
+def test_replayed_batches_keep_totals_under_either_overwrite_mode(spark, tmp_root, mode):
+    """A write that dies and is repeated leaves the other batches and dates alone."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     try:
-        t = _log(spark, f"{tmp_root}/crash-{mode}-{step}")
-        parts = ["d", "e", lt.NULL_PART]
-        lt.compact_increment(t, ["date", "k"], ["v"], parts, 1)  # the failing fold has one before it
-
-        def fail(*_):
-            raise RuntimeError("lost")
-
-        with monkeypatch.context() as m:
-            if step == "mark":
-                m.setattr(t, "mark", fail)
-            elif step == "drop":
-                m.setattr(t, "drop_folded", fail)
-            with pytest.raises(Exception):  # noqa: B017 - Spark's own error in the first case
-                if step == "fold":
-                    lt._compact(t, lambda log: log.withColumn(
-                        "v", F.when(F.col("date") == "e", F.raise_error(F.lit("lost"))).otherwise(F.col("v"))), parts, 3)
-                else:
-                    lt.compact_increment(t, ["date", "k"], ["v"], parts, 3)
+        t = lt.LogTable(spark, f"{tmp_root}/replay-{mode}", SCHEMA, ("date",))
+        rows = lambda i: spark.createDataFrame([("d", "a", i + 1), ("e", "b", 1), (None, "n", 1)], SCHEMA)
+        for i in range(5):
+            lt.increment_upsert(t, rows(i), i)
+        lost = rows(3).withColumn("v", F.when(F.col("date") == "e", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+        with pytest.raises(Exception):  # noqa: B017
+            lt.increment_upsert(t, lost, 3)
+        lt.increment_upsert(t, rows(3), 3)
         key = lambda r: str(r)  # noqa: E731 - a null date sorts as text
-        read = lambda: sorted((tuple(r) for r in lt.read_increment(t, ["date", "k"], ["v"]).collect()), key=key)
-        assert read() == sorted(TOTALS, key=key)
-        lt.increment_upsert(t, spark.createDataFrame([("d", "a", 5), ("e", "b", 1), (None, "n", 1)], SCHEMA), 4)  # replay
-        lt.compact_increment(t, ["date", "k"], ["v"], parts, 3)
-        assert read() == sorted(TOTALS, key=key)
-        assert t.crowded(3, 1) == []
-        assert [n for _, n, _ in t._directories(t.folds, "date", lt.BATCH)] == [3, 3, 3]
+        got = sorted((tuple(r) for r in lt.read_increment(t, ["date", "k"], ["v"]).collect()), key=key)
+        assert got == sorted([("d", "a", 15), ("e", "b", 5), (None, "n", 5)], key=key)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-
-
-def test_table_without_partitions_is_compacted(spark, tmp_root):
-    t = lt.LogTable(spark, f"{tmp_root}/flat", SCHEMA, ())
-    for i in range(4):
-        lt.append_rows(t, spark.createDataFrame([("d", "a", 1)], SCHEMA), i)
-    assert t.crowded(2, 3) == ["all"] and t.crowded(2, 4) == []
-    lt.compact_append(t, ["all"], 2)
-    assert rows_set(lt.read_append(t)) == [("d", "a", 1)] * 4
-    lt.compact_distinct(t, ["all"], 3)
-    assert rows_set(lt.read_append(t)) == [("d", "a", 1)]
-    assert t.crowded(9, 1) == []

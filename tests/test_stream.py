@@ -1,11 +1,30 @@
+import json
 import os
+import random
 
-from clickscope.streaming.ad_stream import AdClickStream, run_available
+import pytest
+from pyspark.sql import functions as F
+
+from clickscope.operators import ads
+from clickscope.sinks import log_tables as lt
+from clickscope.sources import adlog, segment_log
+from clickscope.sources.external import text_stream
+from clickscope.streaming.ad_state import AdState
+from clickscope.streaming.ad_stream import AdClickStream, run_available, run_now, run_segments
 from helpers import rows_set
 
 MS = 1704103200000  # 2024-01-01 10:00:00 UTC
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """State operators start a worker per partition; small logs need few."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def line(sec, prov, city, user, ad):
     return f"{MS + sec * 1000} {prov} {city} {user} {ad}"
 
@@ -14,24 +33,6 @@ def batch(spark, lines):
     return spark.createDataFrame([(x,) for x in lines], "value string")
 
 
-def test_blacklist_feedback_across_batches(spark, tmp_root):
-    job = AdClickStream(spark, f"{tmp_root}/ads", threshold=2)
-    job.process_batch(batch(spark, [line(0, "P", "C", 1, 7), line(1, "P", "C", 1, 7), line(2, "P", "C", 2, 7),
-                                    "broken line"]), 0)
-    assert rows_set(job.blacklist()) == [(1,)]
-    job.process_batch(batch(spark, [line(10, "P", "C", 1, 8), line(11, "P", "C", 2, 7)]), 1)
-    # user 1 is filtered from batch 1 on; user 2 reaches 2 in batch 1
-    assert rows_set(job.blacklist()) == [(1,), (2,)]
-    assert rows_set(job.ad_stat()) == [("20240101", "P", "C", 7, 4)]
-    assert rows_set(job.user_click_count()) == [("20240101", 1, 7, 2), ("20240101", 2, 7, 2)]
-    assert rows_set(job.province_top3()) == [("20240101", "P", 7, 4)]
-    assert job.rejected_lines().count() == 1
-    # a replayed batch (same id) leaves every table as it was
-    job.process_batch(batch(spark, [line(10, "P", "C", 1, 8), line(11, "P", "C", 2, 7)]), 1)
-    assert rows_set(job.ad_stat()) == [("20240101", "P", "C", 7, 4)]
-    assert rows_set(job.blacklist()) == [(1,), (2,)]
-
-
 def _write(dirpath, name, lines):
     os.makedirs(dirpath, exist_ok=True)
     with open(os.path.join(dirpath, name), "w") as f:
@@ -77,23 +78,7 @@ def test_trend_sliding_window(spark, tmp_root):
     assert got == {"20240101095930": 2, "20240101100000": 3, "20240101100030": 1}
 
 
-def test_compaction_keeps_results(spark, tmp_root):
-    lines = [[line(10 * b + i, "P", "C", (b + i) % 4, i % 3) for i in range(6)] for b in range(7)]
-    plain = AdClickStream(spark, f"{tmp_root}/nocompact", threshold=4, compact_every=0)
-    comp = AdClickStream(spark, f"{tmp_root}/compact", threshold=4, compact_every=3)
-    for b, ls in enumerate(lines):
-        plain.process_batch(batch(spark, ls), b)
-        comp.process_batch(batch(spark, ls), b)
-    comp.process_batch(batch(spark, lines[6]), 6)  # replay of the last batch
-    for reader in ("ad_stat", "user_click_count", "blacklist", "province_top3"):
-        assert rows_set(getattr(comp, reader)()) == rows_set(getattr(plain, reader)()), reader
-    dirs = [x for x in os.listdir(f"{tmp_root}/compact/ad_stat/date=20240101") if x.startswith("batch_id")]
-    assert len(dirs) <= 3
-
-
 def test_ad_log_stream_names_one_source(spark, tmp_root):
-    import pytest
-
     from clickscope.sources.external import ad_log_stream
     src = f"{tmp_root}/one-source"
     os.makedirs(src)
@@ -103,20 +88,19 @@ def test_ad_log_stream_names_one_source(spark, tmp_root):
         ad_log_stream(spark)
     with pytest.raises(ValueError):
         ad_log_stream(spark, brokers="localhost:9", topics="ads", path=src)
+    with pytest.raises(ValueError):
+        ad_log_stream(spark, path=src, log=src)
+    assert ad_log_stream(spark, log=src, group="g").columns == ["partition", "offset", "value"]
 
 
 def test_line_with_an_impossible_time_is_a_reject(spark):
-    from clickscope.sources import adlog
     lines = spark.createDataFrame([("99999999999999999 P C 1 2",), ("-5 P C 1 2",), ("1704103200000 P C 1 2",)],
                                   "value string")
     assert adlog.parse_ad_log(lines).count() == 1
     assert adlog.parse_ad_log_rejects(lines).count() == 2
-    assert adlog.batch_summary(lines) == (2, ["20240101"])
 
 
 def test_console_sink_runs(spark, tmp_root):
-    from clickscope.sources import adlog
-    from clickscope.sources.external import text_stream
     from clickscope.streaming.ad_stream import console_sink
     src = f"{tmp_root}/console"
     _write(src, "a.txt", [line(0, "P", "C", 1, 1)])
@@ -125,46 +109,173 @@ def test_console_sink_runs(spark, tmp_root):
     assert q.exception() is None
 
 
+READERS = ("ad_stat", "user_click_count", "blacklist", "province_top3")
+
+
+def test_blacklist_feedback_across_batches(spark, tmp_root):
+    src, root = f"{tmp_root}/fb_src", f"{tmp_root}/ads"
+    _write(src, "a.txt", [line(0, "P", "C", 1, 7), line(1, "P", "C", 1, 7), line(2, "P", "C", 2, 7), "broken line"])
+    job = AdClickStream(spark, root, threshold=2)
+    main, rejects = run_now(job, lambda: text_stream(spark, src), trend=False, rejects=True)
+    assert rows_set(job.blacklist()) == [(1,)]
+    assert adlog.observed_counts(main) == (4, 1)  # counted in passing, without a job
+    _write(src, "b.txt", [line(10, "P", "C", 1, 8), line(11, "P", "C", 2, 7)])
+    job = AdClickStream(spark, root, threshold=2)
+    run_available(job, src, trend=False)
+    # user 1 is filtered from batch 1 on; user 2 reaches 2 in batch 1
+    assert rows_set(job.blacklist()) == [(1,), (2,)]
+    assert rows_set(job.ad_stat()) == [("20240101", "P", "C", 7, 4)]
+    assert rows_set(job.user_click_count()) == [("20240101", 1, 7, 2), ("20240101", 2, 7, 2)]
+    assert rows_set(job.province_top3()) == [("20240101", "P", 7, 4)]
+    assert job.rejected_lines().count() == 1
+
+
 def test_crash_mid_batch_then_restart_is_exactly_once(spark, tmp_root):
     """A batch that dies after some of its writes is replayed on restart; the tables end as if it ran once."""
-    from clickscope.sinks import log_tables as lt
-
     src = f"{tmp_root}/crash_src"
     _write(src, "a.txt", [line(i, "P", "C", i % 3, i % 2) for i in range(0, 30)])
     _write(src, "b.txt", [line(i, "P", "C", i % 3, i % 2) for i in range(30, 60)])
     _write(src, "c.txt", [line(i, "Q", "D", i % 3, i % 2) for i in range(60, 90)])
 
-    class CrashOnce(AdClickStream):
+    class CrashOnce(AdState):
         crashed = False
 
-        def process_batch(self, batch_df, batch_id):
+        def write_batch(self, batch_df, batch_id):
             if batch_id == 1 and not CrashOnce.crashed:
-                real = lt.increment_upsert
+                real = lt.replace_upsert
 
-                def write_then_die(table, delta, b):
-                    real(table, delta, b)
+                def write_then_die(table, rows, b):
+                    real(table, rows, b)
                     CrashOnce.crashed = True
                     raise RuntimeError("executor lost")
-                lt.increment_upsert = write_then_die
+                lt.replace_upsert = write_then_die
                 try:
-                    return super().process_batch(batch_df, batch_id)
+                    return super().write_batch(batch_df, batch_id)
                 finally:
-                    lt.increment_upsert = real
-            return super().process_batch(batch_df, batch_id)
+                    lt.replace_upsert = real
+            return super().write_batch(batch_df, batch_id)
 
     root = f"{tmp_root}/crash"
-    import pytest
-    with pytest.raises(Exception):
-        run_available(CrashOnce(spark, root, threshold=6), src, 1, trend=False)
+    dying = AdClickStream(spark, root, threshold=6)
+    dying.main = CrashOnce(spark, root, threshold=6)
+    with pytest.raises(Exception):  # noqa: B017
+        run_available(dying, src, 1, trend=False)
     assert CrashOnce.crashed
     resumed = AdClickStream(spark, root, threshold=6)
     run_available(resumed, src, 1, trend=False)
     clean = AdClickStream(spark, f"{tmp_root}/nocrash", threshold=6)
     run_available(clean, src, 1, trend=False)
-    for reader in ("ad_stat", "user_click_count", "blacklist", "province_top3"):
+    for reader in READERS:
         assert rows_set(getattr(resumed, reader)()) == rows_set(getattr(clean, reader)()), reader
 
 
+def _random_clicks(spark, n=400, seed=1):
+    r = random.Random(seed)
+    rows = [(i, r.randrange(12), line(i // 3 * 400, *r.choice([("P", "C"), ("P", "D"), ("Q", "E")]), 0, r.randrange(5)))
+            for i in range(n)]
+    rows = [(i, u, v[:v.rindex(" 0 ")] + f" {u} " + v[v.rindex(" ") + 1:]) for i, u, v in rows]
+    return spark.createDataFrame(rows, "event_id long, user_id long, value string")
+
+
+def test_listing_by_click_does_not_depend_on_batches(spark, tmp_root):
+    """Equal times within and across users, a threshold that is reached inside batches, three ways to cut the log."""
+    df = _random_clicks(spark)
+    typed = adlog.parse_ad_log(df, keep=("event_id",))
+    kept = ads.apply_cutoffs(typed, ads.blacklist_cutoffs(typed, 4))
+    stat = ads.ad_stat(kept)
+    for cuts in ([400], [90, 200, 400]):
+        root = f"{tmp_root}/cuts{len(cuts)}"
+        lo = 0
+        for hi in cuts:
+            part = df.where((F.col("event_id") >= lo) & (F.col("event_id") < hi))
+            segment_log.append_segments(part, f"{root}/log", F.pmod("user_id", F.lit(3)), ["event_id"], F.lit(0))
+            job = AdClickStream(spark, f"{root}/out", threshold=4, listing="click")  # resumes on the checkpoints
+            run_segments(job, f"{root}/log")
+            lo = hi
+        assert rows_set(job.ad_stat()) == rows_set(stat)
+        assert rows_set(job.province_top3()) == rows_set(ads.province_top(stat, 3))
+        assert rows_set(job.blacklist()) == rows_set(ads.blacklist_cutoffs(typed, 4).select("user_id"))
+    # the state is what the tables say
+    counts = rows_set(ads.user_ad_click_counts(kept), "date", "user_id", "ad_id", "click_count")
+    assert rows_set(job.user_click_count()) == counts
+    keys = spark.createDataFrame([("20240101", counts[0][1], counts[0][2]), ("20240101", 999, 1)],
+                                 "date string, user_id long, ad_id long")
+    assert [r["click_count"] for r in job.main.lookup_click_count(keys).orderBy("user_id").collect()] == [counts[0][3], 0]
+    job.main.publish(f"{root}/published")
+    job.main.publish(f"{root}/published", ["20240101"])  # one date anew
+    published = spark.read.schema(job.main.stat.schema).parquet(f"{root}/published")
+    assert rows_set(published, *stat.columns) == rows_set(stat)
+    with pytest.raises(ValueError):
+        AdClickStream(spark, f"{root}/bad", listing="later").start_main(batch(spark, []))
+
+
+def _log(spark, path, lo, hi, partitions=2):
+    df = spark.range(lo, hi).selectExpr("id", "concat('l', id, ' é') AS value")
+    segment_log.append_segments(df, path, F.pmod("id", F.lit(partitions)), ["id"], (F.col("id") / 10).cast("int"))
+
+
+def _read(spark, path, out, **options):
+    q = (segment_log.segment_stream(spark, path, **options).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", out + "-c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    rows = spark.read.schema(segment_log.SCHEMA).parquet(out) if os.path.isdir(out) else None
+    return q, sorted(tuple(r) for r in rows.collect()) if rows is not None else []
+
+
+def test_segment_log_offsets(spark, tmp_root):
+    log = f"{tmp_root}/seg"
+    _log(spark, log, 0, 40)
+    _log(spark, log, 40, 60)
+    line_of = lambda p, o: (p, o, f"l{2 * o + p} é")  # noqa: E731 - two partitions, by parity
+    every = [line_of(p, o) for p in (0, 1) for o in range(30)]
+    assert segment_log.earliest(log) == {0: 0, 1: 0} and segment_log.latest(log) == {0: 30, 1: 30}
+    assert _read(spark, log, f"{tmp_root}/all")[1] == every
+    # named offsets, inside a segment; a partition that isn't named starts at its first line
+    assert _read(spark, log, f"{tmp_root}/some", starting_offsets={0: 17})[1] == [
+        e for e in every if e[0] == 1 or e[1] >= 17]
+    assert _read(spark, log, f"{tmp_root}/new", starting_offsets="latest")[1] == []
+    # a group commits, more lines and a partition come, a new program goes on after the commit
+    q, _ = _read(spark, log, f"{tmp_root}/g1", group="g")
+    segment_log.commit_progress(q, log, "g")
+    assert segment_log.group_offsets(log, "g") == {0: 30, 1: 30} and segment_log.group_offsets(log, "other") is None
+    _log(spark, log, 60, 66, partitions=3)
+    got = _read(spark, log, f"{tmp_root}/g2", group="g", starting_offsets="earliest")[1]
+    assert [(p, o) for p, o, _ in got] == [(0, 30), (0, 31), (1, 30), (1, 31), (2, 0), (2, 1)]
+    # expired offsets: stop, or go on at the first there is
+    segment_log.expire(log, {0: 30, 1: 0, 2: 2})
+    assert segment_log.earliest(log) == {0: 30, 1: 0, 2: 2} and segment_log.latest(log) == {0: 32, 1: 32, 2: 2}
+    segment_log.commit_group(log, "old", {0: 3, 1: 31, 2: 0})
+    with pytest.raises(Exception, match="expired"):
+        _read(spark, log, f"{tmp_root}/g3", group="old")
+    got = _read(spark, log, f"{tmp_root}/g4", group="old", fail_on_data_loss=False)[1]
+    assert [(p, o) for p, o, _ in got] == [(0, 30), (0, 31), (1, 31)]
+    # an emptied partition goes on after its last offset
+    _log(spark, log, 68, 69, partitions=3)
+    assert segment_log.latest(log)[2] == 3
+
+
+def test_segment_reader_packs_and_checks(tmp_root, monkeypatch):
+    """Offsets, tasks and pieces without a stream; a segment shorter than its name says is an error."""
+    log = f"{tmp_root}/plain"
+    for base, n, held in ((0, 3, 3), (3, 4, 4), (7, 2, 1)):
+        _write(f"{log}/p=5/base={base}/n={n}", "part-0.txt", [f"x{base + i}" for i in range(held)])
+    reader = segment_log._Reader({"path": log, "startingoffsets": json.dumps({"5": 2})})
+    assert reader.initialOffset() == {"5": 2} and reader.latestOffset() == {"5": 9}
+    assert [p.pieces for p in reader.partitions({"5": 2}, {"5": 6})] == [
+        [(f"{log}/p=5/base=0/n=3", 0, 2, 3), (f"{log}/p=5/base=3/n=4", 3, 3, 6)]]
+    monkeypatch.setattr(segment_log, "TASK_LINES", 1)
+    tasks = reader.partitions({"5": 2}, {"5": 8})
+    assert [len(t.pieces) for t in tasks] == [1, 1, 1]
+    values = [v for t in tasks for b in reader.read(t) for v in b.column(2).to_pylist()]
+    assert values == [f"x{i}" for i in range(2, 8)]
+    with pytest.raises(ValueError, match="ends at 8"):
+        for t in reader.partitions({"5": 7}, {"5": 9}):
+            list(reader.read(t))
+    assert reader.partitions({"5": 9}, {"5": 9}) == []
+
+
 def test_trend_crash_then_restart_keeps_full_minutes(spark, tmp_root):
     src = f"{tmp_root}/tcrash_src"
     for f, rng in (("a.txt", range(0, 50)), ("b.txt", range(50, 100)), ("c.txt", range(100, 150))):
@@ -173,13 +284,12 @@ def test_trend_crash_then_restart_keeps_full_minutes(spark, tmp_root):
     class CrashTrendOnce(AdClickStream):
         crashed = False
 
-        def _write_trend_rows(self, batch_df, batch_id):
-            super()._write_trend_rows(batch_df, batch_id)
+        def _write_trend(self, batch_df, batch_id):
+            super()._write_trend(batch_df, batch_id)
             if batch_id == 1 and not CrashTrendOnce.crashed:
                 CrashTrendOnce.crashed = True
                 raise RuntimeError("executor lost after the write")
 
-    import pytest
     root = f"{tmp_root}/tcrash"
     with pytest.raises(Exception):
         run_available(CrashTrendOnce(spark, root, threshold=10_000), src, 1, main=False)
