@@ -61,9 +61,11 @@ def json_field(json_text, field: str) -> Column:
     return F.get_json_object(_c(json_text), f"$.{field}")
 
 
-def random_prefix(c, n: int = 10, seed: int = 0) -> Column:
-    """FN-15: ``r_value`` with r in [0, n)."""
-    return F.concat(F.floor(F.rand(seed) * n).cast("int").cast("string"), F.lit("_"), _c(c).cast("string"))
+def random_prefix(c, n: int = 10, by=None, seed: int = 0) -> Column:
+    """FN-15: ``r_value`` with r in [0, n). With ``by`` (a column unique per row) r is a hash of it, the same in every
+    attempt of a task, as it must be ahead of a shuffle; without it r is drawn."""
+    r = F.floor(F.rand(seed) * n) if by is None else F.pmod(F.xxhash64(_c(by), F.lit(seed)), F.lit(n))
+    return F.concat(r.cast("int").cast("string"), F.lit("_"), _c(c).cast("string"))
 
 
 def remove_random_prefix(c) -> Column:

@@ -33,3 +33,14 @@ def group_top_n(df: DataFrame, group_cols: list[str], order_cols: list[Column],
 def top_n(df: DataFrame, order_cols: list[Column], n: int) -> DataFrame:
     """Global ``ORDER BY … LIMIT n`` (planned as ``TakeOrderedAndProject``: per-task top-n, then merge)."""
     return df.orderBy(*order_cols).limit(n)
+
+
+def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
+    """TOP-7: Bernoulli sample by a hash of ``key``: a row stays if the first 32 bits of ``md5(seed|key)`` lie below the
+    fraction. The same rows on every run, in any partitioning and in any engine; rows that share a key stay or go together,
+    and a larger fraction keeps all rows of a smaller one. A null key counts as empty text."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    text = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.where(draw < F.lit(int(fraction * 2 ** 32)))

@@ -56,7 +56,7 @@ SELECT session_id, count(*) AS cnt FROM uva GROUP BY session_id"""))
 def q_random_prefix_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """FN-15/16 (AGG-11 SQL form): prefix → partial count → strip prefix → final sum."""
     a = tables.user_visit_action(spark, sf)
-    part = (a.select(text.random_prefix(F.col("session_id"), 10, 5).alias("k"))
+    part = (a.select(text.random_prefix(F.col("session_id"), 10, by="event_id").alias("k"))
             .groupBy("k").agg(F.count(F.lit(1)).alias("cnt")))
     return part.groupBy(text.remove_random_prefix(F.col("k")).alias("session_id")).agg(
         F.sum("cnt").cast("bigint").alias("cnt"))
@@ -116,12 +116,6 @@ def q_kv_text_set(spark: SparkSession, sf: str) -> DataFrame:
     return kv.select("session_id", text.kv_set(F.col("kv"), "visitLength", F.length("session_id")).alias("kv"))
 
 
-@register("bernoulli_sample")
-def q_bernoulli_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """TOP-7: ``sample(false, 0.1, 9)`` of the action table (rows-only check: a sample has no SQL twin)."""
-    return tables.user_visit_action(spark, sf).select("event_id", "session_id").sample(False, 0.1, 9)
-
-
 @register("date_hour_counts", with_ctes(["uva"], """
 SELECT strftime(min_t, '%Y-%m-%d_%H') AS date_hour, count(*) AS session_count
 FROM (SELECT session_id, min(action_time) AS min_t FROM uva
