@@ -23,6 +23,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -61,9 +62,10 @@ def _window_min(key: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(out[:len(out) - (w - have)], out[w - have:]) if w > have else out
 
 
-def anchors(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """Sorted anchor positions of each text: the leftmost smallest gram of every window."""
+def anchors(texts: list[bytes], length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted anchor positions of each text, the leftmost smallest gram of every window, and the hashes of these grams."""
     found: list[list[np.ndarray]] = [[] for _ in texts]
+    hashes: list[list[np.ndarray]] = [[] for _ in texts]
     held: list[tuple[int, int, bytes]] = []
     size = 0
 
@@ -80,6 +82,7 @@ def anchors(texts: list[bytes], length: int) -> list[np.ndarray]:
             p = low[at:at + len(piece) - length + 1].astype(np.int64)
             p = p[np.concatenate([[True], p[1:] != p[:-1]])]
             found[doc].append(p - at + offset)
+            hashes[doc].append(h[p])
             at += len(piece)
         held, size = [], 0
 
@@ -91,13 +94,32 @@ def anchors(texts: list[bytes], length: int) -> list[np.ndarray]:
             if size >= PIECE:
                 flush()
     flush()
-    return [np.unique(np.concatenate(f)) if f else np.zeros(0, np.int64) for f in found]
+    out = []
+    for f, g in zip(found, hashes, strict=True):
+        if len(f) > 1:  # pieces of one text overlap
+            at, first = np.unique(np.concatenate(f), return_index=True)
+            out.append((at, np.concatenate(g)[first].view(np.int64)))
+        else:
+            out.append((f[0], g[0].view(np.int64)) if f else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    return out
 
 
 def _u64(x: list[int]) -> np.ndarray:
     return np.array(x, np.uint64).view(np.int64)
 
 
+def grams(rows: DataFrame, length: int) -> DataFrame:
+    """``h`` of every anchor: the places alone, without contexts."""
+    def run(batches):
+        for batch in batches:
+            texts = [t.as_buffer().to_pybytes() for t in batch.column(0).cast(pa.binary())]
+            found = [h for _, h in anchors(texts, length)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["h"])
+
+    return rows.select("text").mapInArrow(run, "h bigint")
+
+
 def order_columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, id`` (order, null last), ``tie`` (32 bits of a text hash) and ``text``."""
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
@@ -118,9 +140,9 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
             ids, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tie"))
             hs, cs, who, spot = [], [], [], []
             digest = xxhash.xxh3_64_intdigest
-            for d, at in enumerate(anchors(texts, length)):
+            for d, (at, h) in enumerate(anchors(texts, length)):
                 data, n = texts[d], len(texts[d])
-                hs += [digest(data[p:p + GRAM]) for p in at.tolist()]
+                hs.append(h)
                 # the sides' lengths tell contexts at the ends of a text from those inside
                 cs += [digest(data[max(0, p - side):p + length], seed=min(p, side) << 8 | min(n - p - GRAM, side))
                        for p in at.tolist()]
@@ -128,7 +150,7 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
                 spot.append(ties[d] << 32 | at)
             if not hs:
                 continue
-            h, c, who, spot = _u64(hs), _u64(cs), np.concatenate(who), np.concatenate(spot)
+            h, c, who, spot = np.concatenate(hs), _u64(cs), np.concatenate(who), np.concatenate(spot)
             o = np.lexsort((spot, who, c, h))
             h, c, who, spot = h[o], c[o], who[o], spot[o]
             same = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
@@ -144,9 +166,11 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("id", "tie", "text").mapInArrow(run, "h bigint, ctx bigint, id bigint, spot bigint")
 
 
-def repeated(occ: DataFrame) -> DataFrame:
-    """The occurrences whose gram occurs more than once, and the covered ones."""
-    often = (occ.where("ctx is not null").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+def repeated(rows: DataFrame, length: int) -> DataFrame:
+    """The occurrences whose gram occurs more than once, and the covered ones. Counting needs the grams only, which come
+    straight from the windows' hashes; the contexts are hashed in the second pass."""
+    occ = occurrences(rows, length)
+    often = (grams(rows, length).groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
              .select(F.col("h").alias("often")))
     j = occ.join(often, F.col("h") == F.col("often"), "left")
     return j.where(F.col("ctx").isNull() | F.col("often").isNotNull()).select("often", "ctx", "id", "spot").toDF(
@@ -197,7 +221,7 @@ def meet_texts(rows: DataFrame, spots: DataFrame, tasks: DataFrame, length: int)
                         F.lit(None).cast("bigint").alias("c"))
            .unionByName(tasks.select("id", tie.alias("tie"), pos.alias("p"), "h", "c"))
            .groupBy("id", "tie").agg(
-               F.collect_list(F.when(F.col("h").isNull(), F.col("p"))).alias("spots"),
+               F.collect_set(F.when(F.col("h").isNull(), F.col("p"))).alias("spots"),  # repeated rows repeat their places
                F.collect_list(F.when(F.col("h").isNotNull(), F.struct("p", "h", "c"))).alias("tasks")))
     met = rows.join(per, ["id", "tie"], "left").select("doc_id", "id", "tie", "text", "spots", "tasks")
 
@@ -269,26 +293,38 @@ def may_match(group: list[tuple[bytes, bytes]], length: int) -> list[int]:
 def covered_ranges(group: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int] | None]:
     """For contexts (reversed left side, right side) of one gram in order of occurrence: the bytes before and after the
     gram's start that are covered by a string which an earlier context has too, or None."""
-    t, width, owner, ahead = [], [], [], []
     code: dict = {}
     lefts, rights = _breaks([g[0] for g in group]), _breaks([g[1] for g in group])
+    held: list[int] = [0]  # contexts that hold a symbol
 
-    def runs(s: bytes, at: list[int], which: str):
+    def runs(s: bytes, at: list[int], which: int) -> list[tuple[int, int]]:
         cuts = [0, *[x for x in at if 0 < x < len(s)], len(s)]
+        out = []
         for a, b in zip(cuts, cuts[1:], strict=False):
             if a < b:
-                yield code.setdefault((which, a, s[a:b]), len(code) + 1), b - a
-
-    for x, (left, right) in enumerate(group):
-        ls = list(runs(left, lefts, "l"))
-        back = len(left)
-        for sym, w in reversed(ls):
+                sym = code.setdefault((which, a, s[a:b]), len(code) + 1)
+                if sym == len(held):
+                    held.append(0)
+                held[sym] += 1
+                out.append((sym, b - a))
+        return out
+
+    sides = [(runs(left, lefts, 0), runs(right, rights, 1)) for left, right in group]
+    # beyond a symbol that no other context has, on either side, nothing around the gram is shared
+    sides = [tuple(list(itertools.takewhile(lambda e: held[e[0]] > 1, side)) for side in both) for both in sides]
+    gram, lone = len(held), len(held) + 1
+    t, width, owner, ahead = [], [], [], []
+    for x, both in enumerate(sides):
+        left, right = both
+        back = sum(w for _, w in left)
+        for sym, w in reversed(left):
             t.append(sym), width.append(w), owner.append(x), ahead.append(back)
             back -= w
-        t.append(code.setdefault("gram", len(code) + 1)), width.append(GRAM), owner.append(x), ahead.append(0)
-        for sym, w in runs(right, rights, "r"):
+        t.append(gram), width.append(GRAM), owner.append(x), ahead.append(0)
+        for sym, w in right:
             t.append(sym), width.append(w), owner.append(x), ahead.append(-1)
-        t.append(code.setdefault(("end", x), len(code) + 1)), width.append(0), owner.append(x), ahead.append(-1)
+        t.append(lone), width.append(0), owner.append(x), ahead.append(-1)
+        lone += 1
     t.append(0), width.append(0), owner.append(-1), ahead.append(-1)
     return _read_off(t, width, owner, ahead, len(group), length)
 
@@ -384,7 +420,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     spark = docs.sparkSession
     staged = shared_folder(spark, "suffix-dedup-grams")  # Parquet packs these rows better than a checkpoint does
     with shuffles_freed(spark):
-        repeated(occurrences(rows, length)).write.parquet(staged)
+        repeated(rows, length).write.parquet(staged)
     rep = spark.read.schema("h long, ctx long, id long, spot long").parquet(staged)
     spots, tasks = text_tasks(rep)
     folder = shared_folder(spark, "suffix-dedup")
