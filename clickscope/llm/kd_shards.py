@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, fresh, gapless_rank, quoted, utf8_size
 
@@ -48,7 +49,9 @@ def default_dims(docs: DataFrame, size: Column) -> list[Column]:
     """doc_id (crawl order), log size, language and source, as far as the table has them."""
     have = set(docs.columns)
     dims = [F.log2(size.cast("double") + 1)]
-    dims += [F.col("doc_id").cast("double")] if "doc_id" in have else []
+    if "doc_id" in have:  # ids that are texts count by their first bytes
+        text = isinstance(docs.schema["doc_id"].dataType, T.StringType)
+        dims.append(text_prefix_number(F.col("doc_id")) if text else F.col("doc_id").cast("double"))
     dims += [text_prefix_number(F.col(c)) for c in ("lang", "source") if c in have]
     return [F.coalesce(F.when(~F.isnan(d), d), F.lit(-1.0)) for d in dims]
 
@@ -74,11 +77,12 @@ def _with_node_values(rows: DataFrame, node: str, values: list[tuple], schema: s
 def _descend(rows: DataFrame, splits: list[Split], node: str, dims: str, h: str) -> DataFrame:
     """Move rows from a split node to its child; rows of finished nodes stay."""
     cols = [F.col(quoted(c)) for c in rows.columns if c != node]
-    value = F.element_at(F.col(dims), F.col("t_dim") + 1)
-    right = (_key(value, F.col("t_low"), F.col("t_width"), F.col(h)) >= F.col("t_cut")).cast("bigint")
+    t_node, t_dim, t_low, t_width, t_cut = fresh(rows, "t_node", "t_dim", "t_low", "t_width", "t_cut")
+    value = F.element_at(F.col(dims), F.col(t_dim) + 1)
+    right = (_key(value, F.col(t_low), F.col(t_width), F.col(h)) >= F.col(t_cut)).cast("bigint")
     joined = _with_node_values(rows, node, [(s.node, s.dim, s.low, s.width, s.cut) for s in splits],
-                               "t_node long, t_dim int, t_low double, t_width double, t_cut long", "left")
-    return joined.select(*cols, F.coalesce(F.col("t_node") * 2 + right, F.col(node)).alias(node))
+                               f"{t_node} long, {t_dim} int, {t_low} double, {t_width} double, {t_cut} long", "left")
+    return joined.select(*cols, F.coalesce(F.col(t_node) * 2 + right, F.col(node)).alias(node))
 
 
 def grow_tree(slim: DataFrame, leaves: int, dims: str, n_dims: int, weight: str, h: str) -> list[list[Split]]:
@@ -188,7 +192,8 @@ def kd_shards(docs: DataFrame, leaves: int | None = 8, target_bytes: int | None
     for splits in levels:
         rows = _descend(rows, splits, node, dm, h)
     numbers = sorted(leaf_numbers(levels, leaves).items())
-    rows = _with_node_values(rows, node, numbers, "t_node long, t_shard int").withColumn("shard", F.col("t_shard"))
+    t_node, t_shard = fresh(rows, "t_node", "t_shard")
+    rows = _with_node_values(rows, node, numbers, f"{t_node} long, {t_shard} int").withColumn("shard", F.col(t_shard))
     rows = rows.withColumn(key, F.lit(0))
     slot = "slot"
     rows = rows.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in ("size", "text_crc32")],

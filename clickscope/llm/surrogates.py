@@ -441,13 +441,13 @@ def _filled(kept: DataFrame, left: DataFrame, key: bytes) -> DataFrame:
 def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", found_col: str | None = None) -> DataFrame:
     """``docs`` with every entity of ``text_col`` replaced; ``found_col`` names an added count of replaced spans."""
     text = F.col(quoted(text_col))
-    found, h, pairs, n = fresh(docs, "found", "text_hash", "pairs", "n_found")
+    found, h, of, pairs, n = fresh(docs, "found", "text_hash", "of_hash", "pairs", "n_found")
     rows = docs.withColumn(found, _found(text))
     touched = rows.where(F.size(found) > 0).withColumn(h, F.md5(text.cast("binary")))
     each = cut(touched.select(F.col(h).alias("h"), F.explode(found).alias("e")).select("h", "e.*").distinct())
     known = assign(each, key)
     mapping = (each.join(known, ["kind", "value"])
-               .groupBy("h").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(pairs)))
+               .groupBy(F.col("h").alias(of)).agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(pairs)))
 
     @F.pandas_udf("struct<text:string,n:int>")
     def applied(s: pd.Series, p: pd.Series) -> pd.DataFrame:
@@ -461,7 +461,7 @@ def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", found_
             out.append(("".join(done) + t[last:], k))
         return pd.DataFrame(out, columns=["text", "n"])
 
-    joined = touched.join(mapping, F.col(h) == F.col("h")).withColumn(n, applied(text, F.col(pairs)))
+    joined = touched.join(mapping, F.col(h) == F.col(of)).withColumn(n, applied(text, F.col(pairs)))
     count = [F.col(f"{n}.n").alias(found_col)] if found_col else []
     zero = [F.lit(0).alias(found_col)] if found_col else []
     new = joined.select(*[F.col(f"{n}.text").alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns

@@ -26,11 +26,12 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import quoted
 
 RULES = ("largest", "first", "last")
-OUT = "doc_id bigint, section int, char_start int, char_end int, n_tokens bigint"
+OUT = "section int, char_start int, char_end int, n_tokens bigint"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -112,8 +113,8 @@ def section_tokens(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int]
     """One row per document and section: its character range and its tokens. ``sections`` maps a text to the sorted
     starts and ends of its sections. The vocabulary (about a megabyte) goes to the executors as a broadcast variable."""
     shared = spark.sparkContext.broadcast((ranks, pattern))
-    schema = pa.schema([("doc_id", pa.int64()), ("section", pa.int32()), ("char_start", pa.int32()),
-                        ("char_end", pa.int32()), ("n_tokens", pa.int64())])
+    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"))
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.int64()]
 
     def count(batches):
         c = Counter(*shared.value)
@@ -127,9 +128,9 @@ def section_tokens(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int]
                 hi.append(ends)
                 n.append(k)
             if ids:
-                cols = [pa.array(ids, pa.int64()), *[pa.array(np.concatenate(x)).cast(t) for x, t in
-                                                     zip((no, lo, hi, n), schema.types[1:], strict=True)]]
-                yield pa.RecordBatch.from_arrays(cols, schema=schema)
+                cols = [pa.array(ids, batch.column(0).type),
+                        *[pa.array(np.concatenate(x)).cast(t) for x, t in zip((no, lo, hi, n), types, strict=True)]]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "section", "char_start", "char_end", "n_tokens"])
 
-    rows = docs.select(F.col(quoted(id_col)).cast("bigint").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
-    return rows.mapInArrow(count, OUT)
+    out = T.StructType([rows.schema["doc_id"], *T._parse_datatype_string(OUT).fields])
+    return rows.mapInArrow(count, out)

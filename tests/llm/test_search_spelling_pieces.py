@@ -245,3 +245,43 @@ def test_pieces_of_empty_table_and_null_ids(spark):
     nulls = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert pieces.decode(nulls, model).first()["decoded"] == ""
     assert nulls.select(pieces.n_ids(F.col("ids")), pieces.unpack(F.col("ids"))).first()[0] == 0
+
+
+# ------------------------------------------------------------------ clashing names and text ids, earlier operators
+
+CLASH = "t_node int, t_dim string, t_low int, t_cut string, t_shard int, h int, of_hash string, _t_node int, dims int, node int"
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rows = [(f"d{i}", f"Dr Ada Moss {i} wrote to a{i % 3}@b.org or 555-123-4{i:03d}." + " word" * (i % 7), "en", f"s{i % 2}",
+             1, "x", 2, "y", 3, 4, "z", 5, 6, 7) for i in range(40)]
+    return spark.createDataFrame([*rows, rows[0], rows[0]], f"doc_id string, text string, lang string, source string, {CLASH}")
+
+
+def test_shards_with_clashing_names_and_text_ids(clashing):
+    from clickscope.llm import kd_shards
+    out = kd_shards.kd_shards(clashing, leaves=4)
+    rows = out.collect()
+    assert len(rows) == 42 and set(clashing.columns) < set(out.columns)
+    assert all((r["t_node"], r["h"], r["t_shard"], r["of_hash"]) == (1, 4, 3, "z") for r in rows)
+    for shard in range(4):
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in rows)))
+    sizes = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(4)]
+    assert max(sizes) - min(sizes) < sum(sizes) / 8
+
+
+def test_surrogates_with_clashing_names(clashing):
+    from clickscope.llm import surrogates
+    out = surrogates.replace_entities(clashing, key=b"k", found_col="t_cut")
+    rows = out.collect()
+    assert len(rows) == 42 and all(r["h"] == 4 and r["of_hash"] == "z" for r in rows)
+    assert all("Moss" not in r["text"] and "@b.org" not in r["text"] and r["t_cut"] >= 3 for r in rows)
+
+
+def test_section_tokens_with_text_ids(spark, clashing):
+    from clickscope.llm import token_counts
+    ranks = token_counts.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    out = token_counts.section_tokens(spark, clashing, ranks, public_tokenizers.PATTERN)
+    assert dict(out.dtypes)["doc_id"] == "string"
+    assert {r["doc_id"] for r in out.collect()} == {f"d{i}" for i in range(40)}
