@@ -85,4 +85,4 @@ def q_area_top3_product_sql(spark: SparkSession, sf: str) -> DataFrame:
                          END_DATE, TASK_ID)
 
 
-from . import reg_ads, reg_misc, reg_pages, reg_sessions, reg_stream, reg_tasks  # noqa: E402,F401  (register their queries)
+from . import reg_ads, reg_misc, reg_pages, reg_sessions, reg_stream, reg_tasks, reg_layout  # noqa: E402,F401  (register their queries)
