@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from .joins import broadcast_if_bounded
 from .topn import group_top_n
 
 DEFAULT_THRESHOLD = 100  # clicks per (day, user, ad) that put a user on the blacklist
@@ -25,23 +24,14 @@ def blacklist_from_counts(counts: DataFrame, threshold: int = DEFAULT_THRESHOLD)
     return counts.where(F.col("click_count") >= threshold).select("user_id").distinct()
 
 
-def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """JOIN-9: drop clicks of listed users (anti join).
-
-    With ``max_rows`` the list is broadcast after a row-count check (the stream does this: its list is a
-    stored table, cheap to count); without, the planner and AQE pick the strategy from measured sizes.
-    """
-    bl = blacklist.select("user_id")
-    if max_rows is not None:
-        bl, _ = broadcast_if_bounded(bl, max_rows)
-    return clicks.join(bl, "user_id", "left_anti")
+def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """JOIN-9: drop clicks of listed users (anti join; the planner and AQE pick the strategy from measured sizes)."""
+    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
 
 
 def blacklist_cutoffs(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Per listed user, the click that listed them: the earliest (ts, event_id) over all (date, ad) keys of
-    the ``threshold``-th click of that key. ``row_number() = threshold`` keeps at most ``threshold`` rows per
-    key and map task before the shuffle (salted two-stage for thresholds above Spark's group-limit
-    threshold), so a hot key never lands whole in one task."""
+    the ``threshold``-th click of that key, ranked in two stages, so a hot key never lands whole in one task."""
     first_n = group_top_n(clicks, ["date", "user_id", "ad_id"], [F.col("ts"), F.col("event_id")], threshold, "_n",
                           salt_col="event_id")
     nth = first_n.where(F.col("_n") == F.lit(threshold))

@@ -10,15 +10,6 @@ from ..functions import text
 from .filters import action_type
 from .topn import group_top_n, top_n
 
-_ITEM = "struct<category_id:bigint,c:int,o:int,p:int>"
-
-
-def _items(ids: Column, c: int, o: int, p: int) -> Column:
-    arr = F.transform(ids, lambda x: F.struct(x.alias("category_id"), F.lit(c).alias("c"), F.lit(o).alias("o"),
-                                              F.lit(p).alias("p")))
-    return F.coalesce(arr, F.array().cast(f"array<{_ITEM}>"))
-
-
 def category_events(actions: DataFrame) -> DataFrame:
     """PRJ-2 + PRJ-3: one row per (category, action kind) occurrence, in a single scan.
 
@@ -28,8 +19,9 @@ def category_events(actions: DataFrame) -> DataFrame:
     click = F.when(action_type("click"), F.array(F.col("click_category_id")))
     order = F.when(action_type("order"), text.csv_to_longs("order_category_ids"))
     pay = F.when(action_type("pay"), text.csv_to_longs("pay_category_ids"))
-    items = F.concat(_items(click, 1, 0, 0), _items(order, 0, 1, 0), _items(pay, 0, 0, 1))
-    return actions.select(F.explode(items).alias("it")).select("it.*")
+    kinds = F.stack(F.lit(3), F.lit("c"), click, F.lit("o"), order, F.lit("p"), pay).alias("kind", "ids")
+    rows = actions.select(kinds).where(F.col("ids").isNotNull()).select("kind", F.explode("ids").alias("category_id"))
+    return rows.select("category_id", *[(F.col("kind") == k).cast("int").alias(k) for k in ("c", "o", "p")])
 
 
 def category_counts(actions: DataFrame) -> DataFrame:

@@ -12,18 +12,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side broadcast by :func:`broadcast_if_bounded` unless a caller passes its own bound.
+# Largest side broadcast by :func:`broadcast_if_bounded` unless a caller passes its own bounds.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and these, written as text, at most ``max_bytes``; reads at most
+    ``max_rows + 1`` of them."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= max_rows and total <= max_bytes
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """JOIN-10: broadcast hint only after a proven row bound; otherwise the plain (shuffled) side."""
-    if bounded_rows(df, max_rows):
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """JOIN-10: broadcast hint only after a proven bound on rows and bytes; otherwise the plain (shuffled) side."""
+    if bounded(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
 

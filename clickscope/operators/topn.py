@@ -8,21 +8,16 @@ from pyspark.sql import functions as F
 DEFAULT_SALTS = 64
 
 
-def _limit_threshold(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-
-
 def group_top_n(df: DataFrame, group_cols: list[str], order_cols: list[Column], n: int, rank_col: str = "rank",
                 salt_col: str | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order) <= n``.
 
-    ``order_cols`` must end in a unique tie-breaker (D5). For ``n`` up to Spark's
-    ``windowGroupLimitThreshold`` the plan gets a partial ``WindowGroupLimit`` before the shuffle, so a hot
-    group sends at most ``n`` rows per map task. Above it, with ``salt_col`` given, the ranking runs in two
-    exact stages: top-n inside ``(group, hash(salt_col) % salts)``, then top-n of the survivors (at most
-    ``salts × n`` rows per group) — a hot group is sorted in ``salts`` pieces, never whole in one task.
+    ``order_cols`` must end in a unique tie-breaker (D5). Spark limits a group's rows before the shuffle for small ``n``, so
+    a hot group sends at most ``n`` rows per map task. For an ``n`` of any size give ``salt_col``: the ranking then runs in two
+    exact stages, top-n inside ``(group, hash(salt_col) % salts)``, then top-n of the survivors (at most ``salts × n`` rows per
+    group) — a hot group is sorted in ``salts`` pieces, never whole in one task.
     """
-    if salt_col is not None and n > _limit_threshold(df):
+    if salt_col is not None:
         salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts))
         w1 = Window.partitionBy(*group_cols, salt).orderBy(*order_cols)
         df = df.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= F.lit(n)).drop("_r1")

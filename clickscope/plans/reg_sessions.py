@@ -223,6 +223,13 @@ def _detail(spark, sf) -> DataFrame:
     return sessions.session_detail(scoped, _sessions(spark, sf))
 
 
+def _top_sessions(spark, sf, task_id: int | None = None) -> DataFrame:
+    """Two passes over the pruned scan (the category ranking, then the sessions of ten categories) instead of a written
+    copy of the filtered actions; what is ranked is aggregated to (category, session) before."""
+    d = _detail(spark, sf)
+    return categories.top_sessions(d, categories.top_categories(categories.category_counts(d), 10), 10, task_id)
+
+
 @register("category_counts", with_ctes(["uva", "user_info"], f"{_DETAIL_CTE} SELECT * FROM cc"))
 def q_category_counts(spark: SparkSession, sf: str) -> DataFrame:
     return categories.category_counts(_detail(spark, sf))
@@ -230,8 +237,9 @@ def q_category_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("category_counts_joined", with_ctes(["uva", "user_info"], f"{_DETAIL_CTE} SELECT * FROM cc"))
 def q_category_counts_joined(spark: SparkSession, sf: str) -> DataFrame:
-    # The reference's shape reads the detail in six branches: materialize it once.
-    return categories.category_counts_joined(materialize(_detail(spark, sf)))
+    # The reference's shape reads three columns of the detail in six branches: write these once.
+    return categories.category_counts_joined(materialize(_detail(spark, sf).select(
+        "click_category_id", "order_category_ids", "pay_category_ids")))
 
 
 @register("top10_category", with_ctes(["uva", "user_info"], f"""{_DETAIL_CTE}
@@ -243,19 +251,15 @@ def q_top10_category(spark: SparkSession, sf: str) -> DataFrame:
 @register("top10_session", with_ctes(["uva", "user_info"], f"""{_DETAIL_CTE}
 SELECT CAST({TASK_ID} AS BIGINT) AS task_id, category_id, session_id, click_count FROM top_sess"""))
 def q_top10_session(spark: SparkSession, sf: str) -> DataFrame:
-    # read by the category ranking and the session ranking, which need four columns
-    d = materialize(_detail(spark, sf).select("session_id", "click_category_id", "order_category_ids",
-                                              "pay_category_ids"))
-    return categories.top_sessions(d, categories.top_categories(categories.category_counts(d), 10), 10, TASK_ID)
+    return _top_sessions(spark, sf, TASK_ID)
 
 
 @register("top10_session_detail", with_ctes(["uva", "user_info"], f"""{_DETAIL_CTE}
 SELECT t.category_id, {_DETAIL_SQL_COLS.replace('u.', 'u.')}
 FROM top_sess t JOIN d u ON t.session_id = u.session_id"""))
 def q_top10_session_detail(spark: SparkSession, sf: str) -> DataFrame:
-    d = materialize(_detail(spark, sf))  # read three times below
-    top = categories.top_sessions(d, categories.top_categories(categories.category_counts(d), 10), 10)
-    out = categories.top_session_detail(d, top)
+    # The winners passed the filters already: their rows come from the plain scan.
+    out = categories.top_session_detail(scans.scoped_actions(spark, sf, START_DATE, END_DATE), _top_sessions(spark, sf))
     return _detail_out(out.select("category_id", *_DETAIL_COLS, "action_time"))
 
 
