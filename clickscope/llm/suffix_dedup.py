@@ -35,7 +35,7 @@ from .common import cut, quoted, shared_folder, shuffles_freed
 from .gsaca import lcp_array, suffix_array
 
 GRAM = 32
-PIECE = 1 << 21          # bytes that are hashed at a time
+PIECE = 1 << 18          # bytes that are hashed at a time (their arrays stay in the processor's cache)
 GROUP = 8192             # contexts of one gram that are sorted in one task (a quarter of a gigabyte at worst)
 _rng = np.random.default_rng(77)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -151,15 +151,19 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
             if not hs:
                 continue
             h, c, who, spot = np.concatenate(hs), _u64(cs), np.concatenate(who), np.concatenate(spot)
-            o = np.lexsort((spot, who, c, h))
-            h, c, who, spot = h[o], c[o], who[o], spot[o]
-            same = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
-            twin = np.concatenate([[False], (who[1:] == who[:-1]) & (spot[1:] == spot[:-1])])  # a repeated row
-            known = same & ~twin
+            mix = (h.view(np.uint64) * _ODD) ^ c.view(np.uint64)
+            order = np.argsort(mix)
+            again = np.flatnonzero(mix[order[1:]] == mix[order[:-1]])
+            some = np.zeros(len(h), bool)
+            some[order[again]] = some[order[again + 1]] = True
+            o = np.flatnonzero(some)
+            o = o[np.lexsort((spot[o], who[o], c[o], h[o]))]
+            same = np.concatenate([[False], (h[o[1:]] == h[o[:-1]]) & (c[o[1:]] == c[o[:-1]])])[:len(o)]
+            twin = np.concatenate([[False], (who[o[1:]] == who[o[:-1]]) & (spot[o[1:]] == spot[o[:-1]])])[:len(o)]
+            known = np.zeros(len(h), bool)
+            known[o[same & ~twin]] = True  # a twin is the same place of a repeated row
             place = ((who.view(np.uint64) * _ODD) ^ spot.view(np.uint64)) * _ODD
             h = np.where(known, place.view(np.int64), h)
-            by_doc = np.argsort(o)  # back in document order, which the shuffle compresses better
-            h, c, known, who, spot = h[by_doc], c[by_doc], known[by_doc], who[by_doc], spot[by_doc]
             cols = [pa.array(h), pa.array(c, mask=known), pa.array(who), pa.array(spot)]
             yield pa.RecordBatch.from_arrays(cols, names=["h", "ctx", "id", "spot"])
 
