@@ -1,16 +1,19 @@
 """Property tests: each example is checked in one Spark job over many generated rows."""
 
 import datetime as dt
+from collections import Counter
 from fractions import Fraction
 
+import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
 from clickscope.functions import numbers, text
 from clickscope.operators import ordered
 from clickscope.operators.topn import group_top_n
+from clickscope.streaming.ad_state import ClickGate, RunningTotals, TopAds, _clicks_combined
 from helpers import rows_set
 
 
@@ -87,29 +90,117 @@ def test_salted_top_n_equals_plain(spark, rows, n):
     assert salted == plain
 
 
-@settings(max_examples=2, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 90000)), min_size=4, max_size=40),
-       st.integers(1, 3))
-def test_stream_blacklist_independent_of_batching(spark, clicks, n_batches):
-    """SURVEY §4.3: the listed users do not depend on where the micro-batches are cut."""
-    import tempfile
+class FakeState:
+    """State of one key as the processors see it: a value, or a map."""
 
-    from clickscope.operators import ads
-    from clickscope.sources import adlog
-    from clickscope.streaming.ad_stream import AdClickStream
-
-    ms0 = 1704067200000
-    clicks = sorted(clicks, key=lambda c: c[2])
-    lines = [f"{ms0 + s * 1000} P C {u} {a}" for u, a, s in clicks]
-    job = AdClickStream(spark, tempfile.mkdtemp(prefix="prop-", dir="/tmp"), threshold=2)
-    size = -(-len(lines) // n_batches)
-    for b in range(n_batches):
-        part = lines[b * size:(b + 1) * size]
-        if part:
-            job.process_batch(spark.createDataFrame([(x,) for x in part], "value string"), b)
-    whole = adlog.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string"))
-    expect = rows_set(ads.blacklist_from_counts(ads.user_ad_click_counts(whole), 2))
-    assert rows_set(job.blacklist()) == expect
+    def __init__(self):
+        self.value, self.map = None, {}
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def getValue(self, k):  # noqa: N802 - Spark's name
+        return self.map.get(k)
+
+    def updateValue(self, k, v):  # noqa: N802
+        self.map[k] = v
+
+
+class Keyed:
+    """Runs a processor over batches of rows as a state operator does: grouped by key, each with its own state."""
+
+    def __init__(self, make, keys):
+        self.make, self.keys, self.known = make, keys, {}
+
+    def run(self, rows):
+        groups, out = {}, []
+        for r in rows:
+            groups.setdefault(tuple(r[k] for k in self.keys), []).append(r)
+        for key, mine in groups.items():
+            if key not in self.known:
+                states = {}
+                self.known[key] = self.make()
+                self.known[key].init(type("Handle", (), {
+                    "getValueState": lambda _, name, *a, s=states: s.setdefault(name, FakeState()),
+                    "getMapState": lambda _, name, *a, s=states: s.setdefault(name, FakeState())})())
+            out += list(self.known[key].handleInputRows(key, iter(mine), None))
+        return out
+
+
+clicks_of_days = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 90000)), min_size=4, max_size=40)
+
+
+def _cut(rows, n):
+    size = -(-len(rows) // n)
+    return [rows[i:i + size] for i in range(0, len(rows), size)]
+
+
+def _click_rows(clicks):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i, (u, a, s) in enumerate(sorted(clicks, key=lambda c: c[2])):
+        ts = t0 + dt.timedelta(seconds=s)
+        rows.append(Row(user_id=u, ts=ts, part=0, at=i, date=ts.strftime("%Y%m%d"), province="PQ"[a % 2], city=f"C{u % 2}",
+                        ad_id=a, n=1))
+    return rows
+
+
+@settings(max_examples=60, deadline=None)
+@given(clicks_of_days, st.integers(1, 3), st.sampled_from(["batch", "click"]))
+def test_stream_blacklist_independent_of_batching(clicks, n_batches, listing):
+    """SURVEY §4.3: the listed users do not depend on where the micro-batches are cut."""
+    rows = _click_rows(clicks)
+    gate = Keyed(lambda: ClickGate(2, listing), ["user_id"])
+    listed = [r.ad_id for part in _cut(rows, n_batches) for r in gate.run(part) if r.kind == "listed"]
+    count = Counter((r.date, r.user_id, r.ad_id) for r in rows)
+    assert sorted(listed) == sorted({u for (_, u, _), n in count.items() if n >= 2})
+
+
+@settings(max_examples=60, deadline=None)
+@given(clicks_of_days, st.integers(1, 5), st.integers(1, 3), st.integers(1, 4), st.randoms())
+def test_state_operators_equal_the_batch_forms(clicks, n_batches, threshold, top_n, shuffled):
+    """Gate, totals and top list over any batches, rows of a batch in any order, against one pass in event order."""
+    rows = _click_rows(clicks)
+    gate = Keyed(lambda: ClickGate(threshold, "click"), ["user_id"])
+    totals = Keyed(RunningTotals, ["date", "province", "ad_id"])
+    top = Keyed(lambda: TopAds(top_n), ["date", "province", "slot"])
+    stat, tops = {}, {}
+    for part in _cut(rows, n_batches):
+        part = list(part)
+        shuffled.shuffle(part)
+        out = top.run(totals.run(gate.run(part)))
+        stat.update({(r.date, r.province, r.city, r.ad_id): r.n for r in out if r.kind == "stat"})
+        for group in {(r.date, r.province) for r in out if r.kind == "top"}:
+            tops[group] = [(r.ad_id, r.n) for r in out if r.kind == "top" and (r.date, r.province) == group]
+    counts, listed, kept = Counter(), set(), Counter()
+    for r in rows:
+        if r.user_id not in listed:
+            kept[r.date, r.province, r.city, r.ad_id] += 1
+            counts[r.user_id, r.date, r.ad_id] += 1
+            if counts[r.user_id, r.date, r.ad_id] >= threshold:
+                listed.add(r.user_id)
+    assert stat == kept
+    per_group = {}
+    for (date, province, _, ad), n in kept.items():
+        per_group.setdefault((date, province), Counter())[ad] += n
+    assert tops == {g: sorted(c.items(), key=lambda e: (-e[1], e[0]))[:top_n] for g, c in per_group.items()}
+
+
+@settings(max_examples=30, deadline=None)
+@given(clicks_of_days, st.integers(1, 3), st.sampled_from(["batch", "click"]))
+def test_combining_before_the_shuffle_changes_nothing(clicks, threshold, listing):
+    rows = _click_rows(clicks)
+    frame = pd.DataFrame([r.asDict() for r in rows])
+    combined = [Row(**r) for f in _clicks_combined(threshold, listing)(iter([frame])) for r in f.to_dict("records")]
+    plain, less = (Keyed(lambda: ClickGate(threshold, listing), ["user_id"]) for _ in range(2))
+    key = lambda r: str(tuple(r))
+    assert sorted(plain.run(rows), key=key) == sorted(less.run(combined), key=key)
 
 
 @settings(max_examples=3, deadline=None)
