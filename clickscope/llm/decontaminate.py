@@ -6,9 +6,9 @@ document is scanned whole, and each hit is verified with Myers' bit-parallel dis
 step). The pieces are made by halving, item and budget together, so a hit is verified on the pair of pieces it belongs
 to, then on wider ranges, and on the whole item only if all of them stay within their budgets.
 
-Items are read in blocks of ``BLOCK_CHARS`` characters chosen by a hash of the id, so the automaton that goes to the
-executors is bounded; documents are scanned once per block. Items longer than ``SEGMENT`` characters are cut into
-segments of that length at most, each of which counts by itself, so that a leaked part of a long item is found.
+Items of any length are matched whole. They are read in blocks of about ``BLOCK_CHARS`` characters, chosen by a hash; a
+block's hits are written to the shared folder before the next block is read, so the automaton that goes to the executors
+is bounded and the driver holds one block at a time. Documents are scanned once per block.
 
 Normalised means lower case with runs of white space as one blank; positions refer to the normalised document.
 Defined cases: null and blank texts and items match nothing; an item shorter than 1 / rate characters must occur
@@ -25,10 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted
+from .common import fresh, quoted, shared_folder
 
 RATE = 0.1
-SEGMENT = 400
 BLOCK_CHARS = 4_000_000
 HIT = "array<struct<item_id:bigint,distance:int,match_start:int,match_end:int>>"
 
@@ -37,12 +36,6 @@ def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def segments(text: str, longest: int = SEGMENT) -> list[str]:
-    """The whole text, or near-equal parts of at most ``longest`` characters."""
-    n = -(-len(text) // longest)
-    return [text[len(text) * i // n:len(text) * (i + 1) // n] for i in range(n)] if text else []
-
-
 def pieces(a: int, b: int, k: int, above: tuple = ()) -> list[tuple[int, int, tuple]]:
     """The k + 1 pieces of range a … b, each with the ranges (a, b, budget) it is nested in, smallest first.
 
@@ -92,10 +85,12 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
         self.parts, self.masks, where = [], {}, {}
         for item_id, text in items:
-            for p in segments(normal(text)):
-                self.parts.append((item_id, p))
-                for a, b, above in pieces(0, len(p), int(rate * len(p))):
-                    where.setdefault(p[a:b], []).append((len(self.parts) - 1, a, b, above))
+            p = normal(text)
+            if not p:
+                continue
+            self.parts.append((item_id, p))
+            for a, b, above in pieces(0, len(p), int(rate * len(p))):
+                where.setdefault(p[a:b], []).append((len(self.parts) - 1, a, b, above))
         self.auto = ahocorasick.Automaton()
         for piece, places in where.items():
             self.auto.add_word(piece, places)
@@ -150,15 +145,18 @@ class Matcher:
         return d, upto - back, upto
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_chars`` characters; each block is small enough to broadcast."""
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """(number of blocks, the blocks): the items in blocks of about ``block_chars`` characters, read one by one; each block is
+    small enough to broadcast."""
     items = (benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("bigint"), "text").distinct())
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars) or 1
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text").collect()
-        if rows:
+
+    def read() -> Iterator[list[tuple[int, str]]]:
+        for b in range(n):
+            rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text").collect()
             yield [(r.item_id, r.text) for r in rows]
+    return n, read()
 
 
 def _search(items: list[tuple[int, str]], rate: float):
@@ -174,21 +172,31 @@ def _search(items: list[tuple[int, str]], rate: float):
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """One row per (doc_id, item_id) within the budget: the smallest distance and its place."""
-    schema = "doc_id bigint, item_id bigint, distance int, match_start int, match_end int"
-    out = None
-    for items in item_blocks(benchmark):
+    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession, "decontaminate")
+    n, blocks = item_blocks(benchmark)
+    for b, items in enumerate(blocks):
         found = docs.select(F.col(quoted(id_col)).alias("doc_id"),
                             F.explode(_search(items, rate)(F.col(quoted(text_col)))).alias("h")).select("doc_id", "h.*")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], schema)
+        found.write.parquet(f"{folder}/{b}")
+    out = spark.read.schema(found.schema).parquet(*[f"{folder}/{b}" for b in range(n)])
     best = F.min(F.struct("distance", "match_start", "match_end")).alias("b")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without any match, with their columns."""
-    for items in item_blocks(benchmark):
-        (n,) = fresh(docs, "hits")
-        docs = docs.withColumn(n, F.size(_search(items, rate)(F.col(quoted(text_col))))).where(F.col(n) == 0).drop(n)
-    return docs
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text",
+          block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` without any match, with their columns. With several blocks the hashes of the matching texts are
+    written per block, and the rows that have one go."""
+    n, blocks = item_blocks(benchmark, block_chars)
+    text = F.col(quoted(text_col))
+    hits, h = fresh(docs, "hits", "text_hash")
+    if n == 1:
+        found = docs.withColumn(hits, F.size(_search(next(blocks), rate)(text)))
+        return found.where(F.col(hits) == 0).drop(hits)
+    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession, "decontaminate")
+    digest = F.sha2(text, 256)
+    for b, items in enumerate(blocks):
+        (docs.select(digest.alias(h), F.size(_search(items, rate)(text)).alias(hits)).where(F.col(hits) > 0)
+         .select(h).distinct().write.parquet(f"{folder}/{b}"))
+    found = spark.read.schema(f"{quoted(h)} string").parquet(*[f"{folder}/{b}" for b in range(n)]).distinct()
+    return docs.withColumn(h, digest).join(found, h, "left_anti").select(*[F.col(quoted(c)) for c in docs.columns])

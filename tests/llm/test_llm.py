@@ -490,8 +490,31 @@ def test_decontaminate(spark, docs):
     assert left.columns == d.columns and {x.doc_id for x in left.collect()} == {x[0] for x in rows} - set(exp)
     assert decontaminate.matches(d, bench.limit(0)).count() == 0
     assert decontaminate.matches(d.limit(0), bench).count() == 0
-    assert len(list(decontaminate.item_blocks(spark.createDataFrame([(i, f"item {i} text") for i in range(50)],
-                                                                    "item_id long, text string"), 100))) > 2
+    n, blocks = decontaminate.item_blocks(spark.createDataFrame([(i, f"item {i} text") for i in range(50)],
+                                                                "item_id long, text string"), 100)
+    blocks = list(blocks)
+    assert n == len(blocks) > 2 and sorted(i for b in blocks for i, _ in b) == list(range(50))
+
+
+def test_decontaminate_long_items_and_blocks(spark, monkeypatch):
+    """An item of any length is matched whole; several blocks give what one gives."""
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9))) for _ in range(400)]
+    long = " ".join(words)
+    edited = " ".join(w if i % 40 else w + "x" for i, w in enumerate(words))
+    items = [(1, long), (2, "a short item of its own"), (3, " ".join(words[:9]) + " and then a quite different ending of this one")]
+    rows = [(1, f"before {edited} after"), (2, long[:len(long) // 3]), (3, "has A short  item of its own inside"), (4, None),
+            (5, "clean"), (6, long + " " + items[2][1]), (6, None), (None, long)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_text_hash", F.lit(1))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (decontaminate.BLOCK_CHARS, 40):
+        real = decontaminate.item_blocks
+        monkeypatch.setattr(decontaminate, "item_blocks", lambda b, *_: real(b, block))
+        got = {(x.doc_id, x.item_id): x.distance for x in decontaminate.matches(d, bench).collect()}
+        left = sorted((str(x.doc_id), str(x.text)) for x in decontaminate.clean(d, bench).collect())
+        monkeypatch.undo()
+        assert got == {(1, 1): 10, (3, 2): 0, (6, 1): 0, (6, 3): 0, (None, 1): 0}
+        assert left == sorted([("2", rows[1][1]), ("4", "None"), ("5", "clean"), ("6", "None")])
 
 
 # ---------------------------------------------------------------- 10
