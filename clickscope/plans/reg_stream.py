@@ -21,7 +21,7 @@ from ..streaming.ad_stream import AdClickStream, run_segments
 from .reg_ads import _KEPT, THRESHOLD, _TREND
 from .registry import register
 
-PARTITIONS = 4
+PARTITIONS = 4  # of the log, and of the main query's state
 # Cuts of the log in time order: five days each, or days 1-10, 11-20 and the rest.
 FIVE_DAYS = "least(CAST((CAST(substr(date, 7, 2) AS INT) - 1) / 5 AS INT), 5)"
 
@@ -52,11 +52,11 @@ def _replay(spark: SparkSession, sf: str, cut: str, cuts: int, main: bool = True
         for i in range(cuts):
             _append(clicks.where(F.col("_cut") == i) if cuts > 1 else clicks, log)
             if restart or cuts == 1:
-                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, **options)
+                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, state_partitions=PARTITIONS, **options)
                 run_segments(job, log, main=main, trend=not main)
                 continue
             if query is None:
-                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, **options)
+                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, state_partitions=PARTITIONS, **options)
                 lines = segment_log.segment_stream(spark, log, "earliest")
                 query = (job.start_main if main else job.start_trend)(lines, {"processingTime": "0 seconds"})
             query.processAllAvailable()

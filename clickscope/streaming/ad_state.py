@@ -214,8 +214,11 @@ class AdState:
     """The query, its result tables under ``root`` and its checkpoint."""
 
     def __init__(self, spark: SparkSession, root: str, threshold: int = ads.DEFAULT_THRESHOLD, top_n: int = 3,
-                 listing: str = "batch"):
+                 listing: str = "batch", state_partitions: int | None = None):
+        """``state_partitions``: partitions of the state, fixed when the query first starts (default: the session's
+        ``spark.sql.shuffle.partitions``); each costs a Python worker per operator and batch."""
         self.spark, self.root = spark, root.rstrip("/")
+        self.state_partitions = state_partitions
         self.threshold, self.top_n, self.listing = threshold, top_n, listing
         self.checkpoint = f"{self.root}/_checkpoints/ad_state"
         t = lambda name, schema, parts=("date",): lt.LogTable(spark, f"{self.root}/{name}", schema, parts)
@@ -235,7 +238,8 @@ class AdState:
             batch.unpersist()
 
     def start(self, lines: DataFrame, trigger: dict | None = None):
-        with rocksdb(self.spark):
+        parts = {"spark.sql.shuffle.partitions": str(self.state_partitions)} if self.state_partitions else {}
+        with settings(self.spark, {**STATE_CONF, **parts}):
             w = (ad_rows(lines, self.threshold, self.listing, self.top_n).writeStream.outputMode("append")
                  .foreachBatch(self.write_batch).option("checkpointLocation", self.checkpoint))
             return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
@@ -282,10 +286,10 @@ class AdState:
 
 
 @contextmanager
-def rocksdb(spark: SparkSession):
-    """A query started inside keeps its state in RocksDB (it takes a copy of the settings)."""
-    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
-    for k, v in STATE_CONF.items():
+def settings(spark: SparkSession, values: dict[str, str]):
+    """A query started inside takes a copy of the session's settings with these ``values``."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
         spark.conf.set(k, v)
     try:
         yield

@@ -42,13 +42,13 @@ WATERMARK = "60 minutes"
 class AdClickStream:
     def __init__(self, spark: SparkSession, root: str, threshold: int = ads.DEFAULT_THRESHOLD, top_n: int = 3,
                  watermark: str | None = WATERMARK, trend_window: str = "1 minute", trend_slide: str | None = None,
-                 listing: str = "batch"):
+                 listing: str = "batch", state_partitions: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.watermark = watermark  # None keeps every minute in the state, for logs that are far out of order
         self.trend_window = trend_window
         self.trend_slide = trend_slide  # e.g. window 60 min sliding 10 s; None = tumbling windows
-        self.main = AdState(spark, self.root, threshold, top_n, listing)
+        self.main = AdState(spark, self.root, threshold, top_n, listing, state_partitions)
         self.trend = lt.LogTable(spark, f"{self.root}/ad_click_trend", TREND_SCHEMA, ("date",))
         self.trend_panes = lt.LogTable(spark, f"{self.root}/ad_click_pane", PANE_SCHEMA, ("date",))
 

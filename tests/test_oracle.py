@@ -20,6 +20,15 @@ def duck():
     return con
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """The smallest tables need few tasks; state operators start a worker per partition."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(round(v, 9))
