@@ -266,32 +266,38 @@ def contexts(opened: DataFrame, length: int) -> DataFrame:
         data.substr(p + 1, F.lit(GRAM)).alias("gram"))
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    k, m, step = 0, min(len(a), len(b)), 64
+    while step and k < m:  # lengthen by equal blocks, halving them
+        if a[k:k + step] == b[k:k + step] and k + step <= m:
+            k += step
+        else:
+            step //= 2
+    return k
+
+
 def _breaks(sides: list[bytes]) -> list[int]:
     """Places where some pair of the strings starts to differ (or one ends): the common prefixes of sorted neighbours."""
     s = sorted(set(sides))
-    out = set()
-    for a, b in zip(s, s[1:], strict=False):
-        k, m = 0, min(len(a), len(b))
-        step = 64
-        while step and k < m:  # lengthen by equal blocks, halving them
-            if a[k:k + step] == b[k:k + step] and k + step <= m:
-                k += step
-            else:
-                step //= 2
-        out.add(k)
-    return sorted(out)
+    return sorted({_common(a, b) for a, b in zip(s, s[1:], strict=False)})
+
+
+def _reach(sides: list[bytes]) -> list[int]:
+    """The longest prefix that each string has in common with another one: with a neighbour in sorted order."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    best = [0] * len(sides)
+    for i, j in zip(order, order[1:], strict=False):
+        k = _common(sides[i], sides[j])
+        best[i], best[j] = max(best[i], k), max(best[j], k)
+    return best
 
 
 def may_match(group: list[tuple[bytes, bytes]], length: int) -> list[int]:
-    """Numbers of the contexts that share half of the bytes beside the gram, on either side, with another one. A window
-    of ``length`` bytes around the gram reaches that far on one side at least, so the others can't match."""
-    half = (length - GRAM + 1) // 2
-    count: dict = {}
-    keys = [tuple((w, s[:half]) for w, s in enumerate(g) if len(s) >= half) for g in group]
-    for ks in keys:
-        for k in ks:
-            count[k] = count.get(k, 0) + 1
-    return [i for i, ks in enumerate(keys) if any(count[k] > 1 for k in ks)]
+    """Numbers of the contexts that have, on both sides of the gram together, enough bytes in common with others (not
+    necessarily the same one) for a window of ``length`` bytes."""
+    left, right = _reach([g[0] for g in group]), _reach([g[1] for g in group])
+    return [i for i, (a, b) in enumerate(zip(left, right, strict=True)) if a + b >= length - GRAM]
 
 
 def covered_ranges(group: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int] | None]:
