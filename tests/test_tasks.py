@@ -2,11 +2,12 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from clickscope.operators import sessions
+from clickscope.operators import sessions, task_stats
 from clickscope.operators.task_stats import task_session_stats
 from clickscope.operators.topn import hash_sample
 from clickscope.params import SessionParams
@@ -84,3 +85,26 @@ def test_hash_sample_is_the_same_everywhere(spark):
     assert hash_sample(df, "key", 0.5).where("key IS NULL").count() in (0, 50)  # equal keys stay or go together
     with pytest.raises(ValueError):
         hash_sample(df, "id", 1.5)
+
+
+def test_blocks_cover_every_range_once(spark):
+    numbers = [(a, b) for a in range(10) for b in range(-1, 10)]
+    cover = task_stats._blocks_between(F.col("a"), F.col("b"), 4)
+    for r in spark.createDataFrame(numbers, "a long, b long").withColumn("blocks", cover).collect():
+        held = [x for e in r["blocks"] for x in range(e["block"] << e["level"], (e["block"] + 1) << e["level"])]
+        assert sorted(held) == list(range(r["a"], r["b"] + 1)) and len(r["blocks"]) <= 8
+
+
+def test_sessions_do_not_meet_tasks_one_by_one(spark):
+    """Tasks with lists over all days: counts per ask are joined, on all their keys, not sessions on the day. Equal task
+    rows both count."""
+    actions, users = _actions(spark), _users(spark)
+    rows = [(i, "t", "session", json.dumps({"keywords": ["kw1"], "startAge": [str(i % 9)], "endAge": ["40"]})) for i in range(60)]
+    tasks = spark.createDataFrame(rows + rows[-1:], "task_id long, task_name string, task_type string, task_param string")
+    out = task_session_stats(actions, users, tasks)
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "Join" in plan and not re.search(r"Join \[day#\d+\], \[day#", plan)
+    counts = {}
+    for r in out.collect():
+        counts.setdefault(r["task_id"], []).append(r["session_count"])
+    assert counts[59] == [2 * counts[50][0]] * 2 and counts[50][0] > 0
