@@ -64,10 +64,13 @@ def salt(n: int, salt_col: str | None = None, seed: int = 7) -> Column:
 def salted_join(big: DataFrame, small: DataFrame, key: str, n: int = 10, seed: int = 7,
                 how: str = "inner", salt_col: str | None = None) -> DataFrame:
     """JOIN-12: salt 0..n-1 on ``big``; ``small`` copied once per salt value (``sequence``, not random, so
-    every salt finds its match: decision D24). Equal to ``big.join(small, key, how)`` for inner/left."""
+    every salt finds its match: decision D24). Equal to ``big.join(small, key, how)`` for inner/left.
+
+    Both sides are shuffled and sorted, which spills: the size that Spark estimates for the copies of ``small`` is that of one,
+    so without the hint it would broadcast ``n`` times what its limit allows."""
     _check_how(how)
     b = big.withColumn("_salt", salt(n, salt_col, seed))
-    s = small.select("*", _salt_range(n))
+    s = small.select("*", _salt_range(n)).hint("merge")
     return b.join(s, [key, "_salt"], how).drop("_salt")
 
 

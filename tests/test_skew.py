@@ -57,3 +57,12 @@ def test_salted_two_stage_top_n_equals_plain(spark):
         assert rows_set(salted, "k", "id", "rank") == plain
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    b, s = spark.range(100).select("id", (F.col("id") % 7).alias("k")), spark.range(7).select(F.col("id").alias("k"))
+    for how in ("inner", "left", "left_semi"):
+        joined = joins.salted_join(b, s, "k", n=8, how=how, salt_col="id")
+        plan = joined._sc._jvm.PythonSQLUtils.explainString(joined._jdf.queryExecution(), "simple")
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert joined.count() == 100
