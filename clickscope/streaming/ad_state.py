@@ -2,8 +2,9 @@
 
 One streaming query of three state operators (``transformWithState`` on the RocksDB provider):
 
-* :class:`ClickGate`, keyed by user (STR-3, STR-4, JOIN-9, FLT-6): a listed flag and the click counts per (date, ad). It drops the
-  clicks of listed users and lists a user whose count reaches the threshold. With ``listing="click"`` that holds from the
+* :class:`ClickGate`, keyed by a group of users (STR-3, STR-4, JOIN-9, FLT-6): the listed ones and the click counts per date and
+  (user, ad), of which a batch reads and writes the dates it has. It drops the clicks of listed users and lists a user whose
+  count reaches the threshold. With ``listing="click"`` that holds from the
   crossing click on, in (time, partition, offset) order, so the result does not depend on where batches end (the stored
   form is :func:`clickscope.operators.ads.apply_cutoffs`, given a log whose time does not fall from batch to batch); with
   ``listing="batch"`` it holds from the next batch on, as if the list were a table that is read when a batch begins;
@@ -49,6 +50,7 @@ STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 LISTINGS = ("batch", "click")
 SLOTS = 64  # groups that finished rows of one (date, province) pass the last operator in
+USER_GROUPS = 1024  # keys of the gate, fixed when the query first starts; what a date of a group holds is read and written whole
 
 CLICKS = "user_id bigint, ts timestamp, part int, at bigint, date string, province string, city string, ad_id bigint, n bigint"
 ROWS = "kind string, date string, province string, city string, ad_id bigint, n bigint, slot int"
@@ -56,40 +58,47 @@ CLICK, LISTED, STAT, CHANGED, TOP = "click", "listed", "stat", "changed", "top"
 
 
 class ClickGate(StatefulProcessor):
+    """Its key is a group of users: a call of an operator and each of its state calls cost far more than a click, so the
+    users of a group share them. The state of a group is its listed users, and per date the counts of its (user, ad)."""
+
     def __init__(self, threshold: int, listing: str):
         self.threshold, self.by_click = threshold, listing == "click"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.listed = handle.getValueState("listed", "listed boolean")
-        self.counts = handle.getMapState("counts", "date string, ad_id bigint", "n bigint")
+        self.listed = handle.getValueState("listed", "users array<bigint>")
+        self.counts = handle.getMapState("counts", "date string", "users array<bigint>, ads array<bigint>, n array<bigint>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if self.listed.exists():
-            return
-        counts: dict[tuple, int] = {}
+        stored = self.listed.get()
+        listed = list(stored[0]) if stored is not None else []
+        shut = set(listed)
+        crossed: dict[int, None] = {}
+        counts: dict[str, dict[tuple, int]] = {}
         kept: dict[tuple, int] = {}
-        crossed = False
-        ordered = sorted(rows, key=lambda r: (r.ts, r.part, r.at)) if self.by_click else rows
-        for r in ordered:
-            k = (r.date, r.ad_id)
-            if k not in counts:
-                stored = self.counts.getValue(k)
-                counts[k] = stored[0] if stored is not None else 0
-            counts[k] += r.n
+        for r in sorted(rows, key=lambda r: (r.ts, r.part, r.at)) if self.by_click else rows:
+            if r.user_id in shut:
+                continue
+            of_day = counts.get(r.date)
+            if of_day is None:
+                stored = self.counts.getValue((r.date,))
+                of_day = counts[r.date] = dict(zip(zip(stored[0], stored[1], strict=True), stored[2], strict=True)) if stored else {}
+            k = (r.user_id, r.ad_id)
+            of_day[k] = now = of_day.get(k, 0) + r.n
             place = (r.date, r.province, r.city, r.ad_id)
             kept[place] = kept.get(place, 0) + r.n
-            if counts[k] >= self.threshold:
-                crossed = True
+            if now >= self.threshold:
+                crossed[r.user_id] = None
                 if self.by_click:
-                    break
-        for k, n in counts.items():
-            self.counts.updateValue(k, (n,))
+                    shut.add(r.user_id)
+        for date, of_day in counts.items():
+            self.counts.updateValue((date,), ([u for u, _ in of_day], [a for _, a in of_day], list(of_day.values())))
         for (date, province, city, ad_id), n in kept.items():
             yield Row(kind=CLICK, date=date, province=province, city=city, ad_id=ad_id, n=n, slot=0)
         if crossed:
-            self.listed.update((True,))
-            # spread over the keys of the operators that it only passes
-            yield Row(kind=LISTED, date=None, province=str(key[0]), city=None, ad_id=key[0], n=None, slot=1)
+            self.listed.update((listed + list(crossed),))
+            for user in crossed:
+                # spread over a few keys of the operators that it only passes
+                yield Row(kind=LISTED, date=None, province=str(user % SLOTS), city=None, ad_id=user, n=None, slot=1)
 
     def close(self) -> None:
         pass
@@ -205,8 +214,12 @@ def ad_rows(lines: DataFrame, threshold: int, listing: str, top_n: int) -> DataF
     def state(df, keys, processor):
         return df.groupBy(*keys).transformWithState(processor, ROWS, "Append", "None")
 
-    kept = state(clicks.mapInPandas(_clicks_combined(threshold, listing), CLICKS), ["user_id"], ClickGate(threshold, listing))
-    totals = state(kept.mapInPandas(_counts_combined, ROWS), ["date", "province", "ad_id"], RunningTotals())
+    combined = clicks.mapInPandas(_clicks_combined(threshold, listing), CLICKS).withColumn(
+        "users", F.pmod(F.xxhash64("user_id"), F.lit(USER_GROUPS)).cast("int"))
+    kept = state(combined, ["users"], ClickGate(threshold, listing))
+    # listed users only pass: those of one slot under one key
+    counts = kept.mapInPandas(_counts_combined, ROWS).withColumn("of", F.when(F.col("kind") == CLICK, F.col("ad_id")))
+    totals = state(counts, ["date", "province", "of"], RunningTotals())
     return state(totals.mapInPandas(_tops_combined(top_n), ROWS), ["date", "province", "slot"], TopAds(top_n))
 
 
@@ -259,9 +272,9 @@ class AdState:
 
     def user_click_count(self) -> DataFrame:
         """``date, user_id, ad_id, click_count``: the clicks that the gate counted, read from its state."""
-        return self._state("counts").select(
-            F.col("user_map_key.date").alias("date"), F.col("key.user_id").alias("user_id"),
-            F.col("user_map_key.ad_id").alias("ad_id"), F.col("user_map_value.n").alias("click_count"))
+        held = F.arrays_zip(*[F.col(f"user_map_value.{c}").alias(c) for c in ("users", "ads", "n")])
+        return self._state("counts").select(F.col("user_map_key.date").alias("date"), F.explode(held).alias("e")).select(
+            "date", F.col("e.users").alias("user_id"), F.col("e.ads").alias("ad_id"), F.col("e.n").alias("click_count"))
 
     def lookup_click_count(self, keys: DataFrame) -> DataFrame:
         """SNK-6: ``keys`` (``date, user_id, ad_id``) with their ``click_count``, 0 where nothing was counted."""
@@ -282,7 +295,7 @@ class AdState:
         """``ad_stat`` read from the state instead of the result table."""
         return self._state("cities").select(
             F.col("key.date").alias("date"), F.col("key.province").alias("province"), F.col("user_map_key.city").alias("city"),
-            F.col("key.ad_id").alias("ad_id"), F.col("user_map_value.n").alias("click_count"))
+            F.col("key.of").alias("ad_id"), F.col("user_map_value.n").alias("click_count"))
 
 
 @contextmanager

@@ -192,6 +192,24 @@ def test_state_operators_equal_the_batch_forms(clicks, n_batches, threshold, top
     assert tops == {g: sorted(c.items(), key=lambda e: (-e[1], e[0]))[:top_n] for g, c in per_group.items()}
 
 
+@settings(max_examples=30, deadline=None)
+@given(clicks_of_days, st.integers(1, 4), st.integers(1, 3), st.sampled_from(["batch", "click"]))
+def test_users_of_one_group_share_a_key(clicks, n_batches, threshold, listing):
+    """The same kept clicks and listed users as with a key per user, with two state calls per date of a batch."""
+    rows = _click_rows(clicks)
+    alone, together = Keyed(lambda: ClickGate(threshold, listing), ["user_id"]), Keyed(lambda: ClickGate(threshold, listing), [])
+    for part in _cut(rows, n_batches):
+        a, b = alone.run(part), together.run(part)
+        assert sorted(r.ad_id for r in a if r.kind == "listed") == sorted(r.ad_id for r in b if r.kind == "listed")
+        sums = [Counter(), Counter()]
+        for of, out in zip(sums, (a, b), strict=True):
+            for r in out:
+                if r.kind == "click":
+                    of[r.date, r.province, r.city, r.ad_id] += r.n
+        assert sums[0] == sums[1]
+    assert set(together.known[()].counts.map) <= {(r.date,) for r in rows}
+
+
 @settings(max_examples=30, deadline=None)
 @given(clicks_of_days, st.integers(1, 3), st.sampled_from(["batch", "click"]))
 def test_combining_before_the_shuffle_changes_nothing(clicks, threshold, listing):
