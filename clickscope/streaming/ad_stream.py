@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..operators import ads, panes
 from ..sinks import log_tables as lt
 from ..sources import adlog
-from .ad_state import AdState, finished
+from .ad_state import AdState, finished, settings
 
 _S, _L = T.StringType(), T.LongType()
 TREND_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("hour", _S), T.StructField("minute", _S),
@@ -48,6 +48,8 @@ class AdClickStream:
         self.watermark = watermark  # None keeps every minute in the state, for logs that are far out of order
         self.trend_window = trend_window
         self.trend_slide = trend_slide  # e.g. window 60 min sliding 10 s; None = tumbling windows
+        # of either query, fixed when it first starts (default: the session's shuffle partitions)
+        self.state_partitions = state_partitions
         self.main = AdState(spark, self.root, threshold, top_n, listing, state_partitions)
         self.trend = lt.LogTable(spark, f"{self.root}/ad_click_trend", TREND_SCHEMA, ("date",))
         self.trend_panes = lt.LogTable(spark, f"{self.root}/ad_click_pane", PANE_SCHEMA, ("date",))
@@ -86,9 +88,11 @@ class AdClickStream:
     def start_trend(self, source: DataFrame, trigger: dict | None = None, name: str = "ad_trend"):
         if self.trend_slide:
             panes.per_window(self.trend_window, self.trend_slide)  # a window is a whole number of slides
-        w = (self.trend_frame(source).writeStream.outputMode("update").foreachBatch(self._write_trend)
-             .option("checkpointLocation", self._checkpoint(name)))
-        return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+        parts = {"spark.sql.shuffle.partitions": str(self.state_partitions)} if self.state_partitions else {}
+        with settings(self.spark, parts):
+            w = (self.trend_frame(source).writeStream.outputMode("update").foreachBatch(self._write_trend)
+                 .option("checkpointLocation", self._checkpoint(name)))
+            return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
     # ------------------------------------------------------------------ result tables
     def user_click_count(self) -> DataFrame:

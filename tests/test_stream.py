@@ -299,3 +299,12 @@ def test_trend_crash_then_restart_keeps_full_minutes(spark, tmp_root):
     run_available(clean, src, 1, main=False)
     assert rows_set(resumed.click_trend()) == rows_set(clean.click_trend())
     assert sum(r["click_count"] for r in resumed.click_trend().collect()) == 150
+
+
+def test_trend_state_has_the_partitions_asked_for(spark, tmp_root):
+    _write(f"{tmp_root}/src", "a.txt", [line(i, "P", "C", i, i % 5) for i in range(20)])
+    job = AdClickStream(spark, f"{tmp_root}/out", state_partitions=3)
+    run_now(job, lambda: text_stream(spark, f"{tmp_root}/src"), main=False)
+    held = os.listdir(f"{tmp_root}/out/_checkpoints/ad_trend/state/0")
+    assert sorted(x for x in held if x.isdigit()) == ["0", "1", "2"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
