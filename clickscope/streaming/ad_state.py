@@ -15,6 +15,7 @@ One streaming query of three state operators (``transformWithState`` on the Rock
 Between the operators each task adds up what it holds per key, so a hot user, city or ad is combined before it is shuffled:
 clicks of one user, place and ad become one row (with ``listing="click"`` only clicks after a user's own crossing in that
 piece go, as order counts), their counts one row per place and ad, and the changed totals of one province its ``top_n``.
+The operators get and give pandas frames (:class:`InFrames`).
 
 Each batch writes changed rows only, tagged with its id, to the tables of :mod:`clickscope.sinks.log_tables`; a repeated
 batch starts from the same state version and writes the same files. ``user_click_count`` and ``lookup_click_count``
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions import dates
 from ..operators import ads
 from ..sinks import log_tables as lt
 from ..sources import adlog
@@ -52,11 +54,38 @@ LISTINGS = ("batch", "click")
 SLOTS = 64  # groups that finished rows of one (date, province) pass the last operator in
 USER_GROUPS = 1024  # keys of the gate, fixed when the query first starts; what a date of a group holds is read and written whole
 
-CLICKS = "user_id bigint, ts timestamp, part int, at bigint, date string, province string, city string, ad_id bigint, n bigint"
+CLICKS = "user_id bigint, ts bigint, part int, at bigint, date string, province string, city string, ad_id bigint, n bigint"
+CLICK_COLUMNS = ["user_id", "ts", "part", "at", "date", "province", "city", "ad_id", "n"]
 ROWS = "kind string, date string, province string, city string, ad_id bigint, n bigint, slot int"
+ROW_COLUMNS = ["kind", "date", "province", "city", "ad_id", "n", "slot"]
+COMBINED_ROWS = 1 << 16  # rows that a task holds to add up those of one key
 CLICK, LISTED, STAT, CHANGED, TOP = "click", "listed", "stat", "changed", "top"
 
 
+Out = Row(*ROW_COLUMNS)  # no field is null: pandas has no null for numbers and keys
+
+
+class InFrames(StatefulProcessor):
+    """Runs ``rows_of``, which takes and gives rows, on frames: a row costs Spark's conversion of frames a small part of what
+    that of rows does."""
+
+    def __init__(self, rows_of: StatefulProcessor, columns: list[str]):
+        self.rows_of, self.columns = rows_of, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows_of.init(handle)
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+        each = (r for f in rows for r in f[self.columns].itertuples(index=False))
+        out = list(self.rows_of.handleInputRows(key, each, timerValues))
+        if out:
+            yield pd.DataFrame(out, columns=ROW_COLUMNS)
+
+    def close(self) -> None:
+        self.rows_of.close()
+
+
 class ClickGate(StatefulProcessor):
     """Its key is a group of users: a call of an operator and each of its state calls cost far more than a click, so the
     users of a group share them. The state of a group is its listed users, and per date the counts of its (user, ad)."""
@@ -93,12 +122,12 @@ class ClickGate(StatefulProcessor):
         for date, of_day in counts.items():
             self.counts.updateValue((date,), ([u for u, _ in of_day], [a for _, a in of_day], list(of_day.values())))
         for (date, province, city, ad_id), n in kept.items():
-            yield Row(kind=CLICK, date=date, province=province, city=city, ad_id=ad_id, n=n, slot=0)
+            yield Out(CLICK, date, province, city, ad_id, n, 0)
         if crossed:
             self.listed.update((listed + list(crossed),))
             for user in crossed:
                 # spread over a few keys of the operators that it only passes
-                yield Row(kind=LISTED, date=None, province=str(user % SLOTS), city=None, ad_id=user, n=None, slot=1)
+                yield Out(LISTED, "", str(user % SLOTS), "", user, 0, 1)
 
     def close(self) -> None:
         pass
@@ -123,11 +152,11 @@ class RunningTotals(StatefulProcessor):
             stored = self.cities.getValue((city,))
             now = n + (stored[0] if stored is not None else 0)
             self.cities.updateValue((city,), (now,))
-            yield Row(kind=STAT, date=date, province=province, city=city, ad_id=ad_id, n=now, slot=1 + ad_id % SLOTS)
+            yield Out(STAT, date, province, city, ad_id, now, 1 + ad_id % SLOTS)
         stored = self.total.get()
         total = sum(added.values()) + (stored[0] if stored is not None else 0)
         self.total.update((total,))
-        yield Row(kind=CHANGED, date=date, province=province, city=None, ad_id=ad_id, n=total, slot=0)
+        yield Out(CHANGED, date, province, "", ad_id, total, 0)
 
     def close(self) -> None:
         pass
@@ -156,7 +185,7 @@ class TopAds(StatefulProcessor):
             return
         self.top.update(([a for a, _ in now], [n for _, n in now]))
         for ad_id, n in now:
-            yield Row(kind=TOP, date=key[0], province=key[1], city=None, ad_id=ad_id, n=n, slot=0)
+            yield Out(TOP, key[0], key[1], "", ad_id, n, 0)
 
     def close(self) -> None:
         pass
@@ -179,13 +208,29 @@ def _clicks_combined(threshold: int, listing: str):
 
 
 def _counts_combined(frames):
-    """Per piece of a task: the kept clicks of one place and ad as one row."""
+    """Per task: the kept clicks of one place and ad as one row. What has been added up is held while it is at most half of
+    ``COMBINED_ROWS``, so that places which many groups of users share leave the task once."""
     import pandas as pd
+
+    keys = [c for c in ROW_COLUMNS if c != "n"]
+
+    def summed(held):
+        return pd.concat(held).groupby(keys, sort=False, as_index=False)["n"].sum()[ROW_COLUMNS]
+    held, rows = [], 0
     for f in frames:
-        clicks = f[f["kind"] == CLICK]
-        keys = [c for c in f.columns if c != "n"]
-        summed = clicks.groupby(keys, sort=False, dropna=False, as_index=False)["n"].sum()
-        yield pd.concat([summed[list(f.columns)], f[f["kind"] != CLICK]], ignore_index=True).astype({"n": "Int64"})
+        if not len(f):
+            continue
+        yield f.loc[f["kind"] != CLICK, ROW_COLUMNS]
+        held.append(f.loc[f["kind"] == CLICK, ROW_COLUMNS])
+        rows += len(held[-1])
+        if rows > COMBINED_ROWS:
+            held = [summed(held)]
+            rows = len(held[0])
+            if rows > COMBINED_ROWS // 2:
+                yield held.pop()
+                rows = 0
+    if held:
+        yield summed(held)
 
 
 def _tops_combined(n: int):
@@ -196,7 +241,7 @@ def _tops_combined(n: int):
         for f in frames:
             totals = f[f["kind"] == CHANGED].sort_values(["n", "ad_id"], ascending=[False, True])
             first = totals[totals.groupby(["date", "province"], sort=False, dropna=False).cumcount() < n]
-            yield pd.concat([first, f[f["kind"] != CHANGED]], ignore_index=True).astype({"n": "Int64"})
+            yield pd.concat([first, f[f["kind"] != CHANGED]], ignore_index=True)
     return run
 
 
@@ -207,18 +252,19 @@ def ad_rows(lines: DataFrame, threshold: int, listing: str, top_n: int) -> DataF
     keep = tuple(c for c in ("partition", "offset") if c in lines.columns)
     parsed = adlog.parse_ad_log(adlog.observed(lines), keep=keep)
     col = lambda name, kind: (F.col(name) if name in keep else F.lit(0)).cast(kind)
-    clicks = parsed.select("user_id", F.col("ts").cast("timestamp").alias("ts"), col("partition", "int").alias("part"),
+    clicks = parsed.select("user_id", dates.epoch_micros("ts").alias("ts"), col("partition", "int").alias("part"),
                            col("offset", "bigint").alias("at"), "date", "province", "city", "ad_id",
                            F.lit(1).cast("bigint").alias("n"))
 
-    def state(df, keys, processor):
-        return df.groupBy(*keys).transformWithState(processor, ROWS, "Append", "None")
+    def state(df, keys, processor, columns=ROW_COLUMNS):
+        return df.groupBy(*keys).transformWithStateInPandas(InFrames(processor, columns), ROWS, "Append", "None")
 
     combined = clicks.mapInPandas(_clicks_combined(threshold, listing), CLICKS).withColumn(
         "users", F.pmod(F.xxhash64("user_id"), F.lit(USER_GROUPS)).cast("int"))
-    kept = state(combined, ["users"], ClickGate(threshold, listing))
+    kept = state(combined, ["users"], ClickGate(threshold, listing), CLICK_COLUMNS)
     # listed users only pass: those of one slot under one key
-    counts = kept.mapInPandas(_counts_combined, ROWS).withColumn("of", F.when(F.col("kind") == CLICK, F.col("ad_id")))
+    counts = kept.mapInPandas(_counts_combined, ROWS).withColumn(
+        "of", F.when(F.col("kind") == CLICK, F.col("ad_id")).otherwise(F.lit(0)))
     totals = state(counts, ["date", "province", "of"], RunningTotals())
     return state(totals.mapInPandas(_tops_combined(top_n), ROWS), ["date", "province", "slot"], TopAds(top_n))
 

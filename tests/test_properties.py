@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from clickscope.functions import numbers, text
 from clickscope.operators import ordered
 from clickscope.operators.topn import group_top_n
-from clickscope.streaming.ad_state import ClickGate, RunningTotals, TopAds, _clicks_combined
+from clickscope.streaming import ad_state
+from clickscope.streaming.ad_state import ClickGate, InFrames, RunningTotals, TopAds, _clicks_combined
 from helpers import rows_set
 
 
@@ -221,6 +222,64 @@ def test_combining_before_the_shuffle_changes_nothing(clicks, threshold, listing
     assert sorted(plain.run(rows), key=key) == sorted(less.run(combined), key=key)
 
 
+def _frames(rows, columns, size):
+    return (pd.DataFrame([[r[c] for c in columns] for r in rows[i:i + size]], columns=columns) for i in range(0, len(rows), size))
+
+
+@settings(max_examples=30, deadline=None)
+@given(clicks_of_days, st.integers(1, 3), st.integers(1, 3), st.integers(1, 7), st.sampled_from(["batch", "click"]))
+def test_operators_on_frames_equal_those_on_rows(clicks, n_batches, threshold, size, listing):
+    """The three operators get and give pandas frames; no value turns into a float or null on the way."""
+    steps = [(lambda: ClickGate(threshold, listing), [], ad_state.CLICK_COLUMNS),
+             (RunningTotals, ["date", "province", "ad_id"], ad_state.ROW_COLUMNS),
+             (lambda: TopAds(2), ["date", "province", "slot"], ad_state.ROW_COLUMNS)]
+    by_row = [Keyed(make, keys) for make, keys, _ in steps]
+    known = [{} for _ in steps]
+    for part in _cut(_click_rows(clicks), n_batches):
+        rows, frames = part, part
+        for (make, keys, columns), plain, mine in zip(steps, by_row, known, strict=True):
+            rows = plain.run(rows)
+            groups, out = {}, []
+            for r in frames:
+                groups.setdefault(tuple(r[k] for k in keys), []).append(r)
+            for key, held in groups.items():
+                if key not in mine:
+                    states = {}
+                    mine[key] = InFrames(make(), columns)
+                    mine[key].init(type("Handle", (), {
+                        "getValueState": lambda _, name, *a, s=states: s.setdefault(name, FakeState()),
+                        "getMapState": lambda _, name, *a, s=states: s.setdefault(name, FakeState())})())
+                for f in mine[key].handleInputRows(key, _frames(held, columns, size), None):
+                    assert list(f.columns) == ad_state.ROW_COLUMNS and not f.isna().any().any()
+                    out += [Row(**r) for r in f.to_dict("records")]
+            frames = out
+            assert [tuple(r[c] for c in ad_state.ROW_COLUMNS) for r in frames] == [
+                tuple(r[c] for c in ad_state.ROW_COLUMNS) for r in rows]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["click", "click", "listed"]), st.integers(0, 3), st.integers(0, 5), st.integers(1, 4)),
+                min_size=1, max_size=60), st.integers(1, 20), st.sampled_from([4, 16, 1 << 16]))
+def test_kept_clicks_of_a_place_leave_a_task_once(rows, size, held):
+    """Over all frames of a task, not per frame; a task that holds too many places gives them in parts."""
+    rows = [Row(kind=k, date="20240101", province="P", city=f"C{c}", ad_id=a, n=n, slot=0) for k, c, a, n in rows]
+    before, ad_state.COMBINED_ROWS = ad_state.COMBINED_ROWS, held
+    try:
+        got = [Row(**r) for f in ad_state._counts_combined(_frames(rows, ad_state.ROW_COLUMNS, size)) for r in f.to_dict("records")]
+    finally:
+        ad_state.COMBINED_ROWS = before
+    sums = [Counter(), Counter()]
+    for of, some in zip(sums, (rows, got), strict=True):
+        for r in some:
+            if r.kind == "click":
+                of[r.city, r.ad_id] += r.n
+    assert sums[0] == sums[1]
+    if held == 1 << 16:
+        assert len([r for r in got if r.kind == "click"]) == len(sums[0])
+    assert sorted(tuple(r) for r in rows if r.kind == "listed") == sorted(
+        (r.kind, r.date, r.province, r.city, r.ad_id, r.n, r.slot) for r in got if r.kind == "listed")
+
+
 @settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["u1", "u1", "u2"]), st.sampled_from(["d1", "d2"]), st.integers(0, 30),
                           st.integers(0, 9)), min_size=1, max_size=150), st.integers(2, 7))
