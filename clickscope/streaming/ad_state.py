@@ -3,15 +3,18 @@
 One streaming query of three state operators (``transformWithState`` on the RocksDB provider):
 
 * :class:`ClickGate`, keyed by a group of users (STR-3, STR-4, JOIN-9, FLT-6): the listed ones and the click counts per date and
-  (user, ad), of which a batch reads and writes the dates it has. It drops the clicks of listed users and lists a user whose
+  (user, ad). It drops the clicks of listed users and lists a user whose
   count reaches the threshold. With ``listing="click"`` that holds from the
   crossing click on, in (time, partition, offset) order, so the result does not depend on where batches end (the stored
   form is :func:`clickscope.operators.ads.apply_cutoffs`, given a log whose time does not fall from batch to batch); with
   ``listing="batch"`` it holds from the next batch on, as if the list were a table that is read when a batch begins;
-* :class:`RunningTotals`, keyed by (date, province, ad) (STR-5): the total of every city and of the province;
-* :class:`TopAds`, keyed by (date, province) (STR-6, WIN-3): the ``top_n`` ads with most clicks. Totals never fall, so an ad
+* :class:`RunningTotals`, keyed by a group of (date, province, ad) (STR-5): the total of every city, and from them the province's;
+* :class:`TopAds`, keyed by a group of (date, province) (STR-6, WIN-3): the ``top_n`` ads with most clicks. Totals never fall, so an ad
   outside the list can only come back by a total that changed; the list needs no more rows than it has.
 
+A key's counts are stored by date in pages (:class:`DatedCounts`), of which a batch reads and writes those with its dates, so
+the calls of operators and of their state grow with groups and rows, not with dates, places or users.
+
 Between the operators each task adds up what it holds per key, so a hot user, city or ad is combined before it is shuffled:
 clicks of one user, place and ad become one row (with ``listing="click"`` only clicks after a user's own crossing in that
 piece go, as order counts), their counts one row per place and ad, and the changed totals of one province its ``top_n``.
@@ -25,6 +28,8 @@ batch starts from the same state version and writes the same files. ``user_click
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
+from collections import namedtuple
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -52,7 +57,10 @@ STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 LISTINGS = ("batch", "click")
 SLOTS = 64  # groups that finished rows of one (date, province) pass the last operator in
-USER_GROUPS = 1024  # keys of the gate, fixed when the query first starts; what a date of a group holds is read and written whole
+# keys of the gate, and of the two other operators; fixed when the query first starts
+USER_GROUPS = 1024
+PLACE_GROUPS = 1024
+PAGE_COUNTS = 1024  # counts of a page of the state, unless one date has more; a state call costs about as much as reading them
 
 CLICKS = "user_id bigint, ts bigint, part int, at bigint, date string, province string, city string, ad_id bigint, n bigint"
 CLICK_COLUMNS = ["user_id", "ts", "part", "at", "date", "province", "city", "ad_id", "n"]
@@ -74,18 +82,77 @@ class InFrames(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rows_of.init(handle)
+        self.row = namedtuple("Each", self.columns)
 
     def handleInputRows(self, key, rows, timerValues):
         import pandas as pd
-        each = (r for f in rows for r in f[self.columns].itertuples(index=False))
+        each = (self.row._make(r) for f in rows for r in zip(*(f[c].tolist() for c in self.columns), strict=True))
         out = list(self.rows_of.handleInputRows(key, each, timerValues))
         if out:
-            yield pd.DataFrame(out, columns=ROW_COLUMNS)
+            yield pd.DataFrame(dict(zip(ROW_COLUMNS, map(list, zip(*out, strict=True)), strict=True)))
 
     def close(self) -> None:
         self.rows_of.close()
 
 
+class DatedCounts:
+    """Counts that one key of an operator holds, ``{date: {fields: n}}``, in pages of whole neighbouring dates.
+
+    A call of the state costs far more than a count, so a page takes dates until it has ``PAGE_COUNTS`` counts. It holds the dates
+    from its own first one up to the next page's; earlier dates than any begin a page of their own. ``fields`` are (name, type)."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, fields: list[tuple[str, str]]):
+        columns = [("dates", "string"), *fields, ("n", "bigint")]
+        self.pages = handle.getMapState(name, "date string", ", ".join(f"{c} array<{t}>" for c, t in columns))
+        self.index = handle.getValueState(f"{name}_pages", "dates array<string>")
+
+    def begin(self) -> None:
+        """For every call of the operator, as its key is another one."""
+        stored = self.index.get()
+        self.starts = list(stored[0]) if stored is not None else []
+        self.read: set[int] = set()
+        self.held: dict[str, dict[tuple, int]] = {}
+
+    def _page(self, date: str) -> int:
+        return bisect_right(self.starts, date) - 1  # -1: before all pages
+
+    def of(self, date: str) -> dict[tuple, int]:
+        """The counts of a date; what is changed in them is stored by ``end``."""
+        page = self._page(date)
+        if page >= 0 and page not in self.read:
+            self.read.add(page)
+            dates, *fields, counts = self.pages.getValue((self.starts[page],))
+            for d, k, n in zip(dates, zip(*fields, strict=True), counts, strict=True):
+                self.held.setdefault(d, {})[k] = n
+        return self.held.setdefault(date, {})
+
+    def end(self, changed) -> None:
+        """Store the pages of the dates ``changed``; one that has become too large is cut between dates."""
+        pages = {self._page(d) for d in changed}
+        mine: dict[int, list[str]] = {}
+        for d in sorted(self.held):
+            if self.held[d] and self._page(d) in pages:
+                mine.setdefault(self._page(d), []).append(d)
+        starts = set(self.starts)
+        for page, dates in mine.items():
+            start, cut, size = self.starts[page] if page >= 0 else dates[0], [], 0
+            for d in dates:
+                if cut and size + len(self.held[d]) > PAGE_COUNTS:
+                    self._write(start, cut)
+                    start, cut, size = d, [], 0
+                starts.add(start)
+                cut.append(d)
+                size += len(self.held[d])
+            self._write(start, cut)
+            starts.add(start)
+        if len(starts) > len(self.starts):
+            self.index.update((sorted(starts),))
+
+    def _write(self, start: str, dates: list[str]) -> None:
+        rows = [(d, *k, n) for d in dates for k, n in self.held[d].items()]
+        self.pages.updateValue((start,), tuple(map(list, zip(*rows, strict=True))))
+
+
 class ClickGate(StatefulProcessor):
     """Its key is a group of users: a call of an operator and each of its state calls cost far more than a click, so the
     users of a group share them. The state of a group is its listed users, and per date the counts of its (user, ad)."""
@@ -95,13 +162,15 @@ class ClickGate(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.listed = handle.getValueState("listed", "users array<bigint>")
-        self.counts = handle.getMapState("counts", "date string", "users array<bigint>, ads array<bigint>, n array<bigint>")
+        self.stored = DatedCounts(handle, "counts", [("users", "bigint"), ("ads", "bigint")])
+        self.counts = self.stored.pages
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         stored = self.listed.get()
         listed = list(stored[0]) if stored is not None else []
         shut = set(listed)
         crossed: dict[int, None] = {}
+        self.stored.begin()
         counts: dict[str, dict[tuple, int]] = {}
         kept: dict[tuple, int] = {}
         for r in sorted(rows, key=lambda r: (r.ts, r.part, r.at)) if self.by_click else rows:
@@ -109,8 +178,7 @@ class ClickGate(StatefulProcessor):
                 continue
             of_day = counts.get(r.date)
             if of_day is None:
-                stored = self.counts.getValue((r.date,))
-                of_day = counts[r.date] = dict(zip(zip(stored[0], stored[1], strict=True), stored[2], strict=True)) if stored else {}
+                of_day = counts[r.date] = self.stored.of(r.date)
             k = (r.user_id, r.ad_id)
             of_day[k] = now = of_day.get(k, 0) + r.n
             place = (r.date, r.province, r.city, r.ad_id)
@@ -119,8 +187,7 @@ class ClickGate(StatefulProcessor):
                 crossed[r.user_id] = None
                 if self.by_click:
                     shut.add(r.user_id)
-        for date, of_day in counts.items():
-            self.counts.updateValue((date,), ([u for u, _ in of_day], [a for _, a in of_day], list(of_day.values())))
+        self.stored.end(counts)
         for (date, province, city, ad_id), n in kept.items():
             yield Out(CLICK, date, province, city, ad_id, n, 0)
         if crossed:
@@ -134,58 +201,76 @@ class ClickGate(StatefulProcessor):
 
 
 class RunningTotals(StatefulProcessor):
+    """All cities of a (date, province, ad) are in one key."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cities = handle.getMapState("cities", "city string", "n bigint")
-        self.total = handle.getValueState("total", "n bigint")
+        self.cities = DatedCounts(handle, "cities", [("provinces", "string"), ("cities", "string"), ("ads", "bigint")])
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        added: dict = {}
+        added: dict[str, dict[tuple, int]] = {}
         for r in rows:
             if r.kind == LISTED:
                 yield r
             else:
-                added[r.city] = added.get(r.city, 0) + r.n
+                of_day, place = added.setdefault(r.date, {}), (r.province, r.city, r.ad_id)
+                of_day[place] = of_day.get(place, 0) + r.n
         if not added:
             return
-        date, province, ad_id = key
-        for city, n in added.items():
-            stored = self.cities.getValue((city,))
-            now = n + (stored[0] if stored is not None else 0)
-            self.cities.updateValue((city,), (now,))
-            yield Out(STAT, date, province, city, ad_id, now, 1 + ad_id % SLOTS)
-        stored = self.total.get()
-        total = sum(added.values()) + (stored[0] if stored is not None else 0)
-        self.total.update((total,))
-        yield Out(CHANGED, date, province, "", ad_id, total, 0)
+        self.cities.begin()
+        for date, of_day in added.items():
+            stored = self.cities.of(date)
+            for place, n in of_day.items():
+                stored[place] = now = stored.get(place, 0) + n
+                yield Out(STAT, date, *place, now, 1 + place[2] % SLOTS)
+            totals = dict.fromkeys([(province, ad_id) for province, _, ad_id in of_day], 0)
+            for (province, _, ad_id), n in stored.items():
+                if (province, ad_id) in totals:
+                    totals[province, ad_id] += n
+            for (province, ad_id), n in totals.items():
+                yield Out(CHANGED, date, province, "", ad_id, n, 0)
+        self.cities.end(added)
 
     def close(self) -> None:
         pass
 
 
 class TopAds(StatefulProcessor):
+    """All changed totals of a (date, province) are in one key; finished rows pass."""
+
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getValueState("top", "ads array<bigint>, totals array<bigint>")
+        self.top = DatedCounts(handle, "top", [("provinces", "string"), ("ads", "bigint")])
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        changed = {}
+        changed: dict[str, dict[str, dict[int, int]]] = {}
         for r in rows:
             if r.kind == CHANGED:
-                changed[r.ad_id] = r.n
+                changed.setdefault(r.date, {}).setdefault(r.province, {})[r.ad_id] = r.n
             else:
                 yield r
         if not changed:
             return
-        stored = self.top.get()
-        before = dict(zip(stored[0], stored[1], strict=True)) if stored is not None else {}
-        now = sorted({**before, **changed}.items(), key=lambda e: (-e[1], e[0]))[:self.n]
-        if dict(now) == before:
-            return
-        self.top.update(([a for a, _ in now], [n for _, n in now]))
-        for ad_id, n in now:
-            yield Out(TOP, key[0], key[1], "", ad_id, n, 0)
+        self.top.begin()
+        written = set()
+        for date, of_day in changed.items():
+            stored = self.top.of(date)
+            held: dict[str, dict[int, int]] = {}
+            for (province, ad_id), n in stored.items():
+                held.setdefault(province, {})[ad_id] = n
+            for province, totals in of_day.items():
+                before = held.get(province, {})
+                now = sorted({**before, **totals}.items(), key=lambda e: (-e[1], e[0]))[:self.n]
+                if dict(now) == before:
+                    continue
+                written.add(date)
+                for ad_id in before:
+                    del stored[province, ad_id]
+                for ad_id, n in now:
+                    stored[province, ad_id] = n
+                    yield Out(TOP, date, province, "", ad_id, n, 0)
+        self.top.end(written)
 
     def close(self) -> None:
         pass
@@ -262,11 +347,14 @@ def ad_rows(lines: DataFrame, threshold: int, listing: str, top_n: int) -> DataF
     combined = clicks.mapInPandas(_clicks_combined(threshold, listing), CLICKS).withColumn(
         "users", F.pmod(F.xxhash64("user_id"), F.lit(USER_GROUPS)).cast("int"))
     kept = state(combined, ["users"], ClickGate(threshold, listing), CLICK_COLUMNS)
+    def group(*of):
+        return F.pmod(F.xxhash64(*of), F.lit(PLACE_GROUPS)).cast("int")
     # listed users only pass: those of one slot under one key
     counts = kept.mapInPandas(_counts_combined, ROWS).withColumn(
-        "of", F.when(F.col("kind") == CLICK, F.col("ad_id")).otherwise(F.lit(0)))
-    totals = state(counts, ["date", "province", "of"], RunningTotals())
-    return state(totals.mapInPandas(_tops_combined(top_n), ROWS), ["date", "province", "slot"], TopAds(top_n))
+        "places", group("date", "province", F.when(F.col("kind") == CLICK, F.col("ad_id")).otherwise(F.lit(0))))
+    totals = state(counts, ["places"], RunningTotals())
+    ranked = totals.mapInPandas(_tops_combined(top_n), ROWS).withColumn("places", group("date", "province", "slot"))
+    return state(ranked, ["places"], TopAds(top_n))
 
 
 class AdState:
@@ -291,8 +379,11 @@ class AdState:
             def of(kind):
                 return batch.where(F.col("kind") == kind)
             lt.append_rows(self.blacklist_table, of(LISTED).select(F.col("ad_id").alias("user_id")), batch_id)
-            lt.replace_upsert(self.stat, of(STAT).withColumnRenamed("n", "click_count"), batch_id)
-            lt.replace_group(self.top, of(TOP).withColumnRenamed("n", "click_count"), batch_id)
+            def by_date(kind):
+                """A file per date, not one per date and task of the state; written by all cores."""
+                return of(kind).withColumnRenamed("n", "click_count").repartition(self.spark.sparkContext.defaultParallelism, "date")
+            lt.replace_upsert(self.stat, by_date(STAT), batch_id)
+            lt.replace_group(self.top, by_date(TOP), batch_id)
         finally:
             batch.unpersist()
 
@@ -316,11 +407,15 @@ class AdState:
     def _state(self, variable: str) -> DataFrame:
         return state_variable(self.spark, self.checkpoint, variable)
 
+    def _counts(self, variable: str, **columns: str) -> DataFrame:
+        """The counts that a :class:`DatedCounts` of this name holds, a row each: ``columns`` from its arrays."""
+        held = F.arrays_zip(*[F.col(f"user_map_value.{c}").alias(c) for c in columns.values()])
+        return self._state(variable).select(F.explode(held).alias("e")).select(
+            *[F.col(f"e.{c}").alias(name) for name, c in columns.items()])
+
     def user_click_count(self) -> DataFrame:
         """``date, user_id, ad_id, click_count``: the clicks that the gate counted, read from its state."""
-        held = F.arrays_zip(*[F.col(f"user_map_value.{c}").alias(c) for c in ("users", "ads", "n")])
-        return self._state("counts").select(F.col("user_map_key.date").alias("date"), F.explode(held).alias("e")).select(
-            "date", F.col("e.users").alias("user_id"), F.col("e.ads").alias("ad_id"), F.col("e.n").alias("click_count"))
+        return self._counts("counts", date="dates", user_id="users", ad_id="ads", click_count="n")
 
     def lookup_click_count(self, keys: DataFrame) -> DataFrame:
         """SNK-6: ``keys`` (``date, user_id, ad_id``) with their ``click_count``, 0 where nothing was counted."""
@@ -339,9 +434,7 @@ class AdState:
 
     def running_totals(self) -> DataFrame:
         """``ad_stat`` read from the state instead of the result table."""
-        return self._state("cities").select(
-            F.col("key.date").alias("date"), F.col("key.province").alias("province"), F.col("user_map_key.city").alias("city"),
-            F.col("key.of").alias("ad_id"), F.col("user_map_value.n").alias("click_count"))
+        return self._counts("cities", date="dates", province="provinces", city="cities", ad_id="ads", click_count="n")
 
 
 @contextmanager

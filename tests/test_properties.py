@@ -257,6 +257,68 @@ def test_operators_on_frames_equal_those_on_rows(clicks, n_batches, threshold, s
                 tuple(r[c] for c in ad_state.ROW_COLUMNS) for r in rows]
 
 
+class CountedState(FakeState):
+    calls = 0
+
+    def __getattribute__(self, name):
+        if name in ("get", "update", "getValue", "updateValue"):
+            CountedState.calls += 1
+        return super().__getattribute__(name)
+
+
+def _one_key(processor):
+    states = {}
+    handle = lambda _, name, *a: states.setdefault(name, CountedState())
+    processor.init(type("Handle", (), {"getValueState": handle, "getMapState": handle})())
+    return processor
+
+
+def test_state_calls_do_not_grow_with_dates_or_places():
+    """A few clicks on each of 300 dates: a key's state calls follow its rows, 1,024 counts at a time."""
+    dates = [(dt.date(2024, 1, 1) + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range(300)]
+    clicks = [Row(user_id=u, ts=i, part=0, at=0, date=d, province="P", city=f"C{u}", ad_id=7, n=1)
+              for i, d in enumerate(dates) for u in range(3)]
+    rows, tops = clicks, []
+    for processor in (ClickGate(100, "batch"), RunningTotals(), TopAds(3)):
+        processor = _one_key(processor)
+        for _ in range(2):  # the second batch reads what the first one stored
+            CountedState.calls = 0
+            out = list(processor.handleInputRows((0,), iter(rows), None))
+            tops += [(r.date, r.ad_id, r.n) for r in out if r.kind == "top"]
+            assert CountedState.calls <= 6, (processor, CountedState.calls)
+        rows = out
+    assert tops == [(d, 7, 6) for d in dates]  # once: the second time they are not new
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 4), st.integers(1, 3)), max_size=12), max_size=8),
+       st.integers(1, 12))
+def test_dated_counts_equal_a_plain_map(batches, size):
+    """Dates in any order, pages of any size: what is read is what was stored, and every page ends before the next one."""
+    before, ad_state.PAGE_COUNTS = ad_state.PAGE_COUNTS, size
+    states, plain = {}, {}
+    try:
+        handle = lambda _, name, *a: states.setdefault(name, FakeState())
+        counts = ad_state.DatedCounts(type("Handle", (), {"getValueState": handle, "getMapState": handle})(), "c", [("ads", "bigint")])
+        for batch in batches:
+            counts.begin()
+            for day, ad, n in batch:
+                of_day, mine = counts.of(f"202401{day:02d}"), plain.setdefault(f"202401{day:02d}", {})
+                assert of_day == mine
+                of_day[ad,] = mine[ad,] = mine.get((ad,), 0) + n
+            counts.end({f"202401{day:02d}" for day, _, _ in batch})
+    finally:
+        ad_state.PAGE_COUNTS = before
+    pages = {start: page for (start,), page in states["c"].map.items()}
+    stored = [(d, a, n) for page in pages.values() for d, a, n in zip(*page, strict=True)]
+    assert sorted(stored) == sorted((d, a, n) for d, of_day in plain.items() for (a,), n in of_day.items())
+    starts = sorted(pages)
+    assert starts == (states["c_pages"].value[0] if starts else [])
+    for start, end in zip(starts, [*starts, "9"][1:], strict=True):
+        assert all(start <= d < end for d in pages[start][0])
+        assert len(pages[start][0]) <= size or len(set(pages[start][0])) == 1
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["click", "click", "listed"]), st.integers(0, 3), st.integers(0, 5), st.integers(1, 4)),
                 min_size=1, max_size=60), st.integers(1, 20), st.sampled_from([4, 16, 1 << 16]))
