@@ -5,8 +5,9 @@ The log is a folder on the shared file system, one subfolder per segment::
     <path>/p=<partition>/base=<first offset>/n=<lines>/*.txt
 
 so the lines of partition ``p`` have the offsets base, base + 1, … in file order, and a listing shows what offsets exist;
-no line is read for it. :func:`append_segments` adds a batch of lines with one Spark job; segments are removed by whoever
-owns the log's retention (offsets below the first segment have *expired* then).
+no line is read for it. :func:`append_segments` adds a batch of lines with one Spark job, whose files appear one by one, and
+then their ends to ``<path>/_ends/…``, so that a running query sees all of them or none (a log without such ends is read as
+listed); segments are removed by whoever owns the log's retention (offsets below the first segment have *expired* then).
 
 ``spark.readStream.format("segment_log")`` gives ``partition, offset, value``. Options:
 
@@ -98,11 +99,11 @@ def expire(path: str, keep_from: dict[int, int]) -> None:
             files.delete_dir(s.folder)
 
 
-def group_offsets(path: str, group: str) -> dict[int, int] | None:
-    """What ``group`` committed last; None if it never did."""
+def _newest(path: str, folder: str) -> dict[int, int] | None:
+    """The offsets that were added last to ``folder`` of the log; None if there are none."""
     from pyarrow import fs
     files, root = _file_system(path)
-    at = f"{root}/_groups/{group}"
+    at = f"{root}/{folder}"
     found = [f for f in files.get_file_info(fs.FileSelector(at, allow_not_found=True)) if f.base_name.endswith(".json")]
     if not found:
         return None
@@ -110,10 +111,10 @@ def group_offsets(path: str, group: str) -> dict[int, int] | None:
         return {int(p): int(o) for p, o in json.loads(f.read()).items()}
 
 
-def commit_group(path: str, group: str, offsets: dict[int, int]) -> None:
-    """Add a commit; a reader takes the newest whole file, so a writer that dies leaves the one before."""
+def _add(path: str, folder: str, offsets: dict[int, int]) -> None:
+    """A reader takes the newest whole file, so a writer that dies leaves the one before."""
     files, root = _file_system(path)
-    at = f"{root}/_groups/{group}"
+    at = f"{root}/{folder}"
     files.create_dir(at, recursive=True)
     name = f"{at}/{time.time_ns():020d}"
     with files.open_output_stream(name + ".tmp") as f:
@@ -121,6 +122,21 @@ def commit_group(path: str, group: str, offsets: dict[int, int]) -> None:
     files.move(name + ".tmp", name + ".json")
 
 
+def group_offsets(path: str, group: str) -> dict[int, int] | None:
+    """What ``group`` committed last; None if it never did."""
+    return _newest(path, f"_groups/{group}")
+
+
+def commit_group(path: str, group: str, offsets: dict[int, int]) -> None:
+    _add(path, f"_groups/{group}", offsets)
+
+
+def appended(path: str) -> dict[int, int]:
+    """The ends of the partitions as of the last finished append."""
+    ends = _newest(path, "_ends")
+    return latest(path) if ends is None else ends
+
+
 def _lines(files, folder: str) -> Iterator[str]:
     from pyarrow import fs
     found = files.get_file_info(fs.FileSelector(folder))
@@ -158,7 +174,7 @@ class _Reader(DataSourceStreamReader):
         return first
 
     def initialOffset(self) -> dict:
-        first, last = earliest(self.path), latest(self.path)
+        first, last = earliest(self.path), appended(self.path)
         stored = group_offsets(self.path, self.group) if self.group else None
         if stored is not None:
             start = {p: self._expired(p, stored.get(p, first[p]), first[p]) for p in first}
@@ -172,7 +188,7 @@ class _Reader(DataSourceStreamReader):
         return {str(p): o for p, o in start.items()}
 
     def latestOffset(self) -> dict:
-        return {str(p): o for p, o in latest(self.path).items()}
+        return {str(p): o for p, o in appended(self.path).items()}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         """A task reads neighbouring segments of one partition, up to ``TASK_LINES`` lines or one larger segment. Partitions that
@@ -253,12 +269,15 @@ def append_segments(lines: DataFrame, path: str, partition: Column, order: list[
     sizes = rows.groupBy("p", "s").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("p").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     ends = latest(path)
+    if _newest(path, "_ends") is None:
+        _add(path, "_ends", ends)  # before the first files appear
     known = spark.createDataFrame(list(ends.items()), "p int, end bigint")
     based = (sizes.join(F.broadcast(known), "p", "left")
              .select("p", "s", "n", (F.coalesce("end", F.lit(0)) + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("base")))
     (rows.join(based, ["p", "s"]).select("value", "p", "base", "n", *order)
      .repartition("p", "base", "n").sortWithinPartitions("p", "base", "n", *order)
      .select("value", "p", "base", "n").write.mode("append").partitionBy("p", "base", "n").text(path))
+    _add(path, "_ends", latest(path))
 
 
 def commit_progress(query, path: str, group: str) -> None:

@@ -256,6 +256,18 @@ def test_segment_log_offsets(spark, tmp_root):
     assert segment_log.latest(log)[2] == 3
 
 
+def test_an_unfinished_append_is_not_read(spark, tmp_root):
+    """The files of an append appear one by one; a running query that asks meanwhile must not take some of them as a batch."""
+    log = f"{tmp_root}/half"
+    _log(spark, log, 0, 20)
+    reader = segment_log._Reader({"path": log, "startingoffsets": "latest"})
+    assert reader.latestOffset() == reader.initialOffset() == {"0": 10, "1": 10}
+    _write(f"{log}/p=0/base=10/n=2", "part-0.txt", ["a", "b"])  # the append's job is still moving its other files
+    assert reader.latestOffset() == reader.initialOffset() == {"0": 10, "1": 10}
+    _log(spark, log, 24, 30)
+    assert reader.latestOffset() == {"0": 15, "1": 13}
+
+
 def test_segment_reader_packs_and_checks(tmp_root, monkeypatch):
     """Offsets, tasks and pieces without a stream; a segment shorter than its name says is an error."""
     log = f"{tmp_root}/plain"
