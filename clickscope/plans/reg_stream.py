@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from ..checks.oracle_sql import with_ctes
 from ..config import checkpoint_root
 from ..sources import adlog, segment_log, tables
+from ..streaming.ad_state import USER_GROUPS
 from ..streaming.ad_stream import AdClickStream, run_segments
 from .reg_ads import _KEPT, THRESHOLD, _TREND
 from .registry import register
 
-PARTITIONS = 4  # of the log, and of the main query's state
+PARTITIONS = 4  # of the log and of the trend's state; the least of the main query's state
+STATE_LINES = 1 << 17  # lines of a batch that one partition of the main query's state takes
 # Cuts of the log in time order: five days each, or days 1-10, 11-20 and the rest.
 FIVE_DAYS = "least(CAST((CAST(substr(date, 7, 2) AS INT) - 1) / 5 AS INT), 5)"
 
@@ -40,6 +42,12 @@ def _append(clicks: DataFrame, log: str) -> None:
     segment_log.append_segments(clicks, log, F.pmod("user_id", F.lit(PARTITIONS)), ["event_id"], F.substring("date", 1, 7))
 
 
+def _state_partitions(log: str) -> int:
+    """Of the main query: as many as the lines that its first batch finds need, at most one per group of users."""
+    lines = sum(segment_log.appended(log).values())
+    return min(max(PARTITIONS, -(-lines // STATE_LINES)), USER_GROUPS)
+
+
 def _replay(spark: SparkSession, sf: str, cut: str, cuts: int, main: bool = True, restart: bool = False,
             **options) -> AdClickStream:
     """Process the clicks with ``cut`` = 0, 1, … as batches of the main (or the trend) query: of one run, or with ``restart``
@@ -51,12 +59,14 @@ def _replay(spark: SparkSession, sf: str, cut: str, cuts: int, main: bool = True
     try:
         for i in range(cuts):
             _append(clicks.where(F.col("_cut") == i) if cuts > 1 else clicks, log)
+            if i == 0:
+                partitions = _state_partitions(log) if main else PARTITIONS
             if restart or cuts == 1:
-                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, state_partitions=PARTITIONS, **options)
+                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, state_partitions=partitions, **options)
                 run_segments(job, log, main=main, trend=not main)
                 continue
             if query is None:
-                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, state_partitions=PARTITIONS, **options)
+                job = AdClickStream(spark, f"{root}/out", threshold=THRESHOLD, state_partitions=partitions, **options)
                 lines = segment_log.segment_stream(spark, log, "earliest")
                 query = (job.start_main if main else job.start_trend)(lines, {"processingTime": "0 seconds"})
             query.processAllAvailable()

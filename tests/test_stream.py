@@ -320,3 +320,15 @@ def test_trend_state_has_the_partitions_asked_for(spark, tmp_root):
     held = os.listdir(f"{tmp_root}/out/_checkpoints/ad_trend/state/0")
     assert sorted(x for x in held if x.isdigit()) == ["0", "1", "2"]
     assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+
+
+def test_state_partitions_follow_the_lines(tmp_root, monkeypatch):
+    from clickscope.plans import reg_stream
+    log = f"{tmp_root}/plain"
+    for p, n in ((0, 70), (1, 31)):
+        _write(f"{log}/p={p}/base=0/n={n}", "part-0.txt", ["x"] * n)
+    assert reg_stream._state_partitions(log) == reg_stream.PARTITIONS  # a small log
+    monkeypatch.setattr(reg_stream, "STATE_LINES", 10)
+    assert reg_stream._state_partitions(log) == 11
+    monkeypatch.setattr(reg_stream, "USER_GROUPS", 7)  # a partition without keys would be of no use
+    assert reg_stream._state_partitions(log) == 7
