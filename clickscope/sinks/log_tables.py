@@ -28,20 +28,25 @@ BATCH = "batch_id"
 
 
 class LogTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_cols: tuple[str, ...] = ()):
-        """``schema``: the row columns (without ``batch_id``), including ``partition_cols``."""
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_cols: tuple[str, ...] = (),
+                 derived: dict[str, str] | None = None):
+        """``schema``: the row columns (without ``batch_id``). ``partition_cols`` are some of them, or names in ``derived``: text
+        made from the row columns by a SQL expression, of folders that hold more than one value (the months of a date)."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_cols = tuple(partition_cols)
+        self.derived = dict(derived or {})
 
     @property
     def full_schema(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType(), False)])
+        parts = [T.StructField(name, T.StringType()) for name in self.derived]
+        return T.StructType([*self.schema.fields, *parts, T.StructField(BATCH, T.LongType(), False)])
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        (df.select(*cols, F.lit(int(batch_id)).cast("bigint").alias(BATCH))
+        parts = [F.expr(e).cast("string").alias(name) for name, e in self.derived.items()]
+        (df.select(*cols, *parts, F.lit(int(batch_id)).cast("bigint").alias(BATCH))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols, BATCH).parquet(self.path))
 

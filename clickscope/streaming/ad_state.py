@@ -50,6 +50,7 @@ STAT_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("province",
 TOP_SCHEMA = T.StructType([T.StructField("date", _S), T.StructField("province", _S), T.StructField("ad_id", _L),
                            T.StructField("click_count", _L)])
 STAT_KEYS = ["date", "province", "city", "ad_id"]
+MONTH = "substring(date, 1, 6)"  # folder of a batch's rows in the result tables: a folder and file cost more than a date's rows
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
@@ -368,10 +369,10 @@ class AdState:
         self.state_partitions = state_partitions
         self.threshold, self.top_n, self.listing = threshold, top_n, listing
         self.checkpoint = f"{self.root}/_checkpoints/ad_state"
-        t = lambda name, schema, parts=("date",): lt.LogTable(spark, f"{self.root}/{name}", schema, parts)
-        self.blacklist_table = t("ad_blacklist", BLACKLIST_SCHEMA, ())
-        self.stat = t("ad_stat", STAT_SCHEMA)
-        self.top = t("ad_province_top3", TOP_SCHEMA)
+        t = lambda name, schema, **parts: lt.LogTable(spark, f"{self.root}/{name}", schema, tuple(parts), parts)
+        self.blacklist_table = t("ad_blacklist", BLACKLIST_SCHEMA)
+        self.stat = t("ad_stat", STAT_SCHEMA, month=MONTH)
+        self.top = t("ad_province_top3", TOP_SCHEMA, month=MONTH)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # one run of the operators feeds three tables
@@ -380,8 +381,9 @@ class AdState:
                 return batch.where(F.col("kind") == kind)
             lt.append_rows(self.blacklist_table, of(LISTED).select(F.col("ad_id").alias("user_id")), batch_id)
             def by_date(kind):
-                """A file per date, not one per date and task of the state; written by all cores."""
-                return of(kind).withColumnRenamed("n", "click_count").repartition(self.spark.sparkContext.defaultParallelism, "date")
+                """Neighbouring dates in one task: files grow with months and cores, not with dates."""
+                return of(kind).withColumnRenamed("n", "click_count").repartitionByRange(
+                    self.spark.sparkContext.defaultParallelism, "date")
             lt.replace_upsert(self.stat, by_date(STAT), batch_id)
             lt.replace_group(self.top, by_date(TOP), batch_id)
         finally:

@@ -322,6 +322,25 @@ def test_trend_state_has_the_partitions_asked_for(spark, tmp_root):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
 
 
+def test_result_tables_do_not_get_a_file_per_date(spark, tmp_root):
+    """90 dates of three months: folders follow the months, files the months and cores; a replaced total is still found."""
+    src, day = f"{tmp_root}/days", 86_400
+    _write(src, "a.txt", [line(d * day, "P", "C", d, 7) for d in range(90)])
+    job = AdClickStream(spark, f"{tmp_root}/out", threshold=10_000)
+    run_available(job, src, trend=False)
+    for table in ("ad_stat", "ad_province_top3"):
+        held = [(os.path.relpath(at, f"{job.root}/{table}"), [f for f in files if f.endswith(".parquet")])
+                for at, _, files in os.walk(f"{job.root}/{table}") if at.endswith("batch_id=0")]
+        assert sorted(at.split("/")[0] for at, _ in held) == [f"month=2024{m:02d}" for m in (1, 2, 3)]
+        assert sum(len(files) for _, files in held) <= 3 + spark.sparkContext.defaultParallelism
+    _write(src, "b.txt", [line(0, "P", "D", 1, 7), line(0, "P", "C", 1, 7)])
+    run_available(AdClickStream(spark, job.root, threshold=10_000), src, trend=False)
+    dates = sorted(r["date"] for r in job.ad_stat().where("city = 'C'").collect())
+    assert len(set(dates)) == len(dates) == 90 and job.ad_stat().columns == job.main.stat.schema.names
+    assert rows_set(job.ad_stat().where("date = '20240101'")) == [("20240101", "P", "C", 7, 2), ("20240101", "P", "D", 7, 1)]
+    assert rows_set(job.province_top3().where("date <= '20240102'")) == [("20240101", "P", 7, 3), ("20240102", "P", 7, 1)]
+
+
 def test_state_partitions_follow_the_lines(tmp_root, monkeypatch):
     from clickscope.plans import reg_stream
     log = f"{tmp_root}/plain"
